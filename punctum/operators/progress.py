@@ -31,7 +31,7 @@ def every_image(spots: DataFrame, images: DataFrame) -> DataFrame:
 
 def poll_bins(finished: DataFrame, interval: str) -> DataFrame:
     """Outputs finished per polling interval, from rows with a timestamp ``ts``."""
-    bins = finished.groupBy(F.window(F.col("ts").cast("timestamp"), interval).alias("w")).agg(F.count("*").alias("n"))
+    bins = finished.groupBy(F.window("ts", interval).alias("w")).agg(F.count("*").alias("n"))
     return bins.select(F.col("w.start").alias("poll"), "n")
 
 

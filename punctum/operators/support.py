@@ -38,18 +38,18 @@ def shell(axes, r: int) -> Column:
 
 
 def background(region: DataFrame, axes, r: int, method: int, max_error: float = 0.05, min_ratio: float = 0.75) -> DataFrame:
-    """Per spot ``bx, by[, bz]``: the background gradient, estimated on the region's outer shell."""
+    """Per spot ``bgx, bgy[, bgz]``: the background gradient, estimated on the region's outer shell."""
     outer = region.filter(shell(axes, r))
     key = spot_key(axes)
     if method == BG_MEAN:
-        return outer.groupBy(*key).agg(*[F.avg("g" + a).alias("b" + a) for a in axes])
+        return outer.groupBy(*key).agg(*[F.avg("g" + a).alias("bg" + a) for a in axes])
     if method == BG_MEDIAN:
-        return outer.groupBy(*key).agg(*[F.median("g" + a).alias("b" + a) for a in axes])
+        return outer.groupBy(*key).agg(*[F.median("g" + a).alias("bg" + a) for a in axes])
     if method not in (BG_RANSAC_MEAN, BG_RANSAC_MEDIAN):
         raise ValueError(f"unknown background method {method}")
     # A shell is bounded by the radius, so its values fit one array per axis.
     values = outer.groupBy(*key).agg(*[F.sort_array(F.collect_list("g" + a)).alias("l" + a) for a in axes])
-    return values.select(*key, *[_consensus(F.col("l" + a), method, max_error, min_ratio).alias("b" + a) for a in axes])
+    return values.select(*key, *[_consensus(F.col("l" + a), method, max_error, min_ratio).alias("bg" + a) for a in axes])
 
 
 def _consensus(values: Column, method: int, max_error: float, min_ratio: float) -> Column:
@@ -77,5 +77,5 @@ def subtract_background(region: DataFrame, axes, r: int, method: int, max_error:
     out = region.join(level, spot_key(axes), "left")
     return out.select(
         *spot_key(axes), *["d" + a for a in axes],
-        *[(F.col("g" + a) - F.coalesce(F.col("b" + a), F.lit(0.0))).alias("g" + a) for a in axes],
+        *[(F.col("g" + a) - F.coalesce(F.col("bg" + a), F.lit(0.0))).alias("g" + a) for a in axes],
     )
