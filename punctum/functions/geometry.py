@@ -1,4 +1,4 @@
-"""Block geometry, mirrored borders and option parsing, as Column expressions.
+"""Block geometry and mirrored borders as SQL text (for ``expr``), option parsing as Columns.
 
 Blocks of an inclusive interval ``[lo, hi]`` overlap by two pixels: block ``i`` covers
 ``[lo + i*(size-2), min(lo + i*(size-2) + size-1, hi)]``. The outermost pixel of a block
@@ -14,60 +14,52 @@ from pyspark.sql import Column, functions as F
 from punctum.params import DEFAULT_BLOCK
 
 
-def as_long(c) -> Column:
-    return (c if isinstance(c, Column) else F.lit(c)).cast("bigint")
-
-
-def block_count(lo: Column, hi: Column, size: int) -> Column:
+def block_count(lo: str, hi: str, size: int) -> str:
     if size < 3:
         raise ValueError("a block needs at least 3 pixels in every dimension")
-    return F.greatest(F.lit(0).cast("bigint"), F.ceil((hi - 1 - lo) / F.lit(size - 2)))
+    return f"greatest(0L, ceil(({hi} - 1 - ({lo})) / {size - 2}))"
 
 
-def block_start(index: Column, lo: Column, size: int) -> Column:
-    return lo + index * F.lit(size - 2)
+def block_start(index: str, lo: str, size: int) -> str:
+    return f"(({lo}) + ({index}) * {size - 2}L)"
 
 
-def block_end(index: Column, lo: Column, hi: Column, size: int) -> Column:
-    return F.least(block_start(index, lo, size) + F.lit(size - 1), hi)
+def block_end(index: str, lo: str, hi: str, size: int) -> str:
+    return f"least({block_start(index, lo, size)} + {size - 1}, {hi})"
 
 
-def block_owner(p: Column, lo: Column, hi: Column, size: int) -> Column:
+def block_owner(p: str, lo: str, hi: str, size: int) -> str:
     """Index of the block that evaluates ``p``; null on the outermost pixels."""
-    return F.when(p.between(lo + 1, hi - 1), F.floor((p - lo - 1) / F.lit(size - 2)))
+    return f"(CASE WHEN {p} BETWEEN ({lo}) + 1 AND ({hi}) - 1 THEN floor(({p} - ({lo}) - 1) / {size - 2}) END)"
 
 
-def blocks_reading(first: Column, last: Column, lo: Column, hi: Column, size: int, halo: int) -> Column:
+def blocks_reading(first: str, last: str, lo: str, hi: str, size: int, halo: int) -> str:
     """Array of the block indices that read any pixel of ``first..last``."""
-    low = F.greatest(F.lit(0).cast("bigint"), F.ceil((first - F.lit(halo + size - 1) - lo) / F.lit(size - 2)))
-    high = F.least(block_count(lo, hi, size) - 1, F.floor((last + F.lit(halo) - lo) / F.lit(size - 2)))
-    seen = (low <= high) & (first <= hi + halo) & (last >= lo - halo)
-    return F.when(seen, F.sequence(low, F.greatest(low, high)))
+    low = f"greatest(0L, ceil(({first} - {halo + size - 1} - ({lo})) / {size - 2}))"
+    high = f"least({block_count(lo, hi, size)} - 1, floor(({last} + {halo} - ({lo})) / {size - 2}))"
+    seen = f"{first} <= ({hi}) + {halo} AND {last} >= ({lo}) - {halo}"
+    return f"filter(sequence({low}, greatest({low}, {high})), b -> b <= {high} AND {seen})"
 
 
-def linear_id(indices: list[Column], counts: list[Column]) -> Column:
+def linear_id(indices: list[str], counts: list[str]) -> str:
     """Dimension 0 runs fastest."""
-    return reduce(lambda acc, d: indices[d] + counts[d] * acc, range(len(indices) - 2, -1, -1), indices[-1])
+    return reduce(lambda acc, d: f"({indices[d]} + {counts[d]} * {acc})", range(len(indices) - 2, -1, -1), indices[-1])
 
 
-def mirror(i: Column, n: Column) -> Column:
+def mirror(i: str, n: str) -> str:
     """Pixel that stands in for position ``i`` when the border mirrors without repeating the edge."""
-    i, n = as_long(i), as_long(n)
-    period = F.greatest(2 * (n - 1), F.lit(1))
-    return F.when(n > 1, n - 1 - F.abs(F.pmod(i, period) - (n - 1))).otherwise(F.lit(0)).cast("bigint")
+    return f"(CASE WHEN {n} > 1 THEN {n} - 1 - abs(pmod({i}, greatest(2 * ({n} - 1), 1L)) - ({n} - 1)) ELSE 0L END)"
 
 
-def mirror_images(p: Column, n: Column, reach: int) -> Column:
+def mirror_images(p: str, n: str, reach: int) -> str:
     """Array of all positions in ``-reach..n-1+reach`` that mirror back to pixel ``p``."""
-    far = F.lit(reach)
-    period = 2 * (n - 1)
-    turns = F.ceil(far / F.greatest(period, F.lit(1))) + 1
-    copies = F.flatten(F.transform(F.sequence(-turns, turns), lambda t: F.array(p + period * t, period * t - p)))
-    inside = F.array_distinct(F.filter(copies, lambda q: q.between(-far, n - 1 + far)))
+    period = f"(2 * ({n} - 1))"
+    turns = f"(ceil({reach} / greatest({period}, 1L)) + 1)"
+    copies = f"flatten(transform(sequence(-{turns}, {turns}), t -> array({p} + {period} * t, {period} * t - {p})))"
     return (
-        F.when((p > far) & (p < n - 1 - far), F.array(p))
-        .when(n == 1, F.sequence(as_long(-reach), as_long(reach)))
-        .otherwise(inside)
+        f"CASE WHEN {p} > {reach} AND {p} < {n} - 1 - {reach} THEN array({p}) "
+        f"WHEN {n} = 1 THEN sequence({-reach}L, {reach}L) "
+        f"ELSE array_distinct(filter({copies}, q -> q BETWEEN {-reach} AND {n} - 1 + {reach})) END"
     )
 
 
@@ -82,7 +74,7 @@ def parse_int_list(text: Column, ndim: Column | int) -> Column:
 
 
 def block_size_or_default(given: Column, ndim: Column) -> Column:
-    default = {d: F.array(*[as_long(s) for s in size]) for d, size in DEFAULT_BLOCK.items()}
+    default = {d: F.array(*[F.lit(s).cast("bigint") for s in size]) for d, size in DEFAULT_BLOCK.items()}
     return F.coalesce(given, F.when(ndim == 2, default[2]).otherwise(default[3]))
 
 

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.functions import udtf
 
 from punctum.functions import geometry as geo
 
 
-def bounds(axes, crop_min=None, crop_max=None) -> tuple[list[Column], list[Column]]:
-    """Inclusive interval per axis; the whole image where no crop is given."""
-    lo = [geo.as_long(0 if crop_min is None else crop_min[d]) for d in range(len(axes))]
-    hi = [F.col("n" + a) - 1 if crop_max is None else geo.as_long(crop_max[d]) for d, a in enumerate(axes)]
+def bounds(axes, crop_min=None, crop_max=None) -> tuple[list[str], list[str]]:
+    """Inclusive interval per axis as SQL text; the whole image where no crop is given."""
+    lo = [f"{0 if crop_min is None else int(crop_min[d])}L" for d in range(len(axes))]
+    hi = [f"n{a} - 1" if crop_max is None else f"{int(crop_max[d])}L" for d, a in enumerate(axes)]
     return lo, hi
 
 
@@ -24,17 +22,14 @@ def split_blocks(images: DataFrame, axes, block, crop_min=None, crop_max=None) -
     """
     lo, hi = bounds(axes, crop_min, crop_max)
     out, kept = images, [c for c in images.columns if c not in {"n" + a for a in axes}]
-    for d, a in enumerate(axes):
-        n = geo.block_count(lo[d], hi[d], block[d])
-        indices = F.when(n > 0, F.sequence(geo.as_long(0), F.greatest(n - 1, geo.as_long(0))))
-        out = out.withColumn("b" + a, F.explode(indices))
-    index = [F.col("b" + a) for a in axes]
     counts = [geo.block_count(lo[d], hi[d], block[d]) for d in range(len(axes))]
+    for a, n in zip(axes, counts):
+        out = out.selectExpr("*", f"explode(CASE WHEN {n} > 0 THEN sequence(0L, greatest({n} - 1, 0L)) END) AS b{a}")
     edges = []
     for d, a in enumerate(axes):
-        edges.append(geo.block_start(index[d], lo[d], block[d]).alias(a + "_min"))
-        edges.append(geo.block_end(index[d], lo[d], hi[d], block[d]).alias(a + "_max"))
-    return out.select(*kept, geo.linear_id(index, counts).alias("block_id"), *edges)
+        edges.append(f"{geo.block_start('b' + a, lo[d], block[d])} AS {a}_min")
+        edges.append(f"{geo.block_end('b' + a, lo[d], hi[d], block[d])} AS {a}_max")
+    return out.selectExpr(*kept, f"{geo.linear_id(['b' + a for a in axes], counts)} AS block_id", *edges)
 
 
 @udtf(returnType="block_id bigint, x_min bigint, x_max bigint, y_min bigint, y_max bigint")
@@ -59,19 +54,23 @@ def read_by_blocks(voxels: DataFrame, axes, block, halo, crop_min=None, crop_max
     This is an interval join done as arithmetic and explode, with no join and no shuffle.
     """
     lo, hi = bounds(axes, crop_min, crop_max)
-    out, inside, owned = voxels, F.lit(True), F.lit(True)
+    out, inside, owned = voxels, [], []
     counts = [geo.block_count(lo[d], hi[d], block[d]) for d in range(len(axes))]
     for d, a in enumerate(axes):
-        if mirrored and halo[d] > 0:
-            out = out.withColumn(a, F.explode(geo.mirror_images(F.col(a), F.col("n" + a), halo[d])))
-        p, b = F.col(a), F.col("b" + a)
-        out = out.withColumn("b" + a, F.explode(geo.blocks_reading(p, p, lo[d], hi[d], block[d], halo[d])))
-        inside = inside & p.between(geo.block_start(b, lo[d], block[d]), geo.block_end(b, lo[d], hi[d], block[d]))
-        owned = owned & F.coalesce(geo.block_owner(p, lo[d], hi[d], block[d]) == b, F.lit(False))
-    index = [F.col("b" + a) for a in axes]
-    return out.select(
-        *voxels.columns, geo.linear_id(index, counts).alias("block_id"), inside.alias("inside"), owned.alias("owned")
-    )
+        b = "b" + a
+        out = _explode_axis(out, a, lo[d], hi[d], block[d], halo[d], halo[d] if mirrored else 0)
+        inside.append(f"{a} BETWEEN {geo.block_start(b, lo[d], block[d])} AND {geo.block_end(b, lo[d], hi[d], block[d])}")
+        owned.append(f"{geo.block_owner(a, lo[d], hi[d], block[d])} <=> {b}")
+    number = geo.linear_id(["b" + a for a in axes], counts)
+    return out.selectExpr(*voxels.columns, f"{number} AS block_id", f"({' AND '.join(inside)}) AS inside", f"({' AND '.join(owned)}) AS owned")
+
+
+def _explode_axis(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int, mirrored: int) -> DataFrame:
+    """One row per position that pixel ``a`` stands for and block ``b<a>`` that reads that position."""
+    if mirrored > 0:
+        others = [c for c in df.columns if c != a]
+        df = df.selectExpr(*others, f"explode({geo.mirror_images(a, 'n' + a, mirrored)}) AS {a}")
+    return df.selectExpr("*", f"explode({geo.blocks_reading(a, a, lo, hi, size, halo)}) AS b{a}")
 
 
 def tiles(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
@@ -82,19 +81,18 @@ def tiles(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
     size = size or {2: (256, 256), 3: (64, 64, 64)}[len(axes)]
     halo = [max(0, r - 1) for r in reach]
     # The interval one pixel larger than the image: its evaluated pixels are the whole image.
-    lo, hi = [geo.as_long(-1)] * len(axes), [F.col("n" + a) for a in axes]
+    lo, hi = ["-1L"] * len(axes), ["n" + a for a in axes]
     counts = [geo.block_count(lo[d], hi[d], size[d]) for d in range(len(axes))]
-    out, owned = voxels, F.lit(True)
+    out, owned = voxels, []
     for d, a in enumerate(axes):
-        out = out.withColumn(a, F.explode(geo.mirror_images(F.col(a), F.col("n" + a), halo[d] + 1)))
-        p, b = F.col(a), F.col("b" + a)
-        out = out.withColumn("b" + a, F.explode(geo.blocks_reading(p, p, lo[d], hi[d], size[d], halo[d])))
-        owned = owned & F.coalesce(geo.block_owner(p, lo[d], hi[d], size[d]) == b, F.lit(False))
-    out = out.select(*voxels.columns, geo.linear_id([F.col("b" + a) for a in axes], counts).alias("block_id"), owned.alias("owned"))
+        out = _explode_axis(out, a, lo[d], hi[d], size[d], halo[d], halo[d] + 1)
+        owned.append(f"{geo.block_owner(a, lo[d], hi[d], size[d])} <=> b{a}")
+    number = geo.linear_id(["b" + a for a in axes], counts)
+    out = out.selectExpr(*voxels.columns, f"{number} AS block_id", f"({' AND '.join(owned)}) AS owned")
     return out.repartition("image", "block_id")
 
 
-def evaluated(axes, crop_min=None, crop_max=None) -> Column:
+def evaluated(axes, crop_min=None, crop_max=None) -> str:
     """Pixels that may become spots: all but the outermost of the interval."""
     lo, hi = bounds(axes, crop_min, crop_max)
-    return reduce(lambda c, d: c & F.col(axes[d]).between(lo[d] + 1, hi[d] - 1), range(len(axes)), F.lit(True))
+    return " AND ".join(f"{a} BETWEEN {lo[d]} + 1 AND {hi[d]} - 1" for d, a in enumerate(axes))

@@ -37,10 +37,9 @@ def block_pieces(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     lo, hi = blk.bounds(axes, *params.crop(n))
     out = _with_range(chunks, params)
     for d, a in enumerate(axes):
-        first, last = F.col(a + "0"), F.col(a + "0") + F.col("w" + a) - 1
-        out = out.withColumn("b" + a, geo.blocks_reading(first, last, lo[d], hi[d], block[d], halo[d]))
-        out = out.withColumns({"l" + a: lo[d], "h" + a: hi[d], "k" + a: geo.block_count(lo[d], hi[d], block[d])})
-        out = out.filter(F.col("b" + a).isNotNull())
+        reading = geo.blocks_reading(f"{a}0", f"({a}0 + w{a} - 1)", lo[d], hi[d], block[d], halo[d])
+        out = out.selectExpr("*", f"{reading} AS b{a}", f"{lo[d]} AS l{a}", f"{hi[d]} AS h{a}", f"{geo.block_count(lo[d], hi[d], block[d])} AS k{a}")
+        out = out.filter(f"size(b{a}) > 0")
     fields = [f + a for f in "blhk" for a in axes]
     out = out.select("image", "v_low", "v_high", *[a + "0" for a in axes], *["w" + a for a in axes], *["n" + a for a in axes], *fields, "data")
     columns = ["o" + a for a in axes] + ["w" + a for a in axes] + ["n" + a for a in axes] + ["b" + a for a in axes] + ["l" + a for a in axes] + ["h" + a for a in axes]

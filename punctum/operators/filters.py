@@ -8,11 +8,8 @@ neither a huge image nor a long scan line lands in one task.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from punctum.functions.numeric import total
 from punctum.operators import blocks as blk
 from punctum.params import SpotParams, gauss_weights, radius
 from punctum.sources.images import size_columns
@@ -20,8 +17,9 @@ from punctum.sources.images import size_columns
 BLOCK = ("image", "block_id")
 
 
-def _along(axes, axis):
-    return Window.partitionBy(*BLOCK, *[a for a in axes if a != axis]).orderBy(axis)
+def _along(axes, axis) -> str:
+    others = ", ".join([*BLOCK, *[a for a in axes if a != axis]])
+    return f"OVER (PARTITION BY {others} ORDER BY {axis})"
 
 
 def _bare(df: DataFrame, axes, *values) -> DataFrame:
@@ -65,17 +63,15 @@ def _blurred(df: DataFrame, axes, widths: dict[str, tuple[float, ...]]) -> DataF
     """Adds one blurred column per entry of ``widths``; all share each axis' sort."""
     source = {name: "v" for name in widths}
     for d, axis in enumerate(axes):
-        w = _along(axes, axis)
-        new = {}
+        w, new = _along(axes, axis), []
         for name, sigmas in widths.items():
-            kernel = gauss_weights(sigmas[d])
+            kernel, c = gauss_weights(sigmas[d]), source[name]
             r = len(kernel) // 2
-            c = F.col(source[name])
-            taps = [F.lit(kernel[r]) * c]
-            taps += [F.lit(kernel[r + k]) * (F.lag(c, k).over(w) + F.lead(c, k).over(w)) for k in range(1, r + 1)]
-            new[name] = total(taps)
+            taps = [f"{kernel[r]!r}D * {c}"]
+            taps += [f"{kernel[r + k]!r}D * (lag({c}, {k}) {w} + lead({c}, {k}) {w})" for k in range(1, r + 1)]
+            new.append(f"{' + '.join(taps)} AS {name}")
             source[name] = name
-        df = df.withColumns(new)
+        df = df.selectExpr(*[c for c in df.columns if c not in widths], *new)
     return df
 
 
@@ -102,7 +98,7 @@ def dog(voxels: DataFrame, axes, params: SpotParams, size=None) -> DataFrame:
 # --- peaks -------------------------------------------------------------------------------
 
 
-def _above_neighbours(df: DataFrame, axes, value: str) -> tuple[DataFrame, Column]:
+def _above_neighbours(df: DataFrame, axes, value: str) -> tuple[DataFrame, str]:
     """Condition: strictly greater than all 3^n - 1 neighbours, one axis at a time.
 
     After each axis ``m`` is the maximum of the box seen so far, so the next axis only has
@@ -111,12 +107,11 @@ def _above_neighbours(df: DataFrame, axes, value: str) -> tuple[DataFrame, Colum
     out, checks, m = df, [], value
     for d, axis in enumerate(reversed(axes)):
         w = _along(axes, axis)
-        side, box = f"side{d}", f"box{d}"
-        out = out.withColumn(side, F.greatest(F.lag(m, 1).over(w), F.lead(m, 1).over(w)))
-        out = out.withColumn(box, F.greatest(m, side))
-        checks.append(F.col(value) > F.col(side))
-        m = box
-    return out, reduce(lambda a, b: a & b, checks)
+        out = out.selectExpr("*", f"greatest(lag({m}, 1) {w}, lead({m}, 1) {w}) AS side{d}")
+        out = out.selectExpr("*", f"greatest({m}, side{d}) AS box{d}")
+        checks.append(f"{value} > side{d}")
+        m = f"box{d}"
+    return out, " AND ".join(checks)
 
 
 def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
@@ -131,7 +126,7 @@ def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
     gathered = blk.read_by_blocks(voxels, axes, params.block(n), reach, *params.crop(n)).repartition(*BLOCK)
     out = _with_dog(normalized(gathered, params), axes, params)
     out, above = _above_neighbours(out, axes, "dog")
-    out = out.filter(F.col("owned") & (F.col("dog") > params.threshold) & above)
+    out = out.filter(f"owned AND dog > {float(params.threshold)!r}D AND {above}")
     return out.select(*BLOCK, *axes, "dog", "span", *size_columns(axes))
 
 
@@ -148,12 +143,12 @@ def normalized(df: DataFrame, params: SpotParams) -> DataFrame:
 def gradients(voxels: DataFrame, axes, anisotropy: float = 1.0, drop_zero: bool = True, size=None) -> DataFrame:
     """Central differences ``gx, gy[, gz]`` of ``v``; z is scaled by the anisotropy."""
     tiled = blk.tiles(voxels, axes, [1] * len(axes), size)
-    slopes = {}
+    slopes = []
     for axis in axes:
         w = _along(axes, axis)
-        step = (F.lead("v", 1).over(w) - F.lag("v", 1).over(w)) / F.lit(2.0)
-        slopes["g" + axis] = step * F.lit(float(anisotropy)) if axis == "z" else step
-    out = tiled.withColumns(slopes).filter("owned")
+        factor = f" * {float(anisotropy)!r}D" if axis == "z" else ""
+        slopes.append(f"(lead(v, 1) {w} - lag(v, 1) {w}) / 2.0D{factor} AS g{axis}")
+    out = tiled.selectExpr("*", *slopes).filter("owned")
     if drop_zero:
-        out = out.filter(reduce(lambda a, b: a | b, [F.col("g" + a) != 0 for a in axes]))
+        out = out.filter(" OR ".join(f"g{a} <> 0" for a in axes))
     return _bare(out, axes, *["g" + a for a in axes])

@@ -15,14 +15,10 @@ def spot_intensity(spots: DataFrame, voxels: DataFrame, axes) -> DataFrame:
     """
     corners = spots.withColumn("weight", F.lit(1.0))
     for a in axes:
-        low = F.floor(F.col(a))
-        part = F.col(a) - low
-        pair = F.array(
-            F.struct(geo.mirror(low, F.col("n" + a)).alias("at"), (F.lit(1.0) - part).alias("w")),
-            F.struct(geo.mirror(low + 1, F.col("n" + a)).alias("at"), part.alias("w")),
-        )
-        corners = corners.withColumn("c", F.explode(pair)).withColumn("c" + a, F.col("c.at"))
-        corners = corners.withColumn("weight", F.col("weight") * F.col("c.w")).drop("c")
+        low, n = f"floor({a})", "n" + a
+        pair = f"array(struct({geo.mirror(low, n)} AS at, 1 - ({a} - {low}) AS w), struct({geo.mirror(f'({low} + 1)', n)} AS at, {a} - {low} AS w))"
+        others = [c for c in corners.columns if c != "weight"]
+        corners = corners.selectExpr("*", f"explode({pair}) AS c").selectExpr(*others, "weight * c.w AS weight", f"c.at AS c{a}")
     pixels = voxels.select("image", *[F.col(a).alias("c" + a) for a in axes], "v")
     joined = corners.join(pixels, ["image", *["c" + a for a in axes]])
     return joined.groupBy(*spots.columns).agg(F.sum(F.col("weight") * F.col("v")).alias("intensity"))

@@ -47,27 +47,27 @@ def background(region: DataFrame, axes, r: int, method: int, max_error: float =
         return outer.groupBy(*key).agg(*[F.median("g" + a).alias("bg" + a) for a in axes])
     if method not in (BG_RANSAC_MEAN, BG_RANSAC_MEDIAN):
         raise ValueError(f"unknown background method {method}")
-    # A shell is bounded by the radius, so its values fit one array per axis.
-    values = outer.groupBy(*key).agg(*[F.sort_array(F.collect_list("g" + a)).alias("l" + a) for a in axes])
-    return values.select(*key, *[_consensus(F.col("l" + a), method, max_error, min_ratio).alias("bg" + a) for a in axes])
+    return _consensus(outer, axes, method, max_error, min_ratio)
 
 
-def _consensus(values: Column, method: int, max_error: float, min_ratio: float) -> Column:
-    """Mean or median of the largest set of values within ``max_error`` of one of them.
+def _consensus(outer: DataFrame, axes, method: int, max_error: float, min_ratio: float) -> DataFrame:
+    """Mean or median of the largest set of values within ``max_error`` of one of them, per axis.
 
     Every value is tried, so nothing is sampled; ties go to the smallest value; too small a set gives 0.
+    A range frame counts each value's neighbours; all windows share one shuffle by (spot, axis).
     """
-    near = lambda h: F.filter(values, lambda v: F.abs(v - h) <= max_error + SLACK)
-    ranked = F.transform(values, lambda h: F.struct(F.size(near(h)).alias("n"), (-h).alias("h")))
-    best = F.array_max(ranked)
-    members = near(-best["h"])
-    n = F.size(members)
-    if method == BG_RANSAC_MEAN:
-        level = F.aggregate(members, F.lit(0.0), lambda a, v: a + v) / n
-    else:
-        at = lambda i: F.element_at(members, i.cast("int"))
-        level = (at(F.floor((n + 1) / F.lit(2))) + at(F.floor((n + 2) / F.lit(2)))) / F.lit(2.0)
-    return F.when(n >= F.lit(min_ratio) * F.size(values), level).otherwise(F.lit(0.0))
+    key, limit = spot_key(axes), max_error + SLACK
+    each = outer.select(*key, F.inline(F.array(*[F.struct(F.lit(a).alias("axis"), F.col("g" + a).alias("g")) for a in axes])))
+    whole = f"PARTITION BY {', '.join(key)}, axis"
+    ranked = each.selectExpr(
+        "*", f"count(*) OVER ({whole} ORDER BY g RANGE BETWEEN {limit!r}D PRECEDING AND {limit!r}D FOLLOWING) AS near",
+        f"count(*) OVER ({whole}) AS size")
+    ranked = ranked.selectExpr("*", f"-(max(struct(near, -g AS h)) OVER ({whole})).h AS best")
+    members = ranked.filter(F.abs(F.col("g") - F.col("best")) <= limit)
+    middle = F.avg("g") if method == BG_RANSAC_MEAN else F.median("g")
+    level = members.groupBy(*key, "axis").agg(
+        F.when(F.count("*") >= F.lit(min_ratio) * F.max("size"), middle).otherwise(F.lit(0.0)).alias("level"))
+    return level.groupBy(*key).agg(*[F.max(F.when(F.col("axis") == a, F.col("level"))).alias("bg" + a) for a in axes])
 
 
 def subtract_background(region: DataFrame, axes, r: int, method: int, max_error: float = 0.05, min_ratio: float = 0.75) -> DataFrame:

@@ -22,7 +22,7 @@ from punctum.sources import listing as files
 from punctum.sources import tables
 from punctum.streaming import outputs as stream
 
-P2 = SpotParams(max_intensity=80000.0, block_size=(64, 24))
+P2 = SpotParams(max_intensity=79999.0, block_size=(64, 24))
 P3 = SpotParams(max_intensity=10.0, anisotropy=0.7, block_size=(64, 48, 11))
 SETTINGS = {2: P2, 3: P3}
 CROP = {2: ((5, 3), (120, 27)), 3: ((7, 5, 1), (90, 44, 9))}
@@ -258,9 +258,9 @@ def block_voxels(spark, sf, n=2):
 def block_owner(spark, sf, n=2):
     p, v = SETTINGS[n], voxels(spark, sf, n)
     lo, hi = blk.bounds(AXES[n])
-    owner = [geo.block_owner(F.col(a), lo[d], hi[d], p.block(n)[d]) for d, a in enumerate(AXES[n])]
+    owner = [geo.block_owner(a, lo[d], hi[d], p.block(n)[d]) for d, a in enumerate(AXES[n])]
     counts = [geo.block_count(lo[d], hi[d], p.block(n)[d]) for d in range(n)]
-    return v.filter(blk.evaluated(AXES[n])).select("image", *AXES[n], geo.linear_id(owner, counts).alias("block_id"))
+    return v.filter(blk.evaluated(AXES[n])).selectExpr("image", *AXES[n], f"{geo.linear_id(owner, counts)} AS block_id")
 
 
 def halo_voxels(spark, sf, n=2):
@@ -272,9 +272,8 @@ def halo_voxels(spark, sf, n=2):
 
 
 def mirror_extend(spark, sf):
-    v = voxels(spark, sf, 2).filter("y = 0").select("image", "x", "nx", "ny")
-    out = v.withColumn("i", F.explode(F.sequence(F.lit(-40).cast("bigint"), F.lit(70).cast("bigint"))))
-    return out.select("image", "x", "i", geo.mirror(F.col("i"), F.col("ny")).alias("at"), geo.mirror(F.col("x") * 7 + F.col("i"), F.col("nx")).alias("along"))
+    v = voxels(spark, sf, 2).filter("y = 0").selectExpr("image", "x", "nx", "ny", "explode(sequence(-40L, 70L)) AS i")
+    return v.selectExpr("image", "x", "i", f"{geo.mirror('i', 'ny')} AS at", f"{geo.mirror('(x * 7 + i)', 'nx')} AS along")
 
 
 # --- pixel filters -----------------------------------------------------------------------

@@ -11,9 +11,9 @@ voxel table   image, x, y[, z], v DOUBLE, nx, ny[, nz]; one row per pixel.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from punctum.functions import geometry as geo
 
@@ -46,41 +46,30 @@ def chunk_table(cells: DataFrame, axes, dims, chunk, images: DataFrame | None =
     without any cell are added as zeros; without it they stay missing.
     """
     counts = [-(-n // c) for n, c in zip(dims, chunk)]
-    index = [F.floor(F.col(a) / F.lit(c)) for a, c in zip(axes, chunk)]
-    chunk_id = geo.linear_id(index, [geo.as_long(n) for n in counts])
-    width = {a: F.least(F.lit(c), F.lit(n) - F.col(a + "0")).cast("int") for a, n, c in zip(axes, dims, chunk)}
-
-    def described(df):
-        rest, out = F.col("chunk_id"), df
-        for a, c, n in zip(axes, chunk, counts):
-            out = out.withColumn(a + "0", (F.pmod(rest, F.lit(n)) * F.lit(c)).cast("bigint"))
-            rest = F.floor(rest / F.lit(n))
-        return out.withColumns({"w" + a: width[a] for a in axes}).withColumns({"n" + a: geo.as_long(n) for a, n in zip(axes, dims)})
-
-    volume = reduce(lambda p, a: p * F.col("w" + a), axes, F.lit(1))
-    packed = described(cells.withColumn("chunk_id", chunk_id))
-    packed = packed.select(
-        "image", "chunk_id",
-        F.struct(_offset(axes).cast("int").alias("o"), F.col("v").cast("float").alias("v")).alias("e"),
-    ).groupBy("image", "chunk_id").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    number = geo.linear_id([f"floor({a} / {c})" for a, c in zip(axes, chunk)], [f"{n}L" for n in counts])
+    # Where a chunk lies follows from its number alone.
+    strides = [math.prod(counts[:d]) for d in range(len(axes))]
+    origin = [f"CAST(pmod(floor(chunk_id / {s}), {n}) * {c} AS BIGINT)" for s, n, c in zip(strides, counts, chunk)]
+    width = [f"CAST(least({c}, {n} - {o}) AS INT)" for c, n, o in zip(chunk, dims, origin)]
+    offset = geo.linear_id([f"({a} - {o})" for a, o in zip(axes, origin)], width)
+    entries = cells.selectExpr("image", f"{number} AS chunk_id", *axes, "v").selectExpr(
+        "image", "chunk_id", f"struct(CAST({offset} AS INT) AS o, CAST(v AS FLOAT) AS v) AS e")
+    packed = entries.groupBy("image", "chunk_id").agg(F.sort_array(F.collect_list("e")).alias("e"))
     if images is not None:
-        every = images.select("image", F.explode(F.sequence(F.lit(0).cast("bigint"), geo.as_long(reduce(lambda p, n: p * n, counts) - 1))).alias("chunk_id"))
+        every = images.selectExpr("image", f"explode(sequence(0L, {math.prod(counts) - 1}L)) AS chunk_id")
         packed = every.join(packed, ["image", "chunk_id"], "left")
-    return described(packed).withColumn("data", _dense(F.col("e"), volume)).drop("e")
+    return packed.selectExpr(
+        "image", "chunk_id", *[f"{o} AS {a}0" for a, o in zip(axes, origin)], *[f"{w} AS w{a}" for a, w in zip(axes, width)],
+        *[f"{n}L AS n{a}" for a, n in zip(axes, dims)], f"{_dense('e', ' * '.join(width))} AS data")
 
 
-def _offset(axes) -> Column:
-    return geo.linear_id([F.col(a) - F.col(a + "0") for a in axes], [F.col("w" + a) for a in axes])
-
-
-def _dense(entries: Column, n: Column) -> Column:
-    """Array of n floats from entries (o, v) sorted by o; gaps are zero."""
-    zero = F.lit(0.0).cast("float")
-    before = F.struct(F.lit(-1).alias("o"), zero.alias("v"))
-    previous = F.concat(F.array(before), F.slice(entries, 1, F.size(entries) - 1))
-    pieces = F.zip_with(entries, previous, lambda e, p: F.concat(F.array_repeat(zero, e["o"] - p["o"] - 1), F.array(e["v"])))
-    tail = F.array_repeat(zero, n - 1 - F.element_at(entries, -1)["o"])
-    return F.when(entries.isNull(), F.array_repeat(zero, n)).otherwise(F.concat(F.flatten(pieces), tail))
+def _dense(entries: str, n: str) -> str:
+    """SQL text: array of n floats from entries (o, v) sorted by o; gaps are zero."""
+    zero = "CAST(0 AS FLOAT)"
+    before = f"concat(array(struct(-1 AS o, {zero} AS v)), slice({entries}, 1, size({entries}) - 1))"
+    pieces = f"zip_with({entries}, {before}, (e, p) -> concat(array_repeat({zero}, e.o - p.o - 1), array(e.v)))"
+    tail = f"array_repeat({zero}, {n} - 1 - element_at({entries}, -1).o)"
+    return f"CASE WHEN {entries} IS NULL THEN array_repeat({zero}, {n}) ELSE concat(flatten({pieces}), {tail}) END"
 
 
 def crop_chunks(chunks: DataFrame, axes, lo, hi) -> DataFrame:
@@ -92,16 +81,13 @@ def crop_chunks(chunks: DataFrame, axes, lo, hi) -> DataFrame:
 
 def voxels_of_chunks(chunks: DataFrame, axes) -> DataFrame:
     """One row per pixel of every stored chunk."""
-    out = chunks.select(
-        "image", *[a + "0" for a in axes], *["w" + a for a in axes], *size_columns(axes),
-        F.posexplode("data").alias("o", "v"),
-    )
-    rest, position = F.col("o"), []
+    keep = ["image", *[a + "0" for a in axes], *["w" + a for a in axes], *size_columns(axes)]
+    out, rest, position = chunks.selectExpr(*keep, "posexplode(data) AS (o, v)"), "o", []
     for a in axes[:-1]:
-        position.append((F.col(a + "0") + rest % F.col("w" + a)).cast("bigint").alias(a))
-        rest = (rest / F.col("w" + a)).cast("int")
-    position.append((F.col(axes[-1] + "0") + rest).cast("bigint").alias(axes[-1]))
-    return out.select("image", *position, F.col("v").cast("double").alias("v"), *size_columns(axes))
+        position.append(f"{a}0 + {rest} % w{a} AS {a}")
+        rest = f"({rest} div w{a})"
+    position.append(f"{axes[-1]}0 + {rest} AS {axes[-1]}")
+    return out.selectExpr("image", *position, "CAST(v AS DOUBLE) AS v", *size_columns(axes))
 
 
 def line_table(voxels: DataFrame, axes) -> DataFrame:

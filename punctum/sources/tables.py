@@ -16,21 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_cells(spark, sf_dir) -> DataFrame:
+def event_cells(events: DataFrame) -> DataFrame:
     """One 2D image per event type: user by day, integer cents."""
     cents = F.round(F.col("value") * 100).cast("bigint")
     return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("image"), F.col("user_id").alias("x"), (F.day("ts") - 1).cast("bigint").alias("y"))
+        events.groupBy(F.col("event_type").alias("image"), F.col("user_id").alias("x"), (F.day("ts") - 1).cast("bigint").alias("y"))
         .agg(F.sum(cents).alias("v"))
     )
 
 
-def order_cells(spark, sf_dir) -> DataFrame:
+def order_cells(lines: DataFrame) -> DataFrame:
     """One 3D image: supplier by quantity by discount, number of order lines."""
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
+        lines.groupBy(
             F.lit("lines").alias("image"),
             F.col("l_suppkey").alias("x"),
             (F.col("l_quantity").cast("bigint") - 1).alias("y"),
@@ -49,14 +47,14 @@ def event_chunks(spark, sf_dir, dense: bool = True) -> DataFrame:
     events = table(spark, sf_dir, "events")
     dims = _extent(events, F.col("user_id"), F.day("ts") - 1)
     images = events.select(F.col("event_type").alias("image")).distinct() if dense else None
-    return img.chunk_table(event_cells(spark, sf_dir), AXES[2], dims, EVENT_CHUNK, images)
+    return img.chunk_table(event_cells(events), AXES[2], dims, EVENT_CHUNK, images)
 
 
 def order_chunks(spark, sf_dir, dense: bool = True) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     dims = _extent(lines, F.col("l_suppkey"), F.col("l_quantity").cast("bigint") - 1, F.round(F.col("l_discount") * 100).cast("bigint"))
     images = spark.range(1).select(F.lit("lines").alias("image")) if dense else None
-    return img.chunk_table(order_cells(spark, sf_dir), AXES[3], dims, ORDER_CHUNK, images)
+    return img.chunk_table(order_cells(lines), AXES[3], dims, ORDER_CHUNK, images)
 
 
 def event_voxels(spark, sf_dir) -> DataFrame:
