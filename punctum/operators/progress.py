@@ -60,11 +60,12 @@ def parse_time_log(lines: DataFrame) -> DataFrame:
 
 
 def task_durations(log: DataFrame) -> DataFrame:
-    """One row per task; ``duration`` is null while it is open, ``consistent`` compares it with the logged one."""
+    """One row per task: ``status`` is open, done, or mismatch where the logged time differs from the measured one."""
     done = F.when(F.col("state") == "DONE", F.col("ts"))
     out = log.groupBy("task").agg(
         F.max(F.when(F.col("state") == "START", F.col("ts"))).alias("started"),
         F.max(done).alias("done"), F.max("elapsed").alias("logged"),
     )
     out = out.withColumn("duration", F.col("done") - F.col("started"))
-    return out.withColumn("consistent", F.col("duration") == F.col("logged"))
+    status = F.when(F.col("done").isNull(), "open").when(F.col("duration") == F.col("logged"), "done").otherwise("mismatch")
+    return out.withColumn("status", status)

@@ -517,5 +517,5 @@ def registry() -> dict[str, str]:
     out["poll_delta"] = out["stream_output_count"] = POLLS
     out["task_durations"] = """with e as (select event_id, cast(round(value*100) as bigint) ms from events)
 select concat('t', event_id) task, event_id*1000 started, case when event_id%10<>0 then event_id*1000+ms end done,
- case when event_id%10<>0 then ms end logged, case when event_id%10<>0 then ms end duration, case when event_id%10<>0 then true end consistent from e"""
+ case when event_id%10<>0 then ms end logged, case when event_id%10<>0 then ms end duration, case when event_id%10<>0 then 'done' else 'open' end status from e"""
     return out

@@ -97,8 +97,9 @@ def list_objects(spark, sf):
 
 def read_accept_list(spark, sf):
     path = scratch_path(spark, "accept")
-    row = F.concat_ws(",", F.col("doc_id").cast("string"), F.concat(F.lit('"d'), F.col("doc_id").cast("string"), F.lit('.tif"')))
-    tables.table(spark, sf, "labels").filter("quality = 1").select(row.alias("number,file")).write.option("header", True).option("quote", "").csv(path)
+    good = tables.table(spark, sf, "labels").filter("quality = 1")
+    named = good.select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".tif")).alias("file"))
+    named.write.option("header", True).option("quoteAll", True).csv(path)
     return files.read_accept_list(spark, path)
 
 
