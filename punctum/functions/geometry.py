@@ -37,8 +37,12 @@ def blocks_reading(first: str, last: str, lo: str, hi: str, size: int, halo: int
     """Array of the block indices that read any pixel of ``first..last``."""
     low = f"greatest(0L, ceil(({first} - {halo + size - 1} - ({lo})) / {size - 2}))"
     high = f"least({block_count(lo, hi, size)} - 1, floor(({last} + {halo} - ({lo})) / {size - 2}))"
-    seen = f"{first} <= ({hi}) + {halo} AND {last} >= ({lo}) - {halo}"
-    return f"filter(sequence({low}, greatest({low}, {high})), b -> b <= {high} AND {seen})"
+    # Plain arithmetic, so it stays in generated code where an optimizer moves or repeats it.
+    return f"CASE WHEN {within_reach(first, last, lo, hi, halo)} AND {low} <= {high} THEN sequence({low}, {high}) END"
+
+
+def within_reach(first: str, last: str, lo: str, hi: str, halo: int) -> str:
+    return f"({first} <= ({hi}) + {halo} AND {last} >= ({lo}) - {halo})"
 
 
 def linear_id(indices: list[str], counts: list[str]) -> str:

@@ -11,13 +11,15 @@ relational operators in ``filters.py``, and tests hold the two to each other.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from punctum.functions import geometry as geo
+from punctum.functions.arrow import batch_of, records, schema_of
 from punctum.functions.numeric import SLACK
 from punctum.operators import blocks as blk
 from punctum.operators import intensity, localize
@@ -37,34 +39,36 @@ def block_pieces(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     lo, hi = blk.bounds(axes, *params.crop(n))
     out = _with_range(chunks, params)
     for d, a in enumerate(axes):
-        reading = geo.blocks_reading(f"{a}0", f"({a}0 + w{a} - 1)", lo[d], hi[d], block[d], halo[d])
-        out = out.selectExpr("*", f"{reading} AS b{a}", f"{lo[d]} AS l{a}", f"{hi[d]} AS h{a}", f"{geo.block_count(lo[d], hi[d], block[d])} AS k{a}")
-        out = out.filter(f"size(b{a}) > 0")
+        span = f"{a}0", f"({a}0 + w{a} - 1)"
+        out = out.filter(geo.within_reach(*span, lo[d], hi[d], halo[d]))
+        reading = geo.blocks_reading(*span, lo[d], hi[d], block[d], halo[d])
+        out = out.selectExpr("*", f"coalesce({reading}, array()) AS b{a}", f"{lo[d]} AS l{a}", f"{hi[d]} AS h{a}", f"{geo.block_count(lo[d], hi[d], block[d])} AS k{a}")
     fields = [f + a for f in "blhk" for a in axes]
     out = out.select("image", "v_low", "v_high", *[a + "0" for a in axes], *["w" + a for a in axes], *["n" + a for a in axes], *fields, "data")
     columns = ["o" + a for a in axes] + ["w" + a for a in axes] + ["n" + a for a in axes] + ["b" + a for a in axes] + ["l" + a for a in axes] + ["h" + a for a in axes]
     schema = PIECE.format(", ".join(c + " bigint" for c in columns))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = schema_of(schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in batch.itertuples(index=False):
+            for c in records(batch):
                 get = lambda f: [int(getattr(c, f.format(a))) for a in axes]
                 origin, width, size, low, high, count = (get(f) for f in ("{}0", "w{}", "n{}", "l{}", "h{}", "k{}"))
-                array = np.asarray(c.data, dtype=np.float32).reshape(width[::-1])
+                array = c.data.reshape(width[::-1])
                 rows = []
-                for index in itertools.product(*[getattr(c, "b" + a) for a in axes]):
+                for index in itertools.product(*[getattr(c, "b" + a).tolist() for a in axes]):
                     start, end = _extent(index, low, high, block, halo)
                     a0 = [max(s, o) for s, o in zip(start, origin)]
                     a1 = [min(e, o + w - 1) for e, o, w in zip(end, origin, width)]
                     if any(x > y for x, y in zip(a0, a1)):
                         continue
                     part = array[tuple(slice(x - o, y - o + 1) for x, y, o in zip(a0, a1, origin))[::-1]]
-                    number = sum(int(i) * int(np.prod(count[:d])) for d, i in enumerate(index))
+                    number = sum(i * math.prod(count[:d]) for d, i in enumerate(index))
                     rows.append((c.image, number, c.v_low, c.v_high, *a0, *part.shape[::-1], *size, *index, *low, *high, part.ravel()))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["image", "block_id", "v_low", "v_high", *columns, "data"])
+                yield batch_of(rows, arrow)
 
-    return out.mapInPandas(cut, schema)
+    return out.mapInArrow(cut, schema)
 
 
 def _with_range(chunks: DataFrame, params: SpotParams) -> DataFrame:
@@ -103,35 +107,36 @@ def candidate_schema(axes) -> str:
 
 def block_candidates(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     """DoG peaks of every block, each with the raw pixels of its support region plus one."""
-    ndim, names = len(axes), ["image", "block_id", *axes, "dog", "span", *["n" + a for a in axes], "patch"]
+    ndim = len(axes)
     block, halo, reach = params.block(ndim), params.halo(ndim), params.support_radius + 1
 
-    def run(pieces: pd.DataFrame) -> pd.DataFrame:
-        first = pieces.iloc[0]
-        get = lambda f: [int(first[f + a]) for a in axes]
+    arrow = schema_of(candidate_schema(axes))
+
+    def run(table: pa.Table) -> pa.Table:
+        pieces = list(records(table))
+        first, rows = pieces[0], []
+        get = lambda f: [getattr(first, f + a) for a in axes]
         size, low, high = get("n"), get("l"), get("h")
         start, end = _extent(get("b"), low, high, block, halo)
-        raw, origin = _assemble(pieces, axes, start, end, size)
-        own = tuple(slice(s + r - o, e - r - o + 1) for s, e, r, o in zip(start, end, halo, origin))[::-1]
-        v_low, v_high = first["v_low"], first["v_high"]
-        if np.isnan(v_low):
+        raw = _assemble(pieces, axes, start, end, size)
+        own = tuple(slice(r, n - r) for r, n in zip(halo[::-1], raw.shape))
+        v_low, v_high = first.v_low, first.v_high
+        if v_low is None:
             v_low, v_high = float(raw[own].min()), float(raw[own].max())
-        if v_high <= v_low:
-            return pd.DataFrame(columns=names)
-        v = (raw - v_low) / (v_high - v_low)
-        response = _blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True))
-        rows = []
-        for at in _peaks(response[own], params.threshold):
-            inner = [int(i) + s.start for i, s in zip(at, own)]
-            box = tuple(slice(i - reach, i + reach + 1) for i in inner)
-            spot = [i + o for i, o in zip(inner[::-1], origin)]
-            rows.append((first["image"], first["block_id"], *spot, response[tuple(inner)], v_high - v_low, *size, raw[box].ravel()))
-        return pd.DataFrame(rows, columns=names)
+        if v_high > v_low:
+            v = (raw - v_low) / (v_high - v_low)
+            response = _blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True))
+            for at in _peaks(response[own], params.threshold):
+                inner = [int(i) + s.start for i, s in zip(at, own)]
+                box = tuple(slice(i - reach, i + reach + 1) for i in inner)
+                spot = [i + o for i, o in zip(inner[::-1], start)]
+                rows.append((first.image, first.block_id, *spot, response[tuple(inner)], v_high - v_low, *size, raw[box].ravel()))
+        return pa.Table.from_batches([batch_of(rows, arrow)])
 
     # A fixed partition number keeps small-in-bytes but slow blocks from being coalesced into few tasks.
     parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = block_pieces(chunks, axes, params).repartition(parts, "image", "block_id")
-    return pieces.groupBy("image", "block_id").applyInPandas(run, candidate_schema(axes))
+    return pieces.groupBy("image", "block_id").applyInArrow(run, candidate_schema(axes))
 
 
 def _assemble(pieces, axes, start, end, size):
@@ -139,12 +144,12 @@ def _assemble(pieces, axes, start, end, size):
     a0 = [max(s, 0) for s in start]
     a1 = [min(e, n - 1) for e, n in zip(end, size)]
     out = np.zeros([e - s + 1 for s, e in zip(a0, a1)][::-1])
-    for piece in pieces.itertuples(index=False):
+    for piece in pieces:
         o = [getattr(piece, "o" + a) - s for a, s in zip(axes, a0)]
         w = [getattr(piece, "w" + a) for a in axes]
-        out[tuple(slice(i, i + n) for i, n in zip(o, w))[::-1]] = np.asarray(piece.data).reshape(w[::-1])
+        out[tuple(slice(i, i + n) for i, n in zip(o, w))[::-1]] = piece.data.reshape(w[::-1])
     beyond = [(s0 - s, e - e0) for s, s0, e, e0 in zip(start, a0, end, a1)]
-    return np.pad(out, beyond[::-1], mode="reflect"), start
+    return np.pad(out, beyond[::-1], mode="reflect")
 
 
 def _blur(v, sigmas):
@@ -178,26 +183,27 @@ def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images."""
     ndim, r = len(axes), params.support_radius
     cube = np.stack(np.meshgrid(*[np.arange(-r, r + 1)] * ndim, indexing="ij"), axis=-1).reshape(-1, ndim)
-    names = ["image", "block_id", *["s" + a for a in axes], *axes, "intensity", "gradients", "inliers", "round"]
     schema = "image string, block_id bigint, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint".format(
         ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = schema_of(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for c in batch.itertuples(index=False):
+            for c in records(batch):
                 at = np.array([getattr(c, a) for a in axes])
                 size = np.array([getattr(c, "n" + a) for a in axes])
-                patch = np.asarray(c.patch).reshape((2 * r + 3,) * ndim).T
+                patch = c.patch.reshape((2 * r + 3,) * ndim).T
                 member = np.all((at + cube >= 0) & (at + cube < size), axis=1)
                 p = cube[member]
                 g = _patch_gradients(patch, p + r + 1, axes, params.anisotropy) / c.span
                 g = subtract(p, g, r, params)
                 for centre, n, inliers, k in localize.centres(c.image, at, p.astype(float), g, axes, params):
                     rows.append((c.image, c.block_id, *at, *(at + centre), _interpolate(patch, centre + r + 1), n, inliers, k))
-            yield pd.DataFrame(rows, columns=names)
+            yield batch_of(rows, arrow)
 
-    spots = block_candidates(chunks, axes, params).mapInPandas(run, schema)
+    spots = block_candidates(chunks, axes, params).mapInArrow(run, schema)
     if params.ransac == MULTICONSENSUS:
         spots = localize.drop_weak_counts(spots, params)
     return intensity.intensity_threshold(spots, params.intensity_threshold)

@@ -14,9 +14,10 @@ from functools import reduce
 from hashlib import md5
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from punctum.functions.arrow import batch_of, records, schema_of
 from punctum.functions.numeric import SINGULAR, SLACK, ZERO_NORM, solve, total
 from punctum.operators.support import spot_key
 from punctum.params import MULTICONSENSUS, NO_RANSAC, SpotParams
@@ -67,25 +68,23 @@ def result_schema(axes) -> str:
 def fit_rows(spots: DataFrame, axes, params: SpotParams) -> DataFrame:
     """Localize spot rows (``regions_as_rows``) with the method the settings name."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = schema_of(result_schema(axes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for spot in batch.itertuples(index=False):
+            for spot in records(batch):
                 p = np.column_stack([getattr(spot, "d" + a) for a in axes])
                 g = np.column_stack([getattr(spot, "g" + a) for a in axes])
                 at = [getattr(spot, "s" + a) for a in axes]
                 for centre, n, inliers, k in centres(spot.image, at, p, g, axes, params):
                     rows.append((spot.image, *at, *(np.array(at) + centre), n, inliers, k))
-            yield pd.DataFrame(rows, columns=_names(axes))
+            yield batch_of(rows, schema)
 
-    fitted = spots.mapInPandas(run, result_schema(axes))
+    fitted = spots.mapInArrow(run, result_schema(axes))
     return drop_weak_counts(fitted, params) if params.ransac == MULTICONSENSUS else fitted
 
 
-def _names(axes):
-    return ["image", *["s" + a for a in axes], *axes, "gradients", "inliers", "round"]
-
-
 def centres(image, at, p, g, axes, params: SpotParams):
     """Yield (centre offset, gradients, inliers, round) for one candidate's gradients, ordered by position."""
     stretch = np.array(scale(axes, params.anisotropy))

@@ -49,18 +49,19 @@ def chunk_table(cells: DataFrame, axes, dims, chunk, images: DataFrame | None =
     number = geo.linear_id([f"floor({a} / {c})" for a, c in zip(axes, chunk)], [f"{n}L" for n in counts])
     # Where a chunk lies follows from its number alone.
     strides = [math.prod(counts[:d]) for d in range(len(axes))]
-    origin = [f"CAST(pmod(floor(chunk_id / {s}), {n}) * {c} AS BIGINT)" for s, n, c in zip(strides, counts, chunk)]
-    width = [f"CAST(least({c}, {n} - {o}) AS INT)" for c, n, o in zip(chunk, dims, origin)]
-    offset = geo.linear_id([f"({a} - {o})" for a, o in zip(axes, origin)], width)
+    origin = lambda i: [f"CAST(pmod({i} div {s}, {n}) * {c} AS BIGINT)" for s, n, c in zip(strides, counts, chunk)]
+    width = lambda i: [f"CAST(least({c}, {n} - {o}) AS INT)" for c, n, o in zip(chunk, dims, origin(i))]
+    offset = geo.linear_id([f"({a} - {o})" for a, o in zip(axes, origin('chunk_id'))], width('chunk_id'))
     entries = cells.selectExpr("image", f"{number} AS chunk_id", *axes, "v").selectExpr(
         "image", "chunk_id", f"struct(CAST({offset} AS INT) AS o, CAST(v AS FLOAT) AS v) AS e")
-    packed = entries.groupBy("image", "chunk_id").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    packed = entries.groupBy("image", "chunk_id").agg(F.sort_array(F.collect_list("e")).alias("e"), F.max("chunk_id").alias("i"))
+    # From here a chunk's place is an aggregate's result: filters on it run once per chunk, not once per cell.
     if images is not None:
         every = images.selectExpr("image", f"explode(sequence(0L, {math.prod(counts) - 1}L)) AS chunk_id")
-        packed = every.join(packed, ["image", "chunk_id"], "left")
+        packed = every.join(packed.drop("i"), ["image", "chunk_id"], "left").withColumn("i", F.col("chunk_id"))
     return packed.selectExpr(
-        "image", "chunk_id", *[f"{o} AS {a}0" for a, o in zip(axes, origin)], *[f"{w} AS w{a}" for a, w in zip(axes, width)],
-        *[f"{n}L AS n{a}" for a, n in zip(axes, dims)], f"{_dense('e', ' * '.join(width))} AS data")
+        "image", "chunk_id", *[f"{o} AS {a}0" for a, o in zip(axes, origin("i"))], *[f"{w} AS w{a}" for a, w in zip(axes, width("i"))],
+        *[f"{n}L AS n{a}" for a, n in zip(axes, dims)], f"{_dense('e', ' * '.join(width('i')))} AS data")
 
 
 def _dense(entries: str, n: str) -> str:
