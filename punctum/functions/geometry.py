@@ -56,12 +56,18 @@ def mirror(i: str, n: str) -> str:
 
 
 def mirror_images(p: str, n: str, reach: int) -> str:
-    """Array of all positions in ``-reach..n-1+reach`` that mirror back to pixel ``p``."""
+    """Array of all positions in ``-reach..n-1+reach`` that mirror back to pixel ``p``; may hold nulls.
+
+    Only a reach of a whole image or more needs the general form; the others stay in generated code.
+    """
     period = f"(2 * ({n} - 1))"
     turns = f"(ceil({reach} / greatest({period}, 1L)) + 1)"
     copies = f"flatten(transform(sequence(-{turns}, {turns}), t -> array({p} + {period} * t, {period} * t - {p})))"
+    left = f"CASE WHEN {p} BETWEEN 1 AND {reach} THEN -{p} END"
+    right = f"CASE WHEN {p} BETWEEN {n} - 1 - {reach} AND {n} - 2 THEN {period} - {p} END"
     return (
         f"CASE WHEN {p} > {reach} AND {p} < {n} - 1 - {reach} THEN array({p}) "
+        f"WHEN {reach} < {n} THEN array({p}, {left}, {right}) "
         f"WHEN {n} = 1 THEN sequence({-reach}L, {reach}L) "
         f"ELSE array_distinct(filter({copies}, q -> q BETWEEN {-reach} AND {n} - 1 + {reach})) END"
     )

@@ -69,7 +69,7 @@ def _explode_axis(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int,
     """One row per position that pixel ``a`` stands for and block ``b<a>`` that reads that position."""
     if mirrored > 0:
         others = [c for c in df.columns if c != a]
-        df = df.selectExpr(*others, f"explode({geo.mirror_images(a, 'n' + a, mirrored)}) AS {a}")
+        df = df.selectExpr(*others, f"explode({geo.mirror_images(a, 'n' + a, mirrored)}) AS {a}").filter(f"{a} IS NOT NULL")
     return df.selectExpr("*", f"explode({geo.blocks_reading(a, a, lo, hi, size, halo)}) AS b{a}")
 
 
