@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -16,6 +20,7 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "12g") ->
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -42,3 +47,27 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is reused or overwritten."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; local workers import it from the driver's path too."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parent
+    name = f"{root.name}-{context.applicationId}.zip"
+    if any(str(f).endswith(name) for f in context._jsc.sc().listFiles().mkString("\n").split("\n")):
+        return
+    folder = tempfile.mkdtemp(prefix="ship-")
+    with zipfile.ZipFile(f"{folder}/{name}", "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, str(path.relative_to(root.parent)))
+    context.addPyFile(f"{folder}/{name}")
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, run after ``ship``."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        ship(spark)
+        return query(spark, *rest)
+
+    return run
