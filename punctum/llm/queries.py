@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.llm import fmindex, simhash, substrings
+from punctum.llm import bilinear, bitslice, fmindex, langid, mixing, pii, quality, simhash, substrings, wordpiece
 from punctum.llm.common import table
 
 
@@ -25,6 +25,39 @@ def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(names.cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op3_pii_spans(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: ~s["added"])
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classified(table(spark, sf, "documents"), table(spark, sf, "labels"), held_out=0)
+
+
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identified(table(spark, sf, "documents"), held_out=0)
+
+
+def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings")
+    return bitslice.top_inner_products(rows, rows.filter("vec_id % 50 = 0"), k=5, vector="embedding", scale=256)
+
+
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf, "documents"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return bilinear.scored(table(spark, sf, "documents"), held_out=1)
+
+
+def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf, "documents"), weights=(1, 2, 3), cap=3.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf, "documents"), window=20, period=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -70,5 +103,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+OP6 = """
+WITH e AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2, "op10_substring_dedup": OP10}
+    return {"op2_benchmark_decontamination": OP2, "op6_exact_top_k": OP6, "op10_substring_dedup": OP10}
