@@ -34,7 +34,7 @@ def targets(units: DataFrame, weights: tuple[int, ...], cap: float) -> DataFrame
     size, what is above goes to the others by weight until none is above. The level of words per weight
     is found over the table of sources, one sum per round.
     """
-    sizes = units.groupBy("source_key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("units"))
+    sizes = units.groupBy("source_key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("units"), F.sum("n").alias("rows"))
     ranked = numbered(stored(sizes, "sources"), "source_key")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rn") % len(weights) + 1).cast("int"))
     sources = stored(ranked.withColumn("weight", weight), "sources")
@@ -51,7 +51,7 @@ def targets(units: DataFrame, weights: tuple[int, ...], cap: float) -> DataFrame
     target = F.least(F.col("weight") * F.lit(float(level)), most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = sources.withColumn("target", target).withColumn("ratio", ratio)
-    return sources.select("source_key", "source_size", "units", "target", F.floor("ratio").cast("long").alias("base"), (F.col("ratio") - F.floor("ratio")).alias("part"))
+    return sources.select("source_key", "source_size", "units", "rows", "target", F.floor("ratio").cast("long").alias("base"), (F.col("ratio") - F.floor("ratio")).alias("part"))
 
 
 def _fold() -> str:
@@ -80,13 +80,14 @@ def _fold() -> str:
     return f"aggregate(slice(us, 2, size(us)), {first}, (s, x) -> {step})"
 
 
-def rounded(parts: DataFrame, fan: int) -> DataFrame:
-    """``source_key, doc_id, text_key, size, n, extra``: each unit of ``parts`` rounded to 0 or 1.
+def rounded(parts: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
+    """``source_key, doc_id, text_key, size, n, extra``: each unit of ``parts`` rounded to 0 or 1; and per source the words still ``owed``.
 
     A tree: units of a source meet in chunks of about ``fan`` by hash, each chunk is folded to the units that
     are done and one residual, and the residuals meet in the next level. No chunk grows with its source.
-    The last residual of a source takes the nearer of 0 and 1, at most half a document off.
+    The last residual of a source takes the nearer of 0 and 1, so at most half of it is owed.
     """
+    parts = stored(parts, "parts")
     most = parts.agg(F.max("units")).first()[0] or 0
     finished, level, chunks = [], 0, most
     while most:
@@ -105,12 +106,15 @@ def rounded(parts: DataFrame, fan: int) -> DataFrame:
     result = parts.select("source_key", "doc_id", "text_key", "size", "n", extra.cast("int").alias("extra"))
     for rows in finished:
         result = result.union(rows)
-    return result
+    return result, parts.select("source_key", (F.col("mass") - extra * F.col("size")).alias("owed"))
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, fan: int = 64) -> DataFrame:
     """Per unit: ``doc_id, text_key, source_key, size, n, source_size, target, base, more, extra``.
 
+    Documents above the mean size of their source are rounded first, the others afterwards with what the first are
+    off, so that a source ends within about half of a small document of its target.
+
     The first ``more`` of the ``n`` equal rows take ``base + 1`` copies, the next ``base + extra``, the rest ``base``.
     """
     units = stored(units_of(docs), "units")
@@ -119,10 +123,28 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3
     whole = F.floor(F.col("n") * F.col("part"))
     shared = shared.withColumn("more", whole.cast("long")).withColumn("mass", (F.col("n") * F.col("part") - whole) * F.col("size"))
     open_ = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
-    extras = rounded(shared.filter(open_).select("source_key", "units", "doc_id", "text_key", "size", "n", "mass"), fan)
-    still = shared.filter(~open_).select("source_key", "doc_id", "text_key", "size", "n", F.lit(0).alias("extra"))
-    every = extras.unionByName(still).join(per_source, "source_key")
-    return every.withColumn("more", F.floor(F.col("n") * F.col("part")).cast("long")).drop("part", "units")
+    large = F.col("size") * F.col("rows") > F.col("source_size")
+    columns = ["source_key", "units", "doc_id", "text_key", "size", "n", "mass"]
+    first, owed = rounded(shared.filter(open_ & large).select(columns), fan)
+    small = _moved(shared.filter(open_ & ~large).select(columns), stored(owed, "owed"))
+    still = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
+    second, _ = rounded(small.filter(still), fan)
+    whole = small.filter(~still).select("source_key", "doc_id", "text_key", "size", "n", (F.col("mass") > 0).cast("int").alias("extra"))
+    rest = shared.filter(~open_).select("source_key", "doc_id", "text_key", "size", "n", F.lit(0).alias("extra"))
+    every = first.union(second).union(whole).union(rest).join(per_source, "source_key")
+    return every.withColumn("more", F.floor(F.col("n") * F.col("part")).cast("long")).drop("part", "units", "rows")
+
+
+def _moved(parts: DataFrame, owed: DataFrame) -> DataFrame:
+    """``parts`` with the words owed to their source spread over them: up in proportion to what is free, down
+    in proportion to what is there, as far as they reach."""
+    room = parts.groupBy("source_key").agg(F.sum(F.col("size") - F.col("mass")).alias("free"), F.sum("mass").alias("held"))
+    share = room.join(owed, "source_key").select("source_key", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("owed") / F.when(F.col("owed") > 0, F.col("free")).otherwise(F.col("held")))).alias("share"))
+    share_ = F.coalesce("share", F.lit(0.0))
+    moved = F.col("mass") + share_ * F.when(share_ > 0, F.col("size") - F.col("mass")).otherwise(F.col("mass"))
+    # a share of 1 or -1 must give a whole document exactly
+    moved = F.when(share_ >= 1, F.col("size").cast("double")).when(share_ <= -1, 0.0).otherwise(moved)
+    return stored(parts.join(share, "source_key", "left").withColumn("mass", moved).drop("share"), "small")
 
 
 def _times(index) -> F.Column:
