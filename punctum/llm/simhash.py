@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from punctum.llm.components import components
 BITS = 64
 SEED = 42
 SLICE = 1 << 15
+#: How far below the wanted similarity the estimate of a pair may lie for its shingles to be compared.
+SLACK = 0.1
 
 
 def fingerprint(text: bytes, words: int, digest=xxhash.xxh64_digest) -> int:
@@ -87,7 +90,7 @@ class Ring:
 
 
 def links(nodes: DataFrame, max_bits: int = 2, bucket: int = 64) -> DataFrame:
-    """Links ``a, b`` between distinct values of ``nodes.fingerprint`` that join all within ``max_bits``.
+    """Links ``which, a, b`` between the distinct values of ``fingerprint`` of each ``which`` that join all within ``max_bits``.
 
     By the strong pigeonring principle, two fingerprints that differ in at most t of 64 bits have a
     segment on a ring of 2t+1 from which every chain of n segments differs in at most n*t/(2t+1) bits.
@@ -101,18 +104,20 @@ def links(nodes: DataFrame, max_bits: int = 2, bucket: int = 64) -> DataFrame:
     """
     ring = Ring(max_bits)
     masks = F.array(*[F.lit(ring.mask(i, ring.exact)).cast("long") for i in range(ring.segments)])
-    keyed = nodes.select("fingerprint", F.posexplode(masks).alias("start", "mask"))
-    keyed = keyed.select("fingerprint", "start", F.expr("fingerprint & mask").alias("key"))
-    shared = keyed.groupBy("start", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stored(keyed.join(shared, ["start", "key"]), "keys")
+    keyed = nodes.select("which", "fingerprint", F.posexplode(masks).alias("start", "mask"))
+    keyed = keyed.select("which", "fingerprint", "start", F.expr("fingerprint & mask").alias("key"))
+    place = ["which", "start", "key"]
+    shared = keyed.groupBy(place).agg(F.count("*").alias("n")).filter("n > 1")
+    met = stored(keyed.join(shared, place), "keys")
     few = met.filter(F.col("n") <= bucket).drop("n")
-    a, b = few.select("start", "key", F.col("fingerprint").alias("a")), few.select("start", "key", F.col("fingerprint").alias("b"))
-    near = a.join(b, ["start", "key"]).filter("a < b").filter(F.expr(f"start = {ring.first('a ^ b')}")).select("a", "b")
+    a, b = few.select(*place, F.col("fingerprint").alias("a")), few.select(*place, F.col("fingerprint").alias("b"))
+    near = a.join(b, place).filter("a < b").filter(F.expr(f"start = {ring.first('a ^ b')}")).select("which", "a", "b")
     many = met.filter(F.col("n") > bucket)
     flips = F.element_at(F.array(*[F.array(*[F.lit(v).cast("long") for v in ring.flips(i)]) for i in range(ring.segments)]), F.col("start") + 1)
-    points = many.select("start", F.col("fingerprint").alias("b"), F.explode(flips).alias("flip")).selectExpr("start", "b", "b ^ flip AS point")
-    least = points.groupBy("start", "point").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    stars = points.join(least, ["start", "point"]).filter("a <> b").select("a", "b").distinct()
+    points = many.select("which", "start", F.col("fingerprint").alias("b"), F.explode(flips).alias("flip")).selectExpr("which", "start", "b", "b ^ flip AS point")
+    place = ["which", "start", "point"]
+    least = points.groupBy(place).agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    stars = points.join(least, place).filter("a <> b").select("which", "a", "b").distinct()
     return near.union(stars)
 
 
@@ -126,16 +131,128 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket:
     """
     prints = stored(fingerprints(docs, words), "fingerprints")
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fingerprint"), max_bits, bucket))
+    roots = components(links(nodes.select(F.lit(0).alias("which"), "fingerprint"), max_bits, bucket))
     joined = nodes.join(roots, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     classes = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     member = stored(joined.join(classes, "root").select("fingerprint", "component_id"), "classes")
     return prints.join(member, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")
 
 
-def representatives(classes: DataFrame) -> DataFrame:
-    """``doc_id, text_key`` of the row that stays of each class: the smallest id, then the smallest text key;
-    a row without an id stays only where no other row of its class has one."""
-    whole = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("text_key").alias("k"))
-    least = classes.groupBy(F.coalesce("component_id", F.lit(NO_ID)), F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(F.min(whole).alias("m"))
-    return least.select(F.col("m.i").alias("doc_id"), F.col("m.k").alias("text_key"))
+def _spread(hashes: np.ndarray, count: int) -> np.ndarray:
+    """``count`` further 64-bit hashes of each hash, as bytes, most significant first."""
+    out = np.empty((len(hashes), count), np.uint64)
+    for n in range(count):
+        h = hashes + np.uint64((0x9E3779B97F4A7C15 * (n + 1)) % (1 << BITS))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out[:, n] = h ^ (h >> np.uint64(31))
+    return out.astype(">u8").view(np.uint8)
+
+
+def _majority(hashes: np.ndarray, count: int) -> np.ndarray:
+    """``count`` SimHash words over all hashes."""
+    votes = np.zeros(BITS * count, np.int64)
+    for at in range(0, len(hashes), SLICE // 4):
+        votes += np.unpackbits(_spread(hashes[at : at + SLICE // 4], count), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > len(hashes)).view(">i8").astype(np.int64)
+
+
+def sketch(text: bytes, words: int, prints: int, known: dict[bytes, int], digest=xxhash.xxh64_intdigest) -> tuple[int, np.ndarray, np.ndarray]:
+    """Key of the word sequence, ``prints`` fingerprints of its words, and a code of as many words of its shingles."""
+    tokens = text.lower().split()
+    joined = b" ".join(tokens)
+    key = int.from_bytes(sha256(joined).digest()[:8], "big", signed=True)
+    if not tokens:
+        return key, np.zeros(prints, np.int64), np.zeros(prints, np.int64)
+    for token in set(tokens).difference(known):
+        known[token] = digest(token, SEED)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    k = min(words, len(tokens))
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(tokens) - k + 1].tolist()
+    shingles = np.frombuffer(b"".join([xxhash.xxh64_digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist())]), ">u8").astype(np.uint64)
+    return key, _majority(np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens)), prints), _majority(shingles, prints)
+
+
+def sketches(docs: DataFrame, words: int, prints: int) -> DataFrame:
+    """``doc_id, text_key, node, prints, code`` for every row; a null id is ``NO_ID``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            known: dict[bytes, int] = {}
+            keys, heads, codes = zip(*[sketch(t, words, prints, known) for t in raw(batch.column("text"))])
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.int64()), pa.array(heads, longs), pa.array(codes, longs)], ["doc_id", "text_key", "node", "prints", "code"])
+
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, node long, prints array<long>, code array<long>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node, shingles``: the distinct hashed shingles of the texts of ``wanted (node, doc_id, text_key)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_digest
+        for batch in chunks(batches):
+            sets = []
+            for text in raw(batch.column("text")):
+                tokens = text.lower().split()
+                k = min(words, len(tokens))
+                hashes = b"".join([digest(b" ".join(tokens[i : i + k]), SEED) for i in range(len(tokens) - k + 1)]) if k else b""
+                sets.append(np.unique(np.frombuffer(hashes, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
+    met = rows.join(wanted, ["doc_id", "text_key"]).select("node", "text")
+    return met.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, prints: int = 8, max_bits: int = 2, bucket: int = 64) -> DataFrame:
+    """``doc_id, text_key, stays``, one row for each row of ``docs``: groups of texts that agree in ``similarity``
+    of their ``words``-word shingles, and the one row of each group that stays (smallest id, null ids last, then
+    smallest text key; of wholly equal rows all are marked).
+
+    64 bits of shingles are too few to find similarity 0.8 by a small distance: there about one bit in seven differs.
+    So candidates share words: a text has ``prints`` independent fingerprints of its words, and two texts are
+    candidates if one of these is within ``max_bits``, by the same pigeonring links. The full Hamming check
+    is on a code of ``64 * prints`` bits of their shingles: at most the share of differing bits, angle / pi, that shingle
+    sets of a similarity lower by ``SLACK`` have. The shingles of the few texts left decide exactly. Texts of equal
+    words are one node; texts of an equal fingerprint meet at their smallest, so a group of thousands
+    of copies gives one candidate pair a text.
+    """
+    lower = max(0.0, similarity - SLACK)
+    most = int(BITS * prints * np.arccos(2 * lower / (1 + lower)) / np.pi)
+    rows = stored(sketches(docs, words, prints), "sketches")
+    whole = F.min(F.struct("doc_id", "text_key")).alias("least")
+    nodes = stored(rows.groupBy("node").agg(whole, F.first("prints").alias("prints"), F.first("code").alias("code")), "nodes")
+    values = nodes.select("node", F.posexplode("prints").alias("which", "fingerprint"))
+    centres = stored(values.groupBy("which", "fingerprint").agg(F.min("node").alias("centre"), F.count("*").alias("n")), "centres")
+    met = values.join(centres.filter("n > 1"), ["which", "fingerprint"]).filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    near = links(centres.select("which", "fingerprint"), max_bits, bucket)
+    centre = lambda c: centres.select("which", F.col("fingerprint").alias(c), F.col("centre").alias(f"centre_{c}"))
+    near = near.join(centre("a"), ["which", "a"]).join(centre("b"), ["which", "b"]).select(F.col("centre_a").alias("a"), F.col("centre_b").alias("b"))
+    pairs = stored(met.union(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "pairs")
+    code = lambda c: nodes.select(F.col("node").alias(c), F.col("code").alias(f"code_{c}"))
+    off = " + ".join(f"bit_count(code_a[{n}] ^ code_b[{n}])" for n in range(prints))
+    close = stored(pairs.join(code("a"), "a").join(code("b"), "b").filter(F.expr(f"{off} <= {most}")).select("a", "b"), "close")
+    wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct().join(nodes.select("node", "least.*"), "node")
+    sets = stored(shingle_sets(docs, stored(wanted, "wanted"), words), "shingles")
+    of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+    both = close.join(of("a"), "a").join(of("b"), "b")
+    common, every = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
+    roots = components(both.filter(common * (1 + similarity) >= every * similarity - 1e-9).select("a", "b"))
+    grouped = nodes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    first = grouped.groupBy("root").agg(F.min("least").alias("first"))
+    stays = stored(grouped.join(first, "root").filter("least = first").select("node", "first"), "stays")
+    found = rows.select("doc_id", "text_key", "node").join(stays, "node", "left")
+    here = F.coalesce(F.struct("doc_id", "text_key") == F.col("first"), F.lit(False))
+    return found.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "text_key", here.alias("stays"))
+
+
+def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of near copies, with all its columns."""
+    stays = near_copies(docs, words, similarity).filter("stays").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    stays = stored(stays.select(*[F.col(c).alias(f"near_{c}") for c in stays.columns]), "kept")
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("near_kept_id")) & (F.xxhash64("d.text") == F.col("near_kept_key"))
+    met = docs.alias("d").join(stays, on)
+    one = met.dropDuplicates(["near_kept_id", "near_kept_key"])
+    return one.select(*[F.col(f"d.`{c}`") for c in docs.columns])
