@@ -1,112 +1,170 @@
 """Comparison of two spot tables ``id, x, y[, z]``: nearest neighbours and unmatched spots.
 
-Exact for any distance and any clustering, without a cross join. Points of the searched set are
-summarized in a pyramid of grid cells (edge ``base * 4^level``): tight bounding box and one member
-per cell. A query point first takes the distance to the members of its own cells as an upper
-bound, then starts at the level whose 3^n cells cover that bound and descends, keeping only
-cells whose box is within the bound. ``base`` is halved until the fullest cell holds few
-distinct positions, so dense clusters never meet as all pairs; identical positions count once.
+Exact for any distance and any clustering, without a cross join. Points lie in grid cells of a few points;
+only cells that are too full are cut further, by 4 along each axis, until every leaf is small.
+Most queries are settled by one join with the 3^n cells around them. The others start from a bound,
+the distance to one member of each cell they lie in, and descend a tree of cells with tight
+boxes, keeping the cells whose box is within the bound. Identical positions count once.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctum.functions.numeric import total
-from punctum.session import scratch_root
+from punctum.session import written
 
-RATIO = 4
+SHIFT = 2  # a cell has 4 children along each axis
 FULL = 64
+TYPICAL = 8
+DEEPEST = 20
 
 
-def _distance(axes, a: str, b: str) -> Column:
-    return F.sqrt(total([(F.col(a + x) - F.col(b + x)) * (F.col(a + x) - F.col(b + x)) for x in axes]))
+@dataclass(frozen=True)
+class Grid:
+    """Integer coordinates at the finest level; a cell of level l >= -depth is these shifted right."""
 
+    axes: tuple[str, ...]
+    origin: dict[str, float]
+    edge: float
+    depth: int
+    top: int
 
-def _cell(axes, origin, size: float, prefix: str = "") -> list[Column]:
-    return [F.floor((F.col(prefix + a) - F.lit(origin[a])) / F.lit(size)).alias("c" + a) for a in axes]
+    def fine(self, prefix: str = "") -> list[Column]:
+        step = self.edge / 4.0**self.depth
+        return [F.floor((F.col(prefix + a) - F.lit(self.origin[a])) / F.lit(step)).cast("bigint").alias("f" + a) for a in self.axes]
 
+    def cell(self, level: int | Column) -> list[Column]:
+        if isinstance(level, int):
+            return [F.shiftright("f" + a, SHIFT * (level + self.depth)).alias("c" + a) for a in self.axes]
+        return [F.call_function("shiftright", F.col("f" + a), (level + self.depth) * SHIFT).alias("c" + a) for a in self.axes]
 
-def _frame(points: DataFrame, queries: DataFrame, axes):
-    """Origin, extent and starting cell edge; one row read on the driver."""
-    stats = points.agg(F.count("*").alias("n"), *[f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]).first()
-    if stats["n"] == 0:
-        return None
-    reach = queries.agg(*[f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]).first()
-    if reach["min" + axes[0]] is None:
+    def size(self, level: int) -> float:
+        return self.edge * 4.0**level
+
+
+def _distance(axes, a: str, b: str) -> Column:
+    return F.sqrt(total([(F.col(a + x) - F.col(b + x)) * (F.col(a + x) - F.col(b + x)) for x in axes]))
+
+
+def _grid(points: DataFrame, queries: DataFrame, axes) -> Grid | None:
+    """From one row of extents, read on the driver."""
+    span = [f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]
+    stats, reach = points.agg(F.count("*").alias("n"), *span).first(), queries.agg(*span).first()
+    if not stats["n"] or any(reach["min" + a] is None for a in axes):
         return None
-    origin = {a: min(stats["min" + a], reach["min" + a]) for a in axes}
+    origin = {a: float(min(stats["min" + a], reach["min" + a])) for a in axes}
     extent = max(max(stats["max" + a], reach["max" + a]) - origin[a] for a in axes) or 1.0
     edges = [max(stats["max" + a] - stats["min" + a], 1e-12 * extent) for a in axes]
-    base = (math.prod(edges) / stats["n"]) ** (1 / len(axes))
-    return origin, extent, min(base, extent)
+    edge = min(extent, max((math.prod(edges) * TYPICAL / stats["n"]) ** (1 / len(axes)), extent * 1e-9))
+    top = max(0, math.ceil(math.log(extent * 1.001 / edge, 4)))
+    depth = max(0, min(DEEPEST, int(math.log(2.0**60 * edge / extent, 4))))
+    return Grid(tuple(axes), origin, edge, depth, top)
+
+
+def _leaves(places: DataFrame, grid: Grid) -> tuple[DataFrame, int]:
+    """``places`` with their leaf ``level, cx, cy[, cz]``, and the number of levels below 0 that are used.
+
+    Only places of too full cells are counted at the finer levels, all levels in one pass.
+    """
+    cell, key = ["c" + a for a in grid.axes], ["f" + a for a in grid.axes]
+    full = written(places.select(*grid.cell(0)).groupBy(*cell).count().filter(F.col("count") > FULL).drop("count"), "full")
+    whole = places.select("*", F.lit(0).alias("level"), *grid.cell(0))
+    if not grid.depth or full.isEmpty():
+        return whole, 0
+    crowded = whole.join(full, cell, "left_semi").drop("level", *cell)
+    fine = crowded.withColumn("level", F.explode(F.sequence(F.lit(-1), F.lit(-grid.depth)))).select("*", *grid.cell(F.col("level")))
+    counts = fine.groupBy("level", *cell).agg(F.count("*").alias("n"))
+    small = fine.join(counts, ["level", *cell]).filter((F.col("n") <= FULL) | (F.col("level") == -grid.depth))
+    first = small.groupBy(*grid.axes).agg(F.max("level").alias("level"))
+    deep = crowded.join(first, list(grid.axes)).select(*places.columns, "level")
+    leaves = whole.join(full, cell, "left_anti").unionByName(deep.select("*", *grid.cell(F.col("level"))))
+    leaves = written(leaves, "leaves")
+    return leaves, -(leaves.agg(F.min("level")).first()[0] or 0)
+
+
+def _nodes(leaves: DataFrame, grid: Grid) -> DataFrame:
+    """Every cell of the tree with its box, one member, and whether it is a leaf."""
+    cell = ["c" + a for a in grid.axes]
+    box = [f(a).alias(f.__name__ + a) for a in grid.axes for f in (F.min, F.max)]
+    lowest = leaves.groupBy("level", *cell).agg(*box, F.min(F.struct(*grid.axes)).alias("member"), *[F.min("f" + a).alias("f" + a) for a in grid.axes])
+    up = lowest.drop(*cell).withColumn("own", F.col("level")).withColumn("level", F.explode(F.sequence("own", F.lit(grid.top))))
+    widen = [f(F.col(f.__name__ + a)).alias(f.__name__ + a) for a in grid.axes for f in (F.min, F.max)]
+    return up.select("*", *grid.cell(F.col("level"))).groupBy("level", *cell).agg(*widen, F.min("member").alias("member"), F.max(F.col("own") == F.col("level")).alias("leaf"))
+
+
+def _around(rows: DataFrame, cell: list[str]) -> DataFrame:
+    for c in cell:
+        rows = rows.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
+    return rows
 
 
 def nearest(queries: DataFrame, points: DataFrame, axes) -> DataFrame:
-    """``id, match_id, distance``: nearest point of each query; ties go to the smallest id."""
-    spark = queries.sparkSession
-    scratch_root(spark)
-    places = points.groupBy(*axes).agg(F.min("id").alias("match_id"))
-    frame = _frame(places, queries, axes)
-    if frame is None:
+    """``id, match_id, distance``: nearest point of each query; ties go to the smallest id.
+
+    A query with a null coordinate, and every query if there are no points, has no match.
+    """
+    axes = list(axes)
+    known = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in axes])
+    points = points.filter(known)
+    grid = _grid(points, queries, axes)
+    if grid is None:
         return queries.select("id", F.lit(None).cast("bigint").alias("match_id"), F.lit(None).cast("double").alias("distance"))
-    origin, extent, base = frame
-    cell = ["c" + a for a in axes]
-    while base > extent * 1e-9:
-        fullest = places.groupBy(*_cell(axes, origin, base)).count().agg(F.max("count")).first()[0]
-        if fullest <= FULL:
-            break
-        base /= 2
-    top = max(1, math.ceil(math.log(extent * 1.001 / base, RATIO)))
-    while base * RATIO ** top <= extent:
-        top += 1
-    sizes = [base * RATIO ** l for l in range(top + 1)]
-
-    box = [f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]
-    summary = places.groupBy(*_cell(axes, origin, base)).agg(*box, F.min(F.struct(*axes)).alias("member"))
-    levels = [summary]
-    for _ in range(top):
-        parent = [F.floor(F.col(c) / F.lit(RATIO)).alias(c) for c in cell]
-        widen = [f(F.col(f.__name__ + a)).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]
-        levels.append(levels[-1].groupBy(*parent).agg(*widen, F.min("member").alias("member")))
-
-    wanted = queries.select(*axes).distinct().select(*[F.col(a).alias("q" + a) for a in axes])
-    here = ["q" + a for a in axes]
-    pyramid = reduce(DataFrame.unionByName, [t.select(F.lit(l).alias("level"), *cell, "member") for l, t in enumerate(levels)])
-    base_cell = _cell(axes, origin, base, "q")
-    at_levels = wanted.select(*here, *base_cell).select(
-        *here, F.inline(F.array(*[F.struct(F.lit(l).alias("level"), *[F.floor(F.col(c) / F.lit(RATIO ** l)).alias(c) for c in cell]) for l in range(top + 1)]))
-    )
+    here, cell = ["q" + a for a in axes], ["c" + a for a in axes]
+    places = written(points.groupBy(*axes).agg(F.min("id").alias("match_id")).select("*", *grid.fine()), "places")
+    leaves, below = _leaves(places, grid)
+    wanted = queries.filter(known).select(*axes).distinct().select(*[F.col(a).alias("q" + a) for a in axes])
+    wanted = wanted.select("*", *grid.fine("q"))
+    pairs = _around(wanted.select("*", *grid.cell(0)), cell).join(leaves.filter("level = 0").drop("level", *["f" + a for a in axes]), cell)
+    best = F.min(F.struct(_distance(axes, "q", "").alias("distance"), "match_id")).alias("best")
+    tried = wanted.join(pairs.groupBy(*here).agg(best), here, "left")
+    if below:
+        split = leaves.filter("level < 0").select(*grid.cell(0)).distinct()
+        touched = _around(wanted.select(*here, *grid.cell(0)), cell).join(split, cell, "left_semi").select(*here).distinct().withColumn("deep", F.lit(True))
+        tried = tried.join(touched, here, "left")
+    # The 3^n cells hold everything within one cell edge of the query.
+    settled = F.coalesce(F.col("best.distance") <= grid.size(0), F.lit(False)) & (F.col("deep").isNull() if below else F.lit(True))
+    tried = written(tried.withColumn("settled", settled), "tried")
+    found = tried.filter("settled").select(*here, "best")
+    rest = tried.filter("NOT settled").select(*here, *["f" + a for a in axes])
+    if not rest.isEmpty():
+        found = found.unionByName(_descend(rest, leaves, grid, below))
+    found = found.select(*[F.col(q).alias(a) for q, a in zip(here, axes)], "best.match_id", "best.distance")
+    return queries.select("id", *axes).join(found, axes, "left").select("id", "match_id", "distance")
+
+
+def _descend(rest: DataFrame, leaves: DataFrame, grid: Grid, below: int) -> DataFrame:
+    """``best`` for each query position of ``rest``."""
+    axes, cell, here = grid.axes, ["c" + a for a in grid.axes], ["q" + a for a in grid.axes]
+    nodes = written(_nodes(leaves, grid), "cells")
+    levels = rest.withColumn("level", F.explode(F.sequence(F.lit(-below), F.lit(grid.top)))).select("*", *grid.cell(F.col("level")))
     to_member = F.sqrt(total([(F.col("q" + a) - F.col("member")[a]) * (F.col("q" + a) - F.col("member")[a]) for a in axes]))
-    bound = at_levels.join(pyramid, ["level", *cell]).groupBy(*here).agg(F.min(to_member).alias("bound"))
-    start = F.lit(top)
-    for l in range(top - 1, -1, -1):
-        start = F.when(F.col("bound") <= sizes[l], F.lit(l)).otherwise(start)
-    bound = bound.withColumn("start", start).checkpoint()
-
-    frontier = None
-    for l in range(top, -1, -1):
-        fresh = bound.filter(F.col("start") == l).select(*here, "bound", *_cell(axes, origin, base, "q"))
-        fresh = fresh.withColumns({c: F.floor(F.col(c) / F.lit(RATIO ** l)) for c in cell})
-        for c in cell:
-            fresh = fresh.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-        frontier = fresh if frontier is None else frontier.unionByName(fresh)
-        if l == 0:
-            break
-        seen = frontier.join(levels[l].drop("member"), cell)
+    bound = levels.join(nodes.select("level", *cell, "member"), ["level", *cell]).groupBy(*here).agg(F.min(to_member).alias("bound"))
+    # The top level is one cell, or a few if queries lie outside all points, and every query meets it with its neighbours.
+    start = F.lit(grid.top)
+    for l in range(grid.top - 1, -1, -1):
+        start = F.when(F.col("bound") <= grid.size(l), F.lit(l)).otherwise(start)
+    bound = written(rest.join(bound, here, "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf")))).withColumn("start", start), "bounds")
+    frontier, ends = None, []
+    for l in range(grid.top, -below - 1, -1):
+        if l >= 0:
+            fresh = _around(bound.filter(F.col("start") == l).select(*here, "bound", *grid.cell(l)), cell)
+            frontier = fresh if frontier is None else frontier.unionByName(fresh)
+        seen = frontier.join(nodes.filter(F.col("level") == l).drop("level", "member"), cell)
         gap = [F.greatest(F.col("min" + a) - F.col("q" + a), F.col("q" + a) - F.col("max" + a), F.lit(0.0)) for a in axes]
-        seen = seen.filter(F.sqrt(total([g * g for g in gap])) <= F.col("bound") * (1 + 1e-12)).select(*here, "bound", *cell)
+        seen = seen.filter(F.sqrt(total([g * g for g in gap])) <= F.col("bound") * (1 + 1e-12))
+        if l <= 0:
+            ends.append(seen.filter("leaf").select(*here, F.lit(l).alias("level"), *cell))
+        frontier = seen.filter("NOT leaf").select(*here, "bound", *cell)
         for c in cell:
-            seen = seen.withColumn(c, F.explode(F.sequence(F.col(c) * RATIO, F.col(c) * RATIO + (RATIO - 1))))
-        frontier = seen
-    leaf = places.select(*axes, "match_id", *_cell(axes, origin, base))
-    pairs = frontier.join(leaf, cell).withColumn("distance", _distance(axes, "q", ""))
-    best = pairs.groupBy(*here).agg(F.min(F.struct("distance", "match_id")).alias("best"))
-    found = best.select(*[F.col(q).alias(a) for q, a in zip(here, axes)], "best.match_id", "best.distance")
-    return queries.select("id", *axes).join(found, list(axes)).select("id", "match_id", "distance")
+            frontier = frontier.withColumn(c, F.explode(F.sequence(F.col(c) * 4, F.col(c) * 4 + 3)))
+    reached = reduce(DataFrame.unionByName, ends)
+    pairs = reached.join(leaves.drop(*["f" + a for a in axes]), ["level", *cell]).withColumn("distance", _distance(axes, "q", ""))
+    return pairs.groupBy(*here).agg(F.min(F.struct("distance", "match_id")).alias("best"))
 
 
 def unmatched(queries: DataFrame, points: DataFrame, axes, tolerance: float = 0.01) -> DataFrame:
@@ -116,10 +174,9 @@ def unmatched(queries: DataFrame, points: DataFrame, axes, tolerance: float = 0.
     and leave before any distance is computed.
     """
     edge = tolerance * (1 - 1e-9) / math.sqrt(len(axes))
-    zero = {a: 0.0 for a in axes}
-    cell = ["c" + a for a in axes]
-    occupied = points.select(*_cell(axes, zero, edge)).distinct()
-    left = queries.select("id", *axes, *_cell(axes, zero, edge)).join(occupied, cell, "left_anti").drop(*cell)
+    cell = [F.floor(F.col(a) / F.lit(edge)).alias("c" + a) for a in axes]
+    occupied = points.select(*cell).distinct()
+    left = queries.select("id", *axes, *cell).join(occupied, ["c" + a for a in axes], "left_anti").drop(*["c" + a for a in axes])
     return nearest(left, points, axes).filter(F.col("distance").isNull() | (F.col("distance") >= tolerance)).select("id", "distance")
 
 
