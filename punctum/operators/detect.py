@@ -24,7 +24,9 @@ from punctum.functions.numeric import SLACK
 from punctum.operators import blocks as blk
 from punctum.operators import intensity, localize
 from punctum.params import BG_MEAN, BG_MEDIAN, BG_NONE, BG_RANSAC_MEAN, MULTICONSENSUS, SpotParams, gauss_weights
+from punctum.session import written
 
+BLOCKS_PER_TASK, MOST_TASKS = 64, 200_000
 PIECE = "image string, block_id bigint, v_low double, v_high double, {}, data array<float>"
 
 
@@ -90,7 +92,8 @@ def _with_range(chunks: DataFrame, params: SpotParams) -> DataFrame:
         F.least(F.min(F.array_min("data")).cast("double"), gap).alias("v_low"),
         F.greatest(F.max(F.array_max("data")).cast("double"), gap).alias("v_high"),
     )
-    return chunks.join(extent, "image")
+    # Stored, so that its measured size decides how the pixels meet it: they don't move by image for a small table.
+    return chunks.join(written(extent, "extent"), "image")
 
 
 def _extent(index, low, high, block, halo):
@@ -133,12 +136,22 @@ def block_candidates(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
                 rows.append((first.image, first.block_id, *spot, response[tuple(inner)], v_high - v_low, *size, raw[box].ravel()))
         return pa.Table.from_batches([batch_of(rows, arrow)])
 
-    # A fixed partition number keeps small-in-bytes but slow blocks from being coalesced into few tasks.
-    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = block_pieces(chunks, axes, params).repartition(parts, "image", "block_id")
+    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
     return pieces.groupBy("image", "block_id").applyInArrow(run, candidate_schema(axes))
 
 
+def _partitions(chunks: DataFrame, axes, params: SpotParams) -> int:
+    """Shuffle partitions of about ``BLOCKS_PER_TASK`` blocks, from the image sizes alone; at least the session's number.
+
+    A given number also keeps small-in-bytes but slow blocks from being coalesced into few tasks.
+    """
+    lo, hi = blk.bounds(axes, *params.crop(len(axes)))
+    sizes = chunks.groupBy("image").agg(*[F.max("n" + a).alias("n" + a) for a in axes])
+    count = " * ".join(f"CAST({geo.block_count(lo[d], hi[d], b)} AS BIGINT)" for d, b in enumerate(params.block(len(axes))))
+    total = sizes.selectExpr(f"{count} AS n").agg(F.sum("n")).first()[0] or 0
+    return max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-int(total) // BLOCKS_PER_TASK)))
+
+
 def _assemble(pieces, axes, start, end, size):
     """One array over start..end: stored pixels, zeros where chunks are missing, mirrored borders."""
     a0 = [max(s, 0) for s in start]
@@ -183,8 +196,8 @@ def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images."""
     ndim, r = len(axes), params.support_radius
     cube = np.stack(np.meshgrid(*[np.arange(-r, r + 1)] * ndim, indexing="ij"), axis=-1).reshape(-1, ndim)
-    schema = "image string, block_id bigint, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint".format(
-        ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes))
+    schema = "image string, block_id bigint, {}, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint".format(
+        ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes), ", ".join(f"n{a} bigint" for a in axes))
 
     arrow = schema_of(schema)
 
@@ -200,10 +213,19 @@ def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
                 g = _patch_gradients(patch, p + r + 1, axes, params.anisotropy) / c.span
                 g = subtract(p, g, r, params)
                 for centre, n, inliers, k in localize.centres(c.image, at, p.astype(float), g, axes, params):
-                    rows.append((c.image, c.block_id, *at, *(at + centre), _interpolate(patch, centre + r + 1), n, inliers, k))
+                    here = np.all(np.abs(centre) <= r + 1)
+                    rows.append((c.image, c.block_id, *at, *(at + centre), *size, _interpolate(patch, centre + r + 1) if here else None, n, inliers, k))
             yield batch_of(rows, arrow)
 
     spots = block_candidates(chunks, axes, params).mapInArrow(run, schema)
+    if params.max_shift is None or params.max_shift > r or params.ransac == MULTICONSENSUS:
+        spots = written(spots, "spots")  # small next to the pixels, and several steps read it
+    sizes = ["n" + a for a in axes]
+    far = spots.filter("intensity IS NULL")
+    if (params.max_shift is None or params.max_shift > r) and not far.isEmpty():
+        found = intensity.chunk_intensity(far.drop("intensity"), chunks, axes)
+        spots = spots.filter("intensity IS NOT NULL").unionByName(found)
+    spots = spots.drop(*sizes)
     if params.ransac == MULTICONSENSUS:
         spots = localize.drop_weak_counts(spots, params)
     return intensity.intensity_threshold(spots, params.intensity_threshold)

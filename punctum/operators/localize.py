@@ -3,12 +3,13 @@
 A gradient at offset p with unit direction g defines a line through the centre. The centre
 minimizes the summed squared distance to all lines: A = sum(I - g g'), b = sum((I - g g') p).
 z offsets count 1/anisotropy. Gradients of norm <= 1e-9 have no direction and are dropped;
-a singular system (|det| < 1e-9) gives no centre; a centre farther than the support radius
-from its candidate on any axis is dropped.
+a singular system (|det| < 1e-9) gives no centre; a centre farther than ``max_shift``, if that is
+set, from its candidate on any axis is dropped.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import md5
@@ -21,6 +22,7 @@ from punctum.functions.arrow import batch_of, records, schema_of
 from punctum.functions.numeric import SINGULAR, SLACK, ZERO_NORM, solve, total
 from punctum.operators.support import spot_key
 from punctum.params import MULTICONSENSUS, NO_RANSAC, SpotParams
+from punctum.session import written
 
 # Fixed value: modulus of the hypothesis sampling.
 PRIME = 4294967291
@@ -43,8 +45,9 @@ def lsq(region: DataFrame, axes, params: SpotParams) -> DataFrame:
     fitted = rows.groupBy(*spot_key(axes)).agg(F.count("*").alias("n"), *sums)
     _, centre = solve({k: F.col(f"m{k[0]}{k[1]}") for k in m}, [F.col(f"r{i}") for i in n])
     offset = [c / F.lit(s) for c, s in zip(centre, scale(axes, params.anisotropy))]
-    near = reduce(lambda a, b: a & b, [F.abs(o) <= params.support_radius for o in offset])
-    return fitted.filter(near).select(
+    if params.max_shift is not None:
+        fitted = fitted.filter(reduce(lambda a, b: a & b, [F.abs(o) <= params.max_shift for o in offset]))
+    return fitted.select(
         *spot_key(axes), *[(F.col("s" + a) + o).alias(a) for a, o in zip(axes, offset)],
         F.col("n").alias("gradients"), F.col("n").alias("inliers"), F.lit(0).cast("bigint").alias("round"),
     )
@@ -82,7 +85,7 @@ def fit_rows(spots: DataFrame, axes, params: SpotParams) -> DataFrame:
             yield batch_of(rows, schema)
 
     fitted = spots.mapInArrow(run, result_schema(axes))
-    return drop_weak_counts(fitted, params) if params.ransac == MULTICONSENSUS else fitted
+    return drop_weak_counts(written(fitted, "centres"), params) if params.ransac == MULTICONSENSUS else fitted
 
 
 def centres(image, at, p, g, axes, params: SpotParams):
@@ -93,8 +96,8 @@ def centres(image, at, p, g, axes, params: SpotParams):
     g, p = g[keep] / norm[keep, None], p[keep] * stretch
     n = len(g)
     rest = np.arange(n)
-    rounds = {NO_RANSAC: 1, MULTICONSENSUS: params.rounds}.get(params.ransac, 1)
-    for k in range(rounds):
+    # Multi-consensus ends by itself: every round uses up at least min_inliers gradients.
+    for k in itertools.count() if params.ransac == MULTICONSENSUS else range(1):
         if params.ransac == NO_RANSAC:
             used = rest
         else:
@@ -104,7 +107,7 @@ def centres(image, at, p, g, axes, params: SpotParams):
         if params.ransac not in (NO_RANSAC, MULTICONSENSUS) and (n == 0 or len(used) < params.inlier_ratio * n):
             return
         centre = _intersection(p[used], g[used])
-        if centre is not None and np.all(np.abs(centre / stretch) <= params.support_radius):
+        if centre is not None and (params.max_shift is None or np.all(np.abs(centre / stretch) <= params.max_shift)):
             yield centre / stretch, n, len(used), k
         rest = np.setdiff1d(rest, used, assume_unique=True)
 
@@ -150,12 +153,22 @@ def _consensus(image, at, k, p, g, params: SpotParams):
 
 
 def drop_weak_counts(spots: DataFrame, params: SpotParams) -> DataFrame:
-    """Drop spots with fewer inliers than avg - n * stdev of their image, twice (n1, then n2)."""
+    """Drop spots with fewer inliers than avg - n * stdev of their image, twice (n1, then n2).
+
+    Both limits come from one histogram with at most a row per image and number of inliers; ``spots`` is a
+    stored table, so the detection runs once.
+    """
+    counts = spots.groupBy("image", "inliers").agg(F.count("*").alias("spots"))
+    least = None
     for n in (params.n_stdev1, params.n_stdev2):
-        # Aggregated with map-side partials and joined back: one image may hold most spots.
-        limit = spots.groupBy("image").agg((F.avg("inliers") - F.lit(n) * F.stddev_pop("inliers")).alias("least"))
-        spots = spots.join(limit, "image").filter(F.col("inliers") >= F.col("least")).drop("least")
-    return spots
+        weight, value = F.sum("spots"), F.col("inliers").cast("double")
+        mean = F.sum(value * F.col("spots")) / weight
+        spread = F.sqrt(F.greatest(F.lit(0.0), F.sum(value * value * F.col("spots")) / weight - mean * mean))
+        # Integers divide almost exactly; the slack keeps a count that equals its limit.
+        limit = counts.groupBy("image").agg((mean - F.lit(float(n)) * spread - F.lit(SLACK)).alias("limit"))
+        counts = counts.join(limit, "image").filter(F.col("inliers") >= F.col("limit")).drop("limit")
+        least = counts.groupBy("image").agg(F.min("inliers").alias("least"))
+    return spots.join(least, "image").filter(F.col("inliers") >= F.col("least")).drop("least")
 
 
 def localize(region: DataFrame, axes, params: SpotParams) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Detection settings, with the defaults users of such tools expect."""
+"""Detection settings. The defaults from ``anisotropy`` to ``n_stdev2`` are fixed values that users expect."""
 
 from __future__ import annotations
 
@@ -24,6 +24,8 @@ class SpotParams:
     ``min_intensity == max_intensity`` means the range is taken from the data, per
     block (``range_scope="block"``) or per image (``range_scope="image"``).
     ``crop_min`` / ``crop_max`` are inclusive and default to the whole image.
+    ``hypotheses`` is the number of two-gradient samples of a robust fit: more change a centre, but drop no spot.
+    ``max_shift`` drops centres farther than that from their candidate on any axis; by default none is dropped.
     """
 
     min_intensity: float = 0.0
@@ -44,7 +46,7 @@ class SpotParams:
     n_stdev1: float = 8.0
     n_stdev2: float = 6.0
     hypotheses: int = 100
-    rounds: int = 10
+    max_shift: float | None = None
     block_size: tuple[int, ...] | None = None
     crop_min: tuple[int, ...] | None = None
     crop_max: tuple[int, ...] | None = None
@@ -60,8 +62,14 @@ class SpotParams:
             raise ValueError("max_intensity is below min_intensity")
         if self.sigma <= 0 or self.anisotropy <= 0:
             raise ValueError("sigma and anisotropy must be positive")
-        if self.support_radius < 1 or self.hypotheses < 1 or self.rounds < 1:
-            raise ValueError("support_radius, hypotheses and rounds must be at least 1")
+        if self.support_radius < 1 or self.hypotheses < 1 or self.min_inliers < 1:
+            raise ValueError("support_radius, hypotheses and min_inliers must be at least 1")
+        if self.max_error < 0 or self.background_max_error < 0:
+            raise ValueError("errors must not be negative")
+        if not (0 <= self.inlier_ratio <= 1 and 0 <= self.background_min_inlier_ratio <= 1):
+            raise ValueError("inlier ratios lie between 0 and 1")
+        if self.max_shift is not None and self.max_shift < 0:
+            raise ValueError("max_shift must not be negative")
         if self.block_size is not None and min(self.block_size) < 3:
             raise ValueError("a block needs at least 3 pixels in every dimension")
 

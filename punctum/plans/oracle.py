@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from punctum.params import AXES, BG_MEAN, BG_MEDIAN, BG_NONE, BG_RANSAC_MEAN, SIGMA_RATIO, SpotParams, radius
-from punctum.plans.queries import BASE, CROP, MULTI, P2, SCALARS, SETTINGS
+from punctum.plans.queries import BASE, CROP, MULTI, P2, REACH, SCALARS, SETTINGS
 
 PRIME = 4294967291
 
@@ -55,6 +55,9 @@ def sized(axes, alias="") -> str:
 
 
 def norm_cte(p: SpotParams, axes) -> str:
+    if p.auto_range:
+        return (f"lim as (select image, min(v) low, max(v) high from img group by image), "
+                f"nrm as (select i.image, {cols(axes, alias='i.')}, (i.v-l.low)/(l.high-l.low)::double v, {sized(axes, 'i.')} from img i join lim l on i.image=l.image)")
     return f"nrm as (select image, {cols(axes)}, (v-{p.min_intensity!r})/({p.max_intensity!r}-{p.min_intensity!r}) v, {sized(axes)} from img)"
 
 
@@ -124,12 +127,13 @@ def gradient_ctes(p: SpotParams, axes, source="nrm") -> list[str]:
 def region_ctes(p: SpotParams, axes) -> list[str]:
     """Support regions as ``region`` (raw image gradients divided by the range)."""
     r = p.support_radius
-    span = f"({p.max_intensity!r}-{p.min_intensity!r})"
+    span = "(l.high-l.low)::double" if p.auto_range else f"({p.max_intensity!r}-{p.min_intensity!r})"
+    limits = " join lim l on l.image=s.image" if p.auto_range else ""
     at = " and ".join(f"g.{a}=s.p{a}" for a in axes)
     ctes = [
         *gradient_ctes(p, axes, "img"), neighbour_offsets(axes, r, "cube", zero=True),
         f"wanted as (select s.image, {', '.join(f's.{a} s{a}' for a in axes)}, {cols(axes, 'd', 'o.')}, {', '.join(f's.{a}+o.d{a} p{a}' for a in axes)} from peaks s cross join cube o)",
-        f"region0 as (select {spot(axes, 's.')}, {cols(axes, 'd', 's.')}, {', '.join(f'g.g{a}/{span} g{a}' for a in axes)} from wanted s join grads g on g.image=s.image and {at})",
+        f"region0 as (select {spot(axes, 's.')}, {cols(axes, 'd', 's.')}, {', '.join(f'g.g{a}/{span} g{a}' for a in axes)} from wanted s join grads g on g.image=s.image and {at}{limits})",
     ]
     if p.background == BG_NONE:
         return ctes + ["region as (select * from region0)"]
@@ -204,12 +208,11 @@ def fit_ctes(p: SpotParams, axes, source: str, out: str, inliers="cast(n as bigi
     det, num = solved(axes)
     stretch = {a: (1.0 / p.anisotropy if a == "z" else 1.0) for a in axes}
     off = ", ".join(f"{n}/det/{stretch[a]!r} o{a}" for n, a in zip(num, axes))
-    near = " and ".join(f"abs(o{a})<={p.support_radius}" for a in axes)
     return [
         f"{out}_s as (select {spot(axes)}, count(*) n, {', '.join(f'{v} m{k}' for k, v in unique.items())}, {', '.join(f'{v} r{a}' for a, v in rhs.items())} from {source} group by {spot(axes)})",
         f"{out}_d as (select *, {det} det from {out}_s)",
         f"{out}_c as (select *, {off} from {out}_d where abs(det)>=1e-9)",
-        f"{out} as (select {spot(axes)}, {', '.join(f's{a}+o{a} {a}' for a in axes)}, n from {out}_c where {near})",
+        f"{out} as (select {spot(axes)}, {', '.join(f's{a}+o{a} {a}' for a in axes)}, n from {out}_c)",
     ]
 
 
@@ -254,7 +257,8 @@ def centre_ctes(p: SpotParams, axes) -> list[str]:
         ctes += fit_ctes(p, axes, "use0", "fit0")
         return ctes + [f"spots as (select f.*, t.n gradients, f.n inliers, 0 as round from fit0 f join total t on {same_spot(axes, 'f', 't')})"]
     source, found = "units", []
-    for k in range(p.rounds):
+    # Every round uses up at least min_inliers gradients, so these rounds exhaust every region.
+    for k in range((2 * p.support_radius + 1) ** len(axes) // p.min_inliers):
         ctes += consensus_ctes(p, axes, source, str(k), k)
         ctes += [f"use{k} as (select * from inl{k} where k>={p.min_inliers})"]
         ctes += fit_ctes(p, axes, f"use{k}", f"fit{k}")
@@ -410,7 +414,7 @@ LISTING = """listing as (select concat('data/', source, '/', case when doc_id%5=
 
 OUT_PATH = f"replace(replace(concat('{BASE}', key), 'data', 'results/data'), '.tif', '.csv')"
 
-TASKS = [LISTING, "numbered as (select *, row_number() over (order by key)-1 rn from listing where contains(key, 'data/src1') and ends_with(key, '.tif'))"]
+TASKS = [LISTING, "numbered as (select *, row_number() over (order by key)-1 rn from listing where contains(key, 'data/') and ends_with(key, '.tif'))"]
 
 SPOT_SETS = """a as (select event_id id, user_id+(event_id%97)/97.0e0 x, day(ts)+(event_id%89)/89.0e0 y from events),
 b as (select id, x+(id%7)*0.0023e0 x, y from a where id%11<>0)"""
@@ -422,7 +426,8 @@ best as (select c.id, min(b.id) match_id, sqrt(any_value(c.d2)) distance from cl
 OPTIONS = """opt as (select doc_id, cast(2+doc_id%2 as int) ndim, doc_id%500+3 p, n_chars q, case when doc_id%2=1 then doc_id%7+3 end r from documents)"""
 
 POLLS = """with bins as (select date_trunc('hour', ts) poll, count(*) n from events group by 1),
-t as (select poll, cast(sum(n) over (order by poll) as bigint) total from bins)
+grid as (select unnest(generate_series(min(poll), max(poll), interval 1 hour)) poll from bins),
+t as (select g.poll, cast(sum(coalesce(n, 0)) over (order by g.poll) as bigint) total from grid g left join bins b on g.poll=b.poll)
 select poll, total, case when lag(total) over (order by poll)>0 then total-lag(total) over (order by poll) end processed from t"""
 
 
@@ -465,7 +470,12 @@ def registry() -> dict[str, str]:
     two = AXES[2]
     out["scan_object_store"] = out["scan_chunks"]
     out["scan_chunks_alt_layout"] = with_([VECTORS], f"select image, x, y, {rnd('v', 6, 'v')} from img")
-    out["list_objects"] = "select distinct event_type image from events"
+    out["list_objects"] = "select source, cast(sum(strlen(text)+1) as bigint) size, 0 undated from documents group by source"
+    out["scan_chunks_named"] = with_([EVENTS], "select printf('%06d', length(image)*1000+ascii(image)) image, x, y, v from img")
+    out["read_dataset_attributes"] = with_([EVENTS], "select image, 2 ndim, max(x)+1 nx, max(y)+1 ny, 64 block_x, 30 block_y, 'uint32' pixel, 'nm' unit, 80.5::double step from img group by image")
+    out["write_manifest_single"] = with_(TASKS, f"select 0 chunk, concat('{BASE}', key) input, {OUT_PATH} output from numbered")
+    out["udtf_split_blocks_3d"] = out["split_blocks_3d"]
+    out["detect_images_auto"] = detected(2, max_intensity=0.0)
     out["list_by_prefix_ext"] = with_([LISTING], f"select concat('{BASE}', key) uri from listing where contains(key, 'src1') and ends_with(key, '.tif')")
     out["list_summaries"] = with_([LISTING], "select key, size from listing where contains(key, 'src1') and ends_with(key, '.tif')")
     out["list_basenames"] = with_([LISTING], r"select regexp_extract(key, '([^/]+?)(\.[^./]*)?$', 1) as name from listing where contains(key, 'src1')")
@@ -491,12 +501,12 @@ def registry() -> dict[str, str]:
     out["spots_unmatched"] = with_([NEAREST], f"select id, {rnd('distance', 6, 'distance')} from best where distance>=0.01")
     out["write_object_store"] = out["write_spots_csv"]
     out["write_spots_per_image"] = spots_csv(2, "image, ")
-    out["empty_output_guarantee"] = with_(final_ctes(2, 21000.0, ransac=0), "select d.image, count(f.image) spots from sdim d left join final f on d.image=f.image group by 1")
+    out["empty_output_guarantee"] = out["write_every_image"] = out["stream_every_image"] = with_(final_ctes(2, 21000.0, ransac=0), "select d.image, count(f.image) spots from sdim d left join final f on d.image=f.image group by 1")
     out["parse_int_list"] = with_([OPTIONS], "select doc_id, ndim arity, p as first, q as second, r as third from opt")
     out["block_size_default"] = with_([OPTIONS], "select doc_id, ndim, case when doc_id%3=0 then concat_ws(',', p, q, r) when ndim=2 then '512,512' else '128,128,64' end size from opt")
     out["intensity_mode"] = "select user_id, strftime(ts, '%Y-%m-%d') as day, case when min(cast(round(value*100) as bigint))=max(cast(round(value*100) as bigint)) then 'auto' else 'fixed' end as mode from events group by 1, 2"
     out["udtf_split_blocks"] = out["split_blocks"]
-    out["mirror_extend"] = with_([EVENTS], f"select image, x, i, cast({mirror('i', 'ny')} as bigint) as at, cast({mirror('x*7+i', 'nx')} as bigint) along from (select image, x, nx, ny, unnest(range(-40, 71)) i from img where y=0)")
+    out["mirror_extend"] = with_([EVENTS], f"select image, x, y, i, cast({mirror('y+i', 'ny')} as bigint) as at, cast({mirror('x+i', 'nx')} as bigint) along from (select image, x, y, nx, ny, unnest(range(-{REACH}, {REACH}+1)) i from img where least(x, nx-1-x, y, ny-1-y)<{REACH})")
     out["normalize_auto"] = normalize_auto("block")
     out["normalize_auto_image"] = normalize_auto("image")
     out["gauss_smooth_raster"] = with_([VECTORS, *blur_ctes("img", "g", two, (1.5, 1.5))], f"select image, x, y, {rnd('v', 6, 'v')} from g")
@@ -504,7 +514,8 @@ def registry() -> dict[str, str]:
     out["dog_peaks_auto"] = dog_peaks_auto("block")
     out["dog_peaks_auto_image"] = dog_peaks_auto("image")
     out["localize_lsq_background"] = localized(2, ransac=0, background=BG_MEAN)
-    out["localize_multiconsensus"] = localized(2, **MULTI)
+    out["localize_multiconsensus"], out["localize_multiconsensus_3d"] = localized(2, **MULTI[2]), localized(3, **MULTI[3])
+    out["detect_blocks_multiconsensus"] = detected(2, **MULTI[2])
     p = P2.with_(inlier_ratio=0.0)
     out["multiconsensus_filter"] = with_(until_region(p, 2) + centre_ctes(p, two) + weak_ctes("spots", "kept", 1.5, 1.0), f"select {spot(two)}, cast(inliers as bigint) inliers from kept")
     out["intensity_threshold"] = detected(2, 15000.0, ransac=0)
@@ -515,7 +526,9 @@ def registry() -> dict[str, str]:
     out["spots_per_image"] = with_(final_ctes(2, ransac=0), "select image, count(*) spots from final group by 1")
     out["stream_incremental_detect"] = detected(2, ransac=0)
     out["poll_delta"] = out["stream_output_count"] = POLLS
+    out["poll_delta_minute"] = out["stream_output_count_minute"] = POLLS.replace("'hour'", "'minute'").replace("1 hour", "1 minute")
     out["task_durations"] = """with e as (select event_id, cast(round(value*100) as bigint) ms from events)
-select concat('t', event_id) task, event_id*1000 started, case when event_id%10<>0 then event_id*1000+ms end done,
- case when event_id%10<>0 then ms end logged, case when event_id%10<>0 then ms end duration, case when event_id%10<>0 then 'done' else 'open' end status from e"""
+select concat('t', event_id) task, cast(1 as int) run, event_id*1000 started, case when event_id%10<>0 then event_id*1000+ms end done,
+ case when event_id%10<>0 then ms end logged, case when event_id%10<>0 then ms end duration, case when event_id%10<>0 then 'done' else 'open' end status from e
+union all select concat('t', event_id), cast(2 as int), event_id*1000+500000000, event_id*1000+500000007, 7, 7, 'done' from e where event_id%15=0"""
     return out

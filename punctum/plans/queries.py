@@ -15,7 +15,7 @@ from punctum.params import (
     AXES, BG_MEAN, BG_MEDIAN, BG_RANSAC_MEAN, BG_RANSAC_MEDIAN, MULTICONSENSUS, NO_RANSAC, SpotParams,
 )
 from punctum.plans import spots as chain
-from punctum.session import scratch_path
+from punctum.session import scratch_path, written
 from punctum.sinks import spots as sink
 from punctum.sources import images as img
 from punctum.sources import listing as files
@@ -26,7 +26,8 @@ P2 = SpotParams(max_intensity=79999.0, block_size=(64, 24))
 P3 = SpotParams(max_intensity=10.0, anisotropy=0.7, block_size=(64, 48, 11))
 SETTINGS = {2: P2, 3: P3}
 CROP = {2: ((5, 3), (120, 27)), 3: ((7, 5, 1), (90, 44, 9))}
-MULTI = dict(ransac=MULTICONSENSUS, min_inliers=8, rounds=2, n_stdev1=2.0, n_stdev2=1.5)
+MULTI = {2: dict(ransac=MULTICONSENSUS, min_inliers=8, n_stdev1=2.0, n_stdev2=1.5), 3: dict(ransac=MULTICONSENSUS, min_inliers=24, n_stdev1=2.0, n_stdev2=1.5)}
+REACH = max(P2.halo(2))
 SCALARS = "-i0 4166.0 -i1 46562.0 -a 1.0"
 BASE = "s3://images/"
 
@@ -80,7 +81,28 @@ def scan_chunks_alt_layout(spark, sf):
 
 
 def scan_dataset_meta(spark, sf, n=2):
-    return img.measured_size(voxels(spark, sf, n), AXES[n]).withColumn("ndim", F.lit(n))
+    return img.stored_size(chunks(spark, sf, n), AXES[n]).withColumn("ndim", F.lit(n))
+
+
+def read_dataset_attributes(spark, sf):
+    """Attributes files, one per image, written and read back."""
+    path = scratch_path(spark, "attributes")
+    sizes_ = sizes(spark, sf, 2)
+    fields = sizes_.select(
+        "image", F.array("nx", "ny").alias("dimensions"), F.array(*map(F.lit, tables.EVENT_CHUNK)).alias("blockSize"), F.lit("uint32").alias("dataType"),
+        F.struct(F.lit("raw").alias("type")).alias("compression"),
+        F.struct(F.lit("nm").alias("unit"), F.array(F.lit(80.5), F.lit(81.0)).alias("dimensions")).alias("pixelResolution"))
+    fields.write.partitionBy("image").json(path)
+    return img.dataset_meta(spark, path).select(
+        "image", "ndim", F.col("dimensions")[0].alias("nx"), F.col("dimensions")[1].alias("ny"), F.col("blockSize")[0].alias("block_x"), F.col("blockSize")[1].alias("block_y"),
+        F.col("dataType").alias("pixel"), F.col("pixelResolution.unit").alias("unit"), F.col("pixelResolution.dimensions")[0].alias("step"))
+
+
+def scan_chunks_named(spark, sf):
+    """Image names with leading zeros stay as they are."""
+    name = F.format_string("%06d", F.length("image") * 1000 + F.ascii("image"))
+    path = stored(chunks(spark, sf, 2, dense=True).withColumn("image", name), "named")
+    return img.scan_images(spark, path, AXES[2]).select("image", "x", "y", "v")
 
 
 def scan_whole_images(spark, sf, n=2):
@@ -89,10 +111,11 @@ def scan_whole_images(spark, sf, n=2):
 
 
 def list_objects(spark, sf):
-    """Listing of a written chunk table: which images have stored, non-empty objects."""
-    path = stored(chunks(spark, sf, 2), "objects")
-    objects = files.list_objects(spark, path).filter(F.col("size") > 0)
-    return objects.select(F.regexp_extract("key", "image=([^/]+)/", 1).alias("image")).filter("image <> ''").distinct()
+    """Listing of texts of known length, written by source: folders of the keys and bytes."""
+    path = scratch_path(spark, "objects")
+    tables.table(spark, sf, "documents").select("text", "source").write.partitionBy("source").text(path)
+    objects = files.list_objects(spark, path).withColumn("source", F.regexp_extract("key", "/source=([^/]+)/part-[^/]+[.]txt$", 1))
+    return objects.filter("source <> ''").groupBy("source").agg(F.sum("size").alias("size"), F.count_if(F.col("modified").isNull()).alias("undated"))
 
 
 def read_accept_list(spark, sf):
@@ -142,10 +165,18 @@ def write_object_store(spark, sf):
 
 def write_spots_per_image(spark, sf):
     path = scratch_path(spark, "per-image")
-    sink.write_csv_per_image(lsq_spots(spark, sf), AXES[2], path)
+    sink.write_csv_per_image(written(lsq_spots(spark, sf), "found"), AXES[2], path)
     return sink.read_csv_per_image(spark, path, AXES[2])
 
 
+def write_every_image(spark, sf):
+    """Spots per image counted from the files; images without spots have a file with the header alone."""
+    path = scratch_path(spark, "every-image")
+    bright = written(intensity.intensity_threshold(lsq_spots(spark, sf), 21000.0), "bright")
+    sink.write_csv_per_image(bright, AXES[2], path, sizes(spark, sf, 2))
+    return sink.count_per_image(spark, path)
+
+
 def format_spot_row(spark, sf):
     first, _ = tables.spot_sets(spark, sf)
     return sink.formatted(first.withColumn("intensity", F.col("x") * F.lit(3.0) - F.col("y")), AXES[2], "id")
@@ -156,13 +187,25 @@ def empty_output_guarantee(spark, sf):
     return progress.every_image(bright, sizes(spark, sf, 2))
 
 
-def task_texts(spark, sf):
-    inputs = worklist.summaries(tables.listing(spark, sf), "data/src1", ".tif")
+def task_inputs(spark, sf):
     source = F.concat(F.lit(BASE), F.col("key"))
-    target = text.output_path(source, "data", "results/data", ".tif", ".csv")
+    return worklist.summaries(tables.listing(spark, sf), "data/", ".tif"), source, text.output_path(source, "data", "results/data", ".tif", ".csv")
+
+
+def task_texts(spark, sf):
+    inputs, source, target = task_inputs(spark, sf)
     return worklist.manifests(worklist.chunk_manifest(inputs, 40), source, target, SCALARS)
 
 
+def write_manifest_single(spark, sf):
+    """The whole listing as one manifest, in parts of ordered lines."""
+    path = scratch_path(spark, "manifest")
+    inputs, source, target = task_inputs(spark, sf)
+    entries = worklist.chunk_manifest(inputs, 0).select("chunk", "rn", worklist.manifest_entry(source, target).alias("txt"))
+    sink.write_manifest_parts(entries, path, SCALARS, lines=100)
+    return files.read_manifest_parts(spark, path)
+
+
 # --- projections and geometry ------------------------------------------------------------
 
 
@@ -250,6 +293,13 @@ def udtf_split_blocks(spark, sf):
         "SELECT s.image, b.* FROM image_sizes s, LATERAL split_blocks_2d(0L, s.nx - 1, 0L, s.ny - 1, 64, 24) b")
 
 
+def udtf_split_blocks_3d(spark, sf):
+    spark.udtf.register("split_blocks_3d", blk.SplitBlocks3D)
+    sizes(spark, sf, 3).createOrReplaceTempView("volume_sizes")
+    return spark.sql(
+        "SELECT s.image, b.* FROM volume_sizes s, LATERAL split_blocks_3d(0L, s.nx - 1, 0L, s.ny - 1, 0L, s.nz - 1, 64, 48, 11) b")
+
+
 def block_voxels(spark, sf, n=2):
     p = SETTINGS[n]
     out = blk.read_by_blocks(voxels(spark, sf, n), AXES[n], p.block(n), [0] * n)
@@ -273,8 +323,9 @@ def halo_voxels(spark, sf, n=2):
 
 
 def mirror_extend(spark, sf):
-    v = voxels(spark, sf, 2).filter("y = 0").selectExpr("image", "x", "nx", "ny", "explode(sequence(-40L, 70L)) AS i")
-    return v.selectExpr("image", "x", "i", f"{geo.mirror('i', 'ny')} AS at", f"{geo.mirror('(x * 7 + i)', 'nx')} AS along")
+    border = F.least("x", F.col("nx") - 1 - F.col("x"), "y", F.col("ny") - 1 - F.col("y")) < REACH
+    v = voxels(spark, sf, 2).filter(border).selectExpr("image", "x", "y", "nx", "ny", f"explode(sequence(-{REACH}L, {REACH}L)) AS i")
+    return v.selectExpr("image", "x", "y", "i", f"{geo.mirror('(y + i)', 'ny')} AS at", f"{geo.mirror('(x + i)', 'nx')} AS along")
 
 
 # --- pixel filters -----------------------------------------------------------------------
@@ -344,7 +395,7 @@ def localized(spark, sf, n=2, **changes):
 def multiconsensus_filter(spark, sf):
     p = P2.with_(inlier_ratio=0.0)
     out = localize.localize(chain.region_of(voxels(spark, sf, 2), AXES[2], p), AXES[2], p)
-    return localize.drop_weak_counts(out, p.with_(n_stdev1=1.5, n_stdev2=1.0)).select(*support.spot_key(AXES[2]), "inliers")
+    return localize.drop_weak_counts(written(out, "centres"), p.with_(n_stdev1=1.5, n_stdev2=1.0)).select(*support.spot_key(AXES[2]), "inliers")
 
 
 def detected(spark, sf, n=2, relational=False, whole=False, **changes):
@@ -358,12 +409,26 @@ def detected(spark, sf, n=2, relational=False, whole=False, **changes):
     return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
 
 
+def _arrivals(spark, sf, least=0.0):
+    """Half of the chunks arrive, are detected, and then the rest: what was found first at the gaps must go."""
+    source, target, state = (scratch_path(spark, label) for label in ("arriving", "arrived", "arrived-state"))
+    p, every = P2.with_(ransac=NO_RANSAC, intensity_threshold=least), written(chunks(spark, sf, 2), "every")
+    for rest in (0, 1):
+        img.write_images(every.filter(F.col("chunk_id") % 2 == rest), source, mode="append")
+        stream.detect_arrivals(spark, source, AXES[2], p, target, state).awaitTermination()
+    return target
+
+
 def stream_incremental_detect(spark, sf):
-    source = stored(chunks(spark, sf, 2), "arriving")
-    target, state = scratch_path(spark, "arrived"), scratch_path(spark, "arrived-state")
-    p = P2.with_(ransac=NO_RANSAC)
-    stream.detect_arrivals(spark, source, stream.chunk_schema(AXES[2]), AXES[2], p, target, state).awaitTermination()
-    return pick(spark.read.parquet(target), "image", "sx", "sy", "inliers", x=4, y=4, intensity=3)
+    found = stream.arrived(spark, _arrivals(spark, sf), AXES[2])
+    return pick(found, "image", "sx", "sy", "inliers", x=4, y=4, intensity=3)
+
+
+def stream_every_image(spark, sf):
+    """Spots per image of the stream, 0 for images that have none."""
+    target = _arrivals(spark, sf, least=21000.0)
+    images = stream.versions(spark, target).select("image").distinct()
+    return progress.every_image(stream.arrived(spark, target, AXES[2]), images)
 
 
 # --- comparison, listings, progress ------------------------------------------------------
@@ -416,12 +481,12 @@ def spots_total(spark, sf, n=2):
     return lsq_spots(spark, sf, n).agg(F.count("*").alias("spots"))
 
 
-def poll_delta(spark, sf):
-    return progress.poll_delta(progress.poll_bins(tables.table(spark, sf, "events").select("ts"), "1 hour"))
+def poll_delta(spark, sf, interval="1 hour"):
+    return progress.poll_delta(progress.poll_bins(tables.table(spark, sf, "events").select("ts"), interval), interval)
 
 
-def stream_output_count(spark, sf):
-    return stream.output_count(spark, sf, "ts timestamp_ntz", pattern="events.parquet")
+def stream_output_count(spark, sf, interval="1 hour"):
+    return stream.output_count(spark, sf, "ts timestamp_ntz", pattern="events.parquet", interval=interval)
 
 
 def task_durations(spark, sf):
@@ -481,7 +546,8 @@ def registry():
         "localize_ransac": partial(localized, inlier_ratio=0.0), "localize_ransac_3d": three(localized, inlier_ratio=0.0),
         "ransac_inlier_ratio": partial(localized, inlier_ratio=0.6),
         "ransac_inlier_ratio_3d": three(localized, inlier_ratio=0.2),
-        "localize_multiconsensus": partial(localized, **MULTI),
+        "localize_multiconsensus": partial(localized, **MULTI[2]), "localize_multiconsensus_3d": three(localized, **MULTI[3]),
+        "detect_blocks_multiconsensus": partial(detected, **MULTI[2]),
         "multiconsensus_filter": multiconsensus_filter,
         "spot_intensity": partial(detected, relational=True, **lsq),
         "spot_intensity_3d": three(detected, relational=True, **lsq),
@@ -498,5 +564,9 @@ def registry():
         "spots_per_image": spots_per_image, "spots_total": spots_total, "spots_total_3d": three(spots_total),
         "chunk_manifest": chunk_manifest, "merge_blocks": merge_blocks,
         "poll_delta": poll_delta, "stream_output_count": stream_output_count,
-        "stream_incremental_detect": stream_incremental_detect, "task_durations": task_durations,
+        "poll_delta_minute": partial(poll_delta, interval="1 minute"), "stream_output_count_minute": partial(stream_output_count, interval="1 minute"),
+        "stream_incremental_detect": stream_incremental_detect, "stream_every_image": stream_every_image, "task_durations": task_durations,
+        "scan_chunks_named": scan_chunks_named, "read_dataset_attributes": read_dataset_attributes, "write_every_image": write_every_image,
+        "write_manifest_single": write_manifest_single, "udtf_split_blocks_3d": udtf_split_blocks_3d,
+        "detect_images_auto": partial(detected, whole=True, max_intensity=0.0),
     }

@@ -49,6 +49,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, on any file system Spark knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application; local workers import it from the driver's path too."""
     context, root = spark.sparkContext, Path(__file__).resolve().parent
@@ -71,3 +77,10 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         return query(spark, *rest)
 
     return run
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for results that several steps read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

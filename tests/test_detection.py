@@ -32,7 +32,7 @@ CENTRES3 = [(8.2, 9.6, 7.3), (22.4, 21.7, 14.6)]
 
 @pytest.mark.parametrize("ransac", [NO_RANSAC, 1, MULTICONSENSUS])
 def test_ground_truth_2d(spark, ransac):
-    p = FIXED.with_(ransac=ransac, block_size=(24, 24), min_inliers=15, rounds=1)
+    p = FIXED.with_(ransac=ransac, block_size=(24, 24), min_inliers=15)
     got = found(detect.detect(spots_image(spark, (64, 64), CENTRES2), AXES[2], p), AXES[2])
     assert len(got) == len(CENTRES2)
     assert np.abs(np.array(got) - np.array(sorted(CENTRES2))).max() < 0.1

@@ -12,14 +12,14 @@ def sizes(spark, *dims):
     return spark.range(1).select(F.lit("i").alias("image"), *[F.lit(n).cast("bigint").alias("n" + a) for a, n in zip(axes, dims)])
 
 
-@pytest.mark.parametrize("dims,block,expected", [((334, 454, 81), (128, 128, 64), 24), ((2, 50), (16, 16), 0), ((3, 3), (3, 3), 1)])
+@pytest.mark.parametrize("dims,block,expected", [((150, 90, 40), (50, 32, 22), 24), ((2, 50), (16, 16), 0), ((3, 3), (3, 3), 1)])
 def test_number_of_blocks(spark, dims, block, expected):
     assert blk.split_blocks(sizes(spark, *dims), AXES[len(dims)], block).count() == expected
 
 
 def test_blocks_of_a_crop_with_negative_bounds(spark):
-    out = blk.split_blocks(sizes(spark, 2000, 2000), AXES[2], (100, 100), (19, -5), (1000, 100)).orderBy("block_id").collect()
-    assert len(out) == 20 and out[1].x_min == 117 and out[0].y_max == 94 and out[19].x_max == 1000 and out[19].y_max == 100
+    out = blk.split_blocks(sizes(spark, 900, 900), AXES[2], (42, 32), (7, -11), (160, 40)).orderBy("block_id").collect()
+    assert len(out) == 8 and out[1].x_min == 47 and out[0].y_max == 20 and out[7].x_max == 160 and out[7].y_max == 40
 
 
 def test_interiors_cover_once(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from punctum.operators import worklist
 from punctum.params import AXES
-from punctum.plans import queries
+from punctum.plans import oracle, queries
 from punctum.session import scratch_path
 from punctum.sinks import spots as sink
 from punctum.sources import images as img
@@ -12,7 +12,9 @@ from tests.conftest import SF
 
 
 def test_every_query_has_sql():
-    assert entry_point.queries().keys() == entry_point.oracle_sql().keys()
+    assert queries.registry().keys() == oracle.registry().keys()
+    assert queries.registry().keys() <= entry_point.queries().keys()
+    assert entry_point.oracle_sql().keys() <= entry_point.queries().keys()
 
 
 def test_flagship_runs(spark):
@@ -49,10 +51,11 @@ def test_lists_of_different_length_raise(spark):
 
 def test_dataset_attributes(spark, tmp_path):
     (tmp_path / "attributes.json").write_text(
-        '{"compression":{"type":"gzip","useZlib":false,"level":-1},"pixelResolution":{"unit":"micron","dimensions":[0.13,0.13,0.2]},'
-        '"blockSize":[64,64,64],"dataType":"uint16","dimensions":[334,454,81]}')
+        # The key names of the file format.
+        '{"dimensions": [200, 90], "blockSize": [40, 30], "dataType": "uint8", "compression": {"type": "raw"},'
+        ' "pixelResolution": {"unit": "nm", "dimensions": [80.5, 81.0]}}')
     row = img.dataset_meta(spark, str(tmp_path)).first()
-    assert row.ndim == 3 and row.dimensions == [334, 454, 81] and row.dataType == "uint16" and row.pixelResolution.unit == "micron"
+    assert row.ndim == 2 and row.dimensions == [200, 90] and row.dataType == "uint8" and row.pixelResolution.unit == "nm"
 
 
 def test_stream_counts_equal_batch_counts(spark):
