@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import udtf
 
@@ -46,6 +48,19 @@ class SplitBlocks2D:
                 number += 1
 
 
+@udtf(returnType="block_id bigint, x_min bigint, x_max bigint, y_min bigint, y_max bigint, z_min bigint, z_max bigint")
+class SplitBlocks3D:
+    """SQL table function for 3D intervals."""
+
+    def eval(self, x_min: int, x_max: int, y_min: int, y_max: int, z_min: int, z_max: int, width: int, height: int, depth: int):
+        number, sides = 0, ((z_min, z_max, depth), (y_min, y_max, height), (x_min, x_max, width))
+        if min(width, height, depth) < 3:
+            raise ValueError("a block needs at least 3 pixels in every dimension")
+        for z, y, x in itertools.product(*[range(lo, hi - 1, size - 2) for lo, hi, size in sides]):
+            yield number, x, min(x + width - 1, x_max), y, min(y + height - 1, y_max), z, min(z + depth - 1, z_max)
+            number += 1
+
+
 def read_by_blocks(voxels: DataFrame, axes, block, halo, crop_min=None, crop_max=None, mirrored: bool = True) -> DataFrame:
     """Every block's pixels plus ``halo`` pixels around it, one row per (block, position).
 

@@ -35,19 +35,33 @@ def poll_bins(finished: DataFrame, interval: str) -> DataFrame:
     return bins.select(F.col("w.start").alias("poll"), "n")
 
 
-def poll_delta(bins: DataFrame) -> DataFrame:
-    """Running total at every poll and its growth; no growth on the first or after a total of 0.
-
-    Runs per day with the earlier days' sums added, so the one global window sees one row per day.
+def poll_grid(bins: DataFrame, interval: str) -> DataFrame:
+    """``poll, n`` for every interval from the first poll to the last, 0 where nothing came. The grid is generated in parallel."""
+    spark, kind = bins.sparkSession, bins.schema["poll"].dataType.simpleString()
+    step, first, count = bins.agg(F.min("poll").alias("a"), F.max("poll").alias("b")).selectExpr(
+        f"unix_micros(timestamp_micros(0) + INTERVAL {interval}) AS step", "CAST(a AS STRING) AS a", "timestampdiff(MICROSECOND, a, b) AS span").first()
+    if first is None:
+        return bins.select("poll", "n").limit(0)
+    at = f"CAST('{first}' AS {kind}) + make_dt_interval(0, 0, 0, CAST(id * {step} AS DECIMAL(18, 0)) / 1000000)"
+    grid = spark.range(count // step + 1).selectExpr("id", f"CAST({at} AS {kind}) AS poll")
+    return grid.join(bins, "poll", "left").select("id", "poll", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+def poll_delta(bins: DataFrame, interval: str) -> DataFrame:
+    """Running total at every poll and its growth, also where it is 0; no growth on the first or after a total of 0.
+
+    Runs per block of polls with the earlier blocks' sums added, so the one global window sees one row per block.
     """
-    days = bins.withColumn("day", F.to_date("poll"))
-    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    offset = days.groupBy("day").agg(F.sum("n").alias("day_sum"))
-    offset = offset.select("day", F.coalesce(F.sum("day_sum").over(earlier), F.lit(0)).alias("before"))
-    so_far = Window.partitionBy("day").orderBy("poll").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = days.join(offset, "day").withColumn("total", F.sum("n").over(so_far) + F.col("before"))
-    previous = F.col("total") - F.col("n")
-    return out.select("poll", "total", F.when(previous > 0, F.col("n")).alias("processed"))
+    polls = poll_grid(bins, interval)
+    if "id" not in polls.columns:
+        return polls.select("poll", F.col("n").alias("total"), F.col("n").alias("processed"))
+    polls = polls.withColumn("block", F.expr("id div 4096"))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = polls.groupBy("block").agg(F.sum("n").alias("block_sum"))
+    offset = offset.select("block", F.coalesce(F.sum("block_sum").over(earlier), F.lit(0)).alias("before"))
+    so_far = Window.partitionBy("block").orderBy("poll").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = polls.join(offset, "block").withColumn("total", F.sum("n").over(so_far) + F.col("before"))
+    return out.select("poll", "total", F.when(F.col("total") > F.col("n"), F.col("n")).alias("processed"))
 
 
 def parse_time_log(lines: DataFrame) -> DataFrame:
@@ -60,12 +74,15 @@ def parse_time_log(lines: DataFrame) -> DataFrame:
 
 
 def task_durations(log: DataFrame) -> DataFrame:
-    """One row per task: ``status`` is open, done, or mismatch where the logged time differs from the measured one."""
-    done = F.when(F.col("state") == "DONE", F.col("ts"))
-    out = log.groupBy("task").agg(
-        F.max(F.when(F.col("state") == "START", F.col("ts"))).alias("started"),
-        F.max(done).alias("done"), F.max("elapsed").alias("logged"),
-    )
-    out = out.withColumn("duration", F.col("done") - F.col("started"))
+    """One row per run of a task: every START with the DONE that follows it, if the next line is one.
+
+    ``run`` counts from 1; ``status`` is open, done, or mismatch where the logged time differs from the measured one.
+    A task may be retried. Of lines of one moment, the end of an earlier run comes before a START, an end of no duration after it.
+    """
+    line = F.when(F.col("state") == "START", 1).when(F.coalesce("elapsed", F.lit(0)) > 0, 0).otherwise(2)
+    order = Window.partitionBy("task").orderBy("ts", line)
+    after = lambda c: F.when(F.lead("state").over(order) == "DONE", F.lead(c).over(order))
+    runs = log.select("task", "state", "ts", after("ts").alias("done"), after("elapsed").alias("logged"), F.sum(F.when(F.col("state") == "START", 1)).over(order).cast("int").alias("run"))
+    out = runs.filter("state = 'START'").select("task", "run", F.col("ts").alias("started"), "done", "logged").withColumn("duration", F.col("done") - F.col("started"))
     status = F.when(F.col("done").isNull(), "open").when(F.col("duration") == F.col("logged"), "done").otherwise("mismatch")
     return out.withColumn("status", status)

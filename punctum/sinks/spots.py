@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctum.functions.text import four_decimals
+from punctum.session import written
 
 
 def formatted(spots: DataFrame, axes, *keep: str) -> DataFrame:
@@ -23,9 +24,28 @@ def write_csv(spots: DataFrame, axes, path: str, single: bool = False) -> None:
     (out.coalesce(1) if single else out).write.option("header", True).csv(path)
 
 
-def write_csv_per_image(spots: DataFrame, axes, path: str) -> None:
-    """One folder per image. Rows are not gathered by image, so a hot image is written by many tasks."""
-    formatted(spots, axes, "image").write.partitionBy("image").option("header", True).csv(path)
+PART_SPOTS = 1_000_000
+
+
+def write_csv_per_image(spots: DataFrame, axes, path: str, images: DataFrame | None = None) -> None:
+    """A folder per image with CSV parts of about ``PART_SPOTS`` spots, each with the header.
+
+    The number of parts follows from the image's measured spots, so a hot image is written by several tasks and a small one by one. An
+    image of ``images`` without spots gets a part with the header alone.
+    """
+    counts = spots.groupBy("image").agg(F.count("*").alias("spots"))
+    if images is not None:
+        counts = images.select("image").distinct().join(counts, "image", "left")
+    parts = counts.select("image", F.greatest(F.lit(1), F.ceil(F.col("spots") / F.lit(PART_SPOTS))).cast("int").alias("parts"))
+    parts = written(parts.fillna(1, ["parts"]), "parts")
+    fields = [*axes, "t", "c", "intensity"]
+    line = F.concat_ws(",", *[F.col(f).cast("string") for f in fields])
+    body = formatted(spots, axes, "image").select("image", F.lit(1).alias("kind"), line.alias("value")).join(parts, "image")
+    body = body.withColumn("part", F.pmod(F.xxhash64("value"), F.col("parts")).cast("int"))
+    head = parts.select("image", F.lit(0).alias("kind"), F.lit(",".join(fields)).alias("value"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    lines = body.select("image", "part", "kind", "value").unionByName(head.select("image", "part", "kind", "value"))
+    ordered = lines.repartition("image", "part").sortWithinPartitions("image", "part", "kind")
+    ordered.select("image", "part", "value").write.partitionBy("image", "part").text(path)
 
 
 def schema(axes) -> str:
@@ -37,10 +57,28 @@ def read_csv(spark: SparkSession, path: str, axes) -> DataFrame:
 
 
 def read_csv_per_image(spark: SparkSession, path: str, axes) -> DataFrame:
-    out = spark.read.schema(schema(axes) + ", image string").option("header", True).csv(path)
+    out = spark.read.schema(schema(axes) + ", image string, part int").option("header", True).csv(path)
     return out.select("image", *axes, "t", "c", "intensity")
 
 
+def count_per_image(spark: SparkSession, path: str) -> DataFrame:
+    """``image, spots`` from the files themselves: lines without the headers, 0 for a header alone."""
+    lines = spark.read.schema("value string, image string, part int").text(path)
+    return lines.groupBy("image").agg(F.count_if(~F.col("value").startswith("x,")).alias("spots"))
+
+
 def write_manifests(texts: DataFrame, path: str) -> None:
     """One folder per chunk, each holding its task text."""
     texts.select("chunk", "text").write.partitionBy("chunk").text(path)
+
+
+def write_manifest_parts(entries: DataFrame, path: str, scalars: str | None = None, lines: int = 100_000) -> None:
+    """Manifests of any length: a folder per chunk, in it parts of ``lines`` entries in order, the scalars first.
+
+    ``entries`` has ``chunk, rn, txt``. No chunk is gathered in one row or one task.
+    """
+    head = entries.select("chunk").distinct().select("chunk", F.lit(0).cast("bigint").alias("part"), F.lit(-1).cast("bigint").alias("rn"), F.lit(scalars or "").alias("value"))
+    first = entries.groupBy("chunk").agg(F.min("rn").alias("least"))
+    body = entries.join(first, "chunk").select("chunk", F.expr(f"(rn - least) div {lines}").alias("part"), "rn", F.col("txt").alias("value"))
+    ordered = body.unionByName(head).repartition("chunk", "part").sortWithinPartitions("chunk", "part", "rn")
+    ordered.select("chunk", "part", "value").write.partitionBy("chunk", "part").text(path)

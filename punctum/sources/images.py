@@ -2,7 +2,8 @@
 
 chunk table   image, chunk_id, x0, y0[, z0], wx, wy[, wz], nx, ny[, nz], data ARRAY<FLOAT>
               one row per stored chunk; dimension 0 runs fastest in ``data``; a missing
-              chunk is all zero. Origins are plain columns, so a crop prunes row groups.
+              chunk is all zero. Stored tables also have the inclusive ends x1, y1[, z1], so a
+              crop is a range test on plain columns and skips row groups.
 line table    image, y[, z], nx, ny[, nz], line ARRAY<FLOAT>; one row per scan line along x.
 voxel table   image, x, y[, z], v DOUBLE, nx, ny[, nz]; one row per pixel.
 
@@ -74,9 +75,9 @@ def _dense(entries: str, n: str) -> str:
 
 
 def crop_chunks(chunks: DataFrame, axes, lo, hi) -> DataFrame:
-    """Chunks that touch the inclusive crop; the test on the origin columns reaches the scan."""
+    """Stored chunks that touch the inclusive crop; both bounds of every axis reach the scan."""
     for a, l, h in zip(axes, lo, hi):
-        chunks = chunks.filter((F.col(a + "0") <= h) & (F.col(a + "0") + F.col("w" + a) > l))
+        chunks = chunks.filter((F.col(a + "0") <= h) & (F.col(a + "1") >= l))
     return chunks
 
 
@@ -91,29 +92,37 @@ def voxels_of_chunks(chunks: DataFrame, axes) -> DataFrame:
     return out.selectExpr("image", *position, "CAST(v AS DOUBLE) AS v", *size_columns(axes))
 
 
-def line_table(voxels: DataFrame, axes) -> DataFrame:
-    """Scan lines along x. A line's length is one image width."""
-    others = [*axes[1:], *size_columns(axes)]
-    return voxels.groupBy("image", *others).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("x", F.col("v").cast("float").alias("v")))), lambda e: e["v"]).alias("line")
-    )
-
-
 def voxels_of_lines(lines: DataFrame, axes) -> DataFrame:
     others = [*axes[1:], *size_columns(axes)]
     out = lines.select("image", *others, F.posexplode("line").alias("x", "v"))
     return out.select("image", F.col("x").cast("bigint").alias("x"), *axes[1:], F.col("v").cast("double").alias("v"), *size_columns(axes))
 
 
-def write_images(table: DataFrame, path: str) -> None:
-    table.write.partitionBy("image").parquet(path)
+def chunk_schema(axes) -> str:
+    """Schema of stored chunk rows; given to every read, so that image names stay text."""
+    return ", ".join(
+        ["image string", "chunk_id bigint", *[f"{a}0 bigint" for a in axes], *[f"{a}1 bigint" for a in axes], *[f"w{a} int" for a in axes],
+         *[f"n{a} bigint" for a in axes], "data array<float>"])
+
+
+def line_schema(axes) -> str:
+    return ", ".join(["image string", *[f"{a} bigint" for a in axes[1:]], *[f"n{a} bigint" for a in axes], "line array<float>"])
+
+
+def write_images(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A folder per image; chunk rows get their inclusive ends and are ordered by origin, so row groups are compact."""
+    axes = [c[0] for c in table.columns if c in ("x0", "y0", "z0")]
+    if axes:
+        table = table.withColumns({a + "1": F.col(a + "0") + F.col("w" + a) - 1 for a in axes})
+        table = table.sortWithinPartitions("image", *[a + "0" for a in reversed(axes)])
+    table.write.mode(mode).partitionBy("image").parquet(path)
 
 
 def scan_images(spark: SparkSession, path: str, axes, layout: str = "chunks", crop=None) -> DataFrame:
     """Voxels of an image table on any file system Spark reads (``file:``, ``hdfs:``, ``s3a:``)."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout {layout!r} is not one of {LAYOUTS}")
-    table = spark.read.parquet(path).withColumn("image", F.col("image").cast("string"))
+    table = spark.read.schema(line_schema(axes) if layout == "lines" else chunk_schema(axes)).parquet(path)
     if layout == "lines":
         voxels = voxels_of_lines(table, axes)
     else:
@@ -128,10 +137,11 @@ def crop_voxels(voxels: DataFrame, axes, lo, hi) -> DataFrame:
 
 
 def dataset_meta(spark: SparkSession, path: str) -> DataFrame:
-    """Dataset attributes files (JSON): size, block size, pixel type, pixel size."""
-    return spark.read.schema(META).json(path, multiLine=True).withColumn("ndim", F.size("dimensions"))
+    """Dataset attributes files (JSON): size, block size, pixel type, pixel size; with ``image`` if they lie in a folder each."""
+    schema = T.StructType([*META.fields, T.StructField("image", T.StringType())])
+    return spark.read.schema(schema).json(path, multiLine=True).withColumn("ndim", F.size("dimensions"))
 
 
-def measured_size(voxels: DataFrame, axes) -> DataFrame:
-    """Size of every image from its pixels."""
-    return voxels.groupBy("image").agg(*[(F.max(a) + 1).alias("n" + a) for a in axes])
+def stored_size(rows: DataFrame, axes) -> DataFrame:
+    """Size of every image from the size columns of its chunk or line rows, without reading a pixel."""
+    return rows.groupBy("image").agg(*[F.max("n" + a).alias("n" + a) for a in axes])

@@ -21,3 +21,11 @@ def read_accept_list(spark: SparkSession, path: str) -> DataFrame:
     """Second field of a CSV list without its header line, quotes removed; commas always separate."""
     fields = spark.read.schema("first string, second string").option("header", True).option("quote", "").csv(path)
     return fields.select(F.replace("second", F.lit('"'), F.lit("")).alias("name"))
+
+
+def read_manifest_parts(spark: SparkSession, path: str) -> DataFrame:
+    """``chunk, input, output`` from manifests in parts: one pair a line."""
+    lines = spark.read.schema("value string, chunk bigint, part bigint").text(path).filter(F.col("value").startswith("-i "))
+    tokens = F.split("value", " ", -1)
+    checked = F.when((F.size(tokens) == 4) & (tokens[2] == "-o"), tokens[1]).otherwise(F.raise_error(F.concat(F.lit("not an input and an output: "), F.col("value"))).cast("string"))
+    return lines.select("chunk", checked.alias("input"), tokens[3].alias("output"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.functions import text
 from punctum.params import AXES
 from punctum.sources import images as img
 
@@ -109,13 +108,17 @@ def accept_names(spark, sf_dir) -> DataFrame:
 
 
 def time_log(spark, sf_dir) -> DataFrame:
-    """Log lines; every tenth task never finishes."""
+    """Log lines; every tenth task's first run never finishes, every fifteenth task runs again."""
     e = table(spark, sf_dir, "events").select("event_id", F.round(F.col("value") * 100).cast("bigint").alias("ms"))
     head = F.concat(F.lit("TimeLog:t"), F.col("event_id").cast("string"))
     start = F.concat(head, F.lit(";START;"), (F.col("event_id") * 1000).cast("string"))
     done = F.concat(head, F.lit(";DONE;"), (F.col("event_id") * 1000 + F.col("ms")).cast("string"), F.lit(";"), F.col("ms").cast("string"))
+    later = F.col("event_id") * 1000 + 500_000_000
+    retry = F.array(
+        F.concat(head, F.lit(";START;"), later.cast("string")),
+        F.concat(head, F.lit(";DONE;"), (later + 7).cast("string"), F.lit(";7")))
     lines = F.when(F.col("event_id") % 10 != 0, F.array(start, done)).otherwise(F.array(start))
-    return e.select(F.explode(lines).alias("line"))
+    return e.select(F.explode(F.when(F.col("event_id") % 15 == 0, F.concat(lines, retry)).otherwise(lines)).alias("line"))
 
 
 def spot_sets(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +130,3 @@ def spot_sets(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     first = e.select(i.alias("id"), x.alias("x"), y.alias("y"))
     second = e.filter(i % 11 != 0).select(i.alias("id"), (x + (i % 7) * F.lit(0.0023)).alias("x"), y.alias("y"))
     return first, second
-
-
-def accept_file_name(key):
-    return text.strip_channel_tag(text.file_name(key))

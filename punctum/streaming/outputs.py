@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctum.operators import progress
-from punctum.operators.detect import detect
 from punctum.params import SpotParams
-from punctum.session import scratch_path
+from punctum.plans.spots import detect_images
+from punctum.session import path_exists, scratch_path, written
+from punctum.sources.images import chunk_schema
 
 
 def count_outputs(finished: DataFrame, interval: str, target: str, checkpoint: str):
@@ -32,27 +35,37 @@ def output_count(spark: SparkSession, folder: str, schema: str, pattern: str = "
     target, checkpoint = scratch_path(spark, "poll-counts"), scratch_path(spark, "poll-state")
     finished = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
     count_outputs(finished.select("ts"), interval, target, checkpoint).awaitTermination()
-    return progress.poll_delta(spark.read.parquet(target))
+    if not path_exists(spark, target):  # no output yet
+        return spark.createDataFrame([], "poll timestamp, total bigint, processed bigint")
+    return progress.poll_delta(spark.read.parquet(target), interval)
+
+
+NAMES = 1000
 
 
-def detect_arrivals(spark: SparkSession, folder: str, schema: str, axes, params: SpotParams, target: str, checkpoint: str):
+def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams, target: str, checkpoint: str, skip_finished: bool = False):
     """Detect spots in images as their chunk files arrive, and only in those.
 
-    A batch names the images that changed; each is read whole from the chunk table and its output
-    partition replaced, so chunks that arrive late and batches that run twice both end right.
+    A batch names the images that changed. Each is read whole, by its folder, and gets a new version below
+    ``target``: spots by batch, and a row per image and batch, also for images without spots. ``arrived`` reads the
+    latest version of each image, so chunks that arrive late replace what was found before, and a batch that runs
+    twice writes the same folders. With ``skip_finished`` images that have a version are left alone.
     """
-    arrivals = spark.readStream.schema(schema).parquet(folder)
+    arrivals = spark.readStream.schema(chunk_schema(axes)).parquet(folder)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         changed = batch.select("image").distinct()
-        chunks = session.read.schema(schema).parquet(folder)
-        whole = chunks.join(changed, "image", "left_semi")
-        spots = detect(whole, axes, params)
-        (
-            spots.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("image").parquet(target)
-        )
+        if skip_finished:
+            earlier = versions(session, target).filter(F.col("batch") < batch_id)
+            changed = changed.join(earlier, "image", "left_anti")
+        changed = written(changed, "changed")
+        names, part = changed.orderBy("image").toLocalIterator(), 0
+        while group := [r.image for r in itertools.islice(names, NAMES)]:
+            chunks = session.read.schema(chunk_schema(axes)).parquet(folder).filter(F.col("image").isin(group))
+            detect_images(chunks, axes, params).write.mode("overwrite").parquet(f"{target}/spots/batch={batch_id}/part={part}")
+            part += 1
+        changed.write.mode("overwrite").parquet(f"{target}/images/batch={batch_id}")
 
     return (
         arrivals.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -60,8 +73,18 @@ def detect_arrivals(spark: SparkSession, folder: str, schema: str, axes, params:
     )
 
 
-def chunk_schema(axes) -> str:
-    return ", ".join(
-        ["image string", "chunk_id bigint", *[f"{a}0 bigint" for a in axes], *[f"w{a} int" for a in axes],
-         *[f"n{a} bigint" for a in axes], "data array<float>"]
-    )
+def versions(spark: SparkSession, target: str) -> DataFrame:
+    """``image, batch``: every finished version of every image."""
+    if not path_exists(spark, f"{target}/images"):
+        return spark.createDataFrame([], "image string, batch bigint")
+    return spark.read.schema("image string, batch bigint").parquet(f"{target}/images")
+
+
+def arrived(spark: SparkSession, target: str, axes) -> DataFrame:
+    """Spots of the latest version of every image."""
+    latest = versions(spark, target).groupBy("image").agg(F.max("batch").alias("batch"))
+    schema = "image string, block_id bigint, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint, batch bigint, part int".format(
+        ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes))
+    if not path_exists(spark, f"{target}/spots"):
+        return spark.createDataFrame([], schema).drop("batch", "part")
+    return spark.read.schema(schema).parquet(f"{target}/spots").join(latest, ["image", "batch"], "left_semi").drop("batch", "part")
