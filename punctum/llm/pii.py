@@ -86,8 +86,10 @@ BRACKETED = r"\s?[\[({{<]\s?{}\s?[\])}}>]\s?"
 DOT = rf"(?:{BRACKETED.format(r'(?:dot|\.)')}|\sdot\s)"
 AT = rf"(?:{BRACKETED.format(r'(?:at|@)')}|\sat\s)"
 DOTTED = re.compile(rf"(?i)(?<=[A-Za-z0-9]){DOT}(?=[A-Za-z0-9])")
-#: A bracketed at sign, or a plain one where a disguised dot follows; real mail signs stay as they are.
-ATTED = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:{BRACKETED.format(r'(?:at|@)')}(?=[A-Za-z0-9-]+(?:{DOT}|\.)[A-Za-z0-9])|\sat\s(?=[A-Za-z0-9-]+{DOT}[A-Za-z0-9]))")
+#: Ends of spelled-out addresses (fixed values): between plain words only these tell an address from prose.
+ENDS = "com|org|net|edu|gov|mil|info|biz|io|uk|eu"
+#: A bracketed at sign before a domain, or a plain one before a spelled-out domain; real mail signs stay as they are.
+ATTED = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:{BRACKETED.format(r'(?:at|@)')}(?=[A-Za-z0-9-]+(?:{DOT}|\.)[A-Za-z0-9])|\sat\s(?=[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)*?{DOT}(?:{ENDS})(?![A-Za-z0-9-])))")
 HINT = re.compile(r"(?i)[\[({<]\s?(?:at|dot|@|\.)\s?[\])}>]")
 SPLIT = bytes(c if bytes([c]).isalnum() else 32 for c in bytes(range(256)).lower())
 NUMBER_WORDS = frozenset(w.encode() for w in DIGITS)
@@ -155,8 +157,8 @@ def signs(tape: Tape) -> None:
 def found(text: str) -> list[tuple[str, int, int, bool]]:
     """``kind, start, end, added`` in code points, end exclusive, by kind and start.
 
-    Plain identifiers first. Then those of the rewritten text that need a rewritten character and
-    overlap nothing found before, mapped back to the source.
+    Plain identifiers first. Then those of the rewritten text that need a rewritten character, mapped back to the
+    source, unless they overlap one found before; a plain one of the same kind may lie inside, as a part of it.
     """
     spans = [(kind, a, b, False) for kind in KINDS for a, b in FINDERS[kind](text)]
     odd = not text.isascii() and ODD.search(text)
@@ -170,15 +172,17 @@ def found(text: str) -> list[tuple[str, int, int, bool]]:
     signs(tape)
     if not tape.edited.any():
         return spans
-    taken = np.zeros(len(text) + 1, bool)
-    for _, a, b, _ in spans:
-        taken[a:b] = True
+    owner = {kind: np.zeros(len(text) + 1, np.int32) for kind in KINDS}  # 1 + place of the span that covers a character
+    for n, (kind, a, b, _) in enumerate(spans, 1):
+        owner[kind][a:b] = n
     for kind in KINDS:
         for a, b in FINDERS[kind](tape.text):
             start, end = int(tape.start[a]), int(tape.end[b - 1])
-            if tape.edited[a:b].any() and not taken[start:end].any():
-                taken[start:end] = True
+            if not tape.edited[a:b].any() or any(owner[k][start:end].any() for k in KINDS if k != kind):
+                continue
+            if all(start <= x and y <= end and not added for _, x, y, added in (spans[n - 1] for n in np.unique(owner[kind][start:end]).tolist() if n)):
                 spans.append((kind, start, end, True))
+                owner[kind][start:end] = len(spans)
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
@@ -189,7 +193,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, spans``, one row for each row of ``docs``: personal data in code points of the text.
 
     Null and empty texts have none. Spans of different kinds may overlap where the plain text matches
-    both; spans that only the rewritten text shows (``added``) overlap nothing. Only ``doc_id`` and ``text`` are read.
+    both; spans that only the rewritten text shows (``added``) overlap nothing but plain parts of themselves.
+    Only ``doc_id`` and ``text`` are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

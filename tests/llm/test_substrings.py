@@ -58,3 +58,10 @@ def test_odd_rows(spark, odd, none, clashing):
     assert substrings.repeated_passages(none).count() == 0
     spans = {r.doc_id: (r.n_removed, sum(s.end - s.start for s in r.spans)) for r in substrings.repeated_passages(odd).collect()}
     assert all(a == b for a, b in spans.values())
+
+
+def test_repeated_rows_of_the_first_document(spark):
+    text, rows = prose(30, 7), []
+    rows = [(1, f"{text} {text}"), (1, f"{text} {text}"), (2, text), (2, text), (3, prose(25, 8))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    assert rows_of(substrings.repeated_passages(docs)) == brute(rows)
