@@ -10,7 +10,7 @@ from punctum.plans.queries import registry
 from punctum.session import local_session
 
 HEADLINE = [
-    "detect_blocks", "detect_blocks_3d", "detect_images", "detect_blocks_lsq", "spot_intensity",
+    "detect_blocks", "detect_blocks_3d", "detect_images", "detect_images_auto", "detect_blocks_lsq", "detect_blocks_multiconsensus", "spot_intensity",
     "gauss_smooth", "dog_anisotropic", "dog_peaks", "gradients", "background_ransac_mean",
     "scan_chunks", "halo_voxels", "spots_nearest", "spots_unmatched",
     "chunk_manifest", "pending_inputs", "poll_delta", "task_durations",
@@ -23,7 +23,7 @@ def main() -> None:
     spark = local_session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
     queries, seconds = registry(), {}
-    spark.read.parquet(f"{sf_dir}/region.parquet").count()
+    queries["detect_blocks"](spark, sf_dir).count()  # starts the Python workers and compiles code
     for name in HEADLINE:
         started = time.time()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

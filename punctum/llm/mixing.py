@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from punctum.llm.common import release, stored
+from punctum.llm.common import free_prefix, stored
 from punctum.operators.worklist import numbered
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -168,14 +168,16 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, fan: int = 64) -> DataFrame:
-    """``docs`` as the mix takes them: every row as many times as it has copies, numbered by ``copy`` from 1."""
+    """``docs`` as the mix takes them: every row as many times as it has copies, numbered by ``copy`` from 1
+    (``copy_`` and so on, where a column of ``docs`` begins like that)."""
     plan = copies(docs, weights, cap, fan).select("doc_id", "text_key", "source_key", "n", "base", "more", "extra")
-    plan = plan.select(*[F.col(c).alias(f"mix_{c}") for c in plan.columns])
-    rows = docs.alias("d")
-    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("mix_doc_id")) & (F.xxhash64("d.text") == F.col("mix_text_key")) & (source_key() == F.col("mix_source_key"))
+    mix_ = free_prefix(docs.columns, "mix_")
+    plan = plan.select(*[F.col(c).alias(mix_ + c) for c in plan.columns])
+    rows, of = docs.alias("d"), lambda c: F.col(mix_ + c)
+    on = F.col("d.doc_id").cast("long").eqNullSafe(of("doc_id")) & (F.xxhash64("d.text") == of("text_key")) & (source_key() == of("source_key"))
     met = rows.join(plan, on)
-    same = Window.partitionBy("mix_doc_id", "mix_text_key", "mix_source_key").orderBy("mix_n")
-    index = F.when(F.col("mix_n") > 1, F.row_number().over(same) - 1).otherwise(0)
-    times = F.col("mix_base") + F.when(F.col("mix_row") < F.col("mix_more"), 1).otherwise(F.when(F.col("mix_row") == F.col("mix_more"), F.col("mix_extra")).otherwise(0))
-    met = met.withColumn("mix_row", index).withColumn("mix_times", times).filter("mix_times > 0")
-    return met.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int"))).alias("copy"))
+    same = Window.partitionBy(of("doc_id"), of("text_key"), of("source_key")).orderBy(of("n"))
+    index = F.when(of("n") > 1, F.row_number().over(same) - 1).otherwise(0)
+    times = of("base") + F.when(of("row") < of("more"), 1).otherwise(F.when(of("row") == of("more"), of("extra")).otherwise(0))
+    met = met.withColumn(mix_ + "row", index).withColumn(mix_ + "times", times).filter(of("times") > 0)
+    return met.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), of("times").cast("int"))).alias(free_prefix(docs.columns, "copy")))

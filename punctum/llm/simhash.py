@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from punctum.llm.common import NO_ID, chunks, raw, stored
+from punctum.llm.common import NO_ID, chunks, free_prefix, raw, stored
 from punctum.llm.components import components
 
 BITS = 64
@@ -251,8 +251,9 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, prints
 def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies, with all its columns."""
     stays = near_copies(docs, words, similarity).filter("stays").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
-    stays = stored(stays.select(*[F.col(c).alias(f"near_{c}") for c in stays.columns]), "kept")
-    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("near_kept_id")) & (F.xxhash64("d.text") == F.col("near_kept_key"))
+    near_ = free_prefix(docs.columns, "near_")
+    stays = stored(stays.select(*[F.col(c).alias(near_ + c) for c in stays.columns]), "kept")
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col(near_ + "kept_id")) & (F.xxhash64("d.text") == F.col(near_ + "kept_key"))
     met = docs.alias("d").join(stays, on)
-    one = met.dropDuplicates(["near_kept_id", "near_kept_key"])
+    one = met.dropDuplicates([near_ + "kept_id", near_ + "kept_key"])
     return one.select(*[F.col(f"d.`{c}`") for c in docs.columns])
