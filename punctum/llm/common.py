@@ -26,19 +26,30 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back with its schema: lineage ends here."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back with its schema: lineage ends here.
+
+    Nothing reads the shuffle files of the write again, so they go as soon as it is done.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files of a table from ``stored`` that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def release(table: DataFrame) -> None:
+    """Delete a table from ``stored`` that nothing reads any more."""
+    target = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    target.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -60,5 +71,8 @@ def raw(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def digest_of(words: Column) -> Column:
-    return F.sha2(words.cast("binary"), 256)
+def free_prefix(names: list[str], wanted: str) -> str:
+    """``wanted``, longer by as many ``_`` as no given column name begins with it."""
+    while any(name.lower().startswith(wanted.lower()) for name in names):
+        wanted += "_"
+    return wanted

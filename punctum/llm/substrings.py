@@ -8,6 +8,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from punctum.llm.common import NO_ID, chunks, raw, release, stored
@@ -38,9 +39,10 @@ def _anchors(text: bytes, window: int, period: int) -> tuple[int, str, bytes, np
 
 
 def scanned(docs: DataFrame, window: int, period: int) -> DataFrame:
-    """One row per row: words, their digest, and the hashes at the cover positions in order."""
+    """One row per row, numbered: words, their digest, and the hashes at the cover positions in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
         for batch in chunks(batches):
             counts, digests, keys, anchors, again = [], [], [], [], []
             for text in raw(batch.column("text")):
@@ -50,9 +52,11 @@ def scanned(docs: DataFrame, window: int, period: int) -> DataFrame:
                 values, seen = np.unique(hashes, return_counts=True)
                 anchors.append(hashes), again.append(values[seen > 1])
             arrays = [pa.array(counts, pa.int64()), pa.array(digests), pa.array(keys, pa.int64()), pa.array(anchors, pa.list_(pa.int64())), pa.array(again, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *arrays], ["doc_id", "text_key", "n_words", "words_sha", "words_key", "anchors", "again"])
+            row = pa.array(np.arange(batch.num_rows) + number)
+            number += batch.num_rows
+            yield pa.RecordBatch.from_arrays([row, batch.column("doc_id"), batch.column("text_key"), *arrays], ["row", "doc_id", "text_key", "n_words", "words_sha", "words_key", "anchors", "again"])
 
-    schema = "doc_id long, text_key long, n_words long, words_sha string, words_key long, anchors array<long>, again array<long>"
+    schema = "row long, doc_id long, text_key long, n_words long, words_sha string, words_key long, anchors array<long>, again array<long>"
     return keyed(docs).mapInArrow(run, schema)
 
 
@@ -88,7 +92,7 @@ def _extended(window: int, period: int):
                 rest[one] = False
                 high.append(hashes[one, 0]), low.append(hashes[one, 1]), first.append(starts[one].astype(np.int32)), later.append(starts[rest].astype(np.int32))
             longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-            names = ["doc_id", "words_sha", "text"]
+            names = ["row", "doc_id", "text"]
             arrays = [pa.array(high, longs), pa.array(low, longs), pa.array(first, ints), pa.array(later, ints)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *arrays], [*names, "high", "low", "first", "later"])
 
@@ -111,7 +115,7 @@ def _kept(window: int):
                 removed.append(int(gone.sum()))
                 digests.append(sha256(b" ".join([w for w, g in zip(words, gone.tolist()) if not g])).hexdigest())
             pairs = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([batch.column("words_sha"), pairs, pa.array(removed, pa.int64()), pa.array(digests)], ["words_sha", "spans", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pairs, pa.array(removed, pa.int64()), pa.array(digests)], ["row", "spans", "n_removed", "kept_sha256"])
 
     return run
 
@@ -134,29 +138,32 @@ def repeated_passages(docs: DataFrame, window: int = 20, period: int = 13) -> Da
     if period not in COVERS or window - period < 1:
         raise ValueError(f"period must be one of {sorted(COVERS)} and below window")
     scan = stored(scanned(docs, window, period), "anchors")
-    least = F.min(F.struct("doc_id", "text_key")).alias("least")
-    texts = stored(scan.groupBy("words_sha").agg(least, F.first("n_words").alias("n_words")).select("words_sha", "least.*", "n_words"), "texts")
+    rows = stored(scan.select("row", "doc_id", "text_key", "n_words", "words_sha"), "rows")
+    first = F.min(F.struct("doc_id", "text_key", "row")).alias("least")
+    texts = stored(rows.groupBy("words_sha").agg(first).select("words_sha", "least.*"), "texts")
     once = scan.select("words_key", F.explode("anchors").alias("hash"))
     twice = scan.select((F.col("words_key") + 1).alias("words_key"), F.explode("again").alias("hash"))
     ends = once.union(twice).groupBy("hash").agg(F.min("words_key").alias("low"), F.max("words_key").alias("high"))
     shared = stored(ends.filter("low <> high").select("hash"), "shared")
-    every = scan.select("doc_id", "text_key", F.posexplode("anchors").alias("place", "hash"))
-    flagged = every.join(shared, "hash", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("flagged"))
-    own = texts.filter(F.col("n_words") >= window).select("doc_id", "text_key", "words_sha")
-    flagged = stored(flagged.join(own, ["doc_id", "text_key"]), "flagged")
-    wide = keyed(docs).join(flagged, ["doc_id", "text_key"]).select("doc_id", "words_sha", "text", "flagged")
-    windows = stored(wide.mapInArrow(_extended(window, period), "doc_id long, words_sha string, text string, high array<long>, low array<long>, first array<int>, later array<int>"), "windows")
-    release(shared), release(flagged)
-    one = windows.select("doc_id", "words_sha", F.explode(F.arrays_zip("high", "low", "first")).alias("w")).select("doc_id", "words_sha", "w.*")
-    earliest = one.groupBy("high", "low").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest")).filter("earliest < latest").drop("latest")
-    gone = one.join(earliest, ["high", "low"]).filter("earliest < doc_id").select("words_sha", F.col("first").alias("at"))
-    gone = gone.union(windows.select("words_sha", F.explode("later").alias("at")))
-    starts = stored(gone.groupBy("words_sha").agg(F.collect_set("at").alias("starts")), "starts")
-    kept = windows.select("words_sha", "text").join(starts, "words_sha").mapInArrow(_kept(window), f"words_sha string, spans {SPANS}, n_removed long, kept_sha256 string")
-    kept = stored(kept.dropDuplicates(["words_sha"]), "kept")
+    every = scan.select("row", F.posexplode("anchors").alias("place", "hash"))
+    flagged = every.join(shared, "hash", "left_semi").groupBy("row").agg(F.collect_set("place").alias("flagged"))
+    flagged = stored(flagged.join(texts.drop("words_sha"), "row"), "flagged")
+    release(scan), release(shared)
+    wide = keyed(docs).join(flagged, ["doc_id", "text_key"]).select("row", "doc_id", "text", "flagged")
+    windows = stored(wide.mapInArrow(_extended(window, period), "row long, doc_id long, text string, high array<long>, low array<long>, first array<int>, later array<int>"), "windows")
+    release(flagged)
+    one = windows.select("row", "doc_id", F.explode(F.arrays_zip("high", "low", "first")).alias("w")).select("row", "doc_id", "w.*")
+    earliest = one.groupBy("high", "low").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
+    earliest = stored(earliest.filter("earliest < latest").drop("latest"), "earliest")
+    gone = one.join(earliest, ["high", "low"]).filter("earliest < doc_id").select("row", F.col("first").alias("at"))
+    gone = gone.union(windows.select("row", F.explode("later").alias("at")))
+    starts = stored(gone.groupBy("row").agg(F.collect_set("at").alias("starts")), "starts")
+    release(earliest)
+    kept = windows.select("row", "text").join(starts, "row").mapInArrow(_kept(window), f"row long, spans {SPANS}, n_removed long, kept_sha256 string")
+    kept = stored(kept.dropDuplicates(["row"]), "kept")  # repeated rows of one id share their row
     release(windows), release(starts)
-    rows = scan.select("words_sha", F.col("doc_id").alias("own_id"), F.col("n_words").alias("n"))
-    found = rows.join(texts.select("words_sha", "doc_id"), "words_sha").join(kept, "words_sha", "left")
+    own = rows.select("words_sha", F.col("doc_id").alias("own_id"), F.col("n_words").alias("n"))
+    found = own.join(texts.select("words_sha", "doc_id", "row"), "words_sha").join(kept, "row", "left")
     copy, none = (F.col("own_id") > F.col("doc_id")) & (F.col("n") >= window), F.sha2(F.lit("").cast("binary"), 256)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("end")))
     return found.select(
