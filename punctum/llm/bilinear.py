@@ -22,7 +22,7 @@ CLASSES = 512
 WIDTH = 24
 NOISE = 32
 BATCH = 4096
-FLUSH = 200_000
+FLUSH = 100_000
 SEED = 20_011
 
 
@@ -34,7 +34,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=1 << 20):
             for text in raw(batch.column("text")):
                 counts.update(text.lower().split())
             counts[END] += batch.num_rows
@@ -81,10 +81,22 @@ class Lexicon:
 
 
 def lexicon(counts: DataFrame, listed: int = LISTED, classes: int = CLASSES) -> Lexicon:
-    """The end first, then the most frequent words of at most ``LISTED_BYTES`` bytes: a bounded list."""
+    """The end first, then the most frequent words of at most ``LISTED_BYTES`` bytes: a bounded list.
+
+    A histogram over logarithms of the counts gives the smallest count of which all words fit, so the driver never gets more
+    than the list, whatever the number of tasks.
+    """
     tokens, distinct = counts.agg(F.sum("c"), F.count("*")).first()
-    short = counts.filter((F.length("word") <= LISTED_BYTES) & (F.col("word") != F.lit(END))).orderBy(F.desc("c"), "word").limit(listed - 1)
-    rows = [(bytes(r["word"]), r["c"]) for r in short.collect()]
+    step = F.floor(F.log2("c") * 16).cast("int")
+    short = counts.filter((F.length("word") <= LISTED_BYTES) & (F.col("word") != F.lit(END))).withColumn("step", step)
+    have, least = 0, None
+    for at, n in sorted(((r[0], r[1]) for r in short.groupBy("step").count().collect()), reverse=True):
+        have += n
+        if have > listed - 1:
+            break
+        least = at
+    found = short.filter(F.col("step") >= least).select("word", "c").collect() if least is not None else []
+    rows = sorted(((bytes(r["word"]), r["c"]) for r in found), key=lambda r: (-r[1], r[0]))
     ends = counts.filter(F.col("word") == F.lit(END)).select("c").first()
     rows = [(END, ends[0] if ends else 0), *rows]
     classes = min(classes, len(rows) + 1)
