@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from punctum.llm.common import free_prefix, stored
+from punctum.llm.common import NO_ID, free_prefix, stored
 from punctum.operators.worklist import numbered
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -173,11 +173,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0,
     plan = copies(docs, weights, cap, fan).select("doc_id", "text_key", "source_key", "n", "base", "more", "extra")
     mix_ = free_prefix(docs.columns, "mix_")
     plan = plan.select(*[F.col(c).alias(mix_ + c) for c in plan.columns])
-    rows, of = docs.alias("d"), lambda c: F.col(mix_ + c)
-    on = F.col("d.doc_id").cast("long").eqNullSafe(of("doc_id")) & (F.xxhash64("d.text") == of("text_key")) & (source_key() == of("source_key"))
-    met = rows.join(plan, on)
-    same = Window.partitionBy(of("doc_id"), of("text_key"), of("source_key")).orderBy(of("n"))
+    of, keys = lambda c: F.col(mix_ + c), [mix_ + c for c in ("doc_id", "text_key", "source_key")]
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NO_ID))
+    rows = docs.withColumns({keys[0]: key("doc_id"), keys[1]: F.xxhash64("text"), keys[2]: source_key()})
+    # The join and the numbering of equal rows share one shuffle.
+    met = rows.join(plan.withColumn(keys[0], key(keys[0])), keys)
+    same = Window.partitionBy(*keys).orderBy(of("n"))
     index = F.when(of("n") > 1, F.row_number().over(same) - 1).otherwise(0)
     times = of("base") + F.when(of("row") < of("more"), 1).otherwise(F.when(of("row") == of("more"), of("extra")).otherwise(0))
     met = met.withColumn(mix_ + "row", index).withColumn(mix_ + "times", times).filter(of("times") > 0)
-    return met.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), of("times").cast("int"))).alias(free_prefix(docs.columns, "copy")))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), of("times").cast("int"))).alias(free_prefix(docs.columns, "copy")))

@@ -158,7 +158,7 @@ def _majority(hashes: np.ndarray, count: int) -> np.ndarray:
 
 
 def sketch(text: bytes, words: int, prints: int, known: dict[bytes, int], digest=xxhash.xxh64_intdigest) -> tuple[int, np.ndarray, np.ndarray]:
-    """Key of the word sequence, ``prints`` fingerprints of its words, and a code of as many words of its shingles."""
+    """Key of the word sequence, ``prints`` fingerprints of its distinct words, and a code of as many words of its shingles."""
     tokens = text.lower().split()
     joined = b" ".join(tokens)
     key = int.from_bytes(sha256(joined).digest()[:8], "big", signed=True)
@@ -170,7 +170,8 @@ def sketch(text: bytes, words: int, prints: int, known: dict[bytes, int], digest
     k = min(words, len(tokens))
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(tokens) - k + 1].tolist()
     shingles = np.frombuffer(b"".join([xxhash.xxh64_digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist())]), ">u8").astype(np.uint64)
-    return key, _majority(np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens)), prints), _majority(shingles, prints)
+    distinct = set(tokens)
+    return key, _majority(np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct)), prints), _majority(shingles, prints)
 
 
 def sketches(docs: DataFrame, words: int, prints: int) -> DataFrame:
@@ -212,8 +213,8 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, prints
     smallest text key; of wholly equal rows all are marked).
 
     64 bits of shingles are too few to find similarity 0.8 by a small distance: there about one bit in seven differs.
-    So candidates share words: a text has ``prints`` independent fingerprints of its words, and two texts are
-    candidates if one of these is within ``max_bits``, by the same pigeonring links. The full Hamming check
+    So candidates share words: a text has ``prints`` independent fingerprints of its distinct words (with repeats, the frequent
+    words of a language would bring strangers together), and two texts are candidates if one of these is within ``max_bits``, by the same pigeonring links. The full Hamming check
     is on a code of ``64 * prints`` bits of their shingles: at most the share of differing bits, angle / pi, that shingle
     sets of a similarity lower by ``SLACK`` have. The shingles of the few texts left decide exactly. Texts of equal
     words are one node; texts of an equal fingerprint meet at their smallest, so a group of thousands
@@ -253,7 +254,7 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Da
     stays = near_copies(docs, words, similarity).filter("stays").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
     near_ = free_prefix(docs.columns, "near_")
     stays = stored(stays.select(*[F.col(c).alias(near_ + c) for c in stays.columns]), "kept")
-    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col(near_ + "kept_id")) & (F.xxhash64("d.text") == F.col(near_ + "kept_key"))
-    met = docs.alias("d").join(stays, on)
-    one = met.dropDuplicates([near_ + "kept_id", near_ + "kept_key"])
-    return one.select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    keys = [near_ + "kept_id", near_ + "kept_key"]
+    rows = docs.withColumns({keys[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), keys[1]: F.xxhash64("text")})
+    # The join and the removal of repeated rows share one shuffle.
+    return rows.join(stays.withColumn(keys[0], F.coalesce(keys[0], F.lit(NO_ID))), keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
