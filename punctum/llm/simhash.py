@@ -8,16 +8,16 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from punctum.llm.common import NO_ID, chunks, free_prefix, raw, stored
+from punctum.llm.common import NO_ID, chunks, free_prefix, raw, release, stored
 from punctum.llm.components import components
 
 BITS = 64
 SEED = 42
 SLICE = 1 << 15
-#: How far below the wanted similarity the estimate of a pair may lie for its shingles to be compared.
-SLACK = 0.1
+#: Bits of the parity of a set of shingles.
+PARITY = 512
 
 
 def fingerprint(text: bytes, words: int, digest=xxhash.xxh64_digest) -> int:
@@ -138,113 +138,130 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket:
     return prints.join(member, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")
 
 
-def _spread(hashes: np.ndarray, count: int) -> np.ndarray:
-    """``count`` further 64-bit hashes of each hash, as bytes, most significant first."""
-    out = np.empty((len(hashes), count), np.uint64)
-    for n in range(count):
-        h = hashes + np.uint64((0x9E3779B97F4A7C15 * (n + 1)) % (1 << BITS))
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out[:, n] = h ^ (h >> np.uint64(31))
-    return out.astype(">u8").view(np.uint8)
-
-
-def _majority(hashes: np.ndarray, count: int) -> np.ndarray:
-    """``count`` SimHash words over all hashes."""
-    votes = np.zeros(BITS * count, np.int64)
-    for at in range(0, len(hashes), SLICE // 4):
-        votes += np.unpackbits(_spread(hashes[at : at + SLICE // 4], count), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(votes * 2 > len(hashes)).view(">i8").astype(np.int64)
-
-
-def sketch(text: bytes, words: int, prints: int, known: dict[bytes, int], digest=xxhash.xxh64_intdigest) -> tuple[int, np.ndarray, np.ndarray]:
-    """Key of the word sequence, ``prints`` fingerprints of its distinct words, and a code of as many words of its shingles."""
+def hashed_shingles(text: bytes, words: int) -> np.ndarray:
+    """The distinct hashed shingles of a text, ascending; fewer words than a shingle make one, none without words."""
     tokens = text.lower().split()
-    joined = b" ".join(tokens)
-    key = int.from_bytes(sha256(joined).digest()[:8], "big", signed=True)
     if not tokens:
-        return key, np.zeros(prints, np.int64), np.zeros(prints, np.int64)
-    for token in set(tokens).difference(known):
-        known[token] = digest(token, SEED)
+        return np.empty(0, np.int64)
+    joined, k = b" ".join(tokens), min(words, len(tokens))
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-    k = min(words, len(tokens))
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(tokens) - k + 1].tolist()
-    shingles = np.frombuffer(b"".join([xxhash.xxh64_digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist())]), ">u8").astype(np.uint64)
-    distinct = set(tokens)
-    return key, _majority(np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct)), prints), _majority(shingles, prints)
+    digest = xxhash.xxh64_digest
+    return np.unique(np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist())]), np.int64))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
+
+
+def frequent(docs: DataFrame, words: int, part: int = 16, least: int = 4, most: int = 1 << 18) -> np.ndarray:
+    """Shingles met ``least`` times or more in one of ``part`` texts, at most the ``most`` commonest, ascending.
+
+    They only come last in the order of ``prefix``: whichever they are, no pair is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([hashed_shingles(t, words) for t in raw(batch.column("text"))]))], ["shingle"])
+
+    some = _texts(docs).filter(F.pmod("text_key", F.lit(part)) == 0).select("text").mapInArrow(run, "shingle long")
+    counted = some.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return np.sort(counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy().astype(np.int64))
+
 
+def prefix(shingles: np.ndarray, similarity: float, last: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in an order that all sets share: those of ``last`` (ascending) at the end, else by value.
 
-def sketches(docs: DataFrame, words: int, prints: int) -> DataFrame:
-    """``doc_id, text_key, node, prints, code`` for every row; a null id is ``NO_ID``."""
+    Of two sets with the similarity, each has the share ``similarity`` in common with the other. So if each leaves out one
+    shingle less than that from the end of the order, what is left has a shingle in common.
+    """
+    size = len(shingles)
+    count = min(size, size - int(np.ceil(similarity * size - 1e-9)) + 1)
+    if len(last):
+        late = last[np.minimum(np.searchsorted(last, shingles), len(last) - 1)] == shingles
+        shingles = np.concatenate((shingles[~late], shingles[late]))
+    return shingles[:count]
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """``PARITY`` bits: whether an odd number of the shingles falls on each. Two sets differ in as many shingles at least as in bits."""
+    return np.packbits(np.bincount(shingles.view(np.uint64) >> np.uint64(BITS - 9), minlength=PARITY).astype(np.uint8) & 1).view(np.int64)
+
+
+def sketches(docs: DataFrame, words: int, similarity: float, last) -> DataFrame:
+    """``doc_id, text_key, node, size, keys, parity`` for every row; a null id is ``NO_ID``, texts of equal words have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            known: dict[bytes, int] = {}
-            keys, heads, codes = zip(*[sketch(t, words, prints, known) for t in raw(batch.column("text"))])
+            sets = [hashed_shingles(t, words) for t in raw(batch.column("text"))]
+            nodes = [int.from_bytes(sha256(b" ".join(t.lower().split())).digest()[:8], "big", signed=True) for t in raw(batch.column("text"))]
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.int64()), pa.array(heads, longs), pa.array(codes, longs)], ["doc_id", "text_key", "node", "prints", "code"])
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
+                pa.array([prefix(s, similarity, last.value) for s in sets], longs), pa.array(list(map(parity, sets)), longs)], ["doc_id", "text_key", "node", "size", "keys", "parity"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, node long, prints array<long>, code array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, parity array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``node, shingles``: the distinct hashed shingles of the texts of ``wanted (node, doc_id, text_key)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_digest
         for batch in chunks(batches):
-            sets = []
-            for text in raw(batch.column("text")):
-                tokens = text.lower().split()
-                k = min(words, len(tokens))
-                hashes = b"".join([digest(b" ".join(tokens[i : i + k]), SEED) for i in range(len(tokens) - k + 1)]) if k else b""
-                sets.append(np.unique(np.frombuffer(hashes, np.int64)))
+            sets = [hashed_shingles(t, words) for t in raw(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    met = rows.join(wanted, ["doc_id", "text_key"]).select("node", "text")
+    met = _texts(docs).join(wanted, ["doc_id", "text_key"]).select("node", "text")
     return met.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, prints: int = 8, max_bits: int = 2, bucket: int = 64) -> DataFrame:
-    """``doc_id, text_key, stays``, one row for each row of ``docs``: groups of texts that agree in ``similarity``
-    of their ``words``-word shingles, and the one row of each group that stays (smallest id, null ids last, then
-    smallest text key; of wholly equal rows all are marked).
+def _possible(similarity: float, a: str, b: str) -> str:
+    """SQL: sizes and parities allow the similarity; false only for pairs below it."""
+    sizes = f"({a}.size + {b}.size)"
+    off = " + ".join(f"bit_count({a}.parity[{n}] ^ {b}.parity[{n}])" for n in range(PARITY // BITS))
+    return f"least({a}.size, {b}.size) >= {similarity} * greatest({a}.size, {b}.size) - 1e-9 AND {off} <= {(1 - similarity) / (1 + similarity)} * {sizes} + 1e-9"
 
-    64 bits of shingles are too few to find similarity 0.8 by a small distance: there about one bit in seven differs.
-    So candidates share words: a text has ``prints`` independent fingerprints of its distinct words (with repeats, the frequent
-    words of a language would bring strangers together), and two texts are candidates if one of these is within ``max_bits``, by the same pigeonring links. The full Hamming check
-    is on a code of ``64 * prints`` bits of their shingles: at most the share of differing bits, angle / pi, that shingle
-    sets of a similarity lower by ``SLACK`` have. The shingles of the few texts left decide exactly. Texts of equal
-    words are one node; texts of an equal fingerprint meet at their smallest, so a group of thousands
-    of copies gives one candidate pair a text.
-    """
-    lower = max(0.0, similarity - SLACK)
-    most = int(BITS * prints * np.arccos(2 * lower / (1 + lower)) / np.pi)
-    rows = stored(sketches(docs, words, prints), "sketches")
-    whole = F.min(F.struct("doc_id", "text_key")).alias("least")
-    nodes = stored(rows.groupBy("node").agg(whole, F.first("prints").alias("prints"), F.first("code").alias("code")), "nodes")
-    values = nodes.select("node", F.posexplode("prints").alias("which", "fingerprint"))
-    centres = stored(values.groupBy("which", "fingerprint").agg(F.min("node").alias("centre"), F.count("*").alias("n")), "centres")
-    met = values.join(centres.filter("n > 1"), ["which", "fingerprint"]).filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
-    near = links(centres.select("which", "fingerprint"), max_bits, bucket)
-    centre = lambda c: centres.select("which", F.col("fingerprint").alias(c), F.col("centre").alias(f"centre_{c}"))
-    near = near.join(centre("a"), ["which", "a"]).join(centre("b"), ["which", "b"]).select(F.col("centre_a").alias("a"), F.col("centre_b").alias("b"))
-    pairs = stored(met.union(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "pairs")
-    code = lambda c: nodes.select(F.col("node").alias(c), F.col("code").alias(f"code_{c}"))
-    off = " + ".join(f"bit_count(code_a[{n}] ^ code_b[{n}])" for n in range(prints))
-    close = stored(pairs.join(code("a"), "a").join(code("b"), "b").filter(F.expr(f"{off} <= {most}")).select("a", "b"), "close")
+
+def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs of ``close (a, b)`` that have the similarity, by their shingles."""
     wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct().join(nodes.select("node", "least.*"), "node")
     sets = stored(shingle_sets(docs, stored(wanted, "wanted"), words), "shingles")
     of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = close.join(of("a"), "a").join(of("b"), "b")
     common, every = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
-    roots = components(both.filter(common * (1 + similarity) >= every * similarity - 1e-9).select("a", "b"))
+    both = close.join(of("a"), "a").join(of("b"), "b")
+    found = stored(both.filter(common * (1 + similarity) >= every * similarity - 1e-9).select("a", "b"), "similar")
+    release(sets)
+    return found
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``doc_id, text_key, stays``, one row for each row of ``docs``: groups of texts that agree in ``similarity``
+    of their distinct ``words``-word shingles, and the one row of each group that stays (smallest id, null ids last, then
+    smallest text key; of wholly equal rows all are marked).
+
+    Texts with the similarity share a shingle of their prefixes.
+    Texts of equal words are one node. First each node is compared with the smallest one under each shingle of its prefix,
+    which joins most copies in one comparison a text. Sizes and parities rule out pairs without a loss, the shingles decide.
+    """
+    last = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
+    full = stored(sketches(docs, words, similarity, last), "sketches")
+    nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("keys").alias("keys")), "nodes")
+    rows = stored(full.select("doc_id", "text_key", "node"), "rows")
+    release(full)
+    # One shuffle; a window may spill, so a shingle of any number of texts needs no memory.
+    of_key = Window.partitionBy("key")
+    met = nodes.select("node", F.explode("keys").alias("key")).select("key", "node", F.min("node").over(of_key).alias("centre"), F.max("node").over(of_key).alias("other"))
+    met = stored(met.filter("centre < other").drop("other"), "met")
+    light = nodes.select("node", "size", "parity")
+    side = lambda c: light.withColumnRenamed("node", c).alias(c)
+    pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    close = pairs.join(side("a"), "a").join(side("b"), "b").filter(_possible(similarity, "a", "b")).select("a", "b")
+    sure = _similar(docs, nodes, stored(close, "close"), words, similarity)
+    roots = components(sure)
     grouped = nodes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = grouped.groupBy("root").agg(F.min("least").alias("first"))
     stays = stored(grouped.join(first, "root").filter("least = first").select("node", "first"), "stays")
-    found = rows.select("doc_id", "text_key", "node").join(stays, "node", "left")
+    found = rows.join(stays, "node", "left")
     here = F.coalesce(F.struct("doc_id", "text_key") == F.col("first"), F.lit(False))
     return found.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "text_key", here.alias("stays"))
 

@@ -117,3 +117,41 @@ def test_deduplicated_odd_rows(spark, odd, none, clashing):
     assert simhash.deduplicated(none).count() == 0
     assert simhash.deduplicated(clashing).columns == clashing.columns
     assert simhash.deduplicated(clashing).count() == len(ids)
+
+
+def jaccard_groups(texts, similarity=0.8, k=5):
+    """Smallest index reachable over pairs of the similarity, all pairs compared."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        n = min(k, len(words))
+        sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set())
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or common * (1 + similarity) >= similarity * (len(sets[i]) + len(sets[j])) - 1e-9:
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def kept_of(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    return sorted(r.doc_id for r in simhash.deduplicated(docs).collect())
+
+
+def test_short_edited_and_lengthened_copies_are_found(spark):
+    texts = []
+    for g in range(40):
+        words = prose(30 + 10 * (g % 5), 3000 + g).split()
+        texts += [" ".join(words), " ".join([*words[:-1], "changed"]), " ".join([*words, *prose(len(words) // 8, 4000 + g).split()])]
+    tops = jaccard_groups(texts)
+    assert len(set(tops)) == 40
+    assert kept_of(spark, texts) == sorted(set(tops))
