@@ -234,14 +234,30 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
     return found
 
 
+def _across(met: DataFrame, light: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of ``met (key, node)`` that share a key, belong to different ``roots`` and may have the similarity.
+
+    The largest group under a key only meets the others, so a node beside a large group makes as many pairs as the group has nodes.
+    """
+    labelled = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    groups = labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
+    open_ = labelled.join(groups.filter("groups > 1").select("key", F.col("main.root").alias("main")), "key").join(light, "node")
+    open_ = stored(open_, "open")
+    a, b = open_.filter("root <> main").alias("a"), open_.alias("b")
+    apart = "a.key = b.key AND a.root <> b.root AND (b.root = b.main OR a.node < b.node)"
+    met = a.join(b, F.expr(f"{apart} AND {_possible(similarity, 'a', 'b')}")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, text_key, stays``, one row for each row of ``docs``: groups of texts that agree in ``similarity``
     of their distinct ``words``-word shingles, and the one row of each group that stays (smallest id, null ids last, then
     smallest text key; of wholly equal rows all are marked).
 
-    Texts with the similarity share a shingle of their prefixes.
+    The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes.
     Texts of equal words are one node. First each node is compared with the smallest one under each shingle of its prefix,
-    which joins most copies in one comparison a text. Sizes and parities rule out pairs without a loss, the shingles decide.
+    which joins most copies in one comparison a text. What then still shares a shingle across groups is compared too, pair by pair;
+    inside a group no more pairs are needed. Sizes and parities rule out pairs without a loss, the shingles decide.
     """
     last = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     full = stored(sketches(docs, words, similarity, last), "sketches")
@@ -258,6 +274,9 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     close = pairs.join(side("a"), "a").join(side("b"), "b").filter(_possible(similarity, "a", "b")).select("a", "b")
     sure = _similar(docs, nodes, stored(close, "close"), words, similarity)
     roots = components(sure)
+    more = _similar(docs, nodes, stored(_across(met.select("key", "node"), light, roots, similarity), "across"), words, similarity)
+    if not more.isEmpty():
+        roots = components(sure.union(more))
     grouped = nodes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = grouped.groupBy("root").agg(F.min("least").alias("first"))
     stays = stored(grouped.join(first, "root").filter("least = first").select("node", "first"), "stays")

@@ -155,3 +155,23 @@ def test_short_edited_and_lengthened_copies_are_found(spark):
     tops = jaccard_groups(texts)
     assert len(set(tops)) == 40
     assert kept_of(spark, texts) == sorted(set(tops))
+
+
+def test_texts_meet_though_the_first_under_their_words_resembles_neither(spark, monkeypatch):
+    forward = [f"q{n}" for n in range(100)]
+    texts = [" ".join(reversed(forward)), " ".join(forward), " ".join([*forward, "q0"])]
+    line = prose(14, 77).split()
+    for g in range(12):
+        words = prose(36, 5000 + g).split()
+        texts += [" ".join([*line, *words]), " ".join([*line, *words[:-1], "other"]), " ".join([*line, *words[:-4], *prose(4, 6000 + g).split()])]
+    tops = jaccard_groups(texts)
+    assert tops[1] == tops[2] != tops[0]
+    assert kept_of(spark, texts) == sorted(set(tops))
+
+
+def test_pairs_across_groups_under_one_shingle(spark):
+    """A chain of windows over one text: neighbours are near, the smallest node is near few."""
+    words = prose(400, 88).split()
+    texts = [" ".join(words[n : n + 100]) for n in range(0, 300, 7)]
+    tops = jaccard_groups(texts)
+    assert kept_of(spark, texts) == sorted(set(tops))
