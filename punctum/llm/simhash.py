@@ -189,12 +189,12 @@ def parity(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, last) -> DataFrame:
-    """``doc_id, text_key, node, size, keys, parity`` for every row; a null id is ``NO_ID``, texts of equal words have one node."""
+    """``doc_id, text_key, node, size, keys, parity`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = [hashed_shingles(t, words) for t in raw(batch.column("text"))]
-            nodes = [int.from_bytes(sha256(b" ".join(t.lower().split())).digest()[:8], "big", signed=True) for t in raw(batch.column("text"))]
+            nodes = [int.from_bytes(sha256(s.tobytes()).digest()[:8], "big", signed=True) for s in sets]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
@@ -255,7 +255,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     smallest text key; of wholly equal rows all are marked).
 
     The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes.
-    Texts of equal words are one node. First each node is compared with the smallest one under each shingle of its prefix,
+    Texts of equal shingles are one node. First each node is compared with the smallest one under each shingle of its prefix,
     which joins most copies in one comparison a text. What then still shares a shingle across groups is compared too, pair by pair;
     inside a group no more pairs are needed. Sizes and parities rule out pairs without a loss, the shingles decide.
     """

@@ -175,3 +175,19 @@ def test_pairs_across_groups_under_one_shingle(spark):
     texts = [" ".join(words[n : n + 100]) for n in range(0, 300, 7)]
     tops = jaccard_groups(texts)
     assert kept_of(spark, texts) == sorted(set(tops))
+
+
+def test_repeats_do_not_tell_texts_of_equal_shingles_apart(spark):
+    words, line = prose(300, 91), prose(10, 92)
+    texts = [" ".join([words, *[line] * n]) for n in (2, 20, 100)] + [" ".join([prose(300, 93), *[line] * n]) for n in (1, 10)]
+    assert jaccard_groups(texts) == [0, 0, 0, 3, 3]
+    assert kept_of(spark, texts) == [0, 3]
+
+
+def test_parity_rules_out_only_what_differs_more():
+    draw = np.random.default_rng(4)
+    for size in (1, 5, 40, 300, 3000):
+        a = draw.integers(-(2**63), 2**63 - 1, size)
+        b = np.concatenate((a[size // 10 :], draw.integers(-(2**63), 2**63 - 1, size // 8)))
+        bits = int(np.bitwise_count((simhash.parity(np.unique(a)) ^ simhash.parity(np.unique(b))).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b))
