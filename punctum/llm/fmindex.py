@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from punctum.llm.common import chunks, raw
+from punctum.llm.common import chunks, free_prefix, raw, stored
 
 #: Words of an A-Z lower-cased text: digits, a-z and everything outside ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -195,6 +196,7 @@ def _wanted(rows: DataFrame, window: int):
 
 
 HITS = "array<struct<start:int,end:int>>"
+_HITS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -237,6 +239,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, pass_b
     return merged.withColumn("spans", joined).withColumn("n", F.explode(F.sequence(F.lit(1), "n"))).drop("n", "text_key")
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch as one, ascending."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((start, end))
+    return out
+
+
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans; what stands between a span's first and last word goes too."""
     places = [m.span() for m in WORD.finditer(text.lower())]
@@ -250,7 +263,8 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``docs`` with every hit word removed from ``text``, all columns kept; a document without any
     hit passes unchanged, one of which no word is left is dropped. Words that only meet after a cut are
-    searched again, until none is hit."""
+    searched again, until none is hit. With more than one pass, a text is cut once by the spans of all, and
+    all search the changed texts again: the result is that of a single pass."""
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema])
 
     def run_with(wanted):
@@ -271,6 +285,40 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, pass
 
         return run
 
-    for rows in _passes(benchmark, pass_bytes):
-        docs = docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run_with(_wanted(rows, window)), schema)
-    return docs
+    passes = _passes(benchmark, pass_bytes)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    if len(passes) == 1:
+        return docs.mapInArrow(run_with(_wanted(passes[0], window)), schema)
+    name = free_prefix(docs.columns, "hits_")
+    marked = T.StructType([*schema.fields, T.StructField(name, T._parse_datatype_string(HITS))])
+
+    def search_with(wanted):
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in chunks(batches, limit=SHARD_BYTES):
+                found = [[{"start": a, "end": b} for a, b in s] for _, s, _ in shard_hits(raw(batch.column("text")), wanted.value)]
+                place = batch.schema.get_field_index(name)
+                every = pa.array([old + new for old, new in zip(batch.column(place).to_pylist(), found)], _HITS)
+                yield batch.set_column(place, name, every)
+
+        return search
+
+    def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, limit=SHARD_BYTES):
+            place, texts, keep = batch.schema.get_field_index("text"), [], []
+            for text, hits in zip(batch.column(place).to_pylist(), batch.column(name).to_pylist()):
+                if hits:
+                    text = cut(text.encode(), merged([(h["start"], h["end"]) for h in hits])).decode()
+                texts.append(text)
+                keep.append(not hits or bool(text.encode().translate(SPLIT).strip()))
+            yield batch.set_column(place, "text", pa.array(texts, pa.string())).filter(pa.array(keep, pa.bool_()))
+
+    wanted, settled = [_wanted(rows, window) for rows in passes], []
+    while True:
+        docs = docs.withColumn(name, F.array().cast(HITS))
+        for each in wanted:
+            docs = docs.mapInArrow(search_with(each), marked)
+        docs = stored(docs.mapInArrow(cut_all, marked), "decontaminated")
+        settled.append(docs.filter(F.size(name) == 0).drop(name))
+        docs = docs.filter(F.size(name) > 0).drop(name)
+        if docs.isEmpty():
+            return reduce(DataFrame.union, settled)

@@ -73,3 +73,19 @@ def test_cut_documents_hold_no_phrase(spark, benchmark):
     clean = fmindex.decontaminated(docs, benchmark)
     assert clean.columns == docs.columns
     assert fmindex.contaminated(clean, benchmark).filter("size(spans) > 0").count() == 0
+
+
+def test_passes_cut_as_one(spark):
+    """Passages of one pass that only meet, or that only break, where another pass cuts."""
+    items = [prose(12, 700 + n).split() for n in range(6)]
+    mixed = [" ".join([*a[:6], *b, *a[6:]]) for a in items for b in items if a is not b]
+    mixed += [" ".join([*a[:-3], *a[-3:], *b[3:]]) for a in items for b in items] + [" ".join([*prose(3, 9).split(), *a, "left"]) for a in items]
+    shared = [[*a[-5:], *b[:7]] for a, b in zip(items, items[1:])]
+    mixed += [" ".join(["start", *a, *b, "end"]) for a, b in zip(items, items[1:])]
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items + shared)], "item_id long, text string")
+    docs = spark.createDataFrame([(n, t, "en", "s", 1) for n, t in enumerate([*mixed, None, ""])], SCHEMA)
+    of = lambda frame: sorted((r.doc_id, r.text) for r in frame.collect())
+    apart = fmindex.decontaminated(docs, bench, pass_bytes=200)
+    assert len(fmindex._passes(bench, 200)) > 1
+    assert apart.columns == docs.columns
+    assert of(apart) == of(fmindex.decontaminated(docs, bench))
