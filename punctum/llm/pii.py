@@ -81,15 +81,23 @@ DIGITS = {w: str(n) for n, w in enumerate("zero one two three four five six seve
 ODD = re.compile("[%s%s٠-٩۰-۹०-९․！-～\U0001d400-\U0001d7ff]" % (UNSEEN, "".join(LOOKALIKES)))
 DIGIT = "(?:%s|[0-9])" % "|".join(DIGITS)
 SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[\s,-]{{1,2}})?{DIGIT}(?:[\s,-]{{1,2}}(?:(?:dot|point)[\s,-]{{1,2}})?{DIGIT}){{6,}}(?![A-Za-z0-9])")
+#: Four groups of up to three digits, plain or spelled, joined by dot words: an address, however few its digits.
+GROUP = rf"(?:[0-9]{{1,3}}|{DIGIT}(?:[\s,-]{{1,2}}{DIGIT}){{0,2}})"
+SPELLED_IP = re.compile(rf"(?i)(?<![A-Za-z0-9]){GROUP}(?:[\s,-]{{1,2}}(?:dot|point)[\s,-]{{1,2}}{GROUP}){{3}}(?![A-Za-z0-9])")
 SPELLED_PART = re.compile(rf"(?i)(?P<digit>{DIGIT})|(?P<plus>plus)|(?P<dot>dot|point)|(?P<gap>[\s,-]+)")
 BRACKETED = r"\s?[\[({{<]\s?{}\s?[\])}}>]\s?"
 DOT = rf"(?:{BRACKETED.format(r'(?:dot|\.)')}|\sdot\s)"
 AT = rf"(?:{BRACKETED.format(r'(?:at|@)')}|\sat\s)"
 DOTTED = re.compile(rf"(?i)(?<=[A-Za-z0-9]){DOT}(?=[A-Za-z0-9])")
-#: Ends of spelled-out addresses (fixed values): between plain words only these tell an address from prose.
+#: Ends of spelled-out addresses (fixed values): between plain words only these, and two letters of a host that
+#: is not such a word, tell an address from prose.
 ENDS = "com|org|net|edu|gov|mil|info|biz|io|uk|eu"
-#: A bracketed at sign before a domain, or a plain one before a spelled-out domain; real mail signs stay as they are.
-ATTED = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:{BRACKETED.format(r'(?:at|@)')}(?=[A-Za-z0-9-]+(?:{DOT}|\.)[A-Za-z0-9])|\sat\s(?=[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)*?{DOT}(?:{ENDS})(?![A-Za-z0-9-])))")
+NO_HOST = "the|an?|this|that|these|those|each|every|any|one|no|its?|his|her|their|your|my|our"
+LABEL = "[A-Za-z0-9-]+"
+#: A domain of which one dot at least is spelled.
+SPELLED_DOMAIN = rf"(?={LABEL}(?:\.{LABEL})*{DOT}){LABEL}(?:(?:{DOT}|\.){LABEL})*?(?:{DOT}|\.)"
+#: A bracketed at sign before a domain, or a plain one before a domain with a spelled dot; real mail signs stay as they are.
+ATTED = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:{BRACKETED.format(r'(?:at|@)')}(?=[A-Za-z0-9-]+(?:{DOT}|\.)[A-Za-z0-9])|\sat\s(?={SPELLED_DOMAIN}(?:{ENDS})(?![A-Za-z0-9-])|(?!(?:{NO_HOST})\s){SPELLED_DOMAIN}[A-Za-z]{{2}}(?![A-Za-z0-9-])))")
 HINT = re.compile(r"(?i)[\[({<]\s?(?:at|dot|@|\.)\s?[\])}>]")
 SPLIT = bytes(c if bytes([c]).isalnum() else 32 for c in bytes(range(256)).lower())
 NUMBER_WORDS = frozenset(w.encode() for w in DIGITS)
@@ -136,12 +144,18 @@ def homoglyphs(tape: Tape) -> None:
 
 
 def spelled_digits(tape: Tape) -> None:
-    """Runs of at least seven digits, four of them or more spelled out, become digits without gaps."""
+    """Runs of at least seven digits, four of them or more spelled out, and addresses with a spelled digit become digits without gaps."""
+    parts_of = lambda run: list(SPELLED_PART.finditer(tape.text, *run.span()))
+    spelled = lambda parts: sum(p.lastgroup == "digit" and len(p[0]) > 1 for p in parts)
+    runs = [(run.span(), parts) for run in SPELLED.finditer(tape.text) if spelled(parts := parts_of(run)) >= 4]
+    more = [(run.span(), parts) for run in SPELLED_IP.finditer(tape.text) if spelled(parts := parts_of(run))]
+    ends = np.array([end for (_, end), _ in runs], np.int64)
+    for (a, b), parts in more:
+        after = int(np.searchsorted(ends, a, side="right"))
+        if after == len(ends) or runs[after][0][0] >= b:
+            runs.append(((a, b), parts))
     edits = []
-    for run in SPELLED.finditer(tape.text):
-        parts = list(SPELLED_PART.finditer(tape.text, *run.span()))
-        if sum(p.lastgroup == "digit" and len(p[0]) > 1 for p in parts) < 4:
-            continue
+    for _, parts in sorted(runs, key=lambda r: r[0]):
         for p in parts:
             new = {"digit": DIGITS.get(p[0].lower(), p[0]), "plus": "+", "dot": ".", "gap": ""}[p.lastgroup]
             if new != p[0]:

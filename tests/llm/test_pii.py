@@ -111,3 +111,21 @@ def test_odd_rows(spark, odd, none, clashing):
     masked = pii.redacted(clashing)
     assert masked.columns == clashing.columns
     assert sorted(map(repr, masked.select("doc_id", "text").collect())) == sorted(map(repr, odd.select("doc_id", "text").collect()))
+
+
+@pytest.mark.parametrize("text, kind, source", [
+    ("write to anna at firma dot de today", "email", "anna at firma dot de"),
+    ("write to anna at firma dot fr", "email", "anna at firma dot fr"),
+    ("write to anna at mail.example dot com today", "email", "anna at mail.example dot com"),
+    ("write to anna at mail dot example.com today", "email", "anna at mail dot example.com"),
+    ("host eight dot eight dot eight dot eight is", "ip", "eight dot eight dot eight dot eight"),
+    ("host one dot 1 dot one zero dot 255 is", "ip", "one dot 1 dot one zero dot 255"),
+    ("hosts one dot two dot three dot four, and plus four four two zero seven nine four six zero nine five eight", "ip", "one dot two dot three dot four"),
+])
+def test_more_disguises(text, kind, source):
+    assert (kind, text.index(source), text.index(source) + len(source), True) in pii.found(text)
+
+
+@pytest.mark.parametrize("text", ["look at the dot in the middle", "one dot two dot three", "meet at noon. dot com was", "we stood at a dot of light"])
+def test_prose_near_the_new_disguises(text):
+    assert pii.found(text) == []
