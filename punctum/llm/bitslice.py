@@ -28,7 +28,7 @@ def matrix(column: pa.ListArray, width: int | None = None) -> np.ndarray:
     sizes = np.asarray(pc.list_value_length(column))
     values = column.flatten().to_numpy()
     width = int(sizes.max(initial=0)) if width is None else width
-    if len(values) == len(sizes) * width:
+    if not len(sizes) or sizes.min() == sizes.max() == width:
         return values.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width), np.int64)
     for i, part in enumerate(np.split(values, np.cumsum(sizes)[:-1])):

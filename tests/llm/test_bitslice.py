@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from punctum.llm import bitslice
@@ -65,3 +66,10 @@ def test_coarse_bound_holds():
         for q in range(9):
             difference = exact[q] / unit - coarse[q]
             assert difference.max() - difference.min() <= off[q]
+
+
+def test_vectors_of_unequal_length_whose_values_fill_the_block():
+    column = pa.array([[1], [2, 3, 4]], pa.list_(pa.int64()))
+    assert bitslice.matrix(column, 2).tolist() == [[1, 0], [2, 3]]
+    assert bitslice.matrix(column).tolist() == [[1, 0, 0], [2, 3, 4]]
+    assert bitslice.matrix(pa.array([], pa.list_(pa.int64())), 2).shape == (0, 2)
