@@ -183,13 +183,19 @@ def prefix(shingles: np.ndarray, similarity: float, last: np.ndarray) -> np.ndar
     return shingles[:count]
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """``PARITY`` bits: whether an odd number of the shingles falls on each. Two sets differ in as many shingles at least as in bits."""
-    return np.packbits(np.bincount(shingles.view(np.uint64) >> np.uint64(BITS - 9), minlength=PARITY).astype(np.uint8) & 1).view(np.int64)
+def parity(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
+    """``bits`` bits: whether an odd number of the shingles falls on each. Two sets differ in as many shingles at least as in bits."""
+    at = (shingles.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1).view(np.int64)
+
+
+def wide(shingles: np.ndarray) -> np.ndarray:
+    """The parity with as many bits as shingles at least, a power of two; its halves by xor are that of half the bits."""
+    return parity(shingles, max(PARITY, 1 << max(0, len(shingles) - 1).bit_length()))
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, last) -> DataFrame:
-    """``doc_id, text_key, node, size, keys, parity`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
+    """``doc_id, text_key, node, size, keys, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -198,9 +204,9 @@ def sketches(docs: DataFrame, words: int, similarity: float, last) -> DataFrame:
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
-                pa.array([prefix(s, similarity, last.value) for s in sets], longs), pa.array(list(map(parity, sets)), longs)], ["doc_id", "text_key", "node", "size", "keys", "parity"])
+                pa.array([prefix(s, similarity, last.value) for s in sets], longs), pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)], ["doc_id", "text_key", "node", "size", "keys", "parity", "wide"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, parity array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, parity array<long>, wide array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -222,8 +228,18 @@ def _possible(similarity: float, a: str, b: str) -> str:
     return f"least({a}.size, {b}.size) >= {similarity} * greatest({a}.size, {b}.size) - 1e-9 AND {off} <= {(1 - similarity) / (1 + similarity)} * {sizes} + 1e-9"
 
 
+def _possible_wide(similarity: float, a: str, b: str) -> str:
+    """SQL: as ``_possible``, by the wide parities; the longer of two is folded if it has twice the bits."""
+    least = f"least(size({a}.wide), size({b}.wide))"
+    bits = lambda c: f"(CASE WHEN size({c}.wide) > {least} THEN {c}.wide[i] ^ {c}.wide[i + {least}] ELSE {c}.wide[i] END)"
+    off = f"aggregate(sequence(0, {least} - 1), 0, (n, i) -> n + bit_count({bits(a)} ^ {bits(b)}))"
+    return f"greatest(size({a}.wide), size({b}.wide)) > 2 * {least} OR {off} <= {(1 - similarity) / (1 + similarity)} * ({a}.size + {b}.size) + 1e-9"
+
+
 def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs of ``close (a, b)`` that have the similarity, by their shingles."""
+    side = lambda c: nodes.select(F.col("node").alias(c), "size", "wide").alias(c)
+    close = stored(close.join(side("a"), "a").join(side("b"), "b").filter(_possible_wide(similarity, "a", "b")).select("a", "b"), "close")
     wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct().join(nodes.select("node", "least.*"), "node")
     sets = stored(shingle_sets(docs, stored(wanted, "wanted"), words), "shingles")
     of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
@@ -231,6 +247,7 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
     both = close.join(of("a"), "a").join(of("b"), "b")
     found = stored(both.filter(common * (1 + similarity) >= every * similarity - 1e-9).select("a", "b"), "similar")
     release(sets)
+    release(close)
     return found
 
 
@@ -257,11 +274,11 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes.
     Texts of equal shingles are one node. First each node is compared with the smallest one under each shingle of its prefix,
     which joins most copies in one comparison a text. What then still shares a shingle across groups is compared too, pair by pair;
-    inside a group no more pairs are needed. Sizes and parities rule out pairs without a loss, the shingles decide.
+    inside a group no more pairs are needed. Sizes and parities, for long texts of more bits, rule out pairs without a loss, the shingles decide.
     """
     last = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     full = stored(sketches(docs, words, similarity, last), "sketches")
-    nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("keys").alias("keys")), "nodes")
+    nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("wide").alias("wide"), F.first("keys").alias("keys")), "nodes")
     rows = stored(full.select("doc_id", "text_key", "node"), "rows")
     release(full)
     # One shuffle; a window may spill, so a shingle of any number of texts needs no memory.

@@ -191,3 +191,17 @@ def test_parity_rules_out_only_what_differs_more():
         b = np.concatenate((a[size // 10 :], draw.integers(-(2**63), 2**63 - 1, size // 8)))
         bits = int(np.bitwise_count((simhash.parity(np.unique(a)) ^ simhash.parity(np.unique(b))).view(np.uint64)).sum())
         assert bits <= len(np.setxor1d(a, b))
+
+
+def test_wide_parities_keep_what_is_near(spark):
+    draw, rows = np.random.default_rng(6), []
+    for size in (3, 500, 512, 513, 1000, 1030, 4000, 4090):
+        for more in (0, size // 9, size // 5, size // 3, size):
+            a = np.unique(draw.integers(-(2**63), 2**63 - 1, size))
+            b = np.unique(np.concatenate((a, draw.integers(-(2**63), 2**63 - 1, more))))
+            rows.append((len(a) / len(b), {"size": len(a), "wide": simhash.wide(a).tolist()}, {"size": len(b), "wide": simhash.wide(b).tolist()}))
+    side = "struct<size:int,wide:array<long>>"
+    frame = spark.createDataFrame(rows, f"similarity double, a {side}, b {side}")
+    got = frame.selectExpr("similarity", f"{simhash._possible_wide(0.8, 'a', 'b')} AS possible").collect()
+    assert all(r.possible for r in got if r.similarity >= 0.8)
+    assert sum(r.possible for r in got if r.similarity < 0.6) == 0
