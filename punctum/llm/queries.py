@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.llm import bilinear, bitslice, fmindex, langid, mixing, pii, quality, simhash, substrings, wordpiece
+from punctum.llm import bilinear, bitslice, fmindex, langid, merkle, mixing, pii, quality, simhash, substrings, wordpiece
 from punctum.llm.common import table
 
 
@@ -62,6 +62,17 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf, "documents"), window=20, period=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs, digest = table(spark, sf, "documents"), lambda *text: merkle.leaf_digest(*map(F.col, merkle.FIELDS[:-1]), *text)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(hit, digest(merkle.lowered(F.col("text").cast("string")))).otherwise(digest(F.col("text")))
+    leaves = docs.select("doc_id", "source", digest(F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    proofs = merkle.manifest(leaves, keep=("tampered",))
+    found = proofs.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("places"), F.col("others")))
+    proof = F.sha2(F.array_join("others", "").cast("binary"), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
