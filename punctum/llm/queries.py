@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.llm import bilinear, bitslice, fmindex, langid, merkle, mixing, pii, quality, simhash, substrings, wordpiece
+from punctum.llm import bilinear, bitslice, fmindex, langid, merkle, mixing, pii, prefixes, quality, simhash, substrings, wordpiece
 from punctum.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf, "conversations"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
