@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.llm import bilinear, bitslice, fmindex, langid, merkle, mixing, pii, prefixes, quality, simhash, substrings, wordpiece
+from punctum.llm import bilinear, bitslice, content, fmindex, langid, merkle, mixing, pii, prefixes, quality, simhash, substrings, wordpiece
 from punctum.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return content.extracted(table(spark, sf, "pages"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefixes.trie(table(spark, sf, "conversations"))
 
@@ -129,5 +133,71 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+def _crc32(number: str) -> str:
+    """SQL for the unsigned crc32 of a number's decimal text; the polynomial is a fixed value."""
+    step = "list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(CAST({number} AS VARCHAR), '')]), lambda a, b: {step}), 4294967295)"
+
+
+def _op11(levels: int = 6) -> str:
+    """The tree of each source and the tree above, as many levels as 16 ** ``levels`` leaves need."""
+    field = lambda v: f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR) END"
+    start = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
+    parts = [f"""
+d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, sha256({start} || {field('text')}) AS leaf,
+    CASE WHEN {_crc32('doc_id')} % 5 = 0 THEN sha256({start} || {field(f"translate(text, '{UPPER}', '{LOWER}')")}) END AS tampered
+  FROM documents),
+l0 AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d)"""]
+
+    def climb(name: str) -> None:
+        for k in range(levels):
+            parts.append(f"""
+{name}{k + 1} AS (
+  SELECT tree, pos // 16 AS pos, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h, (max(n) + 15) // 16 AS n
+  FROM {name}{k} GROUP BY tree, pos // 16)""")
+            others = lambda side: f"coalesce((SELECT string_agg(o.h, '' ORDER BY o.pos) FROM {name}{k} o WHERE o.tree = x.tree AND o.pos // 16 = x.pos // 16 AND o.pos {side} x.pos), '')"
+            parts.append(f"{name}{k}s AS (SELECT tree, pos, n, {others('<')} AS l, {others('>')} AS r FROM {name}{k} x)")
+
+    climb("l")
+    parts.append(f"u0 AS (SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM l{levels})")
+    climb("u")
+    parts.append("f0 AS (SELECT d.doc_id, d.leaf, u.pos AS up, u.h AS subroot, coalesce(d.tampered, d.leaf) AS h, '' AS proof, d.tree, d.pos FROM l0 d JOIN u0 u ON u.name = d.tree)")
+    step = 0
+    for name, tree in (("l", "f.tree"), ("u", "''")):
+        for k in range(levels):
+            pos = "f.up" if name == "u" and k == 0 else "f.pos"
+            parts.append(f"""
+f{step + 1} AS (
+  SELECT doc_id, leaf, up, subroot, CASE WHEN s.n = 1 THEN f.h ELSE sha256(s.l || f.h || s.r) END AS h, f.proof || s.l || s.r AS proof, f.tree, s.pos // 16 AS pos
+  FROM f{step} f JOIN {name}{k}s s ON s.tree = {tree} AND s.pos = {pos})""")
+            step += 1
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f{step}.h AS folded_root, f{step}.h = root AS verified
+FROM f{step}, (SELECT h AS root FROM u{levels})"""
+
+
+OP13 = f"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS turn,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(turn ORDER BY p) AS turns, {_crc32('c')} % 9 AS h FROM t GROUP BY c),
+rebuilt AS (
+  SELECT o.c, coalesce(b.turns[1 : o.h], []) || o.turns[o.h + 1 :] AS turns FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 5),
+steps AS (SELECT c, d, turns[1 : d] AS k, d = len(turns) AS ends FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS e FROM steps GROUP BY k, d),
+family AS (SELECT k[1 : d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+whole AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n - 1) * strlen(k[d].x) ELSE 0 END AS own FROM nodes n LEFT JOIN family USING (k)),
+sums AS (
+  SELECT u.k[1 : a] AS k, count(*) FILTER (u.n_children = 0) AS n_leaves, sum(u.own) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM whole) u GROUP BY 1)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, w.e AS ends_sha256
+FROM whole w JOIN sums s USING (k) LEFT JOIN nodes p ON w.d > 0 AND p.k = w.k[1 : w.d - 1]"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2, "op6_exact_top_k": OP6, "op10_substring_dedup": OP10}
+    return {"op11_merkle_manifest": _op11(), "op13_conversation_prefix_trie": OP13, "op2_benchmark_decontamination": OP2, "op6_exact_top_k": OP6, "op10_substring_dedup": OP10}

@@ -6,6 +6,7 @@ import heapq
 import marshal
 import tempfile
 from collections.abc import Iterator
+from itertools import chain, islice
 from typing import IO, Any
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -65,28 +66,18 @@ class SpillingQueue:
 
     def _spill(self) -> None:
         if len(self.runs) >= self.most:
-            rest = [self._rest(run) for run in list(self.runs)]
+            rest = [chain([(label, arrived, value)], self.runs[run]) for label, arrived, run, value in self.heads]
             self.heads, self.runs = [], {}
             self._write(heapq.merge(*rest, key=lambda entry: entry[:2]))
         entries, self.heap = sorted(self.heap, key=lambda entry: entry[:2]), []
         self._write(iter(entries))
         self.spilled += 1
 
-    def _rest(self, run: int) -> Iterator[tuple]:
-        label, arrived, _, value = next(head for head in self.heads if head[2] == run)
-        follow = self.runs[run]
-        yield label, arrived, value
-        yield from follow
-
     def _write(self, entries: Iterator[tuple]) -> None:
-        file, block = tempfile.TemporaryFile(), []
-        for entry in entries:
-            block.append(entry)
-            if len(block) == READ:
-                marshal.dump(block, file)
-                block = []
-        marshal.dump(block, file)
-        marshal.dump(None, file)
+        file = tempfile.TemporaryFile()
+        while block := list(islice(entries, READ)):
+            coded = marshal.dumps(block)
+            file.write(len(coded).to_bytes(8, "little") + coded)
         file.seek(0)
         self.runs[self.opened] = _entries(file)
         self._advance(self.opened)
@@ -102,8 +93,8 @@ class SpillingQueue:
 
 def _entries(file: IO[bytes]) -> Iterator[tuple]:
     with file:
-        while (block := marshal.load(file)) is not None:
-            yield from block
+        while size := int.from_bytes(file.read(8), "little"):
+            yield from marshal.loads(file.read(size))
 
 
 def placed(rows: DataFrame, group: list[str], order: list, label: str, sums: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

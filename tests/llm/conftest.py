@@ -55,3 +55,11 @@ def benchmark(spark):
 @pytest.fixture(scope="session")
 def labels(spark):
     return table(spark, SF, "labels")
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables stay in as many partitions as a shuffle has."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
