@@ -1,7 +1,7 @@
 """Detection on chunk tables: the path for large images.
 
 chunk rows --(cut to the blocks that read them)--> pieces --(one shuffle by image, block)-->
-block arrays --(blur, DoG, peaks)--> candidates with their patch --> centres, no further shuffle.
+block arrays --(blur, DoG, peaks, centres)--> spots, no further shuffle.
 
 Pixels travel as arrays, so the shuffle moves 4 bytes per pixel times the halo factor; a group
 is one block, whose size the settings bound. The pixel filters are the same definitions as the
@@ -13,6 +13,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from punctum.functions import geometry as geo
 from punctum.functions.arrow import batch_of, records, schema_of
-from punctum.functions.numeric import SLACK
 from punctum.operators import blocks as blk
-from punctum.operators import intensity, localize
-from punctum.params import BG_MEAN, BG_MEDIAN, BG_NONE, BG_RANSAC_MEAN, MULTICONSENSUS, SpotParams, gauss_weights
+from punctum.operators import batched, intensity, localize
+from punctum.params import MULTICONSENSUS, SpotParams, gauss_weights
 from punctum.session import written
 
 BLOCKS_PER_TASK, MOST_TASKS = 64, 200_000
@@ -103,41 +103,62 @@ def _extent(index, low, high, block, halo):
     return [s - r for s, r in zip(start, halo)], [e + r for e, r in zip(end, halo)]
 
 
-def candidate_schema(axes) -> str:
-    return "image string, block_id bigint, {}, dog double, span double, {}, patch array<double>".format(
-        ", ".join(a + " bigint" for a in axes), ", ".join(f"n{a} bigint" for a in axes))
+class Block(NamedTuple):
+    """One assembled block: its candidates with their DoG values, raw pixels, and where in the image it is."""
 
+    image: str
+    number: int
+    start: np.ndarray
+    size: np.ndarray
+    raw: np.ndarray
+    span: float
+    peaks: np.ndarray
+    dog: np.ndarray
 
-def block_candidates(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
-    """DoG peaks of every block, each with the raw pixels of its support region plus one."""
+
+def candidates_of(table: pa.Table, axes, params: SpotParams) -> Block:
+    """Candidates of the block whose pieces ``table`` holds, as positions in the assembled array, in the order of the axes."""
     ndim = len(axes)
-    block, halo, reach = params.block(ndim), params.halo(ndim), params.support_radius + 1
+    halo, pieces = params.halo(ndim), list(records(table))
+    first = pieces[0]
+    get = lambda f: [getattr(first, f + a) for a in axes]
+    start, end = _extent(get("b"), get("l"), get("h"), params.block(ndim), halo)
+    raw = _assemble(pieces, axes, start, end, get("n"))
+    own = tuple(slice(r, n - r) for r, n in zip(halo[::-1], raw.shape))
+    low, high = first.v_low, first.v_high
+    if low is None:
+        low, high = float(raw[own].min()), float(raw[own].max())
+    peaks, dog = np.zeros((0, ndim), np.int64), np.zeros(0)
+    if high > low:
+        v = (raw - low) / (high - low)
+        response = (_blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True)))[own]
+        found = _peaks(response, params.threshold)
+        peaks, dog = found[:, ::-1] + np.array(halo), response[tuple(found.T)]
+    return Block(first.image, first.block_id, np.array(start), np.array(get("n")), raw, high - low, peaks, dog)
+
+
+def blocks_of(chunks: DataFrame, axes, params: SpotParams):
+    """Pieces of all blocks, grouped by block."""
+    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
+    return pieces.groupBy("image", "block_id")
 
-    arrow = schema_of(candidate_schema(axes))
+
+def block_candidates(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
+    """``image, block_id, x, y[, z], dog, span``: DoG peaks of every block with the width of the range used."""
+    schema = f"image string, block_id bigint, {', '.join(a + ' bigint' for a in axes)}, dog double, span double"
+    arrow = schema_of(schema)
 
     def run(table: pa.Table) -> pa.Table:
-        pieces = list(records(table))
-        first, rows = pieces[0], []
-        get = lambda f: [getattr(first, f + a) for a in axes]
-        size, low, high = get("n"), get("l"), get("h")
-        start, end = _extent(get("b"), low, high, block, halo)
-        raw = _assemble(pieces, axes, start, end, size)
-        own = tuple(slice(r, n - r) for r, n in zip(halo[::-1], raw.shape))
-        v_low, v_high = first.v_low, first.v_high
-        if v_low is None:
-            v_low, v_high = float(raw[own].min()), float(raw[own].max())
-        if v_high > v_low:
-            v = (raw - v_low) / (v_high - v_low)
-            response = _blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True))
-            for at in _peaks(response[own], params.threshold):
-                inner = [int(i) + s.start for i, s in zip(at, own)]
-                box = tuple(slice(i - reach, i + reach + 1) for i in inner)
-                spot = [i + o for i, o in zip(inner[::-1], start)]
-                rows.append((first.image, first.block_id, *spot, response[tuple(inner)], v_high - v_low, *size, raw[box].ravel()))
-        return pa.Table.from_batches([batch_of(rows, arrow)])
+        block = candidates_of(table, axes, params)
+        return table_of([block.image, block.number, *(block.peaks + block.start).T, block.dog, block.span], len(block.peaks), arrow)
 
-    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
-    return pieces.groupBy("image", "block_id").applyInArrow(run, candidate_schema(axes))
+    return blocks_of(chunks, axes, params).applyInArrow(run, schema)
+
+
+def table_of(columns: list, rows: int, schema: pa.Schema) -> pa.Table:
+    """A table of arrays and single values, which all rows share."""
+    whole = (c if isinstance(c, (np.ndarray, pa.Array)) else [c] * rows for c in columns)
+    return pa.Table.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(whole, schema)], schema=schema)
 
 
 def _partitions(chunks: DataFrame, axes, params: SpotParams) -> int:
@@ -189,81 +210,47 @@ def _peaks(response, threshold):
     return np.argwhere(keep) + 1
 
 
-# --- centres from patches ----------------------------------------------------------------
+# --- centres -----------------------------------------------------------------------------
 
 
 def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
-    """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images."""
+    """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images.
+
+    A block's candidates are localized where its pixels are, all of them in array operations, so only spots leave it. A centre that lies
+    beyond the block and its halo finds its intensity in the chunks; with a ``max_shift`` within the halo there is none.
+    """
     ndim, r = len(axes), params.support_radius
     cube = np.stack(np.meshgrid(*[np.arange(-r, r + 1)] * ndim, indexing="ij"), axis=-1).reshape(-1, ndim)
+    stretch = np.array(localize.scale(axes, params.anisotropy))
+    factors = [params.anisotropy if a == "z" else 1.0 for a in axes]
     schema = "image string, block_id bigint, {}, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint".format(
         ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes), ", ".join(f"n{a} bigint" for a in axes))
-
     arrow = schema_of(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for c in records(batch):
-                at = np.array([getattr(c, a) for a in axes])
-                size = np.array([getattr(c, "n" + a) for a in axes])
-                patch = c.patch.reshape((2 * r + 3,) * ndim).T
-                member = np.all((at + cube >= 0) & (at + cube < size), axis=1)
-                p = cube[member]
-                g = _patch_gradients(patch, p + r + 1, axes, params.anisotropy) / c.span
-                g = subtract(p, g, r, params)
-                for centre, n, inliers, k in localize.centres(c.image, at, p.astype(float), g, axes, params):
-                    here = np.all(np.abs(centre) <= r + 1)
-                    rows.append((c.image, c.block_id, *at, *(at + centre), *size, _interpolate(patch, centre + r + 1) if here else None, n, inliers, k))
-            yield batch_of(rows, arrow)
-
-    spots = block_candidates(chunks, axes, params).mapInArrow(run, schema)
-    if params.max_shift is None or params.max_shift > r or params.ransac == MULTICONSENSUS:
+    def run(table: pa.Table) -> pa.Table:
+        block = candidates_of(table, axes, params)
+        raster, spots = batched.Raster(block.raw), block.peaks + block.start
+        parts = []
+        for part in batched.slices(len(spots), len(cube), params):
+            inner, at = block.peaks[part], spots[part]
+            mask = ((at[:, None] + cube >= 0) & (at[:, None] + cube < block.size)).all(axis=2)
+            g = batched.subtract(cube, raster.gradients(inner, cube, factors) / block.span, mask, r, params)
+            found = batched.fit([block.image] * len(at), at, np.broadcast_to(cube.astype(float), g.shape), g, mask, stretch, params)
+            parts.append(found._replace(spot=found.spot + part.start))
+        found = batched.joined(parts, ndim)
+        values, here = raster.interpolated(block.peaks[found.spot] + found.centre)
+        at = spots[found.spot]
+        columns = [block.image, block.number, *at.T, *(at + found.centre).T, *block.size.tolist(), pa.array(values, mask=~here), found.gradients, found.inliers, found.round]
+        return table_of(columns, len(at), arrow)
+
+    spots = blocks_of(chunks, axes, params).applyInArrow(run, schema)
+    far = params.max_shift is None or params.max_shift > min(params.halo(ndim))
+    if far or params.ransac == MULTICONSENSUS:
         spots = written(spots, "spots")  # small next to the pixels, and several steps read it
-    sizes = ["n" + a for a in axes]
-    far = spots.filter("intensity IS NULL")
-    if (params.max_shift is None or params.max_shift > r) and not far.isEmpty():
-        found = intensity.chunk_intensity(far.drop("intensity"), chunks, axes)
-        spots = spots.filter("intensity IS NOT NULL").unionByName(found)
-    spots = spots.drop(*sizes)
+    beyond = spots.filter("intensity IS NULL")
+    if far and not beyond.isEmpty():
+        spots = spots.filter("intensity IS NOT NULL").unionByName(intensity.chunk_intensity(beyond.drop("intensity"), chunks, axes))
+    spots = spots.drop(*["n" + a for a in axes])
     if params.ransac == MULTICONSENSUS:
         spots = localize.drop_weak_counts(spots, params)
     return intensity.intensity_threshold(spots, params.intensity_threshold)
-
-
-def _patch_gradients(patch, at, axes, anisotropy):
-    g = np.empty(at.shape)
-    for d, a in enumerate(axes):
-        step = np.eye(len(axes), dtype=int)[d]
-        g[:, d] = (patch[tuple((at + step).T)] - patch[tuple((at - step).T)]) / 2.0 * (anisotropy if a == "z" else 1.0)
-    return g
-
-
-def _interpolate(patch, at):
-    base = np.floor(at).astype(int)
-    part = at - base
-    out = 0.0
-    for corner in itertools.product((0, 1), repeat=len(at)):
-        weight = np.prod([f if c else 1.0 - f for f, c in zip(part, corner)])
-        if weight:
-            out += weight * patch[tuple(base + corner)]
-    return float(out)
-
-
-def subtract(p, g, r, params: SpotParams):
-    """Background subtraction (see ``support.background``) for one region held as arrays."""
-    outer = g[np.abs(p).max(axis=1) == r]
-    if params.background == BG_NONE or len(outer) == 0:
-        return g
-    if params.background == BG_MEAN:
-        return g - outer.mean(axis=0)
-    if params.background == BG_MEDIAN:
-        return g - np.median(outer, axis=0)
-    level = np.zeros(g.shape[1])
-    for d in range(g.shape[1]):
-        v = np.sort(outer[:, d])
-        near = np.abs(v[None] - v[:, None]) <= params.background_max_error + SLACK
-        members = v[near[int(np.argmax(near.sum(axis=1)))]]
-        if len(members) >= params.background_min_inlier_ratio * len(v):
-            level[d] = members.mean() if params.background == BG_RANSAC_MEAN else np.median(members)
-    return g - level

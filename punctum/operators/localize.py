@@ -9,24 +9,20 @@ set, from its candidate on any axis is dropped.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from functools import reduce
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from punctum.functions.arrow import batch_of, records, schema_of
-from punctum.functions.numeric import SINGULAR, SLACK, ZERO_NORM, solve, total
+from punctum.functions.arrow import schema_of
+from punctum.functions.numeric import SLACK, ZERO_NORM, solve, total
+from punctum.operators import batched
 from punctum.operators.support import spot_key
 from punctum.params import MULTICONSENSUS, NO_RANSAC, SpotParams
 from punctum.session import written
 
-# Fixed value: modulus of the hypothesis sampling.
-PRIME = 4294967291
-
 
 def scale(axes, anisotropy: float) -> list[float]:
     return [1.0 / anisotropy if a == "z" else 1.0 for a in axes]
@@ -71,85 +67,25 @@ def result_schema(axes) -> str:
 def fit_rows(spots: DataFrame, axes, params: SpotParams) -> DataFrame:
     """Localize spot rows (``regions_as_rows``) with the method the settings name."""
 
-    schema = schema_of(result_schema(axes))
+    schema, stretch = schema_of(result_schema(axes)), np.array(scale(axes, params.anisotropy))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for spot in records(batch):
-                p = np.column_stack([getattr(spot, "d" + a) for a in axes])
-                g = np.column_stack([getattr(spot, "g" + a) for a in axes])
-                at = [getattr(spot, "s" + a) for a in axes]
-                for centre, n, inliers, k in centres(spot.image, at, p, g, axes, params):
-                    rows.append((spot.image, *at, *(np.array(at) + centre), n, inliers, k))
-            yield batch_of(rows, schema)
+            lists = lambda prefix: batched.padded([batch.column(prefix + a) for a in axes])
+            at = np.stack([batch.column("s" + a).to_numpy() for a in axes], axis=1)
+            (p, mask), (g, _) = lists("d"), lists("g")
+            found = batched.fit(batch.column("image").to_pylist(), at, p, g, mask, stretch, params)
+            yield fits_batch(batch.column("image"), at, found, schema)
 
     fitted = spots.mapInArrow(run, result_schema(axes))
     return drop_weak_counts(written(fitted, "centres"), params) if params.ransac == MULTICONSENSUS else fitted
 
 
-def centres(image, at, p, g, axes, params: SpotParams):
-    """Yield (centre offset, gradients, inliers, round) for one candidate's gradients, ordered by position."""
-    stretch = np.array(scale(axes, params.anisotropy))
-    norm = np.sqrt((g * g).sum(axis=1))
-    keep = norm > ZERO_NORM
-    g, p = g[keep] / norm[keep, None], p[keep] * stretch
-    n = len(g)
-    rest = np.arange(n)
-    # Multi-consensus ends by itself: every round uses up at least min_inliers gradients.
-    for k in itertools.count() if params.ransac == MULTICONSENSUS else range(1):
-        if params.ransac == NO_RANSAC:
-            used = rest
-        else:
-            used = rest[_consensus(image, at, k, p[rest], g[rest], params)]
-        if params.ransac == MULTICONSENSUS and len(used) < params.min_inliers:
-            return
-        if params.ransac not in (NO_RANSAC, MULTICONSENSUS) and (n == 0 or len(used) < params.inlier_ratio * n):
-            return
-        centre = _intersection(p[used], g[used])
-        if centre is not None and (params.max_shift is None or np.all(np.abs(centre / stretch) <= params.max_shift)):
-            yield centre / stretch, n, len(used), k
-        rest = np.setdiff1d(rest, used, assume_unique=True)
-
-
-def _normal_form(p, g):
-    m = np.eye(p.shape[-1]) - g[..., :, None] * g[..., None, :]
-    return m, (m * p[..., None, :]).sum(axis=-1)
-
-
-def _intersection(p, g):
-    if len(g) == 0:
-        return None
-    m, b = _normal_form(p, g)
-    m, b = m.sum(axis=0), b.sum(axis=0)
-    return np.linalg.solve(m, b) if abs(np.linalg.det(m)) >= SINGULAR else None
-
-
-def sampled_pairs(image, at, k, n, count):
-    """Deterministic hypothesis pairs: arithmetic progressions seeded by a hash of the spot."""
-    digest = md5("|".join([str(image), *[str(int(c)) for c in at], str(k)]).encode()).hexdigest()
-    s0, s1, s2 = (int(digest[8 * i: 8 * i + 8], 16) for i in range(3))
-    t = np.arange(count, dtype=np.int64)
-    i = (s0 + t * s1) % PRIME % n
-    j = (i + 1 + (s1 + t * s2) % PRIME % (n - 1)) % n
-    return i, j
-
-
-def _consensus(image, at, k, p, g, params: SpotParams):
-    """Indices of the gradients that agree with the best two-gradient hypothesis (ties: lowest)."""
-    n = len(g)
-    if n < 2:
-        return np.arange(0)
-    i, j = sampled_pairs(image, at, k, n, params.hypotheses)
-    m, b = _normal_form(p, g)
-    m, b = m[i] + m[j], b[i] + b[j]
-    valid = np.abs(np.linalg.det(m)) >= SINGULAR
-    centre = np.linalg.solve(np.where(valid[:, None, None], m, np.eye(p.shape[1])), b[..., None])[..., 0]
-    diff = centre[:, None, :] - p[None]
-    along = (diff * g[None]).sum(axis=-1)
-    inlier = ((diff * diff).sum(axis=-1) - along * along <= params.max_error ** 2 + SLACK) & valid[:, None]
-    best = int(np.argmax(inlier.sum(axis=1)))
-    return np.flatnonzero(inlier[best])
+def fits_batch(images: pa.Array, at: np.ndarray, found: batched.Fits, schema: pa.Schema) -> pa.RecordBatch:
+    """``image``, candidate, centre, gradients, inliers and round of each fit."""
+    place = at[found.spot]
+    columns = [images.take(pa.array(found.spot)), *place.T, *(place + found.centre).T, found.gradients, found.inliers, found.round]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def drop_weak_counts(spots: DataFrame, params: SpotParams) -> DataFrame:
