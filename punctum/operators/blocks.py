@@ -88,6 +88,11 @@ def _explode_axis(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int,
     return df.selectExpr("*", f"explode({geo.blocks_reading(a, a, lo, hi, size, halo)}) AS b{a}")
 
 
+def read_along(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int) -> DataFrame:
+    """One row per block ``b<a>`` that reads pixel ``a``, without mirrored copies."""
+    return _explode_axis(df, a, lo, hi, size, halo, 0)
+
+
 def tiles(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
     """Cover every pixel of every image exactly once with blocks that see ``reach`` pixels around it.
 

@@ -3,7 +3,8 @@
 chunk rows --(cut to the blocks that read them)--> pieces --(one shuffle by image, block)-->
 block arrays --(blur, DoG, peaks, centres)--> spots, no further shuffle.
 
-Pixels travel as arrays, so the shuffle moves 4 bytes per pixel times the halo factor; a group
+Voxel rows go the same way, one row per pixel and block that reads it (``voxel_gather``).
+Chunk pixels travel as arrays, so the shuffle moves 4 bytes per pixel times the halo factor; a group
 is one block, whose size the settings bound. The pixel filters are the same definitions as the
 relational operators in ``filters.py``, and tests hold the two to each other.
 """
@@ -12,12 +13,14 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, GroupedData, functions as F
 
 from punctum.functions import geometry as geo
 from punctum.functions.arrow import batch_of, records, schema_of
@@ -25,6 +28,7 @@ from punctum.operators import blocks as blk
 from punctum.operators import batched, intensity, localize
 from punctum.params import MULTICONSENSUS, SpotParams, gauss_weights
 from punctum.session import written
+from punctum.sources.images import crop_voxels
 
 BLOCKS_PER_TASK, MOST_TASKS = 64, 200_000
 PIECE = "image string, block_id bigint, v_low double, v_high double, {}, data array<float>"
@@ -39,7 +43,7 @@ def block_pieces(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     n, block = len(axes), params.block(len(axes))
     halo = params.halo(n)
     lo, hi = blk.bounds(axes, *params.crop(n))
-    out = _with_range(chunks, params)
+    out = _with_range(chunks, axes, params)
     for d, a in enumerate(axes):
         span = f"{a}0", f"({a}0 + w{a} - 1)"
         out = out.filter(geo.within_reach(*span, lo[d], hi[d], halo[d]))
@@ -73,27 +77,57 @@ def block_pieces(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     return out.mapInArrow(cut, schema)
 
 
-def _with_range(chunks: DataFrame, params: SpotParams) -> DataFrame:
+def _with_range(pixels: DataFrame, axes, params: SpotParams) -> DataFrame:
     """Columns v_low, v_high: the fixed range, the image's range, or null for the block's own."""
     if not params.auto_range:
-        return chunks.withColumns({"v_low": F.lit(float(params.min_intensity)), "v_high": F.lit(float(params.max_intensity))})
+        return pixels.withColumns({"v_low": F.lit(float(params.min_intensity)), "v_high": F.lit(float(params.max_intensity))})
     if params.range_scope == "block":
-        return chunks.withColumns({"v_low": F.lit(None).cast("double"), "v_high": F.lit(None).cast("double")})
-    if params.crop_min or params.crop_max:
-        raise ValueError("an image-wide range needs the whole image; give a fixed range with a crop")
-    # Chunk minima first, then a partial aggregate per image. Missing chunks are zero.
-    dims = [c[1:] for c in chunks.columns if c in ("nx", "ny", "nz")]
-    stored = F.sum(F.size("data").cast("bigint"))
-    whole = F.lit(1).cast("bigint")
-    for a in dims:
-        whole = whole * F.max("n" + a)
-    gap = F.when(stored < whole, F.lit(0.0))
-    extent = chunks.groupBy("image").agg(
-        F.least(F.min(F.array_min("data")).cast("double"), gap).alias("v_low"),
-        F.greatest(F.max(F.array_max("data")).cast("double"), gap).alias("v_high"),
-    )
+        return pixels.withColumns({"v_low": F.lit(None).cast("double"), "v_high": F.lit(None).cast("double")})
     # Stored, so that its measured size decides how the pixels meet it: they don't move by image for a small table.
-    return chunks.join(written(extent, "extent"), "image")
+    return pixels.join(written(image_range(pixels, axes, params), "extent"), "image")
+
+
+def _crop(pixels: DataFrame, axes, params: SpotParams) -> tuple[list, list]:
+    """Inclusive bounds of the crop, per axis a Column."""
+    first, last = params.crop(len(axes))
+    return [F.lit(first[d] if first else 0) for d in range(len(axes))], [F.lit(last[d]) if last else F.col("n" + a) - 1 for d, a in enumerate(axes)]
+
+
+def image_range(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
+    """``image, v_low, v_high`` of the crop of each image; pixels of missing chunks are 0.
+
+    A chunk within the crop counts by its least and largest value, which are stored beside it as ``v_min`` and ``v_max`` (a zone
+    map; computed where the columns are missing), so its pixels aren't read. Pixels are read of the chunks the crop cuts,
+    and only the numbers of those inside are taken; none moves.
+    """
+    lo, hi = _crop(chunks, axes, params)
+    ends = [F.col(a + "0") + F.col("w" + a) - 1 for a in axes]
+    low, high = [F.greatest(F.col(a + "0"), l) for a, l in zip(axes, lo)], [F.least(e, h) for e, h in zip(ends, hi)]
+    touched = reduce(and_, [x <= y for x, y in zip(low, high)])
+    within = reduce(and_, [(F.col(a + "0") >= l) & (e <= h) for a, l, e, h in zip(axes, lo, ends, hi)])
+    met = chunks.filter(touched)
+    count = lambda pairs: reduce(lambda a, b: a * b, [F.greatest(F.lit(0), y - x + 1).cast("bigint") for x, y in pairs])
+    parts = count(zip(low, high)).alias("met")
+    area = count([(F.greatest(l, F.lit(0)), F.least(h, F.col("n" + a) - 1)) for a, l, h in zip(axes, lo, hi)]).alias("area")
+    zone = [F.col(f"v_{f}") if f"v_{f}" in chunks.columns else getattr(F, f"array_{f}")("data") for f in ("min", "max")]
+    whole = met.filter(within).select("image", zone[0].cast("double").alias("v_min"), zone[1].cast("double").alias("v_max"), parts, area)
+    if params.crop_min or params.crop_max:
+        cut = met.filter(~within)
+        inner = [(x - F.col(a + "0")).cast("int") for a, x in zip(axes, low)], [(y - x + 1).cast("int") for x, y in zip(low, high)]
+        whole = whole.union(cut.select("image", *_cut_extremes(axes, *inner), parts, area))
+    gap = F.when(F.sum("met") < F.max("area"), F.lit(0.0))
+    return whole.groupBy("image").agg(F.least(F.min("v_min"), gap).alias("v_low"), F.greatest(F.max("v_max"), gap).alias("v_high"))
+
+
+def _cut_extremes(axes, first, count) -> list:
+    """Least and largest value of the box of ``count`` pixels from ``first`` in a chunk's data, row by row of the first axis."""
+    rows, stride = F.array(F.lit(0)), F.col("w" + axes[0])
+    for d, a in enumerate(axes[1:], 1):
+        steps = F.transform(F.sequence(first[d], first[d] + count[d] - 1), lambda k, stride=stride: k * stride)
+        rows = F.flatten(F.transform(rows, lambda r, steps=steps: F.transform(steps, lambda s: r + s)))
+        stride = stride * F.col("w" + a)
+    of = lambda f: F.transform(rows, lambda r: f(F.slice(F.col("data"), r + first[0] + 1, count[0])))
+    return [F.array_min(of(F.array_min)).cast("double"), F.array_max(of(F.array_max)).cast("double")]
 
 
 def _extent(index, low, high, block, halo):
@@ -103,29 +137,92 @@ def _extent(index, low, high, block, halo):
     return [s - r for s, r in zip(start, halo)], [e + r for e, r in zip(end, halo)]
 
 
-class Block(NamedTuple):
-    """One assembled block: its candidates with their DoG values, raw pixels, and where in the image it is."""
+class Pixels(NamedTuple):
+    """The assembled pixels of one block with its halo: where they start in the image, the image's size, and the range to scale by, if given."""
 
     image: str
     number: int
-    start: np.ndarray
-    size: np.ndarray
+    start: list[int]
+    size: list[int]
     raw: np.ndarray
+    low: float | None
+    high: float | None
+
+
+class Gather(NamedTuple):
+    """Pixels on their way to blocks, from one shuffle: rows grouped by (image, block_id), how to read a group, and how to find
+    the intensities of centres beyond their block."""
+
+    groups: GroupedData
+    read: Callable[[pa.Table], Pixels]
+    beyond: Callable[[DataFrame], DataFrame]
+
+
+def chunk_gather(chunks: DataFrame, axes, params: SpotParams) -> Gather:
+    """Blocks from chunk rows."""
+    ndim = len(axes)
+
+    def read(table: pa.Table) -> Pixels:
+        pieces = list(records(table))
+        first = pieces[0]
+        get = lambda f: [getattr(first, f + a) for a in axes]
+        start, end = _extent(get("b"), get("l"), get("h"), params.block(ndim), params.halo(ndim))
+        return Pixels(first.image, first.block_id, start, get("n"), _assemble(pieces, axes, start, end, get("n")), first.v_low, first.v_high)
+
+    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
+    return Gather(pieces.groupBy("image", "block_id"), read, lambda spots: intensity.chunk_intensity(spots, chunks, axes))
+
+
+def voxel_gather(voxels: DataFrame, axes, params: SpotParams) -> Gather:
+    """Blocks from voxel rows, each of which goes to the blocks that read it; missing voxels are 0."""
+    ndim = len(axes)
+    block, halo, (first, last) = params.block(ndim), params.halo(ndim), params.crop(ndim)
+    lo, hi = blk.bounds(axes, first, last)
+    out, counts = _voxel_range(voxels, axes, params), [geo.block_count(lo[d], hi[d], block[d]) for d in range(ndim)]
+    for d, a in enumerate(axes):
+        out = blk.read_along(out, a, lo[d], hi[d], block[d], halo[d])
+    number = geo.linear_id(["b" + a for a in axes], counts)
+    rows = out.selectExpr("image", f"{number} AS block_id", *axes, *["n" + a for a in axes], "v", "v_low", "v_high")
+
+    def read(table: pa.Table) -> Pixels:
+        one = lambda name: table[name][0].as_py()
+        size = [one("n" + a) for a in axes]
+        low, high = list(first or [0] * ndim), list(last or [n - 1 for n in size])
+        index, rest = [], one("block_id")
+        for l, h, s in zip(low, high, block):
+            count = max(0, -(-(h - 1 - l) // (s - 2)))
+            index, rest = [*index, rest % count], rest // count
+        start, end = _extent(index, low, high, block, halo)
+        inner = [max(s, 0) for s in start]
+        raw = np.zeros([min(e, n - 1) - s + 1 for s, e, n in zip(inner, end, size)][::-1])
+        raw[tuple(table[a].to_numpy() - s for a, s in zip(axes, inner))[::-1]] = table["v"].to_numpy()
+        return Pixels(one("image"), one("block_id"), start, size, _mirrored(raw, start, end, size), one("v_low"), one("v_high"))
+
+    groups = rows.repartition("image", "block_id").groupBy("image", "block_id")
+    return Gather(groups, read, lambda spots: intensity.spot_intensity(spots, voxels, axes))
+
+
+def _voxel_range(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
+    """Columns v_low, v_high of voxel rows: the fixed range, the image's (inside the crop), or null for the block's own."""
+    if not params.auto_range or params.range_scope == "block":
+        return _with_range(voxels, axes, params)
+    inside = crop_voxels(voxels, axes, *_crop(voxels, axes, params))
+    extent = inside.groupBy("image").agg(F.min("v").cast("double").alias("v_low"), F.max("v").cast("double").alias("v_high"))
+    return voxels.join(written(extent, "extent"), "image")
+
+
+class Block(NamedTuple):
+    """Candidates of one block as positions in its array, in the order of the axes, with their DoG values."""
+
+    pixels: Pixels
     span: float
     peaks: np.ndarray
     dog: np.ndarray
 
 
-def candidates_of(table: pa.Table, axes, params: SpotParams) -> Block:
-    """Candidates of the block whose pieces ``table`` holds, as positions in the assembled array, in the order of the axes."""
-    ndim = len(axes)
-    halo, pieces = params.halo(ndim), list(records(table))
-    first = pieces[0]
-    get = lambda f: [getattr(first, f + a) for a in axes]
-    start, end = _extent(get("b"), get("l"), get("h"), params.block(ndim), halo)
-    raw = _assemble(pieces, axes, start, end, get("n"))
+def candidates_of(pixels: Pixels, ndim: int, params: SpotParams) -> Block:
+    halo, raw, low, high = params.halo(ndim), pixels.raw, pixels.low, pixels.high
     own = tuple(slice(r, n - r) for r, n in zip(halo[::-1], raw.shape))
-    low, high = first.v_low, first.v_high
     if low is None:
         low, high = float(raw[own].min()), float(raw[own].max())
     peaks, dog = np.zeros((0, ndim), np.int64), np.zeros(0)
@@ -134,25 +231,20 @@ def candidates_of(table: pa.Table, axes, params: SpotParams) -> Block:
         response = (_blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True)))[own]
         found = _peaks(response, params.threshold)
         peaks, dog = found[:, ::-1] + np.array(halo), response[tuple(found.T)]
-    return Block(first.image, first.block_id, np.array(start), np.array(get("n")), raw, high - low, peaks, dog)
-
-
-def blocks_of(chunks: DataFrame, axes, params: SpotParams):
-    """Pieces of all blocks, grouped by block."""
-    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
-    return pieces.groupBy("image", "block_id")
+    return Block(pixels, high - low, peaks, dog)
 
 
-def block_candidates(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
+def block_candidates(gather: Gather, axes, params: SpotParams) -> DataFrame:
     """``image, block_id, x, y[, z], dog, span``: DoG peaks of every block with the width of the range used."""
     schema = f"image string, block_id bigint, {', '.join(a + ' bigint' for a in axes)}, dog double, span double"
-    arrow = schema_of(schema)
+    arrow, read = schema_of(schema), gather.read
 
     def run(table: pa.Table) -> pa.Table:
-        block = candidates_of(table, axes, params)
-        return table_of([block.image, block.number, *(block.peaks + block.start).T, block.dog, block.span], len(block.peaks), arrow)
+        found = candidates_of(read(table), len(axes), params)
+        at = found.peaks + np.array(found.pixels.start)
+        return table_of([found.pixels.image, found.pixels.number, *at.T, found.dog, found.span], len(at), arrow)
 
-    return blocks_of(chunks, axes, params).applyInArrow(run, schema)
+    return gather.groups.applyInArrow(run, schema)
 
 
 def table_of(columns: list, rows: int, schema: pa.Schema) -> pa.Table:
@@ -182,8 +274,12 @@ def _assemble(pieces, axes, start, end, size):
         o = [getattr(piece, "o" + a) - s for a, s in zip(axes, a0)]
         w = [getattr(piece, "w" + a) for a in axes]
         out[tuple(slice(i, i + n) for i, n in zip(o, w))[::-1]] = piece.data.reshape(w[::-1])
-    beyond = [(s0 - s, e - e0) for s, s0, e, e0 in zip(start, a0, end, a1)]
-    return np.pad(out, beyond[::-1], mode="reflect")
+    return _mirrored(out, start, end, size)
+
+
+def _mirrored(raw, start, end, size):
+    """Pixels of the image with what mirrors beyond its borders, over start..end."""
+    return np.pad(raw, [(max(0, -s), max(0, e - n + 1)) for s, e, n in zip(start, end, size)][::-1], mode="reflect")
 
 
 def _blur(v, sigmas):
@@ -213,43 +309,74 @@ def _peaks(response, threshold):
 # --- centres -----------------------------------------------------------------------------
 
 
+def _cube(axes, r: int) -> np.ndarray:
+    return np.stack(np.meshgrid(*[np.arange(-r, r + 1)] * len(axes), indexing="ij"), axis=-1).reshape(-1, len(axes))
+
+
+def _regions(block: Block, axes, params: SpotParams) -> Iterator[tuple]:
+    """Slices of a block's candidates with their gradients, background subtracted, at the offsets of the cube, and the mask of those in the image."""
+    cube, raster = _cube(axes, params.support_radius), batched.Raster(block.pixels.raw)
+    factors = [params.anisotropy if a == "z" else 1.0 for a in axes]
+    spots = block.peaks + np.array(block.pixels.start)
+    for part in batched.slices(len(spots), len(cube), params):
+        at = spots[part]
+        mask = ((at[:, None] + cube >= 0) & (at[:, None] + cube < np.array(block.pixels.size))).all(axis=2)
+        g = raster.gradients(block.peaks[part], cube, factors) / block.span
+        yield part, at, cube, batched.subtract(cube, g, mask, params.support_radius, params), mask
+
+
+def regions(gather: Gather, axes, params: SpotParams) -> DataFrame:
+    """Support regions of all candidates (see ``support.support_region``), background subtracted, without another shuffle."""
+    schema = ", ".join(["image string", *[f"{c}{a} bigint" for c in "sd" for a in axes], *[f"g{a} double" for a in axes]])
+    arrow, read = schema_of(schema), gather.read
+
+    def run(table: pa.Table) -> pa.Table:
+        block, tables = candidates_of(read(table), len(axes), params), []
+        for _, at, cube, g, mask in _regions(block, axes, params):
+            spot, member = np.nonzero(mask)
+            tables.append(table_of([block.pixels.image, *at[spot].T, *cube[member].T, *g[mask].T], len(spot), arrow))
+        return pa.concat_tables(tables) if tables else arrow.empty_table()
+
+    return gather.groups.applyInArrow(run, schema)
+
+
 def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
-    """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images.
+    """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images."""
+    return spots_of(chunk_gather(chunks, axes, params), axes, params)
+
+
+def spots_of(gather: Gather, axes, params: SpotParams) -> DataFrame:
+    """Spots of gathered blocks. Candidates are localized where their pixels are, in array operations, so only spots leave a block.
 
-    A block's candidates are localized where its pixels are, all of them in array operations, so only spots leave it. A centre that lies
-    beyond the block and its halo finds its intensity in the chunks; with a ``max_shift`` within the halo there is none.
+    A centre beyond its block and halo finds its intensity in the table of pixels; with a ``max_shift`` within the halo there is none,
+    and nothing runs before the result is read.
     """
-    ndim, r = len(axes), params.support_radius
-    cube = np.stack(np.meshgrid(*[np.arange(-r, r + 1)] * ndim, indexing="ij"), axis=-1).reshape(-1, ndim)
+    ndim = len(axes)
     stretch = np.array(localize.scale(axes, params.anisotropy))
-    factors = [params.anisotropy if a == "z" else 1.0 for a in axes]
     schema = "image string, block_id bigint, {}, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint".format(
         ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes), ", ".join(f"n{a} bigint" for a in axes))
-    arrow = schema_of(schema)
+    arrow, read = schema_of(schema), gather.read
 
     def run(table: pa.Table) -> pa.Table:
-        block = candidates_of(table, axes, params)
-        raster, spots = batched.Raster(block.raw), block.peaks + block.start
-        parts = []
-        for part in batched.slices(len(spots), len(cube), params):
-            inner, at = block.peaks[part], spots[part]
-            mask = ((at[:, None] + cube >= 0) & (at[:, None] + cube < block.size)).all(axis=2)
-            g = batched.subtract(cube, raster.gradients(inner, cube, factors) / block.span, mask, r, params)
-            found = batched.fit([block.image] * len(at), at, np.broadcast_to(cube.astype(float), g.shape), g, mask, stretch, params)
+        pixels = read(table)
+        block, parts = candidates_of(pixels, ndim, params), []
+        for part, at, cube, g, mask in _regions(block, axes, params):
+            found = batched.fit([pixels.image] * len(at), at, np.broadcast_to(cube.astype(float), g.shape), g, mask, stretch, params)
             parts.append(found._replace(spot=found.spot + part.start))
         found = batched.joined(parts, ndim)
-        values, here = raster.interpolated(block.peaks[found.spot] + found.centre)
-        at = spots[found.spot]
-        columns = [block.image, block.number, *at.T, *(at + found.centre).T, *block.size.tolist(), pa.array(values, mask=~here), found.gradients, found.inliers, found.round]
+        inner = block.peaks[found.spot]
+        values, here = batched.Raster(pixels.raw).interpolated(inner + found.centre)
+        at = inner + np.array(pixels.start)
+        columns = [pixels.image, pixels.number, *at.T, *(at + found.centre).T, *pixels.size, pa.array(values, mask=~here), found.gradients, found.inliers, found.round]
         return table_of(columns, len(at), arrow)
 
-    spots = blocks_of(chunks, axes, params).applyInArrow(run, schema)
+    spots = gather.groups.applyInArrow(run, schema)
     far = params.max_shift is None or params.max_shift > min(params.halo(ndim))
     if far or params.ransac == MULTICONSENSUS:
         spots = written(spots, "spots")  # small next to the pixels, and several steps read it
     beyond = spots.filter("intensity IS NULL")
     if far and not beyond.isEmpty():
-        spots = spots.filter("intensity IS NOT NULL").unionByName(intensity.chunk_intensity(beyond.drop("intensity"), chunks, axes))
+        spots = spots.filter("intensity IS NOT NULL").unionByName(gather.beyond(beyond.drop("intensity")))
     spots = spots.drop(*["n" + a for a in axes])
     if params.ransac == MULTICONSENSUS:
         spots = localize.drop_weak_counts(spots, params)

@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from punctum.operators import detect, filters, intensity, localize, support
+from punctum.operators import detect
 from punctum.params import SpotParams
-from punctum.sources.images import size_columns
 
 
-def region_of(voxels: DataFrame, axes, params: SpotParams, peaks: DataFrame | None = None) -> DataFrame:
-    """Support regions of all peaks, background subtracted."""
-    peaks = filters.dog_peaks(voxels, axes, params) if peaks is None else peaks
-    slopes = filters.gradients(voxels, axes, params.anisotropy, drop_zero=False)
-    region = support.support_region(peaks, slopes, axes, params.support_radius)
-    return support.subtract_background(
-        region, axes, params.support_radius, params.background,
-        params.background_max_error, params.background_min_inlier_ratio,
-    )
+def region_of(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
+    """Support regions of all peaks, background subtracted; peaks, gradients and regions share one gather of the pixels."""
+    return detect.regions(detect.voxel_gather(voxels, axes, params), axes, params)
 
 
 def detect_voxels(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
-    """The chain over voxel rows, every stage a DataFrame operator. Right for moderate images."""
-    centres = localize.localize(region_of(voxels, axes, params), axes, params)
-    sizes = voxels.groupBy("image").agg(*[F.max(n).alias(n) for n in size_columns(axes)])
-    spots = intensity.spot_intensity(centres.join(sizes, "image"), voxels, axes)
-    return intensity.intensity_threshold(spots.drop(*size_columns(axes)), params.intensity_threshold)
+    """The chain over voxel rows. A row is a pixel, so the shuffle is wider than that of chunks: right for moderate images."""
+    return detect.spots_of(detect.voxel_gather(voxels, axes, params), axes, params)
 
 
 def detect_blocks(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:

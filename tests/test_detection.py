@@ -62,7 +62,7 @@ def test_auto_range_depends_on_blocks_but_not_in_image_scope(spark):
     a = found(detect.detect(chunks, AXES[2], auto.with_(block_size=(16, 16))), AXES[2])
     b = found(detect.detect(chunks, AXES[2], auto.with_(block_size=(64, 64))), AXES[2])
     assert len(a) == len(b) == 5 and np.allclose(a, b)
-    per_block = [detect.block_candidates(chunks, AXES[2], auto.with_(range_scope="block", block_size=s)).agg(F.min("span")).first()[0] for s in ((16, 16), (64, 64))]
+    per_block = [detect.block_candidates(detect.chunk_gather(chunks, AXES[2], auto.with_(range_scope="block", block_size=s)), AXES[2], auto.with_(range_scope="block", block_size=s)).agg(F.min("span")).first()[0] for s in ((16, 16), (64, 64))]
     assert per_block[0] < per_block[1]
 
 
