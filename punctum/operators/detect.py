@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from punctum.functions import geometry as geo
 from punctum.functions.arrow import batch_of, records, schema_of
@@ -119,12 +119,17 @@ def image_range(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
     return whole.groupBy("image").agg(F.least(F.min("v_min"), gap).alias("v_low"), F.greatest(F.max("v_max"), gap).alias("v_high"))
 
 
+def _shifted(places: Column, first: Column, count: Column, step: Column) -> Column:
+    """Every place plus ``first`` and ``count - 1`` steps more."""
+    steps = F.transform(F.sequence(F.lit(0), count - 1), lambda k: first + k * step)
+    return F.flatten(F.transform(places, lambda p: F.transform(steps, lambda s: p + s)))
+
+
 def _cut_extremes(axes, first, count) -> list:
     """Least and largest value of the box of ``count`` pixels from ``first`` in a chunk's data, row by row of the first axis."""
     rows, stride = F.array(F.lit(0)), F.col("w" + axes[0])
     for d, a in enumerate(axes[1:], 1):
-        steps = F.transform(F.sequence(first[d], first[d] + count[d] - 1), lambda k, stride=stride: k * stride)
-        rows = F.flatten(F.transform(rows, lambda r, steps=steps: F.transform(steps, lambda s: r + s)))
+        rows = _shifted(rows, first[d] * stride, count[d], stride)
         stride = stride * F.col("w" + a)
     of = lambda f: F.transform(rows, lambda r: f(F.slice(F.col("data"), r + first[0] + 1, count[0])))
     return [F.array_min(of(F.array_min)).cast("double"), F.array_max(of(F.array_max)).cast("double")]

@@ -56,7 +56,8 @@ def sized(axes, alias="") -> str:
 
 def norm_cte(p: SpotParams, axes) -> str:
     if p.auto_range:
-        return (f"lim as (select image, min(v) low, max(v) high from img group by image), "
+        inside = "" if p.crop_min is None else f" where {' and '.join(f'{a} between {l} and {h}' for a, l, h in zip(axes, p.crop_min, p.crop_max))}"
+        return (f"lim as (select image, min(v) low, max(v) high from img{inside} group by image), "
                 f"nrm as (select i.image, {cols(axes, alias='i.')}, (i.v-l.low)/(l.high-l.low)::double v, {sized(axes, 'i.')} from img i join lim l on i.image=l.image)")
     return f"nrm as (select image, {cols(axes)}, (v-{p.min_intensity!r})/({p.max_intensity!r}-{p.min_intensity!r}) v, {sized(axes)} from img)"
 
@@ -92,7 +93,9 @@ def owner_id(axes, block, alias="", nb=None) -> str:
     return out
 
 
-def interior(axes, alias="") -> str:
+def interior(axes, alias="", p: SpotParams | None = None) -> str:
+    if p is not None and p.crop_min is not None:
+        return " and ".join(f"{alias}{a} between {l}+1 and {h}-1" for a, l, h in zip(axes, p.crop_min, p.crop_max))
     return " and ".join(f"{alias}{a} between 1 and {alias}n{a}-2" for a in axes)
 
 
@@ -106,7 +109,7 @@ def peak_ctes(p: SpotParams, axes) -> list[str]:
     same = " and ".join(f"n.{a}=c.p{a}" for a in axes)
     return [
         neighbour_offsets(axes),
-        f"cand as (select * from dogs where dog>{p.threshold!r} and {interior(axes)})",
+        f"cand as (select * from dogs where dog>{p.threshold!r} and {interior(axes, p=p)})",
         f"around as (select c.image, {cols(axes, alias='c.')}, c.dog, {', '.join(f'c.{a}+o.d{a} p{a}' for a in axes)} from cand c cross join offs o)",
         f"beaten as (select distinct c.image, {cols(axes, alias='c.')} from around c join dogs n on n.image=c.image and {same} and n.dog>=c.dog)",
         f"peaks as (select c.* from cand c left join beaten b on {on(axes, 'c', 'b')} where b.image is null)",
@@ -476,6 +479,8 @@ def registry() -> dict[str, str]:
     out["write_manifest_single"] = with_(TASKS, f"select 0 chunk, concat('{BASE}', key) input, {OUT_PATH} output from numbered")
     out["udtf_split_blocks_3d"] = out["split_blocks_3d"]
     out["detect_images_auto"] = detected(2, max_intensity=0.0)
+    for n, tail in ((2, ""), (3, "_3d")):
+        out["detect_images_auto_crop" + tail] = detected(n, max_intensity=0.0, crop_min=CROP[n][0], crop_max=CROP[n][1])
     out["list_by_prefix_ext"] = with_([LISTING], f"select concat('{BASE}', key) uri from listing where contains(key, 'src1') and ends_with(key, '.tif')")
     out["list_summaries"] = with_([LISTING], "select key, size from listing where contains(key, 'src1') and ends_with(key, '.tif')")
     out["list_basenames"] = with_([LISTING], r"select regexp_extract(key, '([^/]+?)(\.[^./]*)?$', 1) as name from listing where contains(key, 'src1')")

@@ -409,6 +409,15 @@ def detected(spark, sf, n=2, relational=False, whole=False, **changes):
     return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
 
 
+def detected_in_crop(spark, sf, n=2):
+    """Each image's own range inside the crop, from the zone maps of stored chunks."""
+    path = stored(chunks(spark, sf, n), "zones")
+    table = spark.read.schema(img.chunk_schema(AXES[n], zones=True)).parquet(path)
+    lo, hi = CROP[n]
+    out = chain.detect_images(table, AXES[n], SETTINGS[n].with_(max_intensity=0.0, block_size=None, crop_min=lo, crop_max=hi))
+    return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
+
+
 def _arrivals(spark, sf, least=0.0):
     """Half of the chunks arrive, are detected, and then the rest: what was found first at the gaps must go."""
     source, target, state = (scratch_path(spark, label) for label in ("arriving", "arrived", "arrived-state"))
@@ -569,4 +578,5 @@ def registry():
         "scan_chunks_named": scan_chunks_named, "read_dataset_attributes": read_dataset_attributes, "write_every_image": write_every_image,
         "write_manifest_single": write_manifest_single, "udtf_split_blocks_3d": udtf_split_blocks_3d,
         "detect_images_auto": partial(detected, whole=True, max_intensity=0.0),
+        "detect_images_auto_crop": detected_in_crop, "detect_images_auto_crop_3d": three(detected_in_crop),
     }

@@ -98,11 +98,11 @@ def voxels_of_lines(lines: DataFrame, axes) -> DataFrame:
     return out.select("image", F.col("x").cast("bigint").alias("x"), *axes[1:], F.col("v").cast("double").alias("v"), *size_columns(axes))
 
 
-def chunk_schema(axes) -> str:
-    """Schema of stored chunk rows; given to every read, so that image names stay text."""
+def chunk_schema(axes, zones: bool = False) -> str:
+    """Schema of stored chunk rows; given to every read, so that image names stay text. ``zones``: with each chunk's least and largest value."""
     return ", ".join(
         ["image string", "chunk_id bigint", *[f"{a}0 bigint" for a in axes], *[f"{a}1 bigint" for a in axes], *[f"w{a} int" for a in axes],
-         *[f"n{a} bigint" for a in axes], "data array<float>"])
+         *[f"n{a} bigint" for a in axes], "data array<float>", *(["v_min float", "v_max float"] if zones else [])])
 
 
 def line_schema(axes) -> str:
@@ -110,10 +110,11 @@ def line_schema(axes) -> str:
 
 
 def write_images(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A folder per image; chunk rows get their inclusive ends and are ordered by origin, so row groups are compact."""
+    """A folder per image; chunk rows get their inclusive ends and a zone map, and are ordered by origin, so row groups are compact."""
     axes = [c[0] for c in table.columns if c in ("x0", "y0", "z0")]
     if axes:
         table = table.withColumns({a + "1": F.col(a + "0") + F.col("w" + a) - 1 for a in axes})
+        table = table.withColumns({"v_min": F.array_min("data"), "v_max": F.array_max("data")})
         table = table.sortWithinPartitions("image", *[a + "0" for a in reversed(axes)])
     table.write.mode(mode).partitionBy("image").parquet(path)
 

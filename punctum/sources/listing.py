@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from punctum.sources.objects import PREFIXES, SCHEMES, Objects
 
-def list_objects(spark: SparkSession, root: str) -> DataFrame:
-    """All files below a folder on any file system, without reading their content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+def list_objects(spark: SparkSession, root: str, prefixes: int = PREFIXES) -> DataFrame:
+    """``key, size, modified`` of all files below a folder, without reading their content.
+
+    Tasks list the folders (see ``objects.Objects``), so the driver never holds the keys. A file system that tasks
+    can't open without Spark is listed by Spark's own file index.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if whole.partition(":")[0] in SCHEMES:
+        spark.dataSource.register(Objects)
+        return spark.read.format(Objects.name()).option("prefixes", prefixes).load(whole)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(whole)
     return files.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 

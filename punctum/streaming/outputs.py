@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,18 +40,25 @@ def output_count(spark: SparkSession, folder: str, schema: str, pattern: str = "
     return progress.poll_delta(spark.read.parquet(target), interval)
 
 
-NAMES = 1000
+#: Files of a batch: its changed images are no more.
+FILES = 10_000
 
 
-def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams, target: str, checkpoint: str, skip_finished: bool = False):
+def folders_of(batch: DataFrame) -> list[str]:
+    """Folders of the files of a batch, at most one a file."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return sorted(unquote(r.folder) for r in batch.select(folder.alias("folder")).distinct().collect())
+
+
+def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams, target: str, checkpoint: str, skip_finished: bool = False, files: int = FILES):
     """Detect spots in images as their chunk files arrive, and only in those.
 
-    A batch names the images that changed. Each is read whole, by its folder, and gets a new version below
-    ``target``: spots by batch, and a row per image and batch, also for images without spots. ``arrived`` reads the
-    latest version of each image, so chunks that arrive late replace what was found before, and a batch that runs
-    twice writes the same folders. With ``skip_finished`` images that have a version are left alone.
+    A batch is at most ``files`` new files and one detection. It reads the folders its files are in, no others are listed, so each image that
+    changed is read whole, and gets a new version below ``target``: spots by batch, and a row per image and batch, also for
+    images without spots. ``arrived`` reads the latest version of each image, so chunks that arrive late replace what was
+    found before, and a batch that runs twice writes the same folders. With ``skip_finished`` images that have a version are left alone.
     """
-    arrivals = spark.readStream.schema(chunk_schema(axes)).parquet(folder)
+    arrivals = spark.readStream.schema(chunk_schema(axes)).option("maxFilesPerTrigger", files).parquet(folder)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -60,15 +67,13 @@ def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams,
             earlier = versions(session, target).filter(F.col("batch") < batch_id)
             changed = changed.join(earlier, "image", "left_anti")
         changed = written(changed, "changed")
-        names, part = changed.orderBy("image").toLocalIterator(), 0
-        while group := [r.image for r in itertools.islice(names, NAMES)]:
-            chunks = session.read.schema(chunk_schema(axes)).parquet(folder).filter(F.col("image").isin(group))
-            detect_images(chunks, axes, params).write.mode("overwrite").parquet(f"{target}/spots/batch={batch_id}/part={part}")
-            part += 1
+        if folders := folders_of(batch):
+            chunks = session.read.schema(chunk_schema(axes)).option("basePath", folder).parquet(*folders).join(changed, "image", "left_semi")
+            detect_images(chunks, axes, params).write.mode("overwrite").parquet(f"{target}/spots/batch={batch_id}")
         changed.write.mode("overwrite").parquet(f"{target}/images/batch={batch_id}")
 
     return (
-        arrivals.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        arrivals.select("*", "_metadata").writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
@@ -83,8 +88,8 @@ def versions(spark: SparkSession, target: str) -> DataFrame:
 def arrived(spark: SparkSession, target: str, axes) -> DataFrame:
     """Spots of the latest version of every image."""
     latest = versions(spark, target).groupBy("image").agg(F.max("batch").alias("batch"))
-    schema = "image string, block_id bigint, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint, batch bigint, part int".format(
+    schema = "image string, block_id bigint, {}, {}, intensity double, gradients bigint, inliers bigint, round bigint, batch bigint".format(
         ", ".join(f"s{a} bigint" for a in axes), ", ".join(f"{a} double" for a in axes))
     if not path_exists(spark, f"{target}/spots"):
-        return spark.createDataFrame([], schema).drop("batch", "part")
-    return spark.read.schema(schema).parquet(f"{target}/spots").join(latest, ["image", "batch"], "left_semi").drop("batch", "part")
+        return spark.createDataFrame([], schema).drop("batch")
+    return spark.read.schema(schema).parquet(f"{target}/spots").join(latest, ["image", "batch"], "left_semi").drop("batch")
