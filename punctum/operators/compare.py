@@ -1,170 +1,166 @@
 """Comparison of two spot tables ``id, x, y[, z]``: nearest neighbours and unmatched spots.
 
-Exact for any distance and any clustering, without a cross join. Points lie in grid cells of a few points;
-only cells that are too full are cut further, by 4 along each axis, until every leaf is small.
-Most queries are settled by one join with the 3^n cells around them. The others start from a bound,
-the distance to one member of each cell they lie in, and descend a tree of cells with tight
-boxes, keeping the cells whose box is within the bound. Identical positions count once.
+Points and queries are dealt together into ranges of a space-filling curve, so ranges follow the density and a query mostly lies with
+its neighbours. Each task builds a KD-tree of its points and answers its queries. A query whose ball touches
+the box of another range goes there too, once, and keeps the best. Exact for any distance and clustering, without a cross join.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from punctum.functions.numeric import total
+from punctum.functions.arrow import schema_of
+from punctum.functions.trees import Tree, to_boxes
 from punctum.session import written
 
-SHIFT = 2  # a cell has 4 children along each axis
-FULL = 64
-TYPICAL = 8
-DEEPEST = 20
+#: Bits of the curve: all axes together.
+BITS = 60
+#: Points in one row of a stored range; queries that one task takes of those that come to one range.
+PACKED, TAKEN = 1 << 16, 1 << 20
+NONE = np.iinfo(np.int64).max
 
 
-@dataclass(frozen=True)
-class Grid:
-    """Integer coordinates at the finest level; a cell of level l >= -depth is these shifted right."""
+def curve(axes, low: dict[str, float], extent: float) -> Column:
+    """Place on the curve that interleaves the bits of the coordinates; positions outside count as the nearest inside."""
+    bits = BITS // len(axes)
+    place = F.lit(0).cast("bigint")
+    for d, a in enumerate(axes):
+        share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(a) - F.lit(low[a])) / F.lit(extent)))
+        cell = F.least(F.floor(share * F.lit(float(1 << bits))), F.lit(float((1 << bits) - 1))).cast("bigint")
+        for b in range(bits):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("bigint")), b * len(axes) + d))
+    return place
 
-    axes: tuple[str, ...]
-    origin: dict[str, float]
-    edge: float
-    depth: int
-    top: int
 
-    def fine(self, prefix: str = "") -> list[Column]:
-        step = self.edge / 4.0**self.depth
-        return [F.floor((F.col(prefix + a) - F.lit(self.origin[a])) / F.lit(step)).cast("bigint").alias("f" + a) for a in self.axes]
+def _arrays(table: pa.Table | pa.RecordBatch, axes) -> np.ndarray:
+    return np.stack([table.column(a).to_numpy(zero_copy_only=False) for a in axes], axis=1) if table.num_rows else np.zeros((0, len(axes)))
 
-    def cell(self, level: int | Column) -> list[Column]:
-        if isinstance(level, int):
-            return [F.shiftright("f" + a, SHIFT * (level + self.depth)).alias("c" + a) for a in self.axes]
-        return [F.call_function("shiftright", F.col("f" + a), (level + self.depth) * SHIFT).alias("c" + a) for a in self.axes]
 
-    def size(self, level: int) -> float:
-        return self.edge * 4.0**level
+def _ranges(rows: DataFrame, axes) -> DataFrame:
+    """Points and queries (``match_id`` null) of each range: queries with the nearest point of it, points packed with their box.
 
-
-def _distance(axes, a: str, b: str) -> Column:
-    return F.sqrt(total([(F.col(a + x) - F.col(b + x)) * (F.col(a + x) - F.col(b + x)) for x in axes]))
-
-
-def _grid(points: DataFrame, queries: DataFrame, axes) -> Grid | None:
-    """From one row of extents, read on the driver."""
-    span = [f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]
-    stats, reach = points.agg(F.count("*").alias("n"), *span).first(), queries.agg(*span).first()
-    if not stats["n"] or any(reach["min" + a] is None for a in axes):
-        return None
-    origin = {a: float(min(stats["min" + a], reach["min" + a])) for a in axes}
-    extent = max(max(stats["max" + a], reach["max" + a]) - origin[a] for a in axes) or 1.0
-    edges = [max(stats["max" + a] - stats["min" + a], 1e-12 * extent) for a in axes]
-    edge = min(extent, max((math.prod(edges) * TYPICAL / stats["n"]) ** (1 / len(axes)), extent * 1e-9))
-    top = max(0, math.ceil(math.log(extent * 1.001 / edge, 4)))
-    depth = max(0, min(DEEPEST, int(math.log(2.0**60 * edge / extent, 4))))
-    return Grid(tuple(axes), origin, edge, depth, top)
-
-
-def _leaves(places: DataFrame, grid: Grid) -> tuple[DataFrame, int]:
-    """``places`` with their leaf ``level, cx, cy[, cz]``, and the number of levels below 0 that are used.
-
-    Only places of too full cells are counted at the finer levels, all levels in one pass.
+    ``part`` is the range, ``number`` tells query rows apart.
     """
-    cell, key = ["c" + a for a in grid.axes], ["f" + a for a in grid.axes]
-    full = written(places.select(*grid.cell(0)).groupBy(*cell).count().filter(F.col("count") > FULL).drop("count"), "full")
-    whole = places.select("*", F.lit(0).alias("level"), *grid.cell(0))
-    if not grid.depth or full.isEmpty():
-        return whole, 0
-    crowded = whole.join(full, cell, "left_semi").drop("level", *cell)
-    fine = crowded.withColumn("level", F.explode(F.sequence(F.lit(-1), F.lit(-grid.depth)))).select("*", *grid.cell(F.col("level")))
-    counts = fine.groupBy("level", *cell).agg(F.count("*").alias("n"))
-    small = fine.join(counts, ["level", *cell]).filter((F.col("n") <= FULL) | (F.col("level") == -grid.depth))
-    first = small.groupBy(*grid.axes).agg(F.max("level").alias("level"))
-    deep = crowded.join(first, list(grid.axes)).select(*places.columns, "level")
-    leaves = whole.join(full, cell, "left_anti").unionByName(deep.select("*", *grid.cell(F.col("level"))))
-    leaves = written(leaves, "leaves")
-    return leaves, -(leaves.agg(F.min("level")).first()[0] or 0)
-
-
-def _nodes(leaves: DataFrame, grid: Grid) -> DataFrame:
-    """Every cell of the tree with its box, one member, and whether it is a leaf."""
-    cell = ["c" + a for a in grid.axes]
-    box = [f(a).alias(f.__name__ + a) for a in grid.axes for f in (F.min, F.max)]
-    lowest = leaves.groupBy("level", *cell).agg(*box, F.min(F.struct(*grid.axes)).alias("member"), *[F.min("f" + a).alias("f" + a) for a in grid.axes])
-    up = lowest.drop(*cell).withColumn("own", F.col("level")).withColumn("level", F.explode(F.sequence("own", F.lit(grid.top))))
-    widen = [f(F.col(f.__name__ + a)).alias(f.__name__ + a) for a in grid.axes for f in (F.min, F.max)]
-    return up.select("*", *grid.cell(F.col("level"))).groupBy("level", *cell).agg(*widen, F.min("member").alias("member"), F.max(F.col("own") == F.col("level")).alias("leaf"))
-
-
-def _around(rows: DataFrame, cell: list[str]) -> DataFrame:
-    for c in cell:
-        rows = rows.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-    return rows
+    axes = list(axes)
+    plain = ", ".join(f"{a} double" for a in axes)
+    lists = ", ".join(f"p{a} array<double>" for a in axes)
+    shape = f"part bigint, number bigint, id bigint, {plain}, match_id bigint, distance double, {lists}, ids array<bigint>"
+    schema = schema_of(shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        asks = table["match_id"].is_null()
+        points, queries = table.filter(pa.compute.invert(asks)), table.filter(asks)
+        at, numbers = _arrays(points, axes), points["match_id"].to_numpy()
+        for k in range(0, len(at), PACKED):
+            some = slice(k, k + PACKED)
+            packed = [pa.array([at[some, d]], pa.list_(pa.float64())) for d in range(len(axes))]
+            nulls = [pa.nulls(1, f.type) for f in schema][1 : len(axes) + 5]
+            yield pa.RecordBatch.from_arrays([pa.array([part]), *nulls, *packed, pa.array([numbers[some]], pa.list_(pa.int64()))], schema=schema)
+        here, n = _arrays(queries, axes), queries.num_rows
+        distance, number = np.full(n, np.inf), np.full(n, NONE)
+        if n and len(at):
+            distance, number = Tree(at, numbers).nearest(here, distance, number)
+        ids = queries["id"].combine_chunks()
+        columns = [pa.array(np.full(n, part)), pa.array((part << 33) + np.arange(n)), ids, *here.T, pa.array(number), pa.array(distance)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *[pa.nulls(n, f.type) for f in schema][len(axes) + 5 :]], schema=schema)
+
+    return rows.mapInArrow(run, shape)
+
+
+def _routed(queries: DataFrame, axes, parts: np.ndarray, low: np.ndarray, high: np.ndarray) -> DataFrame:
+    """Queries with ``to``: another range whose box is within the distance, a row for each; null if there is none.
+
+    Each box has a point no farther than its farthest corner, which bounds queries that lie in a range without points.
+    """
+    axes = list(axes)
+    shape = f"number bigint, id bigint, {', '.join(f'{a} double' for a in axes)}, match_id bigint, distance double, to bigint"
+    schema = schema_of(shape)
+    step = max(1, (1 << 20) // max(1, len(parts)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                some = batch.slice(at, step)
+                q, best, own = _arrays(some, axes)[:, None], some.column("distance").to_numpy(), some.column("part").to_numpy()
+                far = np.sqrt((np.maximum(np.abs(q - low), np.abs(q - high)) ** 2).sum(axis=2)).min(axis=1)
+                near = (to_boxes(q, low, high) <= np.minimum(best, far)[:, None] * (1 + 1e-9)) & (parts != own[:, None])
+                row, box = np.nonzero(near)
+                alone = np.flatnonzero(~near.any(axis=1))
+                take = np.concatenate([row, alone])
+                kept = [some.column(c).take(pa.array(take)) for c in ("number", "id", *axes, "match_id", "distance")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate([parts[box], np.zeros(len(alone), np.int64)]), mask=np.arange(len(take)) >= len(row))], schema=schema)
+
+    return queries.select("part", "number", "id", *axes, "match_id", "distance").mapInArrow(run, shape)
+
+
+def _answered(asked: DataFrame, points: DataFrame, axes) -> DataFrame:
+    """Queries that came to a range, with the better of what they had and its nearest point.
+
+    A range that many queries come to is answered in several tasks.
+    """
+    axes = list(axes)
+    counts = asked.groupBy("to").count().filter(F.col("count") > TAKEN).collect()
+    salts = F.lit(1)
+    for r in counts:
+        salts = F.when(F.col("to") == r.to, F.lit(-(-r["count"] // TAKEN))).otherwise(salts)
+    asked = asked.withColumn("salt", F.pmod(F.xxhash64("number"), salts).cast("bigint"))
+    points = points.withColumnRenamed("part", "to").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1).cast("array<bigint>")))
+    shape = "number bigint, id bigint, match_id bigint, distance double"
+    schema = schema_of(shape)
+
+    def run(queries: pa.Table, packed: pa.Table) -> pa.Table:
+        if not queries.num_rows:
+            return schema.empty_table()
+        at = np.stack([packed[f"p{a}"].combine_chunks().flatten().to_numpy() for a in axes], axis=1)
+        tree = Tree(at, packed["ids"].combine_chunks().flatten().to_numpy())
+        distance, number = tree.nearest(_arrays(queries, axes), queries["distance"].to_numpy(), queries["match_id"].to_numpy())
+        return pa.Table.from_arrays([queries["number"], queries["id"], pa.array(number), pa.array(distance)], schema=schema)
+
+    return asked.groupBy("to", "salt").cogroup(points.groupBy("to", "salt")).applyInArrow(run, shape)
 
 
 def nearest(queries: DataFrame, points: DataFrame, axes) -> DataFrame:
     """``id, match_id, distance``: nearest point of each query; ties go to the smallest id.
 
-    A query with a null coordinate, and every query if there are no points, has no match.
+    A query with a null coordinate, and every query if there are no points, has no match. Queries move twice at most, by the curve and
+    to ranges their ball touches; the boxes of the ranges, one a task, are all the driver sees.
     """
     axes = list(axes)
     known = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in axes])
-    points = points.filter(known)
-    grid = _grid(points, queries, axes)
-    if grid is None:
-        return queries.select("id", F.lit(None).cast("bigint").alias("match_id"), F.lit(None).cast("double").alias("distance"))
-    here, cell = ["q" + a for a in axes], ["c" + a for a in axes]
-    places = written(points.groupBy(*axes).agg(F.min("id").alias("match_id")).select("*", *grid.fine()), "places")
-    leaves, below = _leaves(places, grid)
-    wanted = queries.filter(known).select(*axes).distinct().select(*[F.col(a).alias("q" + a) for a in axes])
-    wanted = wanted.select("*", *grid.fine("q"))
-    pairs = _around(wanted.select("*", *grid.cell(0)), cell).join(leaves.filter("level = 0").drop("level", *["f" + a for a in axes]), cell)
-    best = F.min(F.struct(_distance(axes, "q", "").alias("distance"), "match_id")).alias("best")
-    tried = wanted.join(pairs.groupBy(*here).agg(best), here, "left")
-    if below:
-        split = leaves.filter("level < 0").select(*grid.cell(0)).distinct()
-        touched = _around(wanted.select(*here, *grid.cell(0)), cell).join(split, cell, "left_semi").select(*here).distinct().withColumn("deep", F.lit(True))
-        tried = tried.join(touched, here, "left")
-    # The 3^n cells hold everything within one cell edge of the query.
-    settled = F.coalesce(F.col("best.distance") <= grid.size(0), F.lit(False)) & (F.col("deep").isNull() if below else F.lit(True))
-    tried = written(tried.withColumn("settled", settled), "tried")
-    found = tried.filter("settled").select(*here, "best")
-    rest = tried.filter("NOT settled").select(*here, *["f" + a for a in axes])
-    if not rest.isEmpty():
-        found = found.unionByName(_descend(rest, leaves, grid, below))
-    found = found.select(*[F.col(q).alias(a) for q, a in zip(here, axes)], "best.match_id", "best.distance")
-    return queries.select("id", *axes).join(found, axes, "left").select("id", "match_id", "distance")
-
-
-def _descend(rest: DataFrame, leaves: DataFrame, grid: Grid, below: int) -> DataFrame:
-    """``best`` for each query position of ``rest``."""
-    axes, cell, here = grid.axes, ["c" + a for a in grid.axes], ["q" + a for a in grid.axes]
-    nodes = written(_nodes(leaves, grid), "cells")
-    levels = rest.withColumn("level", F.explode(F.sequence(F.lit(-below), F.lit(grid.top)))).select("*", *grid.cell(F.col("level")))
-    to_member = F.sqrt(total([(F.col("q" + a) - F.col("member")[a]) * (F.col("q" + a) - F.col("member")[a]) for a in axes]))
-    bound = levels.join(nodes.select("level", *cell, "member"), ["level", *cell]).groupBy(*here).agg(F.min(to_member).alias("bound"))
-    # The top level is one cell, or a few if queries lie outside all points, and every query meets it with its neighbours.
-    start = F.lit(grid.top)
-    for l in range(grid.top - 1, -1, -1):
-        start = F.when(F.col("bound") <= grid.size(l), F.lit(l)).otherwise(start)
-    bound = written(rest.join(bound, here, "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf")))).withColumn("start", start), "bounds")
-    frontier, ends = None, []
-    for l in range(grid.top, -below - 1, -1):
-        if l >= 0:
-            fresh = _around(bound.filter(F.col("start") == l).select(*here, "bound", *grid.cell(l)), cell)
-            frontier = fresh if frontier is None else frontier.unionByName(fresh)
-        seen = frontier.join(nodes.filter(F.col("level") == l).drop("level", "member"), cell)
-        gap = [F.greatest(F.col("min" + a) - F.col("q" + a), F.col("q" + a) - F.col("max" + a), F.lit(0.0)) for a in axes]
-        seen = seen.filter(F.sqrt(total([g * g for g in gap])) <= F.col("bound") * (1 + 1e-12))
-        if l <= 0:
-            ends.append(seen.filter("leaf").select(*here, F.lit(l).alias("level"), *cell))
-        frontier = seen.filter("NOT leaf").select(*here, "bound", *cell)
-        for c in cell:
-            frontier = frontier.withColumn(c, F.explode(F.sequence(F.col(c) * 4, F.col(c) * 4 + 3)))
-    reached = reduce(DataFrame.unionByName, ends)
-    pairs = reached.join(leaves.drop(*["f" + a for a in axes]), ["level", *cell]).withColumn("distance", _distance(axes, "q", ""))
-    return pairs.groupBy(*here).agg(F.min(F.struct("distance", "match_id")).alias("best"))
+    queries = queries.select("id", *[F.col(a).cast("double").alias(a) for a in axes])
+    none = lambda rows: rows.select("id", F.lit(None).cast("bigint").alias("match_id"), F.lit(None).cast("double").alias("distance"))
+    places = points.filter(known).select("id", *[F.col(a).cast("double").alias(a) for a in axes]).groupBy(*axes).agg(F.min("id").alias("match_id"))
+    places = written(places, "places")
+    stats = places.agg(*[f(a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]).first()
+    if stats["min" + axes[0]] is None:
+        return none(queries)
+    low = {a: stats["min" + a] for a in axes}
+    extent = max(stats["max" + a] - low[a] for a in axes) or 1.0
+    both = places.select(F.lit(None).cast("bigint").alias("id"), *axes, "match_id")
+    both = both.unionByName(queries.filter(known).withColumn("match_id", F.lit(None).cast("bigint"))).withColumn("place", curve(axes, low, extent))
+    ranged = written(_ranges(both.repartitionByRange("place", *axes, "id").drop("place"), axes), "ranges")
+    packed, asked = ranged.filter("ids IS NOT NULL").select("part", *["p" + a for a in axes], "ids"), ranged.filter("ids IS NULL")
+    ends = [f(f"p{a}").alias(f.__name__[6:] + a) for a in axes for f in (F.array_min, F.array_max)]
+    box = [f(f.__name__ + a).alias(f.__name__ + a) for a in axes for f in (F.min, F.max)]
+    boxes = packed.select("part", *ends).groupBy("part").agg(*box).collect()
+    side = lambda f: np.array([[r[f + a] for a in axes] for r in boxes])
+    routed = _routed(asked, axes, np.array([r.part for r in boxes]), side("min"), side("max"))
+    moved = _answered(routed.filter("to IS NOT NULL"), packed, axes)
+    best = moved.groupBy("number", "id").agg(F.min(F.struct("distance", "match_id")).alias("best"))
+    found = routed.filter("to IS NULL").select("id", "match_id", "distance").union(best.select("id", "best.match_id", "best.distance"))
+    return found.union(none(queries.filter(~known)))
 
 
 def unmatched(queries: DataFrame, points: DataFrame, axes, tolerance: float = 0.01) -> DataFrame:
