@@ -443,7 +443,7 @@ def registry() -> dict[str, str]:
         out["scan_dataset_meta" + tail] = with_([src], f"select image, {', '.join(f'max({a})+1 n{a}' for a in axes)}, {n} ndim from img group by image")
         out["scan_whole_images" + tail] = with_([src], "select image, count(*) pixels, sum(v) total, min(v) low, max(v) high from img group by image")
         crop = " and ".join(f"{a} between {l} and {h}" for a, l, h in zip(axes, *CROP[n]))
-        out["crop_interval" + tail] = with_([src], f"select image, {cols(axes)}, v from img where {crop}")
+        out["scan_chunk_files" + tail] = out["crop_interval" + tail] = with_([src], f"select image, {cols(axes)}, v from img where {crop}")
         out["split_blocks" + tail] = split_blocks(n)
         out["split_blocks_crop" + tail] = split_blocks(n, (20,) * (n - 1) + (8,), CROP[n])
         out["block_voxels" + tail] = block_voxels(n)

@@ -17,7 +17,7 @@ from punctum.params import (
 from punctum.plans import spots as chain
 from punctum.session import scratch_path, written
 from punctum.sinks import spots as sink
-from punctum.sources import images as img
+from punctum.sources import containers, images as img
 from punctum.sources import listing as files
 from punctum.sources import tables
 from punctum.streaming import outputs as stream
@@ -209,6 +209,15 @@ def write_manifest_single(spark, sf):
 # --- projections and geometry ------------------------------------------------------------
 
 
+def scan_chunk_files(spark, sf, n=2):
+    """A crop read from a file per chunk; only the files it touches are opened."""
+    path, every = scratch_path(spark, "container"), written(chunks(spark, sf, n, dense=True), "every")
+    block = every.agg(*[F.max("w" + a) for a in AXES[n]]).first()
+    containers.write_container(every, path, AXES[n], list(block), packing="gzip" if n == 2 else "raw")
+    found = img.voxels_of_chunks(containers.read_container(spark, path, AXES[n], CROP[n]), AXES[n])
+    return img.crop_voxels(found, AXES[n], *CROP[n]).select("image", *AXES[n], "v")
+
+
 def crop_interval(spark, sf, n=2):
     path = stored(chunks(spark, sf, n, dense=True), "crop")
     return img.scan_images(spark, path, AXES[n], crop=CROP[n]).select("image", *AXES[n], "v")
@@ -521,6 +530,7 @@ def registry():
         "write_spots_csv": write_spots_csv, "write_spots_csv_3d": three(write_spots_csv),
         "write_spots_per_image": write_spots_per_image, "write_object_store": write_object_store,
         "empty_output_guarantee": empty_output_guarantee, "write_manifest": write_manifest,
+        "scan_chunk_files": scan_chunk_files, "scan_chunk_files_3d": three(scan_chunk_files),
         "crop_interval": crop_interval, "crop_interval_3d": three(crop_interval),
         "parse_int_list": parse_int_list, "block_size_default": block_size_default,
         "intensity_mode": intensity_mode, "zip_inputs_outputs": zip_inputs_outputs,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctum.sources.objects import PREFIXES, SCHEMES, Objects
+from punctum.sources.objects import PREFIXES, SCHEMES, Objects, qualified
 
 
 def list_objects(spark: SparkSession, root: str, prefixes: int = PREFIXES) -> DataFrame:
@@ -13,8 +13,7 @@ def list_objects(spark: SparkSession, root: str, prefixes: int = PREFIXES) -> Da
     Tasks list the folders (see ``objects.Objects``), so the driver never holds the keys. A file system that tasks
     can't open without Spark is listed by Spark's own file index.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    whole = qualified(spark, root)
     if whole.partition(":")[0] in SCHEMES:
         spark.dataSource.register(Objects)
         return spark.read.format(Objects.name()).option("prefixes", prefixes).load(whole)

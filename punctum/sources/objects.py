@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "key string, size bigint, modified timestamp"
@@ -46,14 +47,8 @@ class ObjectsReader(DataSourceReader):
     def __init__(self, root: str, prefixes: int):
         self.root, self.prefixes = root, prefixes
 
-    def _opened(self) -> tuple[fs.FileSystem, str]:
-        scheme, _, rest = self.root.partition(":")
-        if scheme == "file":
-            return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-        return fs.FileSystem.from_uri(self.root.replace("s3a:", "s3:", 1))
-
     def partitions(self) -> list[InputPartition]:
-        system, root = self._opened()
+        system, root = opened(self.root)
         waiting, flat = deque([root]), []
         while waiting and len(waiting) < self.prefixes and len(flat) < LOOKED:
             flat.append(waiting.popleft())
@@ -61,7 +56,7 @@ class ObjectsReader(DataSourceReader):
         return [Prefix(path, False) for path in flat] + [Prefix(path, True) for path in waiting]
 
     def read(self, partition: Prefix) -> Iterator[pa.RecordBatch]:
-        system, root = self._opened()
+        system, root = opened(self.root)
         start, waiting, rows = self.root.removesuffix("/"), [partition.path], []
         root = root.removesuffix("/")
         while waiting:
@@ -76,6 +71,20 @@ class ObjectsReader(DataSourceReader):
         yield batch_of(rows)
 
 
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a qualified address, and the path in it."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(uri.replace("s3a:", "s3:", 1))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as the session's file systems have it."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
+
+
 def listed(system: fs.FileSystem, path: str) -> Iterator[fs.FileInfo]:
     """What is right in a folder, without hidden names."""
     found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))

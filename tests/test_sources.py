@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from punctum.operators import detect
 from punctum.params import AXES, SpotParams
-from punctum.sources import images as img
+from punctum.sources import containers, images as img
 from punctum.sources.listing import list_objects
 from punctum.streaming import outputs
 
@@ -109,3 +109,42 @@ def test_arrivals_read_only_their_folders(spark, tmp_path, monkeypatch):
     run(files=1)
     assert len(opened) == 2 and [os.path.basename(f) for f in opened[1]] == ["image=a b"]
     assert {n for n, *_ in found()} == set(names)
+
+
+@pytest.mark.parametrize("kind, packing", [("float32", "gzip"), ("uint16", "raw"), ("int8", "gzip"), ("float64", "raw")])
+def test_round_trip_of_chunk_files(spark, tmp_path, kind, packing):
+    dims, axes, block = (9, 7, 6), AXES[3], (4, 3, 4)
+    arrays = {n: image(k, dims) % 100 for k, n in enumerate(["one", "a b", "c+%1"])}
+    chunks = chunk_rows(spark, arrays, dims, block, drop={("one", 3)})
+    containers.write_container(chunks, str(tmp_path), axes, block, kind, packing)
+    columns = [c for c in chunks.columns if c != "chunk_id"]
+    rows = lambda df: sorted(map(str, (tuple(r[c] for c in columns) for r in df.collect())))
+    got = containers.read_container(spark, str(tmp_path), axes)
+    assert rows(got) == rows(chunks)
+    assert not [f for _, _, names in os.walk(tmp_path) for f in names if f.startswith(".") and not f.endswith(".crc")]
+    assert {r.image for r in containers.read_container(spark, str(tmp_path), axes, images=["a b"]).collect()} == {"a b"}
+
+
+def test_a_crop_opens_only_the_files_it_touches(spark, tmp_path):
+    dims, axes, block = (20, 12), AXES[2], (4, 4)
+    chunks = chunk_rows(spark, {"i": image(1, dims)}, dims, block)
+    containers.write_container(chunks, str(tmp_path), axes, block, "float32", "raw")
+    for crop in (((5, 3), (9, 8)), ((0, 0), (0, 0)), ((8, 8), (40, 40)), ((-5, 4), (3, 7)), ((25, 0), (30, 3))):
+        want = {(x, y) for x in range(5) for y in range(3) if x * 4 <= crop[1][0] and x * 4 + 3 >= crop[0][0] and y * 4 <= crop[1][1] and y * 4 + 3 >= crop[0][1]}
+        files = containers.chunk_files(containers.attributes(spark, str(tmp_path)), axes, crop)
+        assert {(r.gx, r.gy) for r in files.collect()} == want
+        assert {(r.x0 // 4, r.y0 // 4) for r in containers.read_container(spark, str(tmp_path), axes, crop).collect()} == want
+
+
+def test_an_image_without_attributes_is_unfinished_and_files_are_whole(spark, tmp_path):
+    axes, block = AXES[2], (4, 4)
+    bad = chunk_rows(spark, {"i": image(1, (8, 8))}, (8, 8), block).withColumn("data", F.when(F.col("chunk_id") == 2, F.array(F.lit(None).cast("float"))).otherwise(F.col("data")))
+    bad = bad.withColumn("wx", F.when(F.col("chunk_id") == 2, F.lit(-1)).otherwise(F.col("wx")))
+    with pytest.raises(Exception):
+        containers.write_container(bad, str(tmp_path), axes, block, "uint16", "raw")
+    assert not (tmp_path / "i" / "attributes.json").exists()
+    assert all(os.path.getsize(os.path.join(d, f)) == 12 + 32 for d, _, names in os.walk(tmp_path) for f in names if not f.endswith(".crc"))
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "attributes.json").write_text('{"dimensions": [8, 8], "blockSize": [4, 4], "dataType": "uint8", "compressionType": "raw"}')
+    assert containers.attributes(spark, str(tmp_path)).collect()[0].packing == "raw"
+    assert containers.read_container(spark, str(tmp_path), axes).count() == 0
