@@ -505,7 +505,7 @@ def registry() -> dict[str, str]:
     out["spots_nearest"] = with_([NEAREST], f"select id, match_id, {rnd('distance', 6, 'distance')} from best")
     out["spots_unmatched"] = with_([NEAREST], f"select id, {rnd('distance', 6, 'distance')} from best where distance>=0.01")
     out["write_object_store"] = out["write_spots_csv"]
-    out["write_spots_per_image"] = spots_csv(2, "image, ")
+    out["write_objects_per_image"] = out["write_spots_per_image"] = spots_csv(2, "image, ")
     out["empty_output_guarantee"] = out["write_every_image"] = out["stream_every_image"] = with_(final_ctes(2, 21000.0, ransac=0), "select d.image, count(f.image) spots from sdim d left join final f on d.image=f.image group by 1")
     out["parse_int_list"] = with_([OPTIONS], "select doc_id, ndim arity, p as first, q as second, r as third from opt")
     out["block_size_default"] = with_([OPTIONS], "select doc_id, ndim, case when doc_id%3=0 then concat_ws(',', p, q, r) when ndim=2 then '512,512' else '128,128,64' end size from opt")

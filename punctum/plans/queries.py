@@ -169,6 +169,12 @@ def write_spots_per_image(spark, sf):
     return sink.read_csv_per_image(spark, path, AXES[2])
 
 
+def write_objects_per_image(spark, sf):
+    path = scratch_path(spark, "objects-per-image")
+    sink.write_objects_per_image(written(lsq_spots(spark, sf), "found"), AXES[2], path)
+    return sink.read_objects_per_image(spark, path, AXES[2])
+
+
 def write_every_image(spark, sf):
     """Spots per image counted from the files; images without spots have a file with the header alone."""
     path = scratch_path(spark, "every-image")
@@ -528,7 +534,7 @@ def registry():
         "read_accept_list": read_accept_list, "read_spots_csv": read_spots_csv,
         "input_exists": on_listing(lambda t: worklist.input_exists(t, "data/src1")),
         "write_spots_csv": write_spots_csv, "write_spots_csv_3d": three(write_spots_csv),
-        "write_spots_per_image": write_spots_per_image, "write_object_store": write_object_store,
+        "write_spots_per_image": write_spots_per_image, "write_objects_per_image": write_objects_per_image, "write_object_store": write_object_store,
         "empty_output_guarantee": empty_output_guarantee, "write_manifest": write_manifest,
         "scan_chunk_files": scan_chunk_files, "scan_chunk_files_3d": three(scan_chunk_files),
         "crop_interval": crop_interval, "crop_interval_3d": three(crop_interval),

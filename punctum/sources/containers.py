@@ -10,7 +10,6 @@ import gzip
 import json
 import math
 import struct
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctum.functions.arrow import schema_of
 from punctum.sources.images import chunk_schema
-from punctum.sources.objects import SCHEMES, opened, qualified
+from punctum.sources.objects import SCHEMES, WholeObject, opened, qualified
 
 ATTRIBUTES = "dimensions array<bigint>, blockSize array<bigint>, dataType string, compression struct<type: string>, compressionType string"
 TYPES = {"uint8": ">u1", "uint16": ">u2", "uint32": ">u4", "uint64": ">u8", "int8": ">i1", "int16": ">i2", "int32": ">i4", "int64": ">i8", "float32": ">f4", "float64": ">f8"}
@@ -104,13 +103,14 @@ def encoded(width: list[int], pixels: np.ndarray, kind: str, packing: str) -> by
 
 
 def _put(system, path: str, data: bytes) -> None:
-    """A file that is there whole or not at all: it gets its name when it is complete."""
-    folder, _, name = path.rpartition("/")
-    system.create_dir(folder, recursive=True)
-    part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(part) as stream:
-        stream.write(data)
-    system.move(part, path)
+    """A file that is there whole or not at all."""
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    target = WholeObject(system, path)
+    try:
+        target.stream.write(data)
+        target.complete()
+    finally:
+        target.discard()
 
 
 def write_container(chunks: DataFrame, root: str, axes, block, kind: str = "float32", packing: str = "gzip") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 from collections.abc import Iterator
 
@@ -85,6 +86,26 @@ def qualified(spark: SparkSession, path: str) -> str:
     return given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
 
 
+class WholeObject:
+    """An object that is written under a hidden name and gets its own when it is complete."""
+
+    def __init__(self, system: fs.FileSystem, path: str):
+        folder, _, name = path.rpartition("/")
+        self.system, self.path, self.part = system, path, f"{folder}/.{name}-{uuid.uuid4().hex}"
+        self.stream = system.open_output_stream(self.part)
+
+    def complete(self) -> str:
+        self.stream.close()
+        self.system.move(self.part, self.path)
+        return self.path
+
+    def discard(self) -> None:
+        """Leave nothing, also of an object whose writing failed; one that is complete stays."""
+        self.stream.close()
+        if self.system.get_file_info(self.part).type != fs.FileType.NotFound:
+            self.system.delete_file(self.part)
+
+
 def listed(system: fs.FileSystem, path: str) -> Iterator[fs.FileInfo]:
     """What is right in a folder, without hidden names."""
     found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))

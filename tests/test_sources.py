@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from punctum.operators import detect
 from punctum.params import AXES, SpotParams
+from punctum.sinks import spots as sink
 from punctum.sources import containers, images as img
 from punctum.sources.listing import list_objects
 from punctum.streaming import outputs
@@ -148,3 +149,45 @@ def test_an_image_without_attributes_is_unfinished_and_files_are_whole(spark, tm
     (tmp_path / "j" / "attributes.json").write_text('{"dimensions": [8, 8], "blockSize": [4, 4], "dataType": "uint8", "compressionType": "raw"}')
     assert containers.attributes(spark, str(tmp_path)).collect()[0].packing == "raw"
     assert containers.read_container(spark, str(tmp_path), axes).count() == 0
+
+
+def spot_rows(spark, counts, bad=None):
+    """Spots of each image; the value of one line can be made to fail."""
+    rows = [(n, float(k), 1.0, 2.0) for n, count in counts.items() for k in range(count)]
+    table = spark.createDataFrame(rows, "image string, x double, y double, intensity double")
+    return table if bad is None else table.withColumn("y", F.when((F.col("image") == bad) & (F.col("x") == 5), F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("y")))
+
+
+def test_an_object_per_image_is_whole(spark, tmp_path, monkeypatch):
+    counts = {"a": 3, "b c.1": 12, "d/e%+": 1}
+    images = spark.createDataFrame([(n,) for n in [*counts, "none"]], "image string")
+    for part, number in ((1_000_000, 4), (5, 6)):
+        monkeypatch.setattr(sink, "PART_SPOTS", part)
+        path = str(tmp_path / f"{part}")
+        for _ in range(2):  # the same objects again
+            sink.write_objects_per_image(spot_rows(spark, counts), AXES[2], path, images)
+        names = [f for f in os.listdir(path) if not f.endswith(".crc")]
+        assert len(names) == number and not [f for f in names if f.startswith(".")]
+        found = sink.read_objects_per_image(spark, path, AXES[2]).groupBy("image").count().collect()
+        assert {r.image: r["count"] for r in found} == counts
+        assert (tmp_path / f"{part}" / "none.csv").read_text() == "x,y,t,c,intensity\n"
+
+
+def test_a_task_that_fails_leaves_no_part_of_an_object(spark, tmp_path, monkeypatch):
+    from punctum.sources import objects
+
+    kept, path = objects.WholeObject.complete, str(tmp_path / "out")
+    system, where = objects.opened(objects.qualified(spark, path))
+    system.create_dir(where)
+    target = objects.WholeObject(system, f"{where}/a.csv")
+    target.stream.write(b"half")
+    target.discard()
+    assert os.listdir(path) == []
+    with pytest.raises(Exception):
+        sink.write_objects_per_image(spot_rows(spark, {"a": 3, "b": 40}, bad="b"), AXES[2], path)
+    assert all(os.path.getsize(os.path.join(path, f)) > 0 and f == "a.csv" for f in os.listdir(path))
+    whole = objects.WholeObject(system, f"{where}/c.csv")
+    whole.stream.write(b"all")
+    kept(whole)
+    whole.discard()
+    assert (tmp_path / "out" / "c.csv").read_bytes() == b"all"
