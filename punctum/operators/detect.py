@@ -28,7 +28,7 @@ from punctum.operators import blocks as blk
 from punctum.operators import batched, intensity, localize
 from punctum.params import MULTICONSENSUS, SpotParams, gauss_weights
 from punctum.session import written
-from punctum.sources.images import crop_voxels
+from punctum.sources.images import crop_voxels, stored_size
 
 BLOCKS_PER_TASK, MOST_TASKS = 64, 200_000
 PIECE = "image string, block_id bigint, v_low double, v_high double, {}, data array<float>"
@@ -143,7 +143,8 @@ def _extent(index, low, high, block, halo):
 
 
 class Pixels(NamedTuple):
-    """The assembled pixels of one block with its halo: where they start in the image, the image's size, and the range to scale by, if given."""
+    """The assembled pixels of one block with its halo: where they start in the image, the image's size, the range to scale by, if given,
+    and the inclusive interval that peaks must lie in, if it is not just the block's inner pixels."""
 
     image: str
     number: int
@@ -152,19 +153,30 @@ class Pixels(NamedTuple):
     raw: np.ndarray
     low: float | None
     high: float | None
+    within: tuple[list[int], list[int]] | None = None
+
+
+class Beside(NamedTuple):
+    """Groups of chunks in place and of the slabs sent to them; a group is read from both tables."""
+
+    chunks: GroupedData
+    slabs: GroupedData
+
+    def applyInArrow(self, run: Callable[[tuple[pa.Table, pa.Table]], pa.Table], schema: str) -> DataFrame:
+        return self.chunks.cogroup(self.slabs).applyInArrow(lambda own, sent: run((own, sent)), schema)
 
 
 class Gather(NamedTuple):
     """Pixels on their way to blocks, from one shuffle: rows grouped by (image, block_id), how to read a group, and how to find
     the intensities of centres beyond their block."""
 
-    groups: GroupedData
-    read: Callable[[pa.Table], Pixels]
+    groups: GroupedData | Beside
+    read: Callable[..., Pixels]
     beyond: Callable[[DataFrame], DataFrame]
 
 
-def chunk_gather(chunks: DataFrame, axes, params: SpotParams) -> Gather:
-    """Blocks from chunk rows."""
+def chunk_gather(chunks: DataFrame, axes, params: SpotParams, sizes: DataFrame | None = None) -> Gather:
+    """Blocks from chunk rows. ``sizes``, one row per image, spares a pass over the chunks for the number of blocks."""
     ndim = len(axes)
 
     def read(table: pa.Table) -> Pixels:
@@ -174,10 +186,98 @@ def chunk_gather(chunks: DataFrame, axes, params: SpotParams) -> Gather:
         start, end = _extent(get("b"), get("l"), get("h"), params.block(ndim), params.halo(ndim))
         return Pixels(first.image, first.block_id, start, get("n"), _assemble(pieces, axes, start, end, get("n")), first.v_low, first.v_high)
 
-    pieces = block_pieces(chunks, axes, params).repartition(_partitions(chunks, axes, params), "image", "block_id")
+    pieces = block_pieces(chunks, axes, params).repartition(_partitions(stored_size(chunks, axes) if sizes is None else sizes, axes, params), "image", "block_id")
     return Gather(pieces.groupBy("image", "block_id"), read, lambda spots: intensity.chunk_intensity(spots, chunks, axes))
 
 
+def in_place_gather(chunks: DataFrame, axes, params: SpotParams, chunk) -> Gather:
+    """Blocks that are the chunks of a table in buckets by (image, chunk_id) (``images.write_bucketed``), each read where it is stored.
+
+    ``chunk`` is the chunk size per axis; the block around a chunk evaluates all its pixels but the outermost of the crop.
+    Only slabs move: what the blocks around other chunks read of a chunk. A missing chunk next to stored ones is a block too.
+    """
+    halo, (first, last) = params.halo(len(axes)), params.crop(len(axes))
+    lo, hi = _crop(chunks, axes, params)
+    own = chunks
+    for a, l, h in zip(axes, lo, hi):
+        own = own.filter((F.col(a + "0") <= h - 1) & (F.col(a + "0") + F.col("w" + a) - 1 >= l + 1))
+    places, sizes, widths = [f + "0" for f in axes], ["n" + a for a in axes], ["w" + a for a in axes]
+    out = chunks.select("image", *places, *widths, *sizes, "data")
+    for d, a in enumerate(axes):
+        reach, size = halo[d] + 1, F.lit(chunk[d])
+        from_, to = F.col(a + "0") - reach, F.col(a + "0") + F.col("w" + a) - 1 + reach
+        low, high = F.greatest(from_, lo[d] + 1, F.lit(0)), F.least(to, hi[d] - 1, F.col("n" + a) - 1)
+        steps = F.sequence(F.floor(low / size).cast("bigint"), F.floor(high / size).cast("bigint"))
+        out = out.withColumn("b" + a, F.when(low <= high, steps))
+    out = out.filter(reduce(and_, [F.col("b" + a).isNotNull() for a in axes]) & (reduce(lambda x, y: x * y, [F.size("b" + a) for a in axes]) > 0))
+    schema = "image string, chunk_id bigint, {}, v_low double, v_high double, data array<float>".format(
+        ", ".join(f"o{a} bigint, w{a} bigint, n{a} bigint" for a in axes))
+    arrow = schema_of(schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in records(batch):
+                origin, width, size = ([int(getattr(c, f.format(a))) for a in axes] for f in ("{}0", "w{}", "n{}"))
+                array, rows = c.data.reshape(width[::-1]), []
+                for index in itertools.product(*[getattr(c, "b" + a).tolist() for a in axes]):
+                    start, end = _around(index, chunk, halo)
+                    a0, a1 = [max(s, o) for s, o in zip(start, origin)], [min(e, o + w - 1) for e, o, w in zip(end, origin, width)]
+                    if all(i * s == o for i, s, o in zip(index, chunk, origin)) or any(x > y for x, y in zip(a0, a1)):
+                        continue
+                    part = array[tuple(slice(x - o, y - o + 1) for x, y, o in zip(a0, a1, origin))[::-1]]
+                    places = [v for triple in zip(a0, part.shape[::-1], size) for v in triple]
+                    rows.append((c.image, _number(index, size, chunk), *places, None, None, part.ravel()))
+                yield batch_of(rows, arrow)
+
+    slabs = out.mapInArrow(cut, schema)
+    if params.auto_range and params.range_scope == "image":
+        # A range goes to the blocks by their numbers, so no pixel is joined with it.
+        met = out.select("image", *sizes, *["b" + a for a in axes])
+        for a in axes:
+            met = met.withColumn("b" + a, F.explode("b" + a))
+        number = geo.linear_id(["b" + a for a in axes], [f"CAST(ceil(n{a} / {c}) AS BIGINT)" for a, c in zip(axes, chunk)])
+        met = met.selectExpr("image", f"{number} AS chunk_id", *sizes).distinct().join(written(image_range(chunks, axes, params), "extent"), "image")
+        places = [c for a in axes for c in (f"0L AS o{a}", f"0L AS w{a}", f"n{a}")]
+        slabs = slabs.unionByName(met.selectExpr("image", "chunk_id", *places, "v_low", "v_high", "CAST(array() AS array<float>) AS data"))
+    given = (None, None) if params.auto_range else (float(params.min_intensity), float(params.max_intensity))
+
+    def read(tables: tuple[pa.Table, pa.Table]) -> Pixels:
+        mine, sent = ([*records(t)] for t in tables)
+        some = (mine or sent)[0]
+        size = [int(getattr(some, "n" + a)) for a in axes]
+        index = _place(int(some.chunk_id), size, chunk)
+        start, end = _around(index, chunk, halo)
+        # Beyond the image only the outermost pixels of a block and the halo count, as with any block.
+        end = [min(e, n + h) for e, n, h in zip(end, size, halo)]
+        low, high = next(((p.v_low, p.v_high) for p in sent if p.v_low is not None), given)
+        within = [l + 1 for l in first or [0] * len(axes)], [h - 1 for h in (last or [n - 1 for n in size])]
+        return Pixels(some.image, int(some.chunk_id), start, size, _assemble(mine + [p for p in sent if len(p.data)], axes, start, end, size), low, high, within)
+
+    left = own.select("image", "chunk_id", *[F.col(a + "0").alias("o" + a) for a in axes], *widths, *sizes, "data")
+    return Gather(Beside(left.groupBy("image", "chunk_id"), slabs.groupBy("image", "chunk_id")), read, lambda spots: intensity.chunk_intensity(spots, chunks, axes))
+
+
+def _around(index, chunk, halo):
+    """Inclusive bounds of the block around a chunk with its halo, not yet clipped to the image."""
+    return [i * c - 1 - h for i, c, h in zip(index, chunk, halo)], [(i + 1) * c + h for i, c, h in zip(index, chunk, halo)]
+
+
+def _number(index, size, chunk) -> int:
+    """The chunk's number: the first axis runs fastest."""
+    number = 0
+    for i, n, c in reversed([*zip(index, size, chunk)]):
+        number = number * -(-n // c) + int(i)
+    return number
+
+
+def _place(number: int, size, chunk) -> list[int]:
+    index = []
+    for n, c in zip(size, chunk):
+        number, i = divmod(number, -(-n // c))
+        index.append(i)
+    return index
+
+
 def voxel_gather(voxels: DataFrame, axes, params: SpotParams) -> Gather:
     """Blocks from voxel rows, each of which goes to the blocks that read it; missing voxels are 0."""
     ndim = len(axes)
@@ -235,6 +335,9 @@ def candidates_of(pixels: Pixels, ndim: int, params: SpotParams) -> Block:
         v = (raw - low) / (high - low)
         response = (_blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True)))[own]
         found = _peaks(response, params.threshold)
+        if pixels.within is not None:
+            at = found[:, ::-1] + np.array(pixels.start) + np.array(halo)
+            found = found[((at >= pixels.within[0]) & (at <= pixels.within[1])).all(axis=1)]
         peaks, dog = found[:, ::-1] + np.array(halo), response[tuple(found.T)]
     return Block(pixels, high - low, peaks, dog)
 
@@ -258,16 +361,15 @@ def table_of(columns: list, rows: int, schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(whole, schema)], schema=schema)
 
 
-def _partitions(chunks: DataFrame, axes, params: SpotParams) -> int:
+def _partitions(sizes: DataFrame, axes, params: SpotParams) -> int:
     """Shuffle partitions of about ``BLOCKS_PER_TASK`` blocks, from the image sizes alone; at least the session's number.
 
     A given number also keeps small-in-bytes but slow blocks from being coalesced into few tasks.
     """
     lo, hi = blk.bounds(axes, *params.crop(len(axes)))
-    sizes = chunks.groupBy("image").agg(*[F.max("n" + a).alias("n" + a) for a in axes])
     count = " * ".join(f"CAST({geo.block_count(lo[d], hi[d], b)} AS BIGINT)" for d, b in enumerate(params.block(len(axes))))
     total = sizes.selectExpr(f"{count} AS n").agg(F.sum("n")).first()[0] or 0
-    return max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-int(total) // BLOCKS_PER_TASK)))
+    return max(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-int(total) // BLOCKS_PER_TASK)))
 
 
 def _assemble(pieces, axes, start, end, size):
@@ -345,9 +447,9 @@ def regions(gather: Gather, axes, params: SpotParams) -> DataFrame:
     return gather.groups.applyInArrow(run, schema)
 
 
-def detect(chunks: DataFrame, axes, params: SpotParams) -> DataFrame:
+def detect(chunks: DataFrame, axes, params: SpotParams, sizes: DataFrame | None = None) -> DataFrame:
     """``image, block_id, x, y[, z], intensity, gradients, inliers``: all spots of all images."""
-    return spots_of(chunk_gather(chunks, axes, params), axes, params)
+    return spots_of(chunk_gather(chunks, axes, params, sizes), axes, params)
 
 
 def spots_of(gather: Gather, axes, params: SpotParams) -> DataFrame:

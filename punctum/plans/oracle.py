@@ -462,7 +462,7 @@ def registry() -> dict[str, str]:
         out["localize_ransac" + tail] = localized(n, inlier_ratio=0.0)
         out["ransac_inlier_ratio" + tail] = localized(n, inlier_ratio=0.6 if n == 2 else 0.2)
         out["spot_intensity" + tail] = out["detect_blocks_lsq" + tail] = detected(n, **lsq)
-        out["detect_blocks" + tail] = out["detect_images" + tail] = detected(n)
+        out["detect_blocks" + tail] = out["detect_images" + tail] = out["detect_in_place" + tail] = detected(n)
         out["write_spots_csv" + tail] = spots_csv(n)
         out["spots_total" + tail] = with_(final_ctes(n, **lsq), "select count(*) spots from final")
         owner = owner_id([f"s{a}" for a in axes], p.block(n)).replace("ns", "n")
@@ -520,6 +520,7 @@ def registry() -> dict[str, str]:
     out["dog_peaks_auto_image"] = dog_peaks_auto("image")
     out["localize_lsq_background"] = localized(2, ransac=0, background=BG_MEAN)
     out["localize_multiconsensus"], out["localize_multiconsensus_3d"] = localized(2, **MULTI[2]), localized(3, **MULTI[3])
+    out["detect_in_place_crop"] = out["detect_images_auto_crop"]
     out["detect_blocks_multiconsensus"] = detected(2, **MULTI[2])
     p = P2.with_(inlier_ratio=0.0)
     out["multiconsensus_filter"] = with_(until_region(p, 2) + centre_ctes(p, two) + weak_ctes("spots", "kept", 1.5, 1.0), f"select {spot(two)}, cast(inliers as bigint) inliers from kept")

@@ -27,6 +27,7 @@ P3 = SpotParams(max_intensity=10.0, anisotropy=0.7, block_size=(64, 48, 11))
 SETTINGS = {2: P2, 3: P3}
 CROP = {2: ((5, 3), (120, 27)), 3: ((7, 5, 1), (90, 44, 9))}
 MULTI = {2: dict(ransac=MULTICONSENSUS, min_inliers=8, n_stdev1=2.0, n_stdev2=1.5), 3: dict(ransac=MULTICONSENSUS, min_inliers=24, n_stdev1=2.0, n_stdev2=1.5)}
+BUCKETS = 16
 REACH = max(P2.halo(2))
 SCALARS = "-i0 4166.0 -i1 46562.0 -a 1.0"
 BASE = "s3://images/"
@@ -81,7 +82,9 @@ def scan_chunks_alt_layout(spark, sf):
 
 
 def scan_dataset_meta(spark, sf, n=2):
-    return img.stored_size(chunks(spark, sf, n), AXES[n]).withColumn("ndim", F.lit(n))
+    """Sizes from the footers of stored chunks."""
+    path = stored(chunks(spark, sf, n), "sizes")
+    return img.footer_size(spark, path, AXES[n]).drop("chunks").withColumn("ndim", F.lit(n))
 
 
 def read_dataset_attributes(spark, sf):
@@ -424,12 +427,21 @@ def detected(spark, sf, n=2, relational=False, whole=False, **changes):
     return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
 
 
+def detected_in_place(spark, sf, n=2, **changes):
+    """Chunks in buckets are the blocks; only their surroundings move."""
+    path, shape = scratch_path(spark, "buckets"), {2: tables.EVENT_CHUNK, 3: tables.ORDER_CHUNK}[n]
+    table = img.write_bucketed(chunks(spark, sf, n), path.rpartition("/")[2].replace("-", "_"), path, AXES[n], BUCKETS)
+    out = chain.detect_in_place(table, AXES[n], SETTINGS[n].with_(range_scope="image", **changes), shape)
+    return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
+
+
 def detected_in_crop(spark, sf, n=2):
     """Each image's own range inside the crop, from the zone maps of stored chunks."""
     path = stored(chunks(spark, sf, n), "zones")
     table = spark.read.schema(img.chunk_schema(AXES[n], zones=True)).parquet(path)
     lo, hi = CROP[n]
-    out = chain.detect_images(table, AXES[n], SETTINGS[n].with_(max_intensity=0.0, block_size=None, crop_min=lo, crop_max=hi))
+    found = SETTINGS[n].with_(max_intensity=0.0, block_size=None, crop_min=lo, crop_max=hi)
+    out = chain.detect_images(table, AXES[n], found, img.footer_size(spark, path, AXES[n]))
     return pick(out, *support.spot_key(AXES[n]), "inliers", **{a: 4 for a in AXES[n]}, intensity=3)
 
 
@@ -594,5 +606,7 @@ def registry():
         "scan_chunks_named": scan_chunks_named, "read_dataset_attributes": read_dataset_attributes, "write_every_image": write_every_image,
         "write_manifest_single": write_manifest_single, "udtf_split_blocks_3d": udtf_split_blocks_3d,
         "detect_images_auto": partial(detected, whole=True, max_intensity=0.0),
+        "detect_in_place": detected_in_place, "detect_in_place_3d": three(detected_in_place),
+        "detect_in_place_crop": partial(detected_in_place, max_intensity=0.0, crop_min=CROP[2][0], crop_max=CROP[2][1]),
         "detect_images_auto_crop": detected_in_crop, "detect_images_auto_crop_3d": three(detected_in_crop),
     }

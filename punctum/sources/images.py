@@ -14,9 +14,16 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from punctum.functions import geometry as geo
+from punctum.functions.arrow import schema_of
+from punctum.sources.listing import list_objects
+from punctum.sources.objects import SCHEMES, opened, qualified
 
 LAYOUTS = ("chunks", "lines")
 
@@ -119,6 +126,17 @@ def write_images(table: DataFrame, path: str, mode: str = "errorifexists") -> No
     table.write.mode(mode).partitionBy("image").parquet(path)
 
 
+def write_bucketed(chunks: DataFrame, name: str, path: str, axes, buckets: int) -> DataFrame:
+    """Chunk rows as the table ``name`` in ``buckets`` buckets by image and chunk number, stored at ``path``; returns the table.
+
+    ``detect.in_place_gather`` reads it without moving the chunks. A task reads one bucket, so a bucket should hold some dozens of chunks.
+    """
+    table = chunks.withColumns({a + "1": F.col(a + "0") + F.col("w" + a) - 1 for a in axes} | {"v_min": F.array_min("data"), "v_max": F.array_max("data")})
+    rows = table.repartition(buckets, "image", "chunk_id").write.bucketBy(buckets, "image", "chunk_id").sortBy("image", "chunk_id")
+    rows.option("path", path).saveAsTable(name)
+    return chunks.sparkSession.table(name)
+
+
 def scan_images(spark: SparkSession, path: str, axes, layout: str = "chunks", crop=None) -> DataFrame:
     """Voxels of an image table on any file system Spark reads (``file:``, ``hdfs:``, ``s3a:``)."""
     if layout not in LAYOUTS:
@@ -146,3 +164,48 @@ def dataset_meta(spark: SparkSession, path: str) -> DataFrame:
 def stored_size(rows: DataFrame, axes) -> DataFrame:
     """Size of every image from the size columns of its chunk or line rows, without reading a pixel."""
     return rows.groupBy("image").agg(*[F.max("n" + a).alias("n" + a) for a in axes])
+
+
+def footer_size(spark: SparkSession, path: str, axes) -> DataFrame:
+    """``image, nx, ny[, nz], chunks``: size and number of rows of every image of a table stored by ``write_images``.
+
+    Tasks list the files and read their footers, which hold the largest value of every column of a row group; no column is read
+    but one that lacks it. A file system that tasks can't open is read by Spark, by its size columns.
+    """
+    columns = size_columns(axes)
+    if qualified(spark, path).partition(":")[0] not in SCHEMES:
+        rows = spark.read.schema(chunk_schema(axes)).parquet(path)
+        return rows.groupBy("image").agg(*[F.max(n).alias(n) for n in columns], F.count("*").alias("chunks"))
+    shape = ", ".join(["key string", *[f"{n} bigint" for n in columns], "chunks bigint"])
+    arrow = schema_of(shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key in batch.column("key").to_pylist():
+                system, name = opened(key)
+                with system.open_input_file(name) as stream:
+                    rows += [(key, *found) for found in _largest(pq.ParquetFile(stream), columns)]
+            values = zip(*rows) if rows else [()] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+    files = list_objects(spark, path).filter(F.col("key").endswith(".parquet")).select("key")
+    part = F.replace(F.regexp_extract("key", "/image=([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B"))
+    image = F.when(part != "__HIVE_DEFAULT_PARTITION__", F.try_url_decode(part)).alias("image")
+    found = files.mapInArrow(run, shape).groupBy(image)
+    return found.agg(*[F.max(n).alias(n) for n in columns], F.sum("chunks").alias("chunks"))
+
+
+def _largest(file: pq.ParquetFile, columns: list[str]) -> Iterator[tuple]:
+    """Largest value of each column and number of rows, by row group."""
+    place = {file.metadata.schema.column(i).path: i for i in range(file.metadata.num_columns)}
+    for g in range(file.metadata.num_row_groups):
+        group = file.metadata.row_group(g)
+        if group.num_rows == 0:
+            continue
+        known = [group.column(place[c]).statistics for c in columns]
+        if all(s is not None and s.has_min_max for s in known):
+            yield *[s.max for s in known], group.num_rows
+        else:
+            values = file.read_row_group(g, columns=columns)
+            yield *[max((v for v in values[c].to_pylist() if v is not None), default=None) for c in columns], group.num_rows

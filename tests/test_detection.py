@@ -106,3 +106,33 @@ def test_nearest_equals_brute_force(spark, spread):
     assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-9 for k in want)
     left = compare.unmatched(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), AXES[2], 0.5)
     assert sorted(r.id for r in left.collect()) == sorted(k for k, (d, _) in want.items() if d >= 0.5)
+
+
+@pytest.mark.parametrize("dims, chunk", [((64, 60), (16, 16)), ((50, 41), (24, 7)), ((26, 24, 20), (16, 10, 8))])
+def test_chunks_in_place_give_the_same_spots(spark, tmp_path, dims, chunk):
+    axes, n = AXES[len(dims)], len(dims)
+    centres = {2: [(12.3, 15.7), (30.0, 18.4), (15.4, 36.1), (32.6, 33.2), (44.5, 8.2)], 3: CENTRES3[:1] + [(17.0, 15.6, 12.3)]}[n]
+    chunks = spots_image(spark, dims, centres, chunk=chunk).filter("chunk_id % 5 <> 3")  # missing chunks are zero
+    table = img.write_bucketed(chunks, f"buckets_{n}_{dims[0]}", str(tmp_path / "buckets"), axes, 4)
+    crop = dict(crop_min=(6, 5, 3)[:n], crop_max=(40, 33, 16)[:n])
+    image = dict(min_intensity=0.0, max_intensity=0.0, range_scope="image")
+    for changes in ({}, crop if n == 2 else {"ransac": 1}, image, {**image, **crop} if n == 2 else {"max_shift": 2.0}):
+        p = FIXED.with_(**changes)
+        key = lambda df: sorted(tuple(r[c] for c in ["image", *["s" + a for a in axes], *axes, "intensity"]) for r in df.collect())
+        want, got = key(detect.detect(chunks, axes, p.with_(block_size=dims))), key(chain.detect_in_place(table, axes, p, chunk))
+        assert want and len(got) == len(want)
+        assert np.abs(np.array([w[1:] for w in want]) - np.array([g[1:] for g in got])).max() < 1e-6
+
+
+def test_chunks_in_place_do_not_move(spark, tmp_path):
+    table = img.write_bucketed(spots_image(spark, (64, 64), CENTRES2), "buckets_still", str(tmp_path / "still"), AXES[2], 4)
+    p = FIXED.with_(max_shift=1.0)
+    gather = detect.in_place_gather(table, AXES[2], p, (16, 16))
+    plan = detect.spots_of(gather, AXES[2], p)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("MapInArrow") == 1
+    assert plan.index("FlatMapCoGroupsInArrow") < plan.index("Exchange hashpartitioning")
+
+
+def test_chunks_without_spots_in_place(spark, tmp_path):
+    table = img.write_bucketed(spots_image(spark, (32, 32), []), "buckets_none", str(tmp_path / "none"), AXES[2], 2)
+    assert chain.detect_in_place(table, AXES[2], FIXED, (16, 16)).count() == 0

@@ -3,6 +3,8 @@
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +193,20 @@ def test_a_task_that_fails_leaves_no_part_of_an_object(spark, tmp_path, monkeypa
     kept(whole)
     whole.discard()
     assert (tmp_path / "out" / "c.csv").read_bytes() == b"all"
+
+
+def test_sizes_come_from_footers(spark, tmp_path):
+    dims, arrays = (40, 30), {"a+b c": np.ones((30, 40)), "00%7": np.zeros((30, 40))}
+    path = str(tmp_path / "sizes")
+    img.write_images(chunk_rows(spark, arrays, dims, (24, 24)).drop("x1", "y1"), path)
+    wide = chunk_rows(spark, {"later": np.ones((10, 64))}, (64, 10), (24, 24)).drop("x1", "y1")
+    img.write_images(wide, path, mode="append")
+    got = img.footer_size(spark, path, ("x", "y"))
+    assert sorted(map(tuple, got.collect())) == [("00%7", 40, 30, 4), ("a+b c", 40, 30, 4), ("later", 64, 10, 3)]
+    assert img.footer_size(spark, str(tmp_path / "missing"), ("x", "y")).count() == 0
+
+
+def test_sizes_without_statistics_are_read(tmp_path):
+    table = pa.table({"nx": [4, 9, None], "ny": [7, 2, 5]})
+    pq.write_table(table, tmp_path / "plain.parquet", write_statistics=False)
+    assert list(img._largest(pq.ParquetFile(tmp_path / "plain.parquet"), ["nx", "ny"])) == [(9, 7, 3)]
