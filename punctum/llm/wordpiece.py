@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import count
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 from punctum.llm.common import chunks, raw
 
 BLOCK_BYTES = 8 << 20
+#: Words that are still read in step; a round of array operations costs about as much as this many steps one by one.
+FEW = 256
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -65,8 +68,34 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.next[at], -1)
 
-    def lengths(self, words: list[bytes]) -> np.ndarray:
-        """Number of pieces of each word, all words in step, byte by byte; 1 for a word that has no cover."""
+    @cached_property
+    def edges(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """The automaton for steps one by one; made where it is needed, so it isn't sent."""
+        return dict(zip(self.keys.tolist(), self.next.tolist())), self.fail.tolist(), self.popped.tolist()
+
+    def walk(self, text: bytes, node: int, pieces: int) -> int:
+        """Number of pieces of a word whose rest is ``text``, read from ``node`` after ``pieces`` pieces; 1 if it has no cover."""
+        edges, fail, popped = self.edges
+        for byte in text:
+            after = edges.get(node << 8 | byte)
+            while after is None:
+                pieces += popped[node]
+                node = fail[node]
+                if node < 0:
+                    return 1
+                after = edges.get(node << 8 | byte)
+            node = after
+        while node > 0:
+            pieces += popped[node]
+            node = fail[node]
+        return 1 if node < 0 else pieces
+
+    def lengths(self, words: list[bytes], few: int = FEW) -> np.ndarray:
+        """Number of pieces of each word; 1 for a word that has no cover.
+
+        All words go in step, byte by byte, until fewer than ``few`` go on; these are walked one by one from where they are,
+        so the time follows the bytes, however long one word is.
+        """
         size = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(-size, kind="stable")
         text = np.frombuffer(b"".join(words), np.uint8)
@@ -75,6 +104,11 @@ class Automaton:
         lost = np.zeros(len(words), bool)
         for at in range(int(size[0]) if len(size) else 0):
             live = np.flatnonzero(~lost[: np.searchsorted(-size, -at, side="left")])
+            if len(live) < few:
+                for i in live.tolist():
+                    rest = text[begin[i] + at : begin[i] + size[i]].tobytes()
+                    pieces[i], node[i] = self.walk(rest, int(node[i]), int(pieces[i])), 0
+                break
             byte = text[begin[live] + at]
             while len(live):
                 after = self.step(node[live], byte)

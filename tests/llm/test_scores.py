@@ -1,6 +1,7 @@
 """Quality, language, token counts and language-model scores against brute force or held-out rows."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -114,8 +115,22 @@ def test_automaton_equals_longest_match(seed):
     rng = np.random.default_rng(seed)
     pieces = {bytes(rng.integers(97, 100, rng.integers(1, 6)).tolist()) for _ in range(12)} | ({b"a", b"b", b"c"} if seed % 2 else set())
     words = [bytes(rng.integers(97, 100, rng.integers(0, 14)).tolist()) for _ in range(400)]
-    got = wordpiece.Automaton(sorted(pieces)).lengths(words)
-    assert got.tolist() == [longest_match(w, pieces, 6) for w in words]
+    want = [longest_match(w, pieces, 6) for w in words]
+    for few in (0, 20, 100, 1000):
+        assert wordpiece.Automaton(sorted(pieces)).lengths(words, few).tolist() == want
+
+
+def test_a_very_long_word_takes_time_by_its_bytes():
+    automaton = wordpiece.Automaton(wordpiece.vocabulary(VOCABULARY))
+    rng = np.random.default_rng(7)
+    block = rng.integers(97, 123, 10_000).astype(np.uint8).tobytes()
+    started = time.process_time()
+    got = automaton.lengths([b" " + block * 1000, b" one", b" two", b" " + block])
+    assert time.process_time() - started < 10
+    pieces = set(wordpiece.vocabulary(VOCABULARY))
+    longest, word = max(map(len, pieces)), b" " + block
+    assert got[3] == longest_match(word, pieces, longest) and got[1:3].tolist() == [1, 1]
+    assert got[3] * 990 < got[0] < got[3] * 1010
 
 
 def test_token_counts(spark, docs, odd, none, clashing):
