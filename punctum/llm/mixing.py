@@ -140,6 +140,8 @@ def _moved(parts: DataFrame, owed: DataFrame) -> DataFrame:
     in proportion to what is there, as far as they reach."""
     room = parts.groupBy("source_key").agg(F.sum(F.col("size") - F.col("mass")).alias("free"), F.sum("mass").alias("held"))
     share = room.join(owed, "source_key").select("source_key", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("owed") / F.when(F.col("owed") > 0, F.col("free")).otherwise(F.col("held")))).alias("share"))
+    # Stored, so that its measured size decides how the documents meet it: a source's own don't meet in one task for a row a source.
+    share = stored(share, "shares")
     share_ = F.coalesce("share", F.lit(0.0))
     moved = F.col("mass") + share_ * F.when(share_ > 0, F.col("size") - F.col("mass")).otherwise(F.col("mass"))
     # a share of 1 or -1 must give a whole document exactly
