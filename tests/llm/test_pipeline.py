@@ -52,4 +52,4 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = entry.queries().keys()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
