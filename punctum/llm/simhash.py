@@ -154,10 +154,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
 
 
-def frequent(docs: DataFrame, words: int, part: int = 16, least: int = 4, most: int = 1 << 18) -> np.ndarray:
-    """Shingles met ``least`` times or more in one of ``part`` texts, at most the ``most`` commonest, ascending.
+def frequent(docs: DataFrame, words: int, part: int = 16, least: int = 4, most: int = 1 << 24) -> np.ndarray:
+    """A Bloom filter, as 64-bit words, of the shingles met ``least`` times or more in one of ``part`` texts.
 
-    They only come last in the order of ``prefix``: whichever they are, no pair is lost.
+    It only orders shingles for ``prefixes``: whichever come last, false positives too, no pair is lost. Counts and bits are
+    made in Spark. Bits follow the number of shingles, 16 to 32 each; if more than ``most`` are frequent, the least count
+    rises, so the filter never exceeds 32 MB.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,21 +168,44 @@ def frequent(docs: DataFrame, words: int, part: int = 16, least: int = 4, most:
 
     some = _texts(docs).filter(F.pmod("text_key", F.lit(part)) == 0).select("text").mapInArrow(run, "shingle long")
     counted = some.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    return np.sort(counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy().astype(np.int64))
+    counted = stored(counted.select("shingle", F.floor(F.log2("n") * 4).cast("int").alias("level")), "frequent")
+    number, lowest = 0, None
+    for level, n in sorted(map(tuple, counted.groupBy("level").count().collect()), reverse=True):
+        if number + n > most:
+            break
+        number, lowest = number + n, level
+    size = max(64, 1 << (16 * number - 1).bit_length()) if number else 64
+    bits = np.zeros(size // 64, np.int64)
+    if lowest is not None:
+        places = F.array(F.pmod("shingle", F.lit(size)), F.pmod(F.shiftrightunsigned("shingle", 32), F.lit(size)))
+        at = counted.filter(F.col("level") >= lowest).select(F.explode(places).alias("place"))
+        cells = at.groupBy(F.expr("place div 64").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits")).toArrow()
+        bits[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    release(counted)
+    return bits.view(np.uint64)
+
+
+def listed(shingles: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the shingles the filter of ``frequent`` holds; a few others may seem to be held."""
+    values, top, low = shingles.view(np.uint64), np.uint64(64 * len(bits) - 1), np.uint64(63)
+    found = np.ones(len(values), bool)
+    for place in (values & top, values >> np.uint64(32) & top):
+        found &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & low) & np.uint64(1)).astype(bool)
+    return found
 
 
-def prefix(shingles: np.ndarray, similarity: float, last: np.ndarray) -> np.ndarray:
-    """The first shingles of a set in an order that all sets share: those of ``last`` (ascending) at the end, else by value.
+def prefixes(shingles: np.ndarray, similarity: float, bits: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first shingles of a set in an order that all sets share, the frequent ones at the end, else by value; and how many of them lead.
 
-    Of two sets with the similarity, each has the share ``similarity`` in common with the other. So if each leaves out one
-    shingle less than that from the end of the order, what is left has a shingle in common.
+    Of two sets with the similarity the smaller shares ``2 s / (1 + s)`` of its shingles at least and the larger ``s``. So their first
+    common shingle in the order is among those of the smaller that lead, and among all that are given of the larger: each
+    leaves out one less than it must share from the end of the order.
     """
     size = len(shingles)
-    count = min(size, size - int(np.ceil(similarity * size - 1e-9)) + 1)
-    if len(last):
-        late = last[np.minimum(np.searchsorted(last, shingles), len(last) - 1)] == shingles
-        shingles = np.concatenate((shingles[~late], shingles[late]))
-    return shingles[:count]
+    late = listed(shingles, bits)
+    shingles = np.concatenate((shingles[~late], shingles[late]))
+    first = lambda share: min(size, size - int(np.ceil(share * size - 1e-9)) + 1)
+    return shingles[: first(similarity)], first(2 * similarity / (1 + similarity))
 
 
 def parity(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
@@ -194,19 +219,21 @@ def wide(shingles: np.ndarray) -> np.ndarray:
     return parity(shingles, max(PARITY, 1 << max(0, len(shingles) - 1).bit_length()))
 
 
-def sketches(docs: DataFrame, words: int, similarity: float, last) -> DataFrame:
-    """``doc_id, text_key, node, size, keys, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
+def sketches(docs: DataFrame, words: int, similarity: float, bits) -> DataFrame:
+    """``doc_id, text_key, node, size, keys, leading, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = [hashed_shingles(t, words) for t in raw(batch.column("text"))]
             nodes = [int.from_bytes(sha256(s.tobytes()).digest()[:8], "big", signed=True) for s in sets]
+            firsts = [prefixes(s, similarity, bits.value) for s in sets]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
-                pa.array([prefix(s, similarity, last.value) for s in sets], longs), pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)], ["doc_id", "text_key", "node", "size", "keys", "parity", "wide"])
+                pa.array([keys for keys, _ in firsts], longs), pa.array([n for _, n in firsts], pa.int32()), pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)],
+                ["doc_id", "text_key", "node", "size", "keys", "leading", "parity", "wide"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, parity array<long>, wide array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, leading int, parity array<long>, wide array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -241,7 +268,9 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
     side = lambda c: nodes.select(F.col("node").alias(c), "size", "wide").alias(c)
     close = stored(close.join(side("a"), "a").join(side("b"), "b").filter(_possible_wide(similarity, "a", "b")).select("a", "b"), "close")
     wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct().join(nodes.select("node", "least.*"), "node")
-    sets = stored(shingle_sets(docs, stored(wanted, "wanted"), words), "shingles")
+    wanted = stored(wanted, "wanted")
+    sets = stored(shingle_sets(docs, wanted, words), "shingles")
+    release(wanted)
     of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
     common, every = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
     both = close.join(of("a"), "a").join(of("b"), "b")
@@ -252,18 +281,28 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
 
 
 def _across(met: DataFrame, light: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of ``met (key, node)`` that share a key, belong to different ``roots`` and may have the similarity.
+    """Pairs ``a, b`` of ``met (key, node, leads)`` that share a key, belong to different ``roots`` and may have the similarity.
 
-    The largest group under a key only meets the others, so a node beside a large group makes as many pairs as the group has nodes.
+    Under a key a node that leads with it meets the nodes of its own or the next class of sizes, which has all that are not
+    smaller and near in size. The largest group under a key only meets the others, so a node beside a large group makes as
+    many pairs as the group has nodes.
     """
-    labelled = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    groups = labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
-    open_ = labelled.join(groups.filter("groups > 1").select("key", F.col("main.root").alias("main")), "key").join(light, "node")
-    open_ = stored(open_, "open")
-    a, b = open_.filter("root <> main").alias("a"), open_.alias("b")
-    apart = "a.key = b.key AND a.root <> b.root AND (b.root = b.main OR a.node < b.node)"
-    met = a.join(b, F.expr(f"{apart} AND {_possible(similarity, 'a', 'b')}")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    labelled = met.join(roots, "node", "left").select("key", "node", "leads", F.coalesce("root", "node").alias("root"))
+    groups = labelled.groupBy("key", "root").agg(F.count("*").alias("n"), F.max("leads").alias("leads")).groupBy("key")
+    groups = groups.agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"), F.max("leads").alias("leads"))
+    several = groups.filter("groups > 1 AND leads").select("key", F.col("main.root").alias("main"))
+    step = float(np.log(1 / similarity) + 1e-6)
+    open_ = stored(labelled.join(several, "key").join(light, "node").withColumn("class", F.floor(F.log("size") / step)), "open")
+    smaller = open_.filter("leads").withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
+
+    def meeting(a: DataFrame, b: DataFrame) -> DataFrame:
+        apart = F.expr(f"a.key = b.key AND a.class = b.class AND a.root <> b.root AND a.size <= b.size AND {_possible(similarity, 'a', 'b')}")
+        return a.alias("a").join(b.alias("b"), apart).select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"))
+
+    pairs = meeting(smaller.filter("root <> main"), open_).union(meeting(smaller.filter("root = main"), open_.filter("root <> main")))
+    found = stored(pairs.distinct(), "across")
+    release(open_)
+    return found
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -271,27 +310,34 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     of their distinct ``words``-word shingles, and the one row of each group that stays (smallest id, null ids last, then
     smallest text key; of wholly equal rows all are marked).
 
-    The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes.
-    Texts of equal shingles are one node. First each node is compared with the smallest one under each shingle of its prefix,
-    which joins most copies in one comparison a text. What then still shares a shingle across groups is compared too, pair by pair;
-    inside a group no more pairs are needed. Sizes and parities, for long texts of more bits, rule out pairs without a loss, the shingles decide.
+    The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes, with which the
+    smaller leads. A shingle with which no text leads joins none: so texts of one template that differ in more than a ninth, and
+    have that first in the order, never meet. Texts of equal shingles are one node. First each node is compared with the smallest one
+    under each shingle of its prefix, which joins most copies in one comparison a text. What then still shares a shingle across
+    groups is compared too, by classes of size; inside a group no more pairs are needed. Sizes and parities, for long texts of more bits, rule out pairs without a loss, the shingles decide.
     """
-    last = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
-    full = stored(sketches(docs, words, similarity, last), "sketches")
-    nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("wide").alias("wide"), F.first("keys").alias("keys")), "nodes")
+    bits = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
+    full = stored(sketches(docs, words, similarity, bits), "sketches")
+    firsts = [F.first(c).alias(c) for c in ("size", "parity", "wide", "keys", "leading")]
+    nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *firsts), "nodes")
     rows = stored(full.select("doc_id", "text_key", "node"), "rows")
     release(full)
     # One shuffle; a window may spill, so a shingle of any number of texts needs no memory.
     of_key = Window.partitionBy("key")
-    met = nodes.select("node", F.explode("keys").alias("key")).select("key", "node", F.min("node").over(of_key).alias("centre"), F.max("node").over(of_key).alias("other"))
-    met = stored(met.filter("centre < other").drop("other"), "met")
+    keyed = nodes.select("node", "leading", F.posexplode("keys").alias("at", "key")).select("key", "node", F.expr("at < leading").alias("leads"))
+    met = keyed.select("*", F.min("node").over(of_key).alias("centre"), F.max("node").over(of_key).alias("other"), F.max("leads").over(of_key).alias("led"))
+    met = stored(met.filter("centre < other AND led").select("key", "node", "leads", "centre"), "met")
     light = nodes.select("node", "size", "parity")
     side = lambda c: light.withColumnRenamed("node", c).alias(c)
     pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    close = pairs.join(side("a"), "a").join(side("b"), "b").filter(_possible(similarity, "a", "b")).select("a", "b")
-    sure = _similar(docs, nodes, stored(close, "close"), words, similarity)
+    close = stored(pairs.join(side("a"), "a").join(side("b"), "b").filter(_possible(similarity, "a", "b")).select("a", "b"), "close")
+    sure = _similar(docs, nodes, close, words, similarity)
+    release(close)
     roots = components(sure)
-    more = _similar(docs, nodes, stored(_across(met.select("key", "node"), light, roots, similarity), "across"), words, similarity)
+    across = _across(met.drop("centre"), light, roots, similarity)
+    release(met)
+    more = _similar(docs, nodes, across, words, similarity)
+    release(across)
     if not more.isEmpty():
         roots = components(sure.union(more))
     grouped = nodes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))

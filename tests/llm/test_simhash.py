@@ -205,3 +205,61 @@ def test_wide_parities_keep_what_is_near(spark):
     got = frame.selectExpr("similarity", f"{simhash._possible_wide(0.8, 'a', 'b')} AS possible").collect()
     assert all(r.possible for r in got if r.similarity >= 0.8)
     assert sum(r.possible for r in got if r.similarity < 0.6) == 0
+
+
+def test_texts_of_the_similarity_share_a_leading_shingle():
+    draw = np.random.default_rng(9)
+    for size in (1, 2, 5, 9, 40, 300):
+        for trial in range(60):
+            a = np.unique(draw.integers(-(2**63), 2**63 - 1, size))
+            gone, more = draw.integers(0, size // 6 + 1), draw.integers(0, size // 6 + 1)
+            b = np.unique(np.concatenate((draw.permutation(a)[gone:], draw.integers(-(2**63), 2**63 - 1, more))))
+            bits = draw.integers(0, 2**63, 4).astype(np.uint64) | draw.integers(0, 2**63, 4).astype(np.uint64)
+            common = len(np.intersect1d(a, b))
+            for similarity in (0.5, 0.8, 0.95, 1.0):
+                if len(a) and len(b) and common * (1 + similarity) >= similarity * (len(a) + len(b)):
+                    small, large = sorted((a, b), key=len)
+                    keys, leading = simhash.prefixes(small, similarity, bits)
+                    assert np.intersect1d(keys[:leading], simhash.prefixes(large, similarity, bits)[0]).size
+
+
+def test_filter_holds_every_frequent_shingle(spark):
+    texts = [f"{prose(8, 50)} {prose(6, n)}" for n in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    common = simhash.hashed_shingles(prose(8, 50).encode(), 5)
+    own = np.concatenate([np.setdiff1d(simhash.hashed_shingles(t.encode(), 5), common) for t in texts])
+    bits = simhash.frequent(docs, 5, part=1)
+    assert simhash.listed(common, bits).all() and simhash.listed(own, bits).mean() < 0.1
+    assert not simhash.frequent(docs, 5, part=1, least=61).any()
+    assert not simhash.frequent(docs, 5, part=1, most=3).any()
+
+
+@pytest.mark.parametrize("most", [1 << 24, 0])
+def test_texts_of_one_template(spark, monkeypatch, most):
+    """Below the similarity of each other, but for one copy: they do not meet if the template is known as frequent; if not, the result is the same."""
+    find, counts, keep = simhash.frequent, {}, simhash.stored
+    monkeypatch.setattr(simhash, "frequent", lambda docs, words: find(docs, words, part=1, most=most))
+
+    def counting(frame, label):
+        table = keep(frame, label)
+        counts[label] = max(counts.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(simhash, "stored", counting)
+    template = prose(100, 31)
+    texts = [f"{template} {prose(17, 7000 + n)}" for n in range(150)] + [f"{template} {prose(17, 7000)} again"]
+    tops = jaccard_groups(texts)
+    assert len(set(tops)) == 150
+    assert kept_of(spark, texts) == sorted(set(tops))
+    assert most == 0 or counts["met"] < 40 and counts["across"] == 0 and counts["close"] == 1
+
+
+def test_sizes_at_the_edge_of_a_class_meet(spark):
+    texts, words = [], prose(130, 41).split()
+    for n in (84, 104, 125):
+        texts += [" ".join(words[:n])]
+    for g in range(5):
+        words = prose(400, 8000 + g).split()
+        texts += [" ".join(words[: n + 4]) for n in (80, 100, 125, 156, 195, 244)]
+    tops = jaccard_groups(texts)
+    assert kept_of(spark, texts) == sorted(set(tops))
