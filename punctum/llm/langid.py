@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from punctum.llm.common import chunks, fold
+from punctum.llm.common import chunks, fold, stored
 
 BUCKETS = 1 << 15
-MATRIX_BYTES = 256 << 20
+#: Languages whose log probabilities are held and sent at once.
+COLUMNS = 256
 UNKNOWN = "und"
 #: Odd multipliers of the n-gram hash (fixed values).
 MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -68,56 +70,78 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def learned(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages in order, log priors, and log probabilities by bucket and language.
+class Model(NamedTuple):
+    """Languages in bytewise order, their log priors, and the stored counts that the log probabilities come from."""
 
-    The driver gets at most one number per language and bucket; too many languages for that raise.
-    """
-    counts = counted(docs, buckets).persist()
-    langs = [r[0] for r in counts.select("lang").distinct().orderBy("lang").limit(MATRIX_BYTES // (8 * buckets) + 1).collect()]
-    if len(langs) * buckets * 8 > MATRIX_BYTES:
-        raise ValueError("more languages than the matrix may hold; use fewer buckets")
-    place = {lang: n for n, lang in enumerate(langs)}
-    rows = counts.toArrow()
-    counts.unpersist()
-    column = np.array([place[v] for v in rows.column("lang").to_pylist()], np.int64)
-    bucket, n = rows.column("bucket").to_numpy(), rows.column("n").to_numpy()
-    matrix, prior = np.full((buckets, len(langs)), smoothing), np.zeros(len(langs))
-    grams = bucket >= 0
-    matrix[bucket[grams], column[grams]] += n[grams]
-    prior[column[~grams]] = n[~grams]
-    return langs, np.log(prior / max(1.0, prior.sum())), np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
-
-
-def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
+    langs: list[str]
+    prior: np.ndarray
+    counts: DataFrame
+    buckets: int
+    smoothing: float
+
+    def columns(self, start: int, stop: int) -> np.ndarray:
+        """Log probabilities by bucket of the languages from ``start`` to ``stop``."""
+        names = self.langs[start:stop]
+        matrix = np.full((self.buckets, len(names)), self.smoothing)
+        if names:
+            codes = self.counts.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "lang string, code int")
+            some = self.counts.filter((F.col("bucket") >= 0) & F.col("lang").between(names[0], names[-1]))
+            rows = some.join(codes, "lang").select("bucket", "code", "n").toArrow()
+            matrix[rows.column("bucket").to_numpy(), rows.column("code").to_numpy()] += rows.column("n").to_numpy()
+        return np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
+
+
+def learned(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = 0.5) -> Model:
+    """Counts of all rows, summed in Spark; the driver gets the names of the languages and their numbers of documents."""
+    counts = stored(counted(docs, buckets), "grams")
+    seen = counts.filter("bucket = -1").orderBy("lang").select("lang", "n").collect()
+    prior = np.array([r[1] for r in seen], np.float64)
+    return Model([r[0] for r in seen], np.log(prior / max(1.0, prior.sum())), counts, buckets, smoothing)
+
+
+def predicted(docs: DataFrame, model: Model, columns: int = COLUMNS) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row: the likeliest language and its posterior probability.
 
     A text that is null or has no letter, and any text if nothing was learned, is ``und`` with score 0. Of equally likely
     languages the first by name is taken. Only ``doc_id`` and ``text`` are read.
-    """
-    langs, prior, matrix = model
-    sent = docs.sparkSession.sparkContext.broadcast((prior, matrix))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior, matrix = sent.value
-        grams = Grams(len(matrix))
-        for batch in chunks(batches, limit=BLOCK_BYTES):
-            found = [grams(t) if t else np.empty(0, np.int64) for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(f) for f in found])
-            some = np.flatnonzero(sizes) if langs else np.empty(0, np.int64)
-            names, scores = [UNKNOWN] * len(found), np.zeros(len(found))
-            if len(some):
-                starts = np.cumsum(sizes[some]) - sizes[some]
-                logs = np.add.reduceat(matrix[np.concatenate([found[i] for i in some])], starts, axis=0, dtype=np.float64) + prior
-                shares = np.exp(logs - logs.max(axis=1, keepdims=True))
-                best = shares.argmax(axis=1)
-                scores[some] = 1 / shares.sum(axis=1)
-                for i, b in zip(some.tolist(), best.tolist()):
-                    names[i] = langs[b]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    The matrix is sent in blocks of ``columns`` languages, 32 MB each with the usual buckets. With more languages the texts are
+    written with their best language so far and the sum of shares, and meet the next block; any number of languages is scored.
+    """
+    state = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(UNKNOWN).alias("lang_pred"),
+        F.lit(float("-inf")).alias("best"), F.lit(0.0).alias("total"))
+    schema = "doc_id long, text string, lang_pred string, best double, total double"
+    for start in range(0, len(model.langs), columns):
+        stop = min(start + columns, len(model.langs))
+        sent = docs.sparkSession.sparkContext.broadcast((model.langs[start:stop], model.prior[start:stop], model.columns(start, stop)))
+        last = stop == len(model.langs)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
+            langs, prior, matrix = sent.value
+            grams = Grams(len(matrix))
+            for batch in chunks(batches, limit=BLOCK_BYTES):
+                found = [grams(t) if t else np.empty(0, np.int64) for t in batch.column("text").to_pylist()]
+                sizes = np.array([len(f) for f in found])
+                some = np.flatnonzero(sizes)
+                names, best, total = batch.column("lang_pred").to_pylist(), batch.column("best").to_numpy().copy(), batch.column("total").to_numpy().copy()
+                if len(some):
+                    starts = np.cumsum(sizes[some]) - sizes[some]
+                    logs = np.add.reduceat(matrix[np.concatenate([found[i] for i in some])], starts, axis=0, dtype=np.float64) + prior
+                    top, at = logs.max(axis=1), logs.argmax(axis=1)
+                    high = np.maximum(top, best[some])
+                    for i in np.flatnonzero(top > best[some]).tolist():
+                        names[some[i]] = langs[at[i]]
+                    total[some] = total[some] * np.exp(best[some] - high) + np.exp(logs - high[:, None]).sum(axis=1)
+                    best[some] = high
+                texts = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, pa.array(names, pa.string()), pa.array(best), pa.array(total)], ["doc_id", "text", "lang_pred", "best", "total"])
+
+        state = state.mapInArrow(run, schema)
+        if not last:
+            state = stored(state, "languages")
+            sent.destroy()
+    return state.select("doc_id", "lang_pred", F.when(F.col("total") > 0, 1 / F.col("total")).otherwise(0.0).alias("score"))
 
 
 def identified(docs: DataFrame, held_out: int = 0) -> DataFrame:

@@ -60,6 +60,16 @@ def test_votes_equal_a_plain_search(spark):
         assert math.isclose(score, sum(w * marks[i] for w, i in zip(weights, near)) / sum(weights), rel_tol=1e-4)
 
 
+def test_of_equal_cosines_the_smaller_ids_vote():
+    rng = np.random.default_rng(3)
+    one, other = rng.random((2, quality.TERMS)).astype(np.float32)
+    rows, marks = np.stack([other, *[one] * 30]), np.array([0.0, *[1.0, 0.0, 0.0] * 10])
+    model = quality.fitted(rows, marks, rank=4)
+    many = model.scores(np.stack([one] * (quality.BLOCK_ROWS + 7)), neighbours=4)
+    assert len(set(many.tolist())) == 1 and math.isclose(many[0], 2 / 4)
+    assert math.isclose(model.scores(one[None], neighbours=1)[0], 1.0)
+
+
 def test_quality_of_odd_rows(spark, odd, none, clashing, labels):
     marks = spark.createDataFrame([(4, 1), (5, 1), (8, 0), (9, None), (None, 1), (100, 1), (100, 0), (999, 0)], "doc_id long, quality int")
     rows = quality.classified(odd, marks).collect()
@@ -99,6 +109,23 @@ def test_naive_bayes_equals_plain_sums(spark):
         assert math.isclose(r.score, 1 / sum(math.exp(v - logs[best]) for v in logs.values()), rel_tol=1e-3)
 
 
+@pytest.mark.parametrize("columns", [1, 7, 29])
+def test_languages_in_blocks_equal_one_matrix(spark, odd, columns):
+    rows = [(i, prose(12, i % 29), f"l{i % 29:02d}", None, 1) for i in range(116)]
+    docs = spark.createDataFrame(rows, SCHEMA).union(odd.withColumn("lang", odd.lang.substr(1, 0)))
+    model = langid.learned(docs, 1 << 10)
+    want = sorted(langid.predicted(docs, model).collect(), key=repr)
+    got = sorted(langid.predicted(docs, model, columns).collect(), key=repr)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r.score for r in got], [r.score for r in want], rtol=1e-9)
+
+
+def test_two_thousand_languages(spark):
+    docs = spark.createDataFrame([(i, prose(12, i % 2000), f"l{i % 2000}", None, 1) for i in range(4000)], SCHEMA)
+    rows = langid.predicted(docs, langid.learned(docs, 1 << 12)).collect()
+    assert len(rows) == 4000 and sum(r.lang_pred == f"l{r.doc_id % 2000}" for r in rows) > 3900
+
+
 def test_language_of_odd_rows(spark, odd, none, clashing):
     rows = langid.identified(odd).collect()
     assert len(rows) == odd.count()
