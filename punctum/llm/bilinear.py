@@ -236,7 +236,8 @@ def scored(docs: DataFrame, held_out: int = 1, listed: int = LISTED, classes: in
     base_score: sum of log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens. score: log10 probability of the
     text by the model: the class of each token given the two before it, normalised over all classes, and within
     the class of other tokens the smoothed share of the token. n_known: tokens that the training texts
-    have. Only ``doc_id`` and ``text`` are read.
+    have. Only ``doc_id`` and ``text`` are read. Repeated rows count and are scored each by itself; an empty table gives an empty
+    one, and with nothing to learn from the base is 0 for every text.
 
     Counts cover all training texts. The most frequent tokens, a bounded list, go to the tasks; so the
     tokens of a text that are left to join with the counts are rare ones, and none of them is a hot key.

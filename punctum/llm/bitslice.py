@@ -188,7 +188,8 @@ def top_inner_products(rows: DataFrame, queries: DataFrame, k: int = 5, vector:
     Components are ``floor(scale * x)``. A row of the query's own id is no candidate; equal scores go to the
     smaller vec_id; fewer candidates give fewer rows. Rows whose vector or id is null, or that hold a null or
     non-finite component, take no part. Vectors of unequal length: missing components count as 0. Repeated
-    rows are rows of their own, as candidates and as queries.
+    rows are rows of their own, as candidates and as queries. An empty table, or one without queries, gives an empty one.
+    Only ``vec_id`` and the vector are read.
 
     Every task cuts its rows into blocks of bit slices and adds, for a set of queries at a time, the
     slices of the leading bits with bitmap arithmetic. The boundary score is found from the most

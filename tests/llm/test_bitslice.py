@@ -73,3 +73,12 @@ def test_vectors_of_unequal_length_whose_values_fill_the_block():
     assert bitslice.matrix(column, 2).tolist() == [[1, 0], [2, 3]]
     assert bitslice.matrix(column).tolist() == [[1, 0, 0], [2, 3, 4]]
     assert bitslice.matrix(pa.array([], pa.list_(pa.int64())), 2).shape == (0, 2)
+
+
+def test_columns_named_as_results_and_empty_tables(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    extra = plain.selectExpr("*", "1 AS query", "2L AS query_id", "'a' AS rank", "3.0 AS score", "4 AS pass", "array(1) AS v")
+    search = lambda frame: sorted(map(tuple, bitslice.top_inner_products(frame, frame.filter("vec_id % 50 = 0")).collect()))
+    assert search(extra) == search(plain) == brute(rows)
+    assert search(extra.limit(0)) == []
