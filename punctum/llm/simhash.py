@@ -18,6 +18,9 @@ SEED = 42
 SLICE = 1 << 15
 #: Bits of the parity of a set of shingles.
 PARITY = 512
+#: Nodes under one shingle beyond which they meet by finer classes of size and by place.
+CROWD = 64
+BANDS = 8
 
 
 def fingerprint(text: bytes, words: int, digest=xxhash.xxh64_digest) -> int:
@@ -220,7 +223,7 @@ def wide(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, bits) -> DataFrame:
-    """``doc_id, text_key, node, size, keys, leading, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
+    """``doc_id, text_key, node, size, keys, leading, own, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -230,10 +233,11 @@ def sketches(docs: DataFrame, words: int, similarity: float, bits) -> DataFrame:
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
-                pa.array([keys for keys, _ in firsts], longs), pa.array([n for _, n in firsts], pa.int32()), pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)],
-                ["doc_id", "text_key", "node", "size", "keys", "leading", "parity", "wide"])
+                pa.array([keys for keys, _ in firsts], longs), pa.array([n for _, n in firsts], pa.int32()), pa.array([int((~listed(s, bits.value)).sum()) for s in sets], pa.int32()),
+                pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)],
+                ["doc_id", "text_key", "node", "size", "keys", "leading", "own", "parity", "wide"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, leading int, parity array<long>, wide array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, leading int, own int, parity array<long>, wide array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -280,26 +284,42 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
     return found
 
 
-def _across(met: DataFrame, light: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of ``met (key, node, leads)`` that share a key, belong to different ``roots`` and may have the similarity.
+def _across(met: DataFrame, light: DataFrame, roots: DataFrame, similarity: float, crowd: int = CROWD) -> DataFrame:
+    """Pairs ``a, b`` of ``met (key, node, at, leads)`` that share a key, belong to different ``roots`` and may have the similarity.
 
     Under a key a node that leads with it meets the nodes of its own or the next class of sizes, which has all that are not
-    smaller and near in size. The largest group under a key only meets the others, so a node beside a large group makes as
-    many pairs as the group has nodes.
+    smaller and near in size. The largest group under a key only meets the others. Of the key that comes first in both nodes of a pair,
+    neither place leaves fewer shingles than the pair must share: so a place allows sizes of the other node up to a largest one, and the
+    less the two differ in size, the nearer to the front both are.
+
+    Under a key of more than ``crowd`` nodes that is part of what they are joined by: classes are finer, and a node is there once for each
+    number of classes between it and the other that its place allows. The copies of a text that are too far from it to join the largest
+    group have more shingles of their own in front than a place may have, so they do not meet that group though all share the key.
     """
-    labelled = met.join(roots, "node", "left").select("key", "node", "leads", F.coalesce("root", "node").alias("root"))
+    labelled = met.join(roots, "node", "left").select("key", "node", "at", "leads", F.coalesce("root", "node").alias("root"))
     groups = labelled.groupBy("key", "root").agg(F.count("*").alias("n"), F.max("leads").alias("leads")).groupBy("key")
-    groups = groups.agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"), F.max("leads").alias("leads"))
-    several = groups.filter("groups > 1 AND leads").select("key", F.col("main.root").alias("main"))
-    step = float(np.log(1 / similarity) + 1e-6)
-    open_ = stored(labelled.join(several, "key").join(light, "node").withColumn("class", F.floor(F.log("size") / step)), "open")
-    smaller = open_.filter("leads").withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
+    groups = groups.agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("groups"), F.max("leads").alias("leads"))
+    several = groups.filter("groups > 1 AND leads").select("key", F.col("main.root").alias("main"), F.expr(f"n > {crowd}").alias("crowded"))
+    step, part = float(np.log(1 / similarity) + 1e-6), similarity / (1 + similarity)
+    class_of = lambda size, step: F.expr(f"CAST(floor(ln({size}) / {step}) AS INT)")
+    sized = labelled.join(several, "key").join(light, "node").withColumn("reach", F.expr(f"greatest(1, (size - at) / {part} - size + 1e-6)"))
+    sized = sized.withColumns({"class": class_of("size", step), "fine": class_of("size", step / BANDS), "beyond": class_of("reach", step / BANDS)})
+    open_ = stored(sized.withColumn("beyond", F.expr("beyond - fine")), "open")
+    # The classes where a node is as the smaller of a pair, and as the other; ``gap`` counts the classes between them.
+    smaller = F.expr(f"CASE WHEN NOT crowded THEN array(struct(class AS of, 0 AS gap), struct(class + 1 AS of, 0 AS gap)) "
+                     f"WHEN beyond >= 0 THEN transform(sequence(0, least(beyond, {BANDS})), g -> struct(fine + g AS of, g AS gap)) END")
+    other = F.expr(f"CASE WHEN NOT crowded THEN array(struct(class AS of, 0 AS gap)) "
+                   f"WHEN beyond >= -{BANDS} THEN transform(sequence(greatest(0, -beyond), {BANDS}), g -> struct(fine AS of, g AS gap)) END")
+    placed = lambda rows, where: rows.withColumn("where", F.explode(where)).select("*", "where.*").drop("where")
 
     def meeting(a: DataFrame, b: DataFrame) -> DataFrame:
-        apart = F.expr(f"a.key = b.key AND a.class = b.class AND a.root <> b.root AND a.size <= b.size AND {_possible(similarity, 'a', 'b')}")
-        return a.alias("a").join(b.alias("b"), apart).select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"))
+        allowed = "b.size <= a.reach AND a.size <= b.reach"
+        apart = F.expr(f"a.key = b.key AND a.of = b.of AND a.gap = b.gap AND a.root <> b.root AND a.size <= b.size AND {allowed} AND {_possible(similarity, 'a', 'b')}")
+        met = placed(a, smaller).alias("a").join(placed(b, other).alias("b"), apart)
+        return met.select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"))
 
-    pairs = meeting(smaller.filter("root <> main"), open_).union(meeting(smaller.filter("root = main"), open_.filter("root <> main")))
+    leading = open_.filter("leads")
+    pairs = meeting(leading.filter("root <> main"), open_).union(meeting(leading.filter("root = main"), open_.filter("root <> main")))
     found = stored(pairs.distinct(), "across")
     release(open_)
     return found
@@ -312,21 +332,22 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
 
     The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes, with which the
     smaller leads. A shingle with which no text leads joins none: so texts of one template that differ in more than a ninth, and
-    have that first in the order, never meet. Texts of equal shingles are one node. First each node is compared with the smallest one
-    under each shingle of its prefix, which joins most copies in one comparison a text. What then still shares a shingle across
+    have that first in the order, never meet. Texts of equal shingles are one node. First each node is compared with one of those
+    under each shingle of its prefix, the one with fewest shingles that are not frequent (the least edited of many copies), which joins most copies in one comparison a text. What then still shares a shingle across
     groups is compared too, by classes of size; inside a group no more pairs are needed. Sizes and parities, for long texts of more bits, rule out pairs without a loss, the shingles decide.
     """
     bits = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     full = stored(sketches(docs, words, similarity, bits), "sketches")
-    firsts = [F.first(c).alias(c) for c in ("size", "parity", "wide", "keys", "leading")]
+    firsts = [F.first(c).alias(c) for c in ("size", "parity", "wide", "keys", "leading", "own")]
     nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *firsts), "nodes")
     rows = stored(full.select("doc_id", "text_key", "node"), "rows")
     release(full)
     # One shuffle; a window may spill, so a shingle of any number of texts needs no memory.
     of_key = Window.partitionBy("key")
-    keyed = nodes.select("node", "leading", F.posexplode("keys").alias("at", "key")).select("key", "node", F.expr("at < leading").alias("leads"))
-    met = keyed.select("*", F.min("node").over(of_key).alias("centre"), F.max("node").over(of_key).alias("other"), F.max("leads").over(of_key).alias("led"))
-    met = stored(met.filter("centre < other AND led").select("key", "node", "leads", "centre"), "met")
+    keyed = nodes.select("node", "leading", "own", F.posexplode("keys").alias("at", "key")).select("key", "node", "own", "at", F.expr("at < leading").alias("leads"))
+    least = F.min(F.struct("own", "node")).over(of_key)["node"]
+    met = keyed.select("*", least.alias("centre"), F.count("*").over(of_key).alias("n"), F.max("leads").over(of_key).alias("led"))
+    met = stored(met.filter("n > 1 AND led").select("key", "node", "at", "leads", "centre"), "met")
     light = nodes.select("node", "size", "parity")
     side = lambda c: light.withColumnRenamed("node", c).alias(c)
     pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()

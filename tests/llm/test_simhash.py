@@ -263,3 +263,40 @@ def test_sizes_at_the_edge_of_a_class_meet(spark):
         texts += [" ".join(words[: n + 4]) for n in (80, 100, 125, 156, 195, 244)]
     tops = jaccard_groups(texts)
     assert kept_of(spark, texts) == sorted(set(tops))
+
+
+@pytest.mark.parametrize("lengthened", [False, True])
+def test_many_near_copies_of_one_text_are_not_compared_pair_by_pair(spark, monkeypatch, lengthened):
+    """Some are near each other, some only share most shingles with the others; the groups are those of all pairs."""
+    draw, keep, counts, words = random.Random(3), simhash.stored, {}, prose(150, 61).split()
+
+    def counting(frame, label):
+        table = keep(frame, label)
+        counts[label] = max(counts.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(simhash, "stored", counting)
+    texts = []
+    for n in range(500):
+        copy = list(words)
+        for m in range(draw.randint(0, 9)):
+            at = draw.randrange(len(copy))
+            copy[at : at + draw.randint(0, 2) if lengthened else at + 1] = [f"new{n}x{m}"]
+        texts.append(" ".join(copy))
+    tops = jaccard_groups(texts)
+    assert kept_of(spark, texts) == sorted(set(tops))
+    assert counts["open"] > 1000 and (lengthened or counts["across"] < 250)
+
+
+def test_first_common_shingle_of_near_sets_is_where_both_sizes_allow():
+    draw, part = np.random.default_rng(12), 0.8 / 1.8
+    for size in (1, 5, 9, 40, 300):
+        for trial in range(80):
+            a = np.unique(draw.integers(-(2**63), 2**63 - 1, size))
+            b = np.unique(np.concatenate((draw.permutation(a)[draw.integers(0, size // 6 + 1) :], draw.integers(-(2**63), 2**63 - 1, draw.integers(0, size // 6 + 1)))))
+            bits = draw.integers(0, 2**63, 4).astype(np.uint64) | draw.integers(0, 2**63, 4).astype(np.uint64)
+            if len(b) and len(np.intersect1d(a, b)) >= part * (len(a) + len(b)) - 1e-9:
+                (keys_a, _), (keys_b, _) = simhash.prefixes(a, 0.8, bits), simhash.prefixes(b, 0.8, bits)
+                at_a = int(np.flatnonzero(np.isin(keys_a, keys_b))[0])
+                at_b = int(np.flatnonzero(keys_b == keys_a[at_a])[0])
+                assert len(b) <= (len(a) - at_a) / part - len(a) + 1e-6 and len(a) <= (len(b) - at_b) / part - len(b) + 1e-6
