@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import itertools
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import udtf
 
 from punctum.functions import geometry as geo
+from punctum.functions.arrow import schema_of
+
+#: Rows that are packed at once.
+PACKED_ROWS = 1 << 18
 
 
 def bounds(axes, crop_min=None, crop_max=None) -> tuple[list[str], list[str]]:
@@ -88,6 +98,108 @@ def _explode_axis(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int,
     return df.selectExpr("*", f"explode({geo.blocks_reading(a, a, lo, hi, size, halo)}) AS b{a}")
 
 
+def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None, beside: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of ``read_by_blocks`` packed for a shuffle: ``image, block_id, nx, ny[, nz], *beside, steps, v``.
+
+    A row has pixels of one block that come near each other in the input; ``steps`` are the differences of their places in the block with
+    its halo (``places`` has them), the first axis fastest, so they are mostly 1 and take next to no room. ``beside`` are columns of an image.
+    """
+    low, high, shape = crop_min or [0] * len(axes), crop_max, [s + 2 * h for s, h in zip(block, halo)]
+    own = ["image", "block_id", *["n" + a for a in axes], *beside]
+    kinds = dict(gathered.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in own], "steps array<int>", "v array<double>"])
+    arrow = schema_of(schema)
+
+    def rows_of(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        column = lambda name: rows[name].combine_chunks()
+        get = lambda name: column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+        image = pc.dictionary_encode(column("image"), null_encoding="encode").indices.to_numpy()
+        number, place, stride = get("block_id"), np.zeros(len(rows), np.int64), 1
+        rest = number
+        for d, a in enumerate(axes):
+            last = get("n" + a) - 1 if high is None else int(high[d])
+            index, rest = _index(rest, low[d], last, block[d])
+            place += (get(a) - (low[d] + index * (block[d] - 2) - halo[d])) * stride
+            stride *= shape[d]
+        order = np.lexsort((place, number, image))
+        image, number, place = image[order], number[order], place[order]
+        first = np.flatnonzero(np.concatenate(([True], (image[1:] != image[:-1]) | (number[1:] != number[:-1]))))
+        steps = np.diff(place, prepend=0)
+        steps[first] = place[first]
+        ends = pa.array(np.concatenate((first, [len(rows)])).astype(np.int32))
+        values = column("v").cast(pa.float64()).take(pa.array(order))
+        lists = [pa.ListArray.from_arrays(ends, part) for part in (pa.array(steps.astype(np.int32)), values)]
+        heads = [column(c).take(pa.array(order[first])).cast(f.type) for c, f in zip(own, arrow)]
+        return pa.RecordBatch.from_arrays([*heads, *lists], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, count = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting, count = [*waiting, batch], count + batch.num_rows
+            if count >= PACKED_ROWS:
+                yield rows_of(waiting)
+                waiting, count = [], 0
+        if waiting:
+            yield rows_of(waiting)
+
+    if math.prod(shape) >= 1 << 31:
+        raise ValueError(f"a block of {block} pixels with a halo of {halo} is too large")
+    return gathered.select(*own, *axes, "v").mapInArrow(run, schema)
+
+
+def _index(number, lo, hi, size: int):
+    """A block's place along one axis from its number, and the number of its place along the next axes."""
+    count = np.maximum(1, -(-(hi - 1 - lo) // (size - 2)))
+    return number % count, number // count
+
+
+class Box(NamedTuple):
+    """The pixels of one block with its halo, the first axis last. ``start``: the position of the first pixel, per axis in the order of the axes;
+    ``null``: pixels without a value; ``inside``: the block's own pixels; ``owned``: those it evaluates."""
+
+    start: list[int]
+    values: np.ndarray
+    null: np.ndarray
+    inside: tuple[slice, ...]
+    owned: tuple[slice, ...]
+
+
+def box_of(table: pa.Table, axes, block, halo, crop_min=None, crop_max=None, gap: float = 0.0) -> Box:
+    """The block of which ``table`` has the rows of ``packed``. A pixel of the image without a row is ``gap``."""
+    low, size = crop_min or [0] * len(axes), [table["n" + a][0].as_py() for a in axes]
+    start, shape, inside, owned, rest = [], [], [], [], table["block_id"][0].as_py()
+    for d, r in enumerate(halo):
+        last = size[d] - 1 if crop_max is None else int(crop_max[d])
+        index, rest = map(int, _index(rest, low[d], last, block[d]))
+        first = low[d] + index * (block[d] - 2)
+        width = min(first + block[d] - 1, last) - first + 1
+        start.append(first - r)
+        shape.append(width + 2 * r)
+        inside.append(slice(r, r + width))
+        owned.append(slice(r + 1, r + width - 1))
+    values, null = np.full(shape[::-1], gap), np.zeros(shape[::-1], bool)
+    for d, (s, n, r) in enumerate(zip(start, size, halo)):
+        # No pixel mirrors to what is more than the halo beyond the image.
+        at = s + np.arange(shape[d])
+        null[(slice(None),) * (len(axes) - 1 - d) + ((at < -r) | (at >= n + r),)] = True
+    steps, taken = (table[c].combine_chunks() for c in ("steps", "v"))
+    lengths = np.diff(np.asarray(steps.offsets))
+    place = np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)
+    # The places begin anew with each row.
+    begin = np.cumsum(lengths) - lengths
+    place -= np.repeat(np.where(begin > 0, place[begin - 1], 0), lengths)
+    at = []
+    for side, r in zip(block, halo):
+        at.append(place % (side + 2 * r))
+        place //= side + 2 * r
+    at, taken = tuple(at[::-1]), taken.flatten()
+    values[at] = taken.fill_null(gap).to_numpy()
+    null[at] = taken.is_null().to_numpy(zero_copy_only=False)
+    return Box(start, values, null, tuple(inside[::-1]), tuple(owned[::-1]))
+
+
 def read_along(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int) -> DataFrame:
     """One row per block ``b<a>`` that reads pixel ``a``, without mirrored copies."""
     return _explode_axis(df, a, lo, hi, size, halo, 0)

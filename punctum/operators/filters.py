@@ -2,16 +2,21 @@
 
 All work inside blocks that carry their own halo (``blocks.py``). The block gather is the
 one shuffle; every window below partitions by (image, block_id, ...), which that shuffle
-already satisfies, so each axis costs a local sort and no exchange. A block is bounded, so
+already satisfies, so each axis costs a local sort and no exchange. Peaks need no window: their
+blocks are packed before the shuffle and are filtered as arrays. A block is bounded, so
 neither a huge image nor a long scan line lands in one task.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from punctum.functions.arrow import schema_of
 from punctum.operators import blocks as blk
 from punctum.params import SpotParams, gauss_weights, radius
+from punctum.session import written
 from punctum.sources.images import size_columns
 
 BLOCK = ("image", "block_id")
@@ -98,20 +103,47 @@ def dog(voxels: DataFrame, axes, params: SpotParams, size=None) -> DataFrame:
 # --- peaks -------------------------------------------------------------------------------
 
 
-def _above_neighbours(df: DataFrame, axes, value: str) -> tuple[DataFrame, str]:
-    """Condition: strictly greater than all 3^n - 1 neighbours, one axis at a time.
+def _shifted(values: np.ndarray, axis: int, by: int, beyond) -> np.ndarray:
+    """Each pixel gets the value ``by`` pixels further along the axis, ``beyond`` outside."""
+    out = np.full_like(values, beyond)
+    to = [slice(None)] * values.ndim
+    from_ = list(to)
+    to[axis], from_[axis] = (slice(None, -by), slice(by, None)) if by > 0 else (slice(-by, None), slice(None, by))
+    out[tuple(to)] = values[tuple(from_)]
+    return out
 
-    After each axis ``m`` is the maximum of the box seen so far, so the next axis only has
-    to look one step to either side. Runs the axes backwards to reuse the blur's last sort.
+
+def _blurred_box(values: np.ndarray, sigmas) -> np.ndarray:
+    """As ``_blurred``, in the same order of the sums; right where the kernel lies within the box."""
+    for d, sigma in enumerate(sigmas):
+        axis, kernel = values.ndim - 1 - d, gauss_weights(sigma)
+        r = len(kernel) // 2
+        out = kernel[r] * values
+        for k in range(1, r + 1):
+            out += kernel[r + k] * (_shifted(values, axis, -k, 0.0) + _shifted(values, axis, k, 0.0))
+        values = out
+    return values
+
+
+def _spread(null: np.ndarray, reach) -> np.ndarray:
+    """Pixels with a null within the reach of a kernel."""
+    for d, r in enumerate(reach):
+        axis = null.ndim - 1 - d
+        null = np.logical_or.reduce([null, *[_shifted(null, axis, by, True) for k in range(1, r + 1) for by in (-k, k)]])
+    return null
+
+
+def _above_neighbours(dog: np.ndarray, null: np.ndarray) -> np.ndarray:
+    """Strictly greater than all 3^n - 1 neighbours, one axis at a time; nulls are no neighbours, but some are needed on each axis.
+
+    After each axis ``box`` is the maximum of the box seen so far, so the next axis only has to look one step to either side.
     """
-    out, checks, m = df, [], value
-    for d, axis in enumerate(reversed(axes)):
-        w = _along(axes, axis)
-        out = out.selectExpr("*", f"greatest(lag({m}, 1) {w}, lead({m}, 1) {w}) AS side{d}")
-        out = out.selectExpr("*", f"greatest({m}, side{d}) AS box{d}")
-        checks.append(f"{value} > side{d}")
-        m = f"box{d}"
-    return out, " AND ".join(checks)
+    keep, box = ~null, np.where(null, -np.inf, dog)
+    for axis in range(dog.ndim):
+        side = np.maximum(_shifted(box, axis, -1, -np.inf), _shifted(box, axis, 1, -np.inf))
+        keep &= (dog > side) & (side != -np.inf)
+        box = np.maximum(box, side)
+    return keep
 
 
 def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
@@ -119,22 +151,52 @@ def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
 
     ``voxels`` are raw. Result: ``image, block_id, x, y[, z], dog, span`` plus sizes, where
     ``span`` is the width of the intensity range used. With a fixed range the result does not
-    depend on the block size.
+    depend on the block size. Pixels near a null are no peaks; pixels of the image without a row are 0.
+
+    Blocks with their halo are packed to arrays before the one shuffle and filtered as arrays, so the pixels move once and aren't sorted.
     """
     n = len(axes)
-    reach = [radius(s) for s in params.sigmas(n, wide=True)]
-    gathered = blk.read_by_blocks(voxels, axes, params.block(n), reach, *params.crop(n)).repartition(*BLOCK)
-    out = _with_dog(normalized(gathered, params), axes, params)
-    out, above = _above_neighbours(out, axes, "dog")
-    out = out.filter(f"owned AND dog > {float(params.threshold)!r}D AND {above}")
-    return out.select(*BLOCK, *axes, "dog", "span", *size_columns(axes))
-
-
-def normalized(df: DataFrame, params: SpotParams) -> DataFrame:
-    if params.auto_range:
-        return normalize_auto(df, params.range_scope)
-    out = normalize_fixed(df, params.min_intensity, params.max_intensity)
-    return out.withColumn("span", F.lit(float(params.max_intensity) - float(params.min_intensity)))
+    reach, block, crop = [radius(s) for s in params.sigmas(n, wide=True)], params.block(n), params.crop(n)
+    by_image, given = params.auto_range and params.range_scope == "image", (float(params.min_intensity), float(params.max_intensity))
+    if by_image:
+        inner = " AND ".join(f"{a} BETWEEN {l} AND {h}" for a, l, h in zip(axes, *blk.bounds(axes, *crop)))
+        extent = voxels.filter(inner).groupBy("image").agg(F.min("v").cast("double").alias("v_low"), F.max("v").cast("double").alias("v_high"))
+        # Stored, so that its measured size decides how the pixels meet it.
+        voxels = voxels.join(written(extent, "extent"), "image")
+    gathered = blk.read_by_blocks(voxels, axes, block, reach, *crop)
+    gap = 0.0
+    if not params.auto_range:
+        gathered, gap = normalize_fixed(gathered, *given), -given[0] / (given[1] - given[0])
+    gathered = blk.packed(gathered, axes, block, reach, *crop, beside=("v_low", "v_high") if by_image else ())
+    # A given number: blocks are few bytes, but work.
+    gathered = gathered.repartition(int(voxels.sparkSession.conf.get("spark.sql.shuffle.partitions")), *BLOCK)
+    kinds = dict(gathered.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in BLOCK], *[f"{a} bigint" for a in axes], "dog double", "span double", *[f"{c} {kinds[c]}" for c in size_columns(axes)]])
+    arrow = schema_of(schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        box = blk.box_of(table, axes, block, reach, *crop, gap=gap)
+        low, high = given
+        if by_image:
+            low, high = table["v_low"][0].as_py(), table["v_high"][0].as_py()
+        elif params.auto_range:
+            own = box.values[box.inside][~box.null[box.inside]]
+            low, high = (float(np.fmin.reduce(own)), float(own.max())) if len(own) else (None, None)
+        if low is None or low == high:
+            return arrow.empty_table()
+        with np.errstate(invalid="ignore", over="ignore"):
+            v = (box.values - low) / (high - low) if params.auto_range else box.values
+            dog = _blurred_box(v, params.sigmas(n)) - _blurred_box(v, params.sigmas(n, wide=True))
+            null = _spread(box.null, reach) if box.null.any() else box.null
+            near = tuple(slice(s.start - 1, s.stop + 1) for s in box.owned)
+            keep = (_above_neighbours(dog[near], null[near]) & (dog[near] > params.threshold))[(slice(1, -1),) * n]
+        at = np.argwhere(keep) + [s.start for s in box.owned]
+        places = at[:, ::-1] + np.array(box.start)
+        head = lambda c: [table[c][0].as_py()] * len(at)
+        columns = [head("image"), head("block_id"), *places.T, dog[tuple(at.T)], [high - low] * len(at), *map(head, size_columns(axes))]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return gathered.groupBy(*BLOCK).applyInArrow(run, schema)
 
 
 # --- gradients ---------------------------------------------------------------------------
