@@ -102,7 +102,7 @@ def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None,
     """Rows of ``read_by_blocks`` packed for a shuffle: ``image, block_id, nx, ny[, nz], *beside, steps, v``.
 
     A row has pixels of one block that come near each other in the input; ``steps`` are the differences of their places in the block with
-    its halo (``places`` has them), the first axis fastest, so they are mostly 1 and take next to no room. ``beside`` are columns of an image.
+    its halo, the first axis fastest, so they are mostly 1 and take next to no room (``box_of`` reads them). ``beside`` are columns of an image.
     """
     low, high, shape = crop_min or [0] * len(axes), crop_max, [s + 2 * h for s, h in zip(block, halo)]
     own = ["image", "block_id", *["n" + a for a in axes], *beside]
@@ -122,7 +122,7 @@ def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None,
             index, rest = _index(rest, low[d], last, block[d])
             place += (get(a) - (low[d] + index * (block[d] - 2) - halo[d])) * stride
             stride *= shape[d]
-        order = np.lexsort((place, number, image))
+        order = np.lexsort((number, image))
         image, number, place = image[order], number[order], place[order]
         first = np.flatnonzero(np.concatenate(([True], (image[1:] != image[:-1]) | (number[1:] != number[:-1]))))
         steps = np.diff(place, prepend=0)
@@ -167,7 +167,8 @@ class Box(NamedTuple):
 
 
 def box_of(table: pa.Table, axes, block, halo, crop_min=None, crop_max=None, gap: float = 0.0) -> Box:
-    """The block of which ``table`` has the rows of ``packed``. A pixel of the image without a row is ``gap``."""
+    """The block of which ``table`` has the rows of ``packed``. A pixel of the image without a row is ``gap``. Without a crop the rows need no
+    mirrored copies, as a block reads all pixels that mirror into it."""
     low, size = crop_min or [0] * len(axes), [table["n" + a][0].as_py() for a in axes]
     start, shape, inside, owned, rest = [], [], [], [], table["block_id"][0].as_py()
     for d, r in enumerate(halo):
@@ -197,6 +198,11 @@ def box_of(table: pa.Table, axes, block, halo, crop_min=None, crop_max=None, gap
     at, taken = tuple(at[::-1]), taken.flatten()
     values[at] = taken.fill_null(gap).to_numpy()
     null[at] = taken.is_null().to_numpy(zero_copy_only=False)
+    for d, (s, n) in enumerate(zip(start, size)):
+        at, axis = s + np.arange(shape[d]), len(axes) - 1 - d
+        if crop_min is None and crop_max is None and (at[0] < 0 or at[-1] >= n):
+            source = n - 1 - np.abs(at % (2 * (n - 1)) - (n - 1)) - s
+            values, null = np.take(values, source, axis), np.take(null, source, axis)
     return Box(start, values, null, tuple(inside[::-1]), tuple(owned[::-1]))
 
 

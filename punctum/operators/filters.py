@@ -163,7 +163,7 @@ def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
         extent = voxels.filter(inner).groupBy("image").agg(F.min("v").cast("double").alias("v_low"), F.max("v").cast("double").alias("v_high"))
         # Stored, so that its measured size decides how the pixels meet it.
         voxels = voxels.join(written(extent, "extent"), "image")
-    gathered = blk.read_by_blocks(voxels, axes, block, reach, *crop)
+    gathered = blk.read_by_blocks(voxels, axes, block, reach, *crop, mirrored=crop != (None, None))
     gap = 0.0
     if not params.auto_range:
         gathered, gap = normalize_fixed(gathered, *given), -given[0] / (given[1] - given[0])
