@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -23,6 +23,14 @@ CROWD = 64
 BANDS = 8
 
 
+def majority(digests: Iterable[np.ndarray], number: int) -> int:
+    """The 64 bits that are 1 in over half of ``number`` hashes, given as slices of their bytes."""
+    counts = np.zeros(BITS, np.int64)
+    for part in digests:
+        counts += np.unpackbits(part.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > number).tobytes(), "big", signed=True)
+
+
 def fingerprint(text: bytes, words: int, digest=xxhash.xxh64_digest) -> int:
     """64-bit SimHash of the ``words``-word shingles, repeats included; 0 without words."""
     tokens = text.lower().split()
@@ -33,11 +41,8 @@ def fingerprint(text: bytes, words: int, digest=xxhash.xxh64_digest) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(words, len(tokens))
     starts, ends = starts[: len(tokens) - k + 1].tolist(), ends[k - 1 :].tolist()
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(starts), SLICE):
-        hashes = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts[at : at + SLICE], ends[at : at + SLICE])])
-        counts += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(starts)).tobytes(), "big", signed=True)
+    hashes = (b"".join([digest(joined[s:e], SEED) for s, e in zip(starts[at : at + SLICE], ends[at : at + SLICE])]) for at in range(0, len(starts), SLICE))
+    return majority((np.frombuffer(h, np.uint8) for h in hashes), len(starts))
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -153,6 +158,11 @@ def hashed_shingles(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist())]), np.int64))
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """64-bit SimHash of a set of hashed shingles; 0 without any."""
+    return majority((shingles[at : at + SLICE].view(np.uint8) for at in range(0, len(shingles), SLICE)), len(shingles))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
 
@@ -223,7 +233,7 @@ def wide(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, bits) -> DataFrame:
-    """``doc_id, text_key, node, size, keys, leading, own, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
+    """``doc_id, text_key, node, fingerprint, size, keys, leading, own, parity, wide`` for every row; a null id is ``NO_ID``, texts of equal shingles have one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -232,12 +242,12 @@ def sketches(docs: DataFrame, words: int, similarity: float, bits) -> DataFrame:
             firsts = [prefixes(s, similarity, bits.value) for s in sets]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
+                batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(list(map(set_fingerprint, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
                 pa.array([keys for keys, _ in firsts], longs), pa.array([n for _, n in firsts], pa.int32()), pa.array([int((~listed(s, bits.value)).sum()) for s in sets], pa.int32()),
                 pa.array(list(map(parity, sets)), longs), pa.array(list(map(wide, sets)), longs)],
-                ["doc_id", "text_key", "node", "size", "keys", "leading", "own", "parity", "wide"])
+                ["doc_id", "text_key", "node", "fingerprint", "size", "keys", "leading", "own", "parity", "wide"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, size int, keys array<long>, leading int, own int, parity array<long>, wide array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_key long, node long, fingerprint long, size int, keys array<long>, leading int, own int, parity array<long>, wide array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -284,6 +294,17 @@ def _similar(docs: DataFrame, nodes: DataFrame, close: DataFrame, words: int, si
     return found
 
 
+def _by_fingerprint(nodes: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Pairs ``a, b`` of nodes that the links of their fingerprints join: of equal fingerprints each with the one with fewest shingles that are
+    not frequent, and these with each other as ``links`` has them."""
+    prints = nodes.groupBy("fingerprint").agg(F.min(F.struct("own", "node")).alias("least"))
+    prints = stored(prints.select("fingerprint", F.col("least.node").alias("first")), "prints")
+    equal = nodes.select("node", "fingerprint").join(prints, "fingerprint").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    of = lambda c: prints.select(F.col("fingerprint").alias(c), F.col("first").alias(f"of_{c}"))
+    linked = links(prints.select(F.lit(0).alias("which"), "fingerprint"), max_bits).join(of("a"), "a").join(of("b"), "b")
+    return equal.union(linked.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+
+
 def _across(met: DataFrame, light: DataFrame, roots: DataFrame, similarity: float, crowd: int = CROWD) -> DataFrame:
     """Pairs ``a, b`` of ``met (key, node, at, leads)`` that share a key, belong to different ``roots`` and may have the similarity.
 
@@ -332,13 +353,15 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
 
     The groups are those of all pairs, none is missed: texts with the similarity share a shingle of their prefixes, with which the
     smaller leads. A shingle with which no text leads joins none: so texts of one template that differ in more than a ninth, and
-    have that first in the order, never meet. Texts of equal shingles are one node. First each node is compared with one of those
-    under each shingle of its prefix, the one with fewest shingles that are not frequent (the least edited of many copies), which joins most copies in one comparison a text. What then still shares a shingle across
+    have that first in the order, never meet. Texts of equal shingles are one node. First nodes are compared that the links of their SimHash
+    fingerprints join (within 2 bits, by pigeonring chains; these alone would miss pairs), and each node with one of those under each shingle of
+    its prefix, the one with fewest shingles that are not frequent (the least edited of many copies), which joins most copies in one comparison
+    a text. What then still shares a shingle across
     groups is compared too, by classes of size; inside a group no more pairs are needed. Sizes and parities, for long texts of more bits, rule out pairs without a loss, the shingles decide.
     """
     bits = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     full = stored(sketches(docs, words, similarity, bits), "sketches")
-    firsts = [F.first(c).alias(c) for c in ("size", "parity", "wide", "keys", "leading", "own")]
+    firsts = [F.first(c).alias(c) for c in ("size", "parity", "wide", "keys", "leading", "own", "fingerprint")]
     nodes = stored(full.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *firsts), "nodes")
     rows = stored(full.select("doc_id", "text_key", "node"), "rows")
     release(full)
@@ -350,10 +373,12 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     met = stored(met.filter("n > 1 AND led").select("key", "node", "at", "leads", "centre"), "met")
     light = nodes.select("node", "size", "parity")
     side = lambda c: light.withColumnRenamed("node", c).alias(c)
-    pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    linked = stored(_by_fingerprint(nodes), "linked")
+    pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).union(linked).distinct()
     close = stored(pairs.join(side("a"), "a").join(side("b"), "b").filter(_possible(similarity, "a", "b")).select("a", "b"), "close")
     sure = _similar(docs, nodes, close, words, similarity)
     release(close)
+    release(linked)
     roots = components(sure)
     across = _across(met.drop("centre"), light, roots, similarity)
     release(met)

@@ -300,3 +300,31 @@ def test_first_common_shingle_of_near_sets_is_where_both_sizes_allow():
                 at_a = int(np.flatnonzero(np.isin(keys_a, keys_b))[0])
                 at_b = int(np.flatnonzero(keys_b == keys_a[at_a])[0])
                 assert len(b) <= (len(a) - at_a) / part - len(a) + 1e-6 and len(a) <= (len(b) - at_b) / part - len(b) + 1e-6
+
+
+def test_near_copies_are_linked_by_their_fingerprints(spark, monkeypatch):
+    """Pairs within 2 bits are compared also where no shingle of a prefix is shared; the groups are those of all pairs."""
+    texts = []
+    for g in range(30):
+        words = prose(400, 9000 + g).split()
+        texts += [" ".join(words), " ".join([*words[:-1], "changed"]), " ".join([*words, words[0]]), " ".join([*words[:200], *words[:200], *words[200:]])]
+    prints = [simhash.set_fingerprint(simhash.hashed_shingles(t.encode(), 5)) for t in texts]
+    assert prints[0] == plain_fingerprint(texts[0], 5) and simhash.set_fingerprint(np.empty(0, np.int64)) == 0
+    near = [bin((a ^ b) % (1 << 64)).count("1") <= 2 for a, b in zip(prints[::4], prints[1::4])]
+    found, keep = {}, simhash.stored
+
+    def watched(frame, label):
+        found[label] = table = keep(frame, label)
+        if label == "linked":
+            found["pairs"] = {frozenset((r.a, r.b)) for r in table.collect()}
+        return table
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    tops = jaccard_groups(texts)
+    assert kept_of(spark, texts) == sorted(set(tops)) == list(range(0, 120, 4))
+    assert len(found["pairs"]) >= sum(near) > 5
+    # The links alone: what they join stays joined if the prefixes find nothing.
+    first = simhash.prefixes
+    monkeypatch.setattr(simhash, "prefixes", lambda shingles, similarity, bits: (shingles[:0], first(shingles, similarity, bits)[1]))
+    kept = kept_of(spark, texts)
+    assert set(range(0, 120, 4)) <= set(kept) and len(kept) <= 120 - sum(near)
