gradients_3d (gradients): blocks are packed before the one shuffle

Symptom: gradients_3d shuffled 59 MB for 10.8 MB of lineitem: three of its shuffles moved every pixel again, one for each window.
Evidence: the image's name is a constant, which the optimizer drops from the windows but not from the shuffle by image and block, so that shuffle fitted no window; 46 of 59 MB were pixel rows, and with one shuffle for all three windows a task held three sorts (113 MB of execution memory, 38 before).
Fix: the pixels of a block are packed before its shuffle, as dog_peaks does, and a task takes the differences row by row along each line of one block; nulls, gaps and repeated rows give what the windows gave.
Effect: at 1 GB of input CPU 547 -> 487 s, shuffle 3.82 -> 0.97 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.25 GB, longest task 8 -> 13 s, most memory of a task 369 -> 336 MB; at 6 GB of input CPU 2405 -> 1783 s, shuffle 24.08 -> 6.07 GB, spill 0.00 -> 0.00 GB, read 2.73 -> 2.73 GB, longest task 21 -> 32 s, most memory of a task 604 -> 604 MB; with hot keys, at 1 GB of input CPU 522 -> 443 s, shuffle 3.63 -> 0.83 GB, spill 0.00 -> 0.00 GB, read 0.26 -> 0.26 GB, longest task 7 -> 12 s, most memory of a task 403 -> 302 MB.

@@ -98,13 +98,14 @@ def _explode_axis(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int,
     return df.selectExpr("*", f"explode({geo.blocks_reading(a, a, lo, hi, size, halo)}) AS b{a}")
 
 
-def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None, beside: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of ``read_by_blocks`` packed for a shuffle: ``image, block_id, nx, ny[, nz], *beside, steps, v``.
+def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None, beside: tuple[str, ...] = (), margin: int = 0) -> DataFrame:
+    """Rows of ``read_by_blocks`` (or, with a ``margin`` of 1, of ``tiled``) packed for a shuffle: ``image, block_id, nx, ny[, nz], *beside, steps, v``.
 
     A row has pixels of one block that come near each other in the input; ``steps`` are the differences of their places in the block with
-    its halo, the first axis fastest, so they are mostly 1 and take next to no room (``box_of`` reads them). ``beside`` are columns of an image.
+    its halo, the first axis fastest, so they are mostly 1 and take next to no room (``places_of`` reads them). ``beside`` are columns of an image.
+    ``margin``: by how much the interval is larger than an image without a crop, on each side.
     """
-    low, high, shape = crop_min or [0] * len(axes), crop_max, [s + 2 * h for s, h in zip(block, halo)]
+    low, high, shape = crop_min or [-margin] * len(axes), crop_max, [s + 2 * h for s, h in zip(block, halo)]
     own = ["image", "block_id", *["n" + a for a in axes], *beside]
     kinds = dict(gathered.dtypes)
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in own], "steps array<int>", "v array<double>"])
@@ -118,7 +119,7 @@ def packed(gathered: DataFrame, axes, block, halo, crop_min=None, crop_max=None,
         number, place, stride = get("block_id"), np.zeros(len(rows), np.int64), 1
         rest = number
         for d, a in enumerate(axes):
-            last = get("n" + a) - 1 if high is None else int(high[d])
+            last = get("n" + a) - 1 + margin if high is None else int(high[d])
             index, rest = _index(rest, low[d], last, block[d])
             place += (get(a) - (low[d] + index * (block[d] - 2) - halo[d])) * stride
             stride *= shape[d]
@@ -155,6 +156,21 @@ def _index(number, lo, hi, size: int):
     return number % count, number // count
 
 
+def places_of(table: pa.Table, block, halo) -> tuple[list[np.ndarray], pa.Array]:
+    """Places of the pixels in the block of which ``table`` has the rows of ``packed``, per axis in the order of the axes, and their values."""
+    steps, taken = (table[c].combine_chunks() for c in ("steps", "v"))
+    lengths = np.diff(np.asarray(steps.offsets))
+    place = np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)
+    # The places begin anew with each row.
+    begin = np.cumsum(lengths) - lengths
+    place -= np.repeat(np.where(begin > 0, place[begin - 1], 0), lengths)
+    at = []
+    for side, r in zip(block, halo):
+        at.append(place % (side + 2 * r))
+        place //= side + 2 * r
+    return at, taken.flatten()
+
+
 class Box(NamedTuple):
     """The pixels of one block with its halo, the first axis last. ``start``: the position of the first pixel, per axis in the order of the axes;
     ``null``: pixels without a value; ``inside``: the block's own pixels; ``owned``: those it evaluates."""
@@ -185,17 +201,8 @@ def box_of(table: pa.Table, axes, block, halo, crop_min=None, crop_max=None, gap
         # No pixel mirrors to what is more than the halo beyond the image.
         at = s + np.arange(shape[d])
         null[(slice(None),) * (len(axes) - 1 - d) + ((at < -r) | (at >= n + r),)] = True
-    steps, taken = (table[c].combine_chunks() for c in ("steps", "v"))
-    lengths = np.diff(np.asarray(steps.offsets))
-    place = np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)
-    # The places begin anew with each row.
-    begin = np.cumsum(lengths) - lengths
-    place -= np.repeat(np.where(begin > 0, place[begin - 1], 0), lengths)
-    at = []
-    for side, r in zip(block, halo):
-        at.append(place % (side + 2 * r))
-        place //= side + 2 * r
-    at, taken = tuple(at[::-1]), taken.flatten()
+    at, taken = places_of(table, block, halo)
+    at = tuple(at[::-1])
     values[at] = taken.fill_null(gap).to_numpy()
     null[at] = taken.is_null().to_numpy(zero_copy_only=False)
     for d, (s, n) in enumerate(zip(start, size)):
@@ -211,12 +218,21 @@ def read_along(df: DataFrame, a: str, lo: str, hi: str, size: int, halo: int) ->
     return _explode_axis(df, a, lo, hi, size, halo, 0)
 
 
+#: Size of tiles by the number of axes.
+TILE = {2: (256, 256), 3: (64, 64, 64)}
+
+
 def tiles(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
     """Cover every pixel of every image exactly once with blocks that see ``reach`` pixels around it.
 
     One shuffle by (image, block) follows; windows along any axis inside a block need no other.
     """
-    size = size or {2: (256, 256), 3: (64, 64, 64)}[len(axes)]
+    return tiled(voxels, axes, reach, size).repartition("image", "block_id")
+
+
+def tiled(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
+    """The rows of ``tiles`` where the pixels are, before any shuffle."""
+    size = size or TILE[len(axes)]
     halo = [max(0, r - 1) for r in reach]
     # The interval one pixel larger than the image: its evaluated pixels are the whole image.
     lo, hi = ["-1L"] * len(axes), ["n" + a for a in axes]
@@ -226,8 +242,16 @@ def tiles(voxels: DataFrame, axes, reach, size=None) -> DataFrame:
         out = _explode_axis(out, a, lo[d], hi[d], size[d], halo[d], halo[d] + 1)
         owned.append(f"{geo.block_owner(a, lo[d], hi[d], size[d])} <=> b{a}")
     number = geo.linear_id(["b" + a for a in axes], counts)
-    out = out.selectExpr(*voxels.columns, f"{number} AS block_id", f"({' AND '.join(owned)}) AS owned")
-    return out.repartition("image", "block_id")
+    return out.selectExpr(*voxels.columns, f"{number} AS block_id", f"({' AND '.join(owned)}) AS owned")
+
+
+def tile_start(number: int, size, tile) -> list[int]:
+    """The first position a tile reads, per axis, from its number and the size of the image."""
+    start = []
+    for n, side in zip(size, tile):
+        index, number = map(int, _index(number, -1, n, side))
+        start.append(index * (side - 2) - 1)
+    return start
 
 
 def evaluated(axes, crop_min=None, crop_max=None) -> str:

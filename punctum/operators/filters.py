@@ -2,8 +2,8 @@
 
 All work inside blocks that carry their own halo (``blocks.py``). The block gather is the
 one shuffle; every window below partitions by (image, block_id, ...), which that shuffle
-already satisfies, so each axis costs a local sort and no exchange. Peaks need no window: their
-blocks are packed before the shuffle and are filtered as arrays. A block is bounded, so
+already satisfies, so each axis costs a local sort and no exchange. Peaks and gradients need no
+window: their blocks are packed before the shuffle and are filtered as arrays. A block is bounded, so
 neither a huge image nor a long scan line lands in one task.
 """
 
@@ -203,14 +203,46 @@ def dog_peaks(voxels: DataFrame, axes, params: SpotParams) -> DataFrame:
 
 
 def gradients(voxels: DataFrame, axes, anisotropy: float = 1.0, drop_zero: bool = True, size=None) -> DataFrame:
-    """Central differences ``gx, gy[, gz]`` of ``v``; z is scaled by the anisotropy."""
-    tiled = blk.tiles(voxels, axes, [1] * len(axes), size)
-    slopes = []
-    for axis in axes:
-        w = _along(axes, axis)
-        factor = f" * {float(anisotropy)!r}D" if axis == "z" else ""
-        slopes.append(f"(lead(v, 1) {w} - lag(v, 1) {w}) / 2.0D{factor} AS g{axis}")
-    out = tiled.selectExpr("*", *slopes).filter("owned")
-    if drop_zero:
-        out = out.filter(" OR ".join(f"g{a} <> 0" for a in axes))
-    return _bare(out, axes, *["g" + a for a in axes])
+    """Central differences ``gx, gy[, gz]`` of ``v``; z is scaled by the anisotropy.
+
+    A pixel's neighbours are the rows before and after it on its line, and a null beside it makes a null. As with ``dog_peaks``, blocks are
+    packed before the one shuffle, so the pixels move once, and a task sorts the places of one block at a time.
+    """
+    size, halo = size or blk.TILE[len(axes)], [0] * len(axes)
+    gathered = blk.packed(blk.tiled(voxels, axes, [1] * len(axes), size), axes, size, halo, margin=1)
+    # A given number: blocks are few bytes, but work.
+    gathered = gathered.repartition(int(voxels.sparkSession.conf.get("spark.sql.shuffle.partitions")), *BLOCK)
+    kinds = dict(gathered.dtypes)
+    schema = ", ".join([f"`image` {kinds['image']}", *[f"{a} bigint" for a in axes], *[f"g{a} double" for a in axes], *[f"{c} {kinds[c]}" for c in size_columns(axes)]])
+    arrow = schema_of(schema)
+    factors = [float(anisotropy) if a == "z" else 1.0 for a in axes]
+
+    def run(table: pa.Table) -> pa.Table:
+        at, taken = blk.places_of(table, size, halo)
+        image, *extent = (table[c][0].as_py() for c in ("image", *size_columns(axes)))
+        values, null = taken.fill_null(0.0).to_numpy(), taken.is_null().to_numpy(zero_copy_only=False)
+        places = [p + s for p, s in zip(at, blk.tile_start(table["block_id"][0].as_py(), extent, size))]
+        # The outermost pixels of a block are only read.
+        keep = np.logical_and.reduce([(p > 0) & (p < s - 1) & (q < n) for p, q, s, n in zip(at, places, size, extent)])
+        slopes = [_slope(values, null, at, d, factor) for d, factor in enumerate(factors)]
+        if drop_zero:
+            keep &= np.logical_or.reduce([known & (slope != 0) for slope, known in slopes])
+        rows = np.flatnonzero(keep)
+        head = lambda value: [value] * len(rows)
+        found = [pa.array(slope[rows], mask=~known[rows]) for slope, known in slopes]
+        columns = [head(image), *[p[rows] for p in places], *found, *map(head, extent)]
+        return pa.Table.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return gathered.groupBy(*BLOCK).applyInArrow(run, schema)
+
+
+def _slope(values: np.ndarray, null: np.ndarray, at: list[np.ndarray], d: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Half the difference of the next and the last row on each row's line along axis ``d``, and where there are both, without a null."""
+    order = np.lexsort((at[d], *[p for k, p in enumerate(at) if k != d]))
+    slope, known = np.zeros(len(values)), np.zeros(len(values), bool)
+    if len(order) > 2:
+        last, this, after = order[:-2], order[1:-1], order[2:]
+        known[this] = np.logical_and.reduce([p[last] == p[after] for k, p in enumerate(at) if k != d]) & ~null[last] & ~null[after]
+        with np.errstate(invalid="ignore", over="ignore"):
+            slope[this] = (values[after] - values[last]) / 2.0 * factor
+    return slope, known
