@@ -31,6 +31,8 @@ from punctum.session import written
 from punctum.sources.images import crop_voxels, stored_size
 
 BLOCKS_PER_TASK, MOST_TASKS = 64, 200_000
+#: Small blocks that a group holds at most, and the pixels it may hold unless one block has more.
+BLOCKS_PER_GROUP, GROUP_PIXELS = 8, 1 << 16
 PIECE = "image string, block_id bigint, v_low double, v_high double, {}, data array<float>"
 
 
@@ -166,11 +168,27 @@ class Beside(NamedTuple):
         return self.chunks.cogroup(self.slabs).applyInArrow(lambda own, sent: run((own, sent)), schema)
 
 
+class Together(NamedTuple):
+    """Groups of some small blocks each, which are read one by one: a group costs more than the work of a small block, as it is a stream
+    of its own to and from Python."""
+
+    groups: GroupedData
+
+    def applyInArrow(self, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+        def every(table: pa.Table) -> pa.Table:
+            table = table.take(pa.array(np.argsort(table["block_id"].to_numpy(), kind="stable"))).combine_chunks()
+            number = table["block_id"].to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            return pa.concat_tables([run(table.slice(a, b - a)) for a, b in zip(edges, edges[1:])])
+
+        return self.groups.applyInArrow(every, schema)
+
+
 class Gather(NamedTuple):
     """Pixels on their way to blocks, from one shuffle: rows grouped by (image, block_id), how to read a group, and how to find
     the intensities of centres beyond their block."""
 
-    groups: GroupedData | Beside
+    groups: GroupedData | Beside | Together
     read: Callable[..., Pixels]
     beyond: Callable[[DataFrame], DataFrame]
 
@@ -186,8 +204,14 @@ def chunk_gather(chunks: DataFrame, axes, params: SpotParams, sizes: DataFrame |
         start, end = _extent(get("b"), get("l"), get("h"), params.block(ndim), params.halo(ndim))
         return Pixels(first.image, first.block_id, start, get("n"), _assemble(pieces, axes, start, end, get("n")), first.v_low, first.v_high)
 
-    pieces = block_pieces(chunks, axes, params).repartition(_partitions(stored_size(chunks, axes) if sizes is None else sizes, axes, params), "image", "block_id")
-    return Gather(pieces.groupBy("image", "block_id"), read, lambda spots: intensity.chunk_intensity(spots, chunks, axes))
+    pieces, count = block_pieces(chunks, axes, params), _partitions(stored_size(chunks, axes) if sizes is None else sizes, axes, params)
+    most = GROUP_PIXELS // math.prod(b + 2 * h for b, h in zip(params.block(ndim), params.halo(ndim)))
+    if most < 2:
+        groups = pieces.repartition(count, "image", "block_id").groupBy("image", "block_id")
+    else:
+        pieces = pieces.withColumn("part", F.expr(f"block_id div {min(most, BLOCKS_PER_GROUP)}"))
+        groups = Together(pieces.repartition(count, "image", "part").groupBy("image", "part"))
+    return Gather(groups, read, lambda spots: intensity.chunk_intensity(spots, chunks, axes))
 
 
 def in_place_gather(chunks: DataFrame, axes, params: SpotParams, chunk) -> Gather:
@@ -333,7 +357,7 @@ def candidates_of(pixels: Pixels, ndim: int, params: SpotParams) -> Block:
     peaks, dog = np.zeros((0, ndim), np.int64), np.zeros(0)
     if high > low:
         v = (raw - low) / (high - low)
-        response = (_blur(v, params.sigmas(ndim)) - _blur(v, params.sigmas(ndim, wide=True)))[own]
+        response = _blur(v, params.sigmas(ndim), halo) - _blur(v, params.sigmas(ndim, wide=True), halo)
         found = _peaks(response, params.threshold)
         if pixels.within is not None:
             at = found[:, ::-1] + np.array(pixels.start) + np.array(halo)
@@ -357,8 +381,8 @@ def block_candidates(gather: Gather, axes, params: SpotParams) -> DataFrame:
 
 def table_of(columns: list, rows: int, schema: pa.Schema) -> pa.Table:
     """A table of arrays and single values, which all rows share."""
-    whole = (c if isinstance(c, (np.ndarray, pa.Array)) else [c] * rows for c in columns)
-    return pa.Table.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(whole, schema)], schema=schema)
+    whole = (pa.array(c, f.type) if isinstance(c, np.ndarray) else c if isinstance(c, pa.Array) else pa.repeat(pa.scalar(c, f.type), rows) for c, f in zip(columns, schema))
+    return pa.Table.from_arrays(list(whole), schema=schema)
 
 
 def _partitions(sizes: DataFrame, axes, params: SpotParams) -> int:
@@ -386,18 +410,18 @@ def _assemble(pieces, axes, start, end, size):
 
 def _mirrored(raw, start, end, size):
     """Pixels of the image with what mirrors beyond its borders, over start..end."""
-    return np.pad(raw, [(max(0, -s), max(0, e - n + 1)) for s, e, n in zip(start, end, size)][::-1], mode="reflect")
-
-
-def _blur(v, sigmas):
-    for d, sigma in enumerate(sigmas):
-        v = np.moveaxis(v, v.ndim - 1 - d, -1)
-        kernel = gauss_weights(sigma)
-        r, n = len(kernel) // 2, v.shape[-1]
-        # Only pixels a full kernel away from the edge are used, so the pad's content is free.
-        padded = np.pad(v, [(0, 0)] * (v.ndim - 1) + [(r, r)])
-        v = kernel[r] * v + sum(kernel[r + k] * (padded[..., r - k: r - k + n] + padded[..., r + k: r + k + n]) for k in range(1, r + 1))
-        v = np.moveaxis(v, -1, v.ndim - 1 - d)
+    beyond = [(max(0, -s), max(0, e - n + 1)) for s, e, n in zip(start, end, size)][::-1]
+    return np.pad(raw, beyond, mode="reflect") if any(map(any, beyond)) else raw
+
+
+def _blur(v, sigmas, halo):
+    """The blurred pixels of a block without its halo, which holds the kernels; each axis leaves fewer pixels to the next."""
+    for d, (sigma, h) in enumerate(zip(sigmas, halo)):
+        axis, kernel = v.ndim - 1 - d, gauss_weights(sigma)
+        r, n = len(kernel) // 2, max(0, v.shape[axis] - 2 * h)
+        moved = lambda k: v[(slice(None),) * axis + (slice(h + k, h + k + n),)]
+        sides = sum(kernel[r + k] * (moved(-k) + moved(k)) for k in range(1, r + 1))
+        v = kernel[r] * moved(0) + sides
     return v
 
 

@@ -10,7 +10,7 @@ from punctum.operators import progress
 from punctum.params import SpotParams
 from punctum.plans.spots import detect_images
 from punctum.session import path_exists, scratch_path, written
-from punctum.sources.images import chunk_schema
+from punctum.sources.images import chunk_schema, size_columns
 
 
 def count_outputs(finished: DataFrame, interval: str, target: str, checkpoint: str):
@@ -44,10 +44,15 @@ def output_count(spark: SparkSession, folder: str, schema: str, pattern: str = "
 FILES = 10_000
 
 
-def folders_of(batch: DataFrame) -> list[str]:
-    """Folders of the files of a batch, at most one a file."""
+def named_in(batch: DataFrame, axes) -> DataFrame:
+    """``image, folders, nx, ny[, nz]``: the images of a batch, the folders of its files that have them, and their sizes."""
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    return sorted(unquote(r.folder) for r in batch.select(folder.alias("folder")).distinct().collect())
+    return batch.groupBy("image").agg(F.collect_set(folder).alias("folders"), *[F.max(n).alias(n) for n in size_columns(axes)])
+
+
+def folders_of(named: DataFrame) -> list[str]:
+    """Folders of the files of a batch, at most one a file."""
+    return sorted(unquote(r.folder) for r in named.select(F.explode("folders").alias("folder")).distinct().collect())
 
 
 def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams, target: str, checkpoint: str, skip_finished: bool = False, files: int = FILES):
@@ -62,14 +67,16 @@ def detect_arrivals(spark: SparkSession, folder: str, axes, params: SpotParams,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        changed = batch.select("image").distinct()
+        # One pass over the new files; the sizes spare the detection one over all chunks of the images.
+        named = written(named_in(batch, axes), "named")
+        sizes = named.drop("folders")
         if skip_finished:
             earlier = versions(session, target).filter(F.col("batch") < batch_id)
-            changed = changed.join(earlier, "image", "left_anti")
-        changed = written(changed, "changed")
-        if folders := folders_of(batch):
+            sizes = written(sizes.join(earlier, "image", "left_anti"), "changed")
+        changed = sizes.select("image")
+        if folders := folders_of(named):
             chunks = session.read.schema(chunk_schema(axes)).option("basePath", folder).parquet(*folders).join(changed, "image", "left_semi")
-            detect_images(chunks, axes, params).write.mode("overwrite").parquet(f"{target}/spots/batch={batch_id}")
+            detect_images(chunks, axes, params, sizes).write.mode("overwrite").parquet(f"{target}/spots/batch={batch_id}")
         changed.write.mode("overwrite").parquet(f"{target}/images/batch={batch_id}")
 
     return (
